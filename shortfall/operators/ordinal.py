@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +49,11 @@ def sequence(df: DataFrame, order_by: Sequence[Column | str], name: str = "row_i
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     # Range boundaries come from sampling, and shuffle read order is not fixed:
     # a reliable checkpoint pins partition contents so both passes below agree.
-    pinned = ranged.checkpoint(eager=True)
+    # Persist first so the checkpoint write reads the cached rows instead of
+    # recomputing the sort.
+    cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    pinned = cached.checkpoint(eager=True)
+    cached.unpersist()
     tagged = pinned.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id())
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))

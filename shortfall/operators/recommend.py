@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.functions import ceil_double, clamp_min0, ieee_div, safe_mul, safe_sub
@@ -20,32 +20,24 @@ RECOMMENDATION_COLUMNS = (
 )
 
 
-def recommendation_exprs(threshold: float) -> dict[str, Column]:
-    """P16-P19 as named expressions over a full/review row."""
-    t = F.lit(float(threshold))
-    tc = safe_sub("coverage_gap", t)
-    tc_ig = clamp_min0(safe_sub("coverage_gap_ig", t))
-    tq = safe_mul(tc, "avg_daily_issue")
-    tq_ig = safe_mul(tc_ig, "avg_daily_issue_ig")
-    rec = F.coalesce(tq_ig, tq)
-    return {
-        "target_coverage": tc,
-        "target_coverage_ig": tc_ig,
-        "target_qty_ea": tq,
-        "target_qty_ea_ig": tq_ig,
-        "rec_qty_ea": rec,
-        "rec_qty_buy_uom": ceil_double(ieee_div(rec, "buy_uom_multiplier")),
-        "rec_qty_buy_uom_repl": ceil_double(ieee_div(rec, "repl_buy_uom_multiplier")),
-    }
-
-
 def with_recommendations(df: DataFrame, threshold: float, only_review: bool = True) -> DataFrame:
-    """Add the recommendation columns (NULL on non-review rows when
-    ``only_review``)."""
-    is_review = F.col("review_flag") == "Review"
-    cols = {k: (F.when(is_review, v) if only_review else v)
-            for k, v in recommendation_exprs(threshold).items()}
-    return df.withColumns(cols)
+    """Add P16-P19 as a chain of columns, each step reading the previous
+    column (not a nested expression), so generated code stays small.
+
+    With ``only_review`` the target coverages -- and so every column derived
+    from them -- are NULL on rows not flagged for review."""
+    t = F.lit(float(threshold))
+    guard = (lambda c: F.when(F.col("review_flag") == "Review", c)) if only_review else (lambda c: c)
+    out = df.withColumn("target_coverage", guard(safe_sub("coverage_gap", t)))
+    out = out.withColumn("target_coverage_ig", guard(clamp_min0(safe_sub("coverage_gap_ig", t))))
+    out = out.withColumn("target_qty_ea", safe_mul("target_coverage", "avg_daily_issue"))
+    out = out.withColumn("target_qty_ea_ig", safe_mul("target_coverage_ig", "avg_daily_issue_ig"))
+    out = out.withColumn("rec_qty_ea", F.coalesce(F.col("target_qty_ea_ig"), F.col("target_qty_ea")))
+    out = out.withColumn("_per_buy", ieee_div("rec_qty_ea", "buy_uom_multiplier"))
+    out = out.withColumn("_per_buy_repl", ieee_div("rec_qty_ea", "repl_buy_uom_multiplier"))
+    out = out.withColumn("rec_qty_buy_uom", ceil_double("_per_buy"))
+    out = out.withColumn("rec_qty_buy_uom_repl", ceil_double("_per_buy_repl"))
+    return out.drop("_per_buy", "_per_buy_repl")
 
 
 def review_recommendations(full: DataFrame, threshold: float) -> DataFrame:

@@ -68,7 +68,7 @@ def build_conversions(parsed: DataFrame) -> DataFrame:
         & (F.col("s.conv_factor") > F.col("b.conv_factor")),
     ).select(
         F.col("b.vendor_item").alias("vendor_item"),
-        (F.col("s.conv_factor") / F.col("b.conv_factor")).alias("conv_factor"),
+        ieee_div(F.col("s.conv_factor"), F.col("b.conv_factor")).alias("conv_factor"),
         F.explode(F.split(F.col("b.to_uom"), ",")).alias("base_uom"),
         F.col("s.to_uom").alias("to_uom"),
     )
@@ -136,7 +136,8 @@ def attach_alternatives(rows: DataFrame, alt_table: DataFrame, condition=None) -
     if condition is not None:
         cond = cond & condition
     out = rows.join(r, cond, "left").drop(*[f"_a_{k}" for k in UOM_KEY])
-    return out.withColumn("rec_qty_alt_uom", ceil_double(ieee_div("rec_qty_ea", "conv_factor")))
+    out = out.withColumn("_per_alt", ieee_div("rec_qty_ea", "conv_factor"))
+    return out.withColumn("rec_qty_alt_uom", ceil_double("_per_alt")).drop("_per_alt")
 
 
 REVIEW_ALT_COLUMNS = (

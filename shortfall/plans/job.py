@@ -26,6 +26,7 @@ from shortfall.operators import recommend as R
 from shortfall.operators import reconcile as RC
 from shortfall.operators import report as RP
 from shortfall.operators import uom as U
+from shortfall.session import pin
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,8 @@ class Params:
     review_threshold: float = -10.0
     inventory_tie_break: Sequence[str] = ()
     row_order: Sequence[str] = ("customer_material_number",)
+    # write multi-use intermediates once (see ``shortfall.session.pin``)
+    pin_stages: bool = True
     extra: dict = field(default_factory=dict)
 
 
@@ -55,41 +58,122 @@ def prepare_feed(raw_feed: DataFrame, p: Params) -> DataFrame:
     return C.assign_row_ids(feed, order)
 
 
-def build_stages(inputs: dict[str, DataFrame], p: Params, feed: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Wire the whole job. ``inputs`` keys: feed, inventory, usage,
+class Stages:
+    """The job graph with every stage built on first use (memoised), so a
+    caller asking for one table plans only what that table needs."""
+
+    def __init__(self, inputs: dict[str, DataFrame], p: Params, feed: DataFrame | None = None):
+        self.inputs = inputs
+        self.p = p
+        self._cache: dict[str, DataFrame] = {}
+        if feed is not None:
+            self._cache["feed"] = feed
+
+    # stages read by several branches downstream
+    PINNED = ("reconciled_inventory", "reconciled_usage", "feed_with_substitutes", "full", "conversions")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            df = getattr(self, f"_build_{name}")()
+            if self.p.pin_stages and name in self.PINNED:
+                df = pin(df, name)
+            self._cache[name] = df
+        return self._cache[name]
+
+    def _reconciled(self) -> dict[str, DataFrame]:
+        if "_rec" not in self.__dict__:
+            self._rec = RC.reconcile_locations(self["latest_inventory"], self["avg_daily_issue"],
+                                               self["group_usage"], self.p.secondary_location)
+        return self._rec
+
+    def _build_feed(self):
+        return prepare_feed(self.inputs["feed"], self.p)
+
+    def _build_latest_inventory(self):
+        return S.latest_inventory(self.inputs["inventory"], self.p.locations, self.p.inventory_tie_break)
+
+    def _build_avg_daily_issue(self):
+        p = self.p
+        return S.avg_daily_issue(self.inputs["usage"], p.locations, p.usage_as_of,
+                                 p.usage_window_days, p.usage_divisor)
+
+    def _build_group_usage(self):
+        return S.group_usage(self.inputs["group_usage"], self.p.locations)
+
+    def _build_reconciled_inventory(self):
+        return self._reconciled()["inventory"]
+
+    def _build_reconciled_usage(self):
+        return self._reconciled()["usage"]
+
+    def _build_reconciled_group_usage(self):
+        return self._reconciled()["group_usage"]
+
+    def _build_reconciled_uom_inconsistency(self):
+        return self._reconciled()["uom_inconsistency"]
+
+    def _build_reconciled_secondary_items(self):
+        return self._reconciled()["secondary_items"]
+
+    def _build_descriptions(self):
+        return S.item_descriptions(self.inputs["descriptions"])
+
+    def _build_enriched_inventory(self):
+        return E.enrich_inventory(self["reconciled_inventory"], self["reconciled_usage"], self["descriptions"])
+
+    def _build_active_links(self):
+        return S.active_links(self.inputs["links"], self.p.excluded_stages)
+
+    def _build_substitutes(self):
+        return E.build_substitutes(self["active_links"], self["reconciled_inventory"],
+                                   self["reconciled_usage"], self["descriptions"])
+
+    def _build_coverage(self):
+        matched = C.match_inventory(self["feed"], self["enriched_inventory"])
+        return C.coverage_metrics(matched, self.p.coverage_as_of, self.p.review_threshold)
+
+    def _build_feed_with_substitutes(self):
+        return C.merge_substitutes(self["coverage"], self["substitutes"])
+
+    def _build_group_quantities(self):
+        return G.group_quantities(self["feed_with_substitutes"], self["reconciled_group_usage"])
+
+    def _build_group_coverage(self):
+        return G.group_coverage(self["feed_with_substitutes"], self["group_quantities"], self.p.review_threshold)
+
+    def _build_full(self):
+        return G.full_dataset(self["feed_with_substitutes"], self["group_quantities"], self.p.review_threshold)
+
+    def _build_review(self):
+        return R.review_recommendations(self["full"], self.p.review_threshold)
+
+    def _build_packaging(self):
+        return U.parse_packaging(self["feed"], carry=["row_id"])
+
+    def _build_conversions(self):
+        return U.build_conversions(self["packaging"])
+
+    def _build_unresolved_uom(self):
+        return U.unresolved_uom(self["review"], self["conversions"])
+
+    def _build_uom_alternatives(self):
+        return U.uom_alternatives(self["review"], self["conversions"])
+
+    def _build_freshness(self):
+        p = self.p
+        return S.inventory_freshness(self.inputs["inventory"], p.locations, p.freshness_as_of, p.freshness_days)
+
+    def _build_report(self):
+        return assemble_report(self, self.p)
+
+
+def build_stages(inputs: dict[str, DataFrame], p: Params, feed: DataFrame | None = None) -> Stages:
+    """Wire the whole job lazily. ``inputs`` keys: feed, inventory, usage,
     descriptions, links, group_usage. ``feed`` may be a prepared feed."""
-    st: dict[str, DataFrame] = {}
-    st["feed"] = feed if feed is not None else prepare_feed(inputs["feed"], p)
-    st["latest_inventory"] = S.latest_inventory(inputs["inventory"], p.locations, p.inventory_tie_break)
-    st["avg_daily_issue"] = S.avg_daily_issue(inputs["usage"], p.locations, p.usage_as_of,
-                                              p.usage_window_days, p.usage_divisor)
-    st["group_usage"] = S.group_usage(inputs["group_usage"], p.locations)
-    rec = RC.reconcile_locations(st["latest_inventory"], st["avg_daily_issue"], st["group_usage"],
-                                 p.secondary_location)
-    st.update({f"reconciled_{k}": v for k, v in rec.items()})
-    desc = S.item_descriptions(inputs["descriptions"])
-    st["enriched_inventory"] = E.enrich_inventory(rec["inventory"], rec["usage"], desc)
-    st["active_links"] = S.active_links(inputs["links"], p.excluded_stages)
-    st["substitutes"] = E.build_substitutes(st["active_links"], rec["inventory"], rec["usage"], desc)
-    matched = C.match_inventory(st["feed"], st["enriched_inventory"])
-    st["coverage"] = C.coverage_metrics(matched, p.coverage_as_of, p.review_threshold)
-    st["feed_with_substitutes"] = C.merge_substitutes(st["coverage"], st["substitutes"])
-    st["group_quantities"] = G.group_quantities(st["feed_with_substitutes"], rec["group_usage"])
-    st["group_coverage"] = G.group_coverage(st["feed_with_substitutes"], st["group_quantities"],
-                                            p.review_threshold)
-    st["full"] = G.full_dataset(st["feed_with_substitutes"], st["group_quantities"], p.review_threshold)
-    st["review"] = R.review_recommendations(st["full"], p.review_threshold)
-    st["packaging"] = U.parse_packaging(st["feed"], carry=["row_id"])
-    st["conversions"] = U.build_conversions(st["packaging"])
-    st["unresolved_uom"] = U.unresolved_uom(st["review"], st["conversions"])
-    st["uom_alternatives"] = U.uom_alternatives(st["review"], st["conversions"])
-    st["freshness"] = S.inventory_freshness(inputs["inventory"], p.locations, p.freshness_as_of,
-                                            p.freshness_days)
-    st["report"] = assemble_report(st, p)
-    return st
-
-
-def assemble_report(st: dict[str, DataFrame], p: Params) -> DataFrame:
+    return Stages(inputs, p, feed)
+
+
+def assemble_report(st: Stages, p: Params) -> DataFrame:
     """Recommendations and alternatives on review rows, secondary-location
     flag, freshness stamp, fixed column order and display columns."""
     full = R.with_recommendations(st["full"], p.review_threshold)

@@ -61,3 +61,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="shortfall-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def pin(df, name: str):
+    """Write ``df`` once as Parquet under the session's checkpoint folder and
+    read it back: cuts the lineage (cheap recovery after executor loss), lets
+    several branches share one computation and gives Catalyst real size
+    statistics for its join choices."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/pins/{uuid.uuid4().hex}-{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
