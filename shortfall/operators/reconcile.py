@@ -21,22 +21,30 @@ INCONSISTENCY_COLUMNS = (
 )
 
 
-def _n_values(c: str):
-    """Distinct values counting NULL as one value."""
-    return F.count_distinct(F.col(c)) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
+def _stats(c: str) -> list:
+    return [F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}"),
+            F.count(c).alias(f"_nn_{c}")]
+
+
+def _several_values(c: str):
+    """More than one distinct value with NULL counted as a value: two non-NULL
+    values differ, or NULL and non-NULL values are mixed. Built from min, max
+    and counts, so it aggregates partially (no distinct-count expansion)."""
+    return (F.col(f"_lo_{c}") != F.col(f"_hi_{c}")) | (
+        (F.col(f"_nn_{c}") > 0) & (F.col(f"_nn_{c}") < F.col("_rows")))
 
 
 def uom_inconsistent_keys(inv: DataFrame) -> DataFrame:
     """(vendor_item, item) keys with more than one value in any consistency
     column (A1). Rows with a NULL key are not examined."""
     keyed = inv.filter(F.col("vendor_item").isNotNull() & F.col("item").isNotNull())
-    counts = keyed.groupBy("vendor_item", "item").agg(
-        *[_n_values(c).alias(f"_n_{c}") for c in CONSISTENCY_COLUMNS])
+    stats = keyed.groupBy("vendor_item", "item").agg(
+        F.count(F.lit(1)).alias("_rows"), *[e for c in CONSISTENCY_COLUMNS for e in _stats(c)])
     bad = None
     for c in CONSISTENCY_COLUMNS:
-        cond = F.col(f"_n_{c}") > 1
+        cond = F.coalesce(_several_values(c), F.lit(False))
         bad = cond if bad is None else bad | cond
-    return counts.filter(bad).select("vendor_item", "item")
+    return stats.filter(bad).select("vendor_item", "item")
 
 
 def uom_inconsistency_rows(inv: DataFrame, keys: DataFrame | None = None) -> DataFrame:

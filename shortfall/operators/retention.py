@@ -40,7 +40,8 @@ def retention_purge(df: DataFrame, ts_col: str, as_of: date | datetime,
     are kept, as a file without a time is never older than the cutoff)."""
     if not gate_open(as_of, day_range):
         return df
-    return df.filter(~F.coalesce(F.col(ts_col) < ts_lit(month_start(as_of)), F.lit(False)))
+    # written as ">= cutoff OR IS NULL" so Parquet can take it as a pushed filter
+    return df.filter((F.col(ts_col) >= ts_lit(month_start(as_of))) | F.col(ts_col).isNull())
 
 
 def archive_partitions(df: DataFrame, ts_col: str, as_of: date | datetime, day_range: tuple[int, int],

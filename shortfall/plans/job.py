@@ -70,7 +70,7 @@ class Stages:
             self._cache["feed"] = feed
 
     # stages read by several branches downstream
-    PINNED = ("reconciled_inventory", "reconciled_usage", "feed_with_substitutes", "full", "conversions")
+    PINNED = ("latest_inventory", "reconciled_inventory", "reconciled_usage", "feed_with_substitutes", "full", "conversions")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
