@@ -1,0 +1,295 @@
+"""Hand-computed golden cases per operator (FIXTURES.md part C)."""
+
+import math
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from shortfall import sources as S
+from shortfall.operators import coverage as C
+from shortfall.operators import groups as G
+from shortfall.operators import recommend as R
+from shortfall.operators import reconcile as RC
+from shortfall.operators import report as RP
+from shortfall.operators import retention as RT
+from shortfall.operators import uom as U
+
+INF = math.inf
+
+
+# G1 -- coverage metrics
+def test_coverage_metrics(spark):
+    d, today = "2026-03-22", "2026-03-18"
+    data = [
+        (1, 10.0, 2.0, d, True), (2, 30.0, 2.0, d, True), (3, 26.0, 2.0, d, True),
+        (4, 0.0, None, d, True), (5, 0.0, 0.0, d, True), (6, 5.0, 0.0, d, True),
+        (7, -5.0, 0.0, d, True), (8, 5.0, None, d, True), (9, 10.0, 2.0, today, True),
+        (10, 10.0, 2.0, None, True), (11, None, None, d, None),
+    ]
+    df = spark.createDataFrame(data, "k int, available_qty double, avg_daily_issue double, "
+                                     "est_delivery_date string, _matched boolean")
+    out = C.coverage_metrics(df, datetime(2026, 3, 18, 11, 30), -10)
+    got = {r[0]: tuple(r[1:]) for r in out.select(
+        "k", "days_to_recover", "dioh", "coverage_gap", "review_flag", "match_status", "no_issue_flag").collect()}
+    assert got[1] == (3.0, 5.0, -2.0, "Review", "Matched", "")
+    assert got[2] == (3.0, 15.0, -12.0, "Okay", "Matched", "")
+    assert got[3] == (3.0, 13.0, -10.0, "Review", "Matched", "")
+    assert got[4] == (3.0, 0.0, 3.0, "Review", "Matched", "No Issue Out")
+    assert got[5] == (3.0, 0.0, 3.0, "Review", "Matched", "")
+    assert got[6] == (3.0, INF, -INF, "Okay", "Matched", "")
+    assert got[7] == (3.0, -INF, INF, "Review", "Matched", "")
+    assert got[8] == (3.0, None, None, "Okay", "Matched", "No Issue Out")
+    assert got[9] == (-1.0, 5.0, -6.0, "Review", "Matched", "")
+    assert got[10] == (None, 5.0, None, "Okay", "Matched", "")
+    assert got[11] == (3.0, None, None, "Okay", "Not Matched", "")
+
+
+# G2 -- recommendations
+def test_recommendations(spark):
+    data = [
+        (1, -2.0, 2.0, None, None, 10.0), (2, -2.0, 2.0, -5.0, 3.0, 10.0), (3, -2.0, 2.0, -40.0, 3.0, 10.0),
+        (4, -2.0, 2.0, -INF, 0.0, 10.0), (5, -2.0, 2.0, None, None, None), (6, INF, 0.0, None, None, 10.0),
+    ]
+    df = spark.createDataFrame(data, "k int, coverage_gap double, avg_daily_issue double, coverage_gap_ig double, "
+                                     "avg_daily_issue_ig double, buy_uom_multiplier double") \
+        .withColumn("repl_buy_uom_multiplier", F.lit(None).cast("double")) \
+        .withColumn("review_flag", F.lit("Review"))
+    out = R.with_recommendations(df, -10)
+    got = {r[0]: tuple(r[1:]) for r in out.select(
+        "k", "target_coverage", "target_qty_ea", "target_coverage_ig", "target_qty_ea_ig", "rec_qty_ea",
+        "rec_qty_buy_uom").collect()}
+    assert got[1] == (8.0, 16.0, None, None, 16.0, 2.0)
+    assert got[2] == (8.0, 16.0, 5.0, 15.0, 15.0, 2.0)
+    assert got[3] == (8.0, 16.0, 0.0, 0.0, 0.0, 0.0)
+    assert got[4] == (8.0, 16.0, 0.0, 0.0, 0.0, 0.0)
+    assert got[5] == (8.0, 16.0, None, None, 16.0, None)
+    assert got[6] == (INF, None, None, None, None, None)
+
+
+def test_recommendations_only_on_review_rows(spark):
+    df = spark.createDataFrame([("Okay", -2.0, 2.0, 10.0)], "review_flag string, coverage_gap double, "
+                               "avg_daily_issue double, buy_uom_multiplier double") \
+        .withColumn("coverage_gap_ig", F.lit(None).cast("double")) \
+        .withColumn("avg_daily_issue_ig", F.lit(None).cast("double")) \
+        .withColumn("repl_buy_uom_multiplier", F.lit(None).cast("double"))
+    r = R.with_recommendations(df, -10).collect()[0]
+    assert r["rec_qty_ea"] is None and r["target_coverage"] is None
+
+
+# G3 -- risk selection
+def test_risk_selection(spark):
+    data = [(1, "severe risk", "3", "10"), (2, "HIGH", "2.9", "10"), (3, "High", "3", "0"),
+            (4, "High", "3", None), (5, "High", None, "10"), (6, None, "9", "10"), (7, "Low", "9", "10")]
+    df = spark.createDataFrame(data, "k int, risk_level string, duration string, forecast_qty string")
+    out = C.risk_selection(df, ["High", "Severe"], 3)
+    got = dict(rows(out, "k", "risk_selected"))
+    assert got == {1: "x", 2: "", 3: "", 4: "x", 5: "", 6: "", 7: ""}
+    bad = spark.createDataFrame([(8, "High", "abc", "1")], "k int, risk_level string, duration string, forecast_qty string")
+    with pytest.raises(Exception):
+        C.risk_selection(bad, ["High", "Severe"], 3).collect()
+
+
+INV_SCHEMA = ("location string, vendor_item string, item string, stock_uom string, default_buy_uom string, "
+              "buy_uom_multiplier double, available_qty double, on_order_qty double, report_stamp timestamp_ntz")
+
+
+# G4 -- UOM consistency, P5 exclusion by item
+def test_uom_consistency(spark):
+    t = datetime(2026, 1, 1)
+    data = [
+        ("A", "V1", "I1", "EA", "BX", 5.0, 1.0, 0.0, t), ("B", "V1", "I1", "EA", None, 5.0, 2.0, 0.0, t),
+        ("A", "V2", "I2", "EA", None, 5.0, 1.0, 0.0, t), ("B", "V2", "I2", "EA", None, 5.0, 1.0, 0.0, t),
+        ("A", "V9", None, "EA", "BX", 5.0, 1.0, 0.0, t), ("B", "V9", None, "EA", "CA", 5.0, 1.0, 0.0, t),
+        ("B", "V3", "I1", "EA", "BX", 5.0, 7.0, 0.0, t), ("A", "V3", "I1", "EA", "BX", 5.0, 8.0, 0.0, t),
+    ]
+    inv = spark.createDataFrame(data, INV_SCHEMA)
+    assert rows(RC.uom_inconsistent_keys(inv)) == [("V1", "I1")]
+    kept = RC.drop_secondary_inconsistent(inv, spark.createDataFrame([("I1",)], "item string"), "B")
+    assert sorted((r.location, r.vendor_item) for r in kept.filter("item = 'I1'").collect()) == [("A", "V1"), ("A", "V3")]
+    assert kept.filter("item IS NULL").count() == 2
+
+
+# G5 -- cross-location sums
+def test_aggregate_inventory(spark):
+    d1, d2 = datetime(2026, 1, 1), datetime(2026, 2, 1)
+    data = [
+        ("A", "V1", "I1", "EA", "BX", 5.0, 3.0, None, d1), ("B", "V1", "I1", "EA", "BX", 5.0, None, None, d2),
+        ("A", "V2", "I2", "EA", "BX", None, 1.0, 1.0, d1), ("B", "V2", "I2", "EA", "BX", 4.0, 1.0, 1.0, d1),
+    ]
+    out = RC.aggregate_inventory(spark.createDataFrame(data, INV_SCHEMA))
+    got = rows(out, "item", "buy_uom_multiplier", "available_qty", "on_order_qty", "report_stamp")
+    assert ("I1", 5.0, 3.0, 0.0, d2) in got
+    assert ("I2", None, 1.0, 1.0, d1) in got and ("I2", 4.0, 1.0, 1.0, d1) in got
+
+
+# G6 -- group quantity and DIOH
+def test_group_quantities(spark):
+    data = [
+        ("A", "G", 10.0, "B", 20.0), ("B", "G", 20.0, "A", 10.0),
+        ("A2", "H", 10.0, "B2", 20.0), ("A3", "K", 5.0, "B3", 5.0), ("A4", "Z", 0.0, "B4", 0.0),
+    ]
+    msub = spark.createDataFrame(data, "item string, item_group string, available_qty double, "
+                                       "replace_item string, repl_available_qty double")
+    gu = spark.createDataFrame([("G", 3.0), ("H", 0.0), ("Z", 0.0)], "item_group string, rolling_daily_avg_7 double")
+    got = {r[0]: tuple(r[1:]) for r in G.group_quantities(msub, gu).select(
+        "item_group", "available_qty_ig", "avg_daily_issue_ig", "dioh_ig").collect()}
+    assert got["G"] == (60.0, 3.0, 20.0)
+    assert got["H"] == (30.0, 0.0, INF)
+    assert got["K"] == (10.0, None, None)
+    assert got["Z"] == (0.0, 0.0, None)
+
+
+def test_full_dataset_one_row_per_input_row(spark):
+    data = [("A", "G", 10.0, "B", 20.0, 3.0), ("A", "G", 10.0, "B", 20.0, 9.0), ("C", None, 1.0, None, None, 1.0)]
+    msub = spark.createDataFrame(data, "item string, item_group string, available_qty double, "
+                                       "replace_item string, repl_available_qty double, days_to_recover double")
+    gu = spark.createDataFrame([("G", 3.0)], "item_group string, rolling_daily_avg_7 double")
+    full = G.full_dataset(msub, G.group_quantities(msub, gu), -10)
+    assert full.count() == 3
+    got = rows(full, "days_to_recover", "coverage_gap_ig", "review_flag_ig")
+    assert got == [(1.0, None, None), (3.0, -7.0, "Review"), (9.0, -1.0, "Review")]
+
+
+# G7 -- packaging parse
+def test_parse_packaging(spark):
+    data = [("V1", "50 EA/BX 10 BX/CS"), ("V2", "2.5 LB/BG"), ("V3", None), ("V4", ""), ("V5", "EACH"),
+            ("V6", "10 ea/bx")]
+    out = U.parse_packaging(spark.createDataFrame(data, "vendor_item string, packaging_string string"))
+    got = rows(out, "vendor_item", "pos", "convert_to_uom", "uom", "conv_factor")
+    assert got == [("V1", 0, "BX", "EA", 50.0), ("V1", 1, "CS", "BX", 10.0), ("V2", 0, "BG", "LB", 2.5),
+                   ("V3", 0, "", "", None), ("V4", 0, "", "", None)]
+
+
+def _conversions(spark, pkg="50 EA/BX 10 BX/CS 500 EA/CS", vendor="V1"):
+    df = spark.createDataFrame([(vendor, pkg), (vendor, pkg)], "vendor_item string, packaging_string string")
+    return U.build_conversions(U.parse_packaging(df))
+
+
+# G8 -- conversion map and one alternative
+def test_conversions_and_alternative(spark):
+    conv = _conversions(spark)
+    assert rows(conv, "conv_factor", "base_uom", "to_uom", "from_uom") == [
+        (10.0, "CA", "BX", "CA"), (50.0, "BX", "EA", "BX"), (500.0, "CA", "EA", "CA")]
+    review = spark.createDataFrame([("V1", "CA", 500.0, 1200.0)], "vendor_item string, default_buy_uom string, "
+                                   "buy_uom_multiplier double, rec_qty_ea double")
+    out = U.attach_alternatives(review, U.alternative_table(review, conv))
+    assert rows(out, "alt_uom_group", "from_uom", "to_uom", "conv_factor", "rec_qty_alt_uom") == [
+        ("Group 1", "BX", "EA", 50.0, 24.0)]
+    assert U.unresolved_uom(review, conv).count() == 0
+    other = spark.createDataFrame([("V1", "PK", 3.0, 1.0)], "vendor_item string, default_buy_uom string, "
+                                  "buy_uom_multiplier double, rec_qty_ea double")
+    assert rows(U.unresolved_uom(other, conv)) == [("V1",)]
+
+
+# G9 -- no pairing of rows that share a vendor item
+def test_alternatives_do_not_fan_out(spark):
+    conv = _conversions(spark, "10 EA/CS")
+    full = spark.createDataFrame(
+        [("V1", "S1", "CA", 10.0, 30.0, "Review"), ("V1", "S2", "CA", 10.0, 30.0, "Review")],
+        "vendor_item string, replace_item string, default_buy_uom string, buy_uom_multiplier double, "
+        "rec_qty_ea double, review_flag string")
+    out = U.attach_alternatives(full, U.alternative_table(full, conv), condition=full["review_flag"] == "Review")
+    assert rows(out, "replace_item", "alt_uom_group", "from_uom", "conv_factor") == [
+        ("S1", "Group 1", None, None), ("S2", "Group 1", None, None)]
+
+
+# G12 -- latest active snapshot
+def test_latest_inventory(spark):
+    data = [("A", "I1", "No", "No", datetime(2026, 1, 3)), ("A", "I1", "Yes", "No", datetime(2026, 1, 2)),
+            ("A", "I1", "Yes", "No", datetime(2026, 1, 1)), ("B", "I1", "Yes", "Yes", datetime(2026, 1, 5)),
+            ("C", "I1", "Yes", "No", datetime(2026, 1, 9))]
+    inv = spark.createDataFrame(data, "location string, item string, active string, discontinued string, "
+                                      "report_stamp timestamp_ntz")
+    assert rows(S.latest_inventory(inv, ["A", "B"]), "location", "report_stamp") == [("A", datetime(2026, 1, 2))]
+    assert rows(S.latest_inventory(inv, "C"), "location") == [("C",)]
+
+
+# G13 -- arrival choice
+ARR = ("message_id long, feed string, subject string, folder string, attachment_type string, file_name string, "
+       "received_at timestamp_ntz, attachment_pos int")
+
+
+def test_latest_arrival(spark):
+    now = datetime(2026, 3, 18, 12, 0)
+    data = [
+        (1, "f1", "Daily VIEW", "inbox", "file", "Proactive_a.XLSX", datetime(2026, 3, 16, 13, 0), 0),
+        (2, "f1", "x", "archive", "file", "proactive_b.xlsx", datetime(2026, 3, 18, 11, 0), 0),
+        (3, "f2", "view", "inbox", "file", "proactive_c.xlsx", datetime(2026, 3, 16, 11, 0), 0),
+        (4, "f2", "x", "archive", "file", "proactive_d.xlsx", datetime(2026, 3, 10), 0),
+        (5, "f3", "view", "inbox", "file", "proactive_e.xlsx", datetime(2026, 3, 18, 9, 0), 0),
+        (6, "f3", "other", "inbox", "file", "other.xlsx", datetime(2026, 3, 18, 10, 0), 0),
+        (7, "f3", "x", "archive", "file", "proactive_f.xlsx", datetime(2026, 3, 1), 0),
+        (8, "f4", "view", "inbox", "item", "proactive_g.xlsx", datetime(2026, 3, 18, 9, 0), 0),
+    ]
+    arr = spark.createDataFrame(data, ARR)
+    out = S.latest_arrival(arr, now, "view", "proactive", max_messages=1)
+    got = {r.feed: (r.tier, r.message_id) for r in out.collect()}
+    assert got == {"f1": (1, 1), "f2": (2, 4), "f3": (2, 7)}
+    with pytest.raises(FileNotFoundError):
+        S.require_arrival(out, "f4")
+
+
+# G14 -- batch label
+def test_batch_label(spark):
+    df = spark.createDataFrame([("Proactive Levels 03-18.xlsx",)], "name string")
+    assert df.select(RP.batch_label("name", "Levels", prefix="")).collect()[0][0] == " 03-18.xlsx"
+    with pytest.raises(Exception):
+        spark.createDataFrame([("no token.xlsx",)], "name string").select(RP.batch_label("name", "Levels")).collect()
+
+
+# G15 -- retention
+def test_retention(spark):
+    df = spark.createDataFrame([(datetime(2026, 2, 28, 23, 59),), (datetime(2026, 3, 1),), (None,)], "ts timestamp_ntz")
+    split = RT.retention_split(df, "ts", datetime(2026, 3, 5), (3, 10))
+    assert [r.retention for r in split.orderBy(F.col("ts").asc_nulls_last()).collect()] == ["archive", "active", "active"]
+    assert RT.retention_purge(df, "ts", datetime(2026, 3, 5), (3, 10)).count() == 2
+    for day, open_ in ((2, False), (3, True), (10, True), (11, False)):
+        assert RT.gate_open(datetime(2026, 3, day), (3, 10)) is open_
+    assert RT.retention_purge(df, "ts", datetime(2026, 3, 11), (3, 10)).count() == 3
+
+
+# G16 -- report order
+def test_report_order(spark):
+    df = spark.createDataFrame([("Matched", 5.0), ("Matched", None), ("Not Matched", 9.0), ("Matched", 7.0),
+                                ("Matched", float("nan"))], "match_status string, coverage_gap double") \
+        .withColumn("coverage_gap_ig", F.lit(None).cast("double"))
+    got = [(r[0], r[1]) for r in RP.sort_report(df).collect()]
+    assert got[:2] == [("Matched", 7.0), ("Matched", 5.0)]
+    # NULL and NaN gaps both sort last within their status (tie between them)
+    assert all(s == "Matched" and (g is None or math.isnan(g)) for s, g in got[2:4])
+    assert got[-1] == ("Not Matched", 9.0)
+
+
+def test_display_columns(spark):
+    df = spark.createDataFrame([("Matched", -2.0, None), ("Not Matched", -20.0, -10.0)],
+                               "match_status string, coverage_gap double, coverage_gap_ig double")
+    got = rows(RP.display_columns(df, -10), "match_status", "visible", "gap_colour", "gap_ig_colour")
+    assert got == [("Matched", True, "red", None), ("Not Matched", False, "green", "red")]
+
+
+def test_validate_columns(spark):
+    df = spark.createDataFrame([("a",)], "vendor_item string")
+    with pytest.raises(ValueError) as e:
+        S.validate_columns(df)
+    assert "risk_level" in str(e.value) and "forecast_qty" in str(e.value)
+    assert S.missing_columns(df)[0] == "risk_level"
+
+
+def test_freshness_null_when_stale(spark):
+    inv = spark.createDataFrame([("A", "I1", "Yes", "No", datetime(2020, 1, 1))],
+                                "location string, item string, active string, discontinued string, "
+                                "report_stamp timestamp_ntz")
+    r = S.inventory_freshness(inv, ["A"], datetime(2026, 1, 1), 10).collect()
+    assert len(r) == 1 and r[0].stamp is None and r[0].stamp_text is None
+    r = S.inventory_freshness(inv, ["A"], datetime(2020, 1, 5), 10).collect()[0]
+    assert r.stamp_text == "2020-01-01T00:00:00"
+
+
+def test_match_null_keys(spark):
+    feed = spark.createDataFrame([(None, "x"), ("V1", "y"), ("V2", "z")], "vendor_item string, tag string")
+    enr = spark.createDataFrame([(None, "I9", 1.0), ("V1", "I1", 2.0)], "vendor_item string, item string, q double")
+    out = C.match_inventory(feed, enr)
+    got = rows(out, "tag", "item", "_matched")
+    assert got == [("x", "I9", True), ("y", "I1", True), ("z", None, None)]
