@@ -37,12 +37,22 @@ def assign_row_ids(feed: DataFrame, order_by: Sequence[str | Column], name: str
     return sequence(feed, order_by, name=name)
 
 
-def match_inventory(feed: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Feed LEFT JOIN enriched inventory on vendor_item (NULL matches NULL),
-    with a match marker taken from the right side."""
+def match_inventory(feed: DataFrame, enriched: DataFrame, null_keys: str = "match") -> DataFrame:
+    """Feed LEFT JOIN enriched inventory on vendor_item, with a match
+    marker taken from the right side.
+
+    ``null_keys="match"`` (default) lets a NULL feed key match NULL inventory
+    keys, as the spreadsheet merge does; ``"drop"`` uses SQL equality, for
+    data where NULL keys are common and their pairing is not wanted.
+    """
     right = enriched.withColumnRenamed("vendor_item", "inv_vendor_item").withColumn("_matched", F.lit(True))
-    out = feed.join(right, feed["vendor_item"].eqNullSafe(right["inv_vendor_item"]), "left")
-    return out
+    if null_keys == "match":
+        cond = feed["vendor_item"].eqNullSafe(right["inv_vendor_item"])
+    elif null_keys == "drop":
+        cond = feed["vendor_item"] == right["inv_vendor_item"]
+    else:
+        raise ValueError(f"null_keys must be 'match' or 'drop', not {null_keys!r}")
+    return feed.join(right, cond, "left")
 
 
 def coverage_metrics(matched: DataFrame, as_of: datetime, threshold: float) -> DataFrame:

@@ -47,6 +47,8 @@ class Params:
     row_order: Sequence[str] = ("customer_material_number",)
     # write multi-use intermediates once (see ``shortfall.session.pin``)
     pin_stages: bool = True
+    # NULL feed keys match NULL inventory keys ("match") or nothing ("drop")
+    null_keys: str = "match"
     extra: dict = field(default_factory=dict)
 
 
@@ -129,7 +131,7 @@ class Stages:
                                    self["reconciled_usage"], self["descriptions"])
 
     def _build_coverage(self):
-        matched = C.match_inventory(self["feed"], self["enriched_inventory"])
+        matched = C.match_inventory(self["feed"], self["enriched_inventory"], self.p.null_keys)
         return C.coverage_metrics(matched, self.p.coverage_as_of, self.p.review_threshold)
 
     def _build_feed_with_substitutes(self):
