@@ -44,20 +44,28 @@ def parse_packaging(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return out.select(*carry, "vendor_item", "pos", "m.convert_to_uom", "m.uom", "m.conv_factor")
 
 
-def build_conversions(parsed: DataFrame) -> DataFrame:
-    """Conversion map (vendor_item, conv_factor, base_uom, to_uom, from_uom).
-
-    P8 normalises the base ('CS' -> 'CA', blank factor -> 0.0, blank base
-    dropped); A8 joins the UOMs per (item, factor, base); J14 derives
-    multi-level factors (small / bulk within one base); E2 + U2 expand and
-    union; A9 lists the bases per (item, factor, to_uom); J15 attaches it.
-    Lists are sorted alphabetically and hold distinct values.
-    """
+def conversion_tuples(parsed: DataFrame) -> DataFrame:
+    """Distinct (vendor_item, base_uom, uom, conv_factor) tuples -- base
+    'CS' -> 'CA', blank factor -> 0.0, blank base and NULL item dropped. The
+    result is small (one row per packaging level of an item) whatever the
+    number of feed lines."""
     base = F.when(F.col("convert_to_uom") == "CS", F.lit("CA")).otherwise(F.col("convert_to_uom"))
-    uom = parsed.select(
+    return parsed.select(
         "vendor_item", base.alias("base_uom"), "uom",
         F.coalesce(F.col("conv_factor"), F.lit(0.0)).alias("conv_factor"),
     ).filter((F.col("base_uom") != "") & F.col("vendor_item").isNotNull()).distinct()
+
+
+def build_conversions(parsed: DataFrame | None = None, tuples: DataFrame | None = None) -> DataFrame:
+    """Conversion map (vendor_item, conv_factor, base_uom, to_uom, from_uom).
+
+    From parsed packaging rows (or their ``conversion_tuples``): A8 joins the
+    UOMs per (item, factor, base); J14 derives multi-level factors (small /
+    bulk within one base); E2 + U2 expand and union; A9 lists the bases per
+    (item, factor, to_uom); J15 attaches it. Lists are sorted alphabetically
+    and hold distinct values.
+    """
+    uom = tuples if tuples is not None else conversion_tuples(parsed)
     uom_t = uom.groupBy("vendor_item", "conv_factor", "base_uom").agg(
         F.array_join(F.array_sort(F.collect_set("uom")), ",").alias("to_uom"))
     bulk = uom_t.alias("b")

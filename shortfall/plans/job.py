@@ -72,7 +72,8 @@ class Stages:
             self._cache["feed"] = feed
 
     # stages read by several branches downstream
-    PINNED = ("latest_inventory", "reconciled_inventory", "reconciled_usage", "feed_with_substitutes", "full", "conversions")
+    PINNED = ("latest_inventory", "reconciled_inventory", "reconciled_usage", "feed_with_substitutes", "full",
+              "conversion_tuples", "conversions")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -152,8 +153,11 @@ class Stages:
     def _build_packaging(self):
         return U.parse_packaging(self["feed"], carry=["row_id"])
 
+    def _build_conversion_tuples(self):
+        return U.conversion_tuples(self["packaging"])
+
     def _build_conversions(self):
-        return U.build_conversions(self["packaging"])
+        return U.build_conversions(tuples=self["conversion_tuples"])
 
     def _build_unresolved_uom(self):
         return U.unresolved_uom(self["review"], self["conversions"])

@@ -105,3 +105,19 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle():
     assert set(CAT.QUERIES) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["coverage_metrics", "inventory_freshness", "latest_arrival", "retention_split"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    """All timestamps are wall-clock (TIMESTAMP_NTZ); a non-UTC session must
+    give the same rows."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = CAT.QUERIES[name](spark, SF_SMALL)
+        s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = duck.execute(oracle_sql()[name])
+    o_cols, o_rows = [d[0] for d in cur.description], cur.fetchall()
+    assert _digest(s_cols, s_rows) == _digest(o_cols, o_rows)
