@@ -104,11 +104,19 @@ def display_columns(df: DataFrame, threshold: float) -> DataFrame:
     })
 
 
+# trailing sort keys: identical (status, gap, gap_ig) keys -- e.g. every
+# unmatched row with a NULL gap -- spread over range partitions instead of
+# landing in one, and the output order becomes deterministic
+TIE_BREAK = ("row_id", "item", "replace_item", "alt_uom_group")
+
+
 def sort_report(df: DataFrame) -> DataFrame:
     """O1: match status ascending, gaps descending, NULLs last."""
-    return df.orderBy(F.col("match_status").asc_nulls_last(),
-                      nan_to_null(F.col("coverage_gap")).desc_nulls_last(),
-                      nan_to_null(F.col("coverage_gap_ig")).desc_nulls_last())
+    keys = [F.col("match_status").asc_nulls_last(),
+            nan_to_null(F.col("coverage_gap")).desc_nulls_last(),
+            nan_to_null(F.col("coverage_gap_ig")).desc_nulls_last()]
+    keys += [F.col(c).asc_nulls_last() for c in TIE_BREAK if c in df.columns]
+    return df.orderBy(*keys)
 
 
 def batch_label(file_name_col: str, token: str, prefix: str = "processed"):

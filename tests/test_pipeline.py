@@ -121,3 +121,27 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
     cur = duck.execute(oracle_sql()[name])
     o_cols, o_rows = [d[0] for d in cur.description], cur.fetchall()
     assert _digest(s_cols, s_rows) == _digest(o_cols, o_rows)
+
+
+@pytest.mark.parametrize("parts", [1, 13])
+@pytest.mark.parametrize("name", ["feed_row_id", "final_report"])
+def test_partition_count_does_not_change_results(spark, duck, name, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        df = CAT.QUERIES[name](spark, SF_SMALL)
+        s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    cur = duck.execute(oracle_sql()[name])
+    assert _digest(s_cols, s_rows) == _digest([d[0] for d in cur.description], cur.fetchall())
+
+
+def test_sorted_report_order(spark):
+    from shortfall.operators.report import sort_report
+    rep = sort_report(CAT.QUERIES["final_report"](spark, SF_SMALL)).collect()
+    status = [r.match_status for r in rep]
+    assert status == sorted(status)
+    matched = [r.coverage_gap for r in rep if r.match_status == "Matched"]
+    finite = [g for g in matched if g is not None]
+    assert finite == sorted(finite, reverse=True)
+    assert all(g is None for g in matched[len(finite):])
