@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shortfall.functions import ceil_double, ieee_div, remove_token
-from shortfall.operators.enrich import left_join_ns
 
 # Fixed value: "<number> <UOM>/<UOM>" inside a packaging string.
 PACKAGING_PATTERN = r"(\d+(?:\.\d+)?)\s+([A-Z]+)/([A-Z]+)"
@@ -161,8 +160,3 @@ def uom_alternatives(review: DataFrame, conversions: DataFrame) -> DataFrame:
     alts = alternative_table(review, conversions)
     return attach_alternatives(review, alts).select(*REVIEW_ALT_COLUMNS)
 
-
-__all__ = [
-    "PACKAGING_PATTERN", "UOM_KEY", "parse_packaging", "build_conversions", "unresolved_uom",
-    "alternative_table", "attach_alternatives", "uom_alternatives", "left_join_ns",
-]

@@ -8,7 +8,6 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shortfall import sources as S
 from shortfall.operators import audit as A
