@@ -17,7 +17,7 @@ from shortfall.operators import report as RP
 from shortfall.operators import retention as RT
 from shortfall.operators import uom as U
 from shortfall.plans import fixtures as X
-from shortfall.plans.job import Params, build_stages, prepare_feed
+from shortfall.plans.job import Params, Stages, build_stages, prepare_feed
 
 PARAMS = Params(
     coverage_as_of=X.COVERAGE_AS_OF,
@@ -50,7 +50,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def stages(spark: SparkSession, sf_dir: str) -> Stages:
     return build_stages(inputs(spark, sf_dir), PARAMS)
 
 
@@ -63,11 +63,6 @@ def _avg_issue(spark, d):
                              PARAMS.usage_window_days, PARAMS.usage_divisor)
 
 
-def _reconciled(spark, d):
-    gu = S.group_usage(X.load(spark, d, "fx_group_usage"), PARAMS.locations)
-    return RC.reconcile_locations(_latest(spark, d), _avg_issue(spark, d), gu, PARAMS.secondary_location)
-
-
 def q_latest_inventory(spark, d):
     return _latest(spark, d)
 
@@ -112,15 +107,15 @@ def q_risk_selection(spark, d):
 
 
 def q_uom_inconsistency(spark, d):
-    return RC.uom_inconsistency_rows(_latest(spark, d))
+    return stages(spark, d)["reconciled_uom_inconsistency"]
 
 
 def q_reconciled_inventory(spark, d):
-    return _reconciled(spark, d)["inventory"]
+    return stages(spark, d)["reconciled_inventory"]
 
 
 def q_reconciled_usage(spark, d):
-    return _reconciled(spark, d)["usage"]
+    return stages(spark, d)["reconciled_usage"]
 
 
 def q_enriched_inventory(spark, d):
