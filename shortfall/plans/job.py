@@ -26,7 +26,7 @@ from shortfall.operators import recommend as R
 from shortfall.operators import reconcile as RC
 from shortfall.operators import report as RP
 from shortfall.operators import uom as U
-from shortfall.session import pin
+from shortfall.session import drop_folder, pin, pin_folder
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,7 @@ class Stages:
         self.inputs = inputs
         self.p = p
         self._cache: dict[str, DataFrame] = {}
+        self._pins: str | None = None
         if feed is not None:
             self._cache["feed"] = feed
 
@@ -78,10 +79,19 @@ class Stages:
         if name not in self._cache:
             df = getattr(self, f"_build_{name}")()
             if self.p.pin_stages and name in self.PINNED:
-                df = pin(df, name)
+                if self._pins is None:
+                    self._pins = pin_folder(df.sparkSession)
+                df = pin(df, name, self._pins)
             self._cache[name] = df
         return self._cache[name]
 
+    def release(self) -> None:
+        """Delete this run's pinned stages (call after the last action)."""
+        if self._pins is not None:
+            drop_folder(next(iter(self.inputs.values())).sparkSession, self._pins)
+            self._pins = None
+            self._cache.clear()
+
     def _reconciled(self) -> dict[str, DataFrame]:
         if "_rec" not in self.__dict__:
             self._rec = RC.reconcile_locations(self["latest_inventory"], self["avg_daily_issue"],
@@ -197,6 +207,7 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
     start = datetime.now()
     t0 = time.monotonic()
     feed = None
+    st = None
     try:
         feed = prepare_feed(inputs["feed"], p).persist(StorageLevel.MEMORY_AND_DISK)
         st = build_stages(inputs, p, feed=feed)
@@ -226,3 +237,5 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
     finally:
         if feed is not None:
             feed.unpersist()
+        if st is not None:
+            st.release()

@@ -63,15 +63,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def pin(df, name: str):
+def pin_folder(spark: SparkSession) -> str:
+    """A fresh folder for one run's pinned stages, under the checkpoint folder."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pins/{uuid.uuid4().hex}"
+
+
+def pin(df, name: str, folder: str | None = None):
     """Write ``df`` once as Parquet under the session's checkpoint folder and
     read it back: cuts the lineage (cheap recovery after executor loss), lets
     several branches share one computation and gives Catalyst real size
     statistics for its join choices."""
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/pins/{uuid.uuid4().hex}-{name}"
+    path = f"{folder or pin_folder(spark)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the cluster file system (Hadoop FileSystem API)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

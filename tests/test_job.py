@@ -38,3 +38,12 @@ def test_run_job_failure_is_audited(spark):
         run_job(data, CAT.PARAMS, out)
     audit = spark.read.parquet(os.path.join(out, "run_audit")).collect()
     assert len(audit) == 1 and audit[0].task_status == "FAIL" and "duration" in audit[0].error
+
+
+def test_run_job_releases_pins(spark):
+    import glob
+    from shortfall.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/") + "/pins"
+    before = set(glob.glob(base + "/*"))
+    run_job(CAT.inputs(spark, SF_SMALL), CAT.PARAMS, tempfile.mkdtemp(prefix="shortfall-job-rel-"))
+    assert set(glob.glob(base + "/*")) == before
