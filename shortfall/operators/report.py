@@ -110,9 +110,12 @@ def display_columns(df: DataFrame, threshold: float) -> DataFrame:
 TIE_BREAK = ("row_id", "item", "replace_item", "alt_uom_group")
 
 
-def sort_report(df: DataFrame) -> DataFrame:
-    """O1: match status ascending, gaps descending, NULLs last."""
-    keys = [F.col("match_status").asc_nulls_last(),
+def sort_report(df: DataFrame, leading: tuple[str, ...] = ()) -> DataFrame:
+    """O1: match status ascending, gaps descending, NULLs last. ``leading``
+    columns (the output partition column) go first, so a partitioned write
+    needs no second sort."""
+    keys = [F.col(c).asc_nulls_last() for c in leading]
+    keys += [F.col("match_status").asc_nulls_last(),
             nan_to_null(F.col("coverage_gap")).desc_nulls_last(),
             nan_to_null(F.col("coverage_gap_ig")).desc_nulls_last()]
     keys += [F.col(c).asc_nulls_last() for c in TIE_BREAK if c in df.columns]

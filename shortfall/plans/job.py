@@ -211,8 +211,8 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
     try:
         feed = prepare_feed(inputs["feed"], p).persist(StorageLevel.MEMORY_AND_DISK)
         st = build_stages(inputs, p, feed=feed)
-        report = RP.sort_report(st["report"]).withColumn(
-            "snapshot_date", F.lit(p.coverage_as_of.date()))
+        report = RP.sort_report(st["report"].withColumn("snapshot_date", F.lit(p.coverage_as_of.date())),
+                                leading=("snapshot_date",))
         RP.write_report(report, f"{out_dir}/report", partition_by="snapshot_date")
         side = RP.write_inconsistency(RC.sort_inconsistency_rows(st["reconciled_uom_inconsistency"]),
                                       f"{out_dir}/uom_inconsistency")
