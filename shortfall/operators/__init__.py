@@ -1 +1 @@
-"""shortfall package."""
+"""DataFrame -> DataFrame operators of the coverage job (one module per step)."""
