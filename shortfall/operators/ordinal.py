@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,16 +43,16 @@ def sequence(df: DataFrame, order_by: Sequence[Column | str], name: str = "row_i
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # Without an explicit count AQE may merge adjacent range partitions to
+    # fit the data; merged ranges stay contiguous, so the order holds.
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)) \
+        .sortWithinPartitions(*cols)
     # Range boundaries come from sampling, and shuffle read order is not fixed:
     # a reliable checkpoint pins partition contents so both passes below agree.
-    # Persist first so the checkpoint write reads the cached rows instead of
-    # recomputing the sort.
-    cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    pinned = cached.checkpoint(eager=True)
-    cached.unpersist()
+    # (An eager checkpoint computes the rows once; no cache in front of it, as
+    # a cached plan would keep AQE from merging small range partitions.)
+    pinned = ranged.checkpoint(eager=True)
     tagged = pinned.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id())
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
