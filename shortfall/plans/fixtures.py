@@ -130,7 +130,7 @@ ARRIVALS = View("events", (
     ("event_type", "subject"),
     ("CASE WHEN event_id % 5 = 0 THEN 'archive' ELSE 'inbox' END", "folder"),
     ("'file'", "attachment_type"),
-    ("concat(CASE WHEN event_id % 3 = 0 THEN 'Proactive_' ELSE 'other_' END, CAST(event_id AS STRING), "
+    ("concat(CASE WHEN event_id % 3 = 0 THEN 'Shortage_' ELSE 'other_' END, CAST(event_id AS STRING), "
      "CASE WHEN event_id % 4 = 0 THEN '.csv' ELSE '.XLSX' END)", "file_name"),
     ("ts", "received_at"),
     ("CAST(0 AS INT)", "attachment_pos"),
@@ -167,7 +167,7 @@ ARRIVALS_AS_OF = datetime(2024, 1, 31, 0, 0, 0)
 ARRIVALS_LOOKBACK_HOURS = 48
 ARRIVALS_MAX_MESSAGES = 25
 ARRIVALS_KEYWORD = "view"
-ARRIVALS_PREFIX = "proactive"
+ARRIVALS_PREFIX = "shortage"
 ARRIVALS_FALLBACK_FOLDER = "archive"
 RETENTION_AS_OF = datetime(2000, 5, 5)
 RETENTION_DAY_RANGE = (3, 10)

@@ -39,6 +39,7 @@ class Params:
     usage_window_days: int = 366
     usage_divisor: int = 365
     freshness_days: int = 10
+    # Production defaults of the business rules.
     excluded_stages: Sequence[str] = ("Deleted", "Completed", "Pending Item Number")
     risk_levels: Sequence[str] = ("High", "Severe")
     duration_threshold: float = 3.0

@@ -214,17 +214,17 @@ ARR = ("message_id long, feed string, subject string, folder string, attachment_
 def test_latest_arrival(spark):
     now = datetime(2026, 3, 18, 12, 0)
     data = [
-        (1, "f1", "Daily VIEW", "inbox", "file", "Proactive_a.XLSX", datetime(2026, 3, 16, 13, 0), 0),
-        (2, "f1", "x", "archive", "file", "proactive_b.xlsx", datetime(2026, 3, 18, 11, 0), 0),
-        (3, "f2", "view", "inbox", "file", "proactive_c.xlsx", datetime(2026, 3, 16, 11, 0), 0),
-        (4, "f2", "x", "archive", "file", "proactive_d.xlsx", datetime(2026, 3, 10), 0),
-        (5, "f3", "view", "inbox", "file", "proactive_e.xlsx", datetime(2026, 3, 18, 9, 0), 0),
+        (1, "f1", "Daily VIEW", "inbox", "file", "Shortage_a.XLSX", datetime(2026, 3, 16, 13, 0), 0),
+        (2, "f1", "x", "archive", "file", "shortage_b.xlsx", datetime(2026, 3, 18, 11, 0), 0),
+        (3, "f2", "view", "inbox", "file", "shortage_c.xlsx", datetime(2026, 3, 16, 11, 0), 0),
+        (4, "f2", "x", "archive", "file", "shortage_d.xlsx", datetime(2026, 3, 10), 0),
+        (5, "f3", "view", "inbox", "file", "shortage_e.xlsx", datetime(2026, 3, 18, 9, 0), 0),
         (6, "f3", "other", "inbox", "file", "other.xlsx", datetime(2026, 3, 18, 10, 0), 0),
-        (7, "f3", "x", "archive", "file", "proactive_f.xlsx", datetime(2026, 3, 1), 0),
-        (8, "f4", "view", "inbox", "item", "proactive_g.xlsx", datetime(2026, 3, 18, 9, 0), 0),
+        (7, "f3", "x", "archive", "file", "shortage_f.xlsx", datetime(2026, 3, 1), 0),
+        (8, "f4", "view", "inbox", "item", "shortage_g.xlsx", datetime(2026, 3, 18, 9, 0), 0),
     ]
     arr = spark.createDataFrame(data, ARR)
-    out = S.latest_arrival(arr, now, "view", "proactive", max_messages=1)
+    out = S.latest_arrival(arr, now, "view", "shortage", max_messages=1)
     got = {r.feed: (r.tier, r.message_id) for r in out.collect()}
     assert got == {"f1": (1, 1), "f2": (2, 4), "f3": (2, 7)}
     with pytest.raises(FileNotFoundError):
@@ -233,7 +233,7 @@ def test_latest_arrival(spark):
 
 # G14 -- batch label
 def test_batch_label(spark):
-    df = spark.createDataFrame([("Proactive Levels 03-18.xlsx",)], "name string")
+    df = spark.createDataFrame([("Shortage Levels 03-18.xlsx",)], "name string")
     assert df.select(RP.batch_label("name", "Levels", prefix="")).collect()[0][0] == " 03-18.xlsx"
     with pytest.raises(Exception):
         spark.createDataFrame([("no token.xlsx",)], "name string").select(RP.batch_label("name", "Levels")).collect()
