@@ -80,12 +80,15 @@ def safe_mul(a: str | Column, b: str | Column) -> Column:
 
 
 def ceil_double(c: str | Column) -> Column:
-    """ceil that keeps DOUBLE, keeps +/-inf and NULL (Spark's ceil saturates)."""
+    """ceil that keeps DOUBLE, +/-inf and NULL.
+
+    Spark's ``ceil`` returns BIGINT and saturates; doubles of magnitude 2^52
+    and above are already whole numbers, so they (and +/-inf) pass through.
+    """
     c = col_(c).cast("double")
-    finite = ~(F.isnan(c) | (c == _pos_inf()) | (c == _neg_inf()))
-    return F.when(c.isNull(), F.lit(None).cast("double")).when(
-        finite, F.ceil(c).cast("double")
-    ).otherwise(nan_to_null(c))
+    return F.when(c.isNull() | F.isnan(c), F.lit(None).cast("double")).when(
+        F.abs(c) >= F.lit(float(2 ** 52)), c
+    ).otherwise(F.ceil(c).cast("double"))
 
 
 def clamp_min0(c: str | Column) -> Column:

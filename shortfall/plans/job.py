@@ -53,11 +53,15 @@ class Params:
 
 
 def prepare_feed(raw_feed: DataFrame, p: Params) -> DataFrame:
-    """S1/D1 dedup, P1 selection, W2 row ids."""
+    """S1/D1 dedup, P1 selection, W2 row ids.
+
+    Row ids follow ``row_order``, then every other column: the lines are
+    distinct after the dedup, so the order is total (stable ids) and a hot or
+    NULL order key still spreads over the range partitions."""
     feed = S.dedup_feed(raw_feed)
     feed = C.risk_selection(feed, p.risk_levels, p.duration_threshold)
-    order = [F.col(c).asc_nulls_first() for c in p.row_order]
-    return C.assign_row_ids(feed, order)
+    cols = list(p.row_order) + [c for c in feed.columns if c not in p.row_order]
+    return C.assign_row_ids(feed, [F.col(c).asc_nulls_first() for c in cols])
 
 
 class Stages:
@@ -103,7 +107,8 @@ class Stages:
         return prepare_feed(self.inputs["feed"], self.p)
 
     def _build_latest_inventory(self):
-        return S.latest_inventory(self.inputs["inventory"], self.p.locations, self.p.inventory_tie_break)
+        return S.latest_inventory(self.inputs["inventory"], self.p.locations, self.p.inventory_tie_break,
+                                  columns=S.JOB_INVENTORY_COLUMNS)
 
     def _build_avg_daily_issue(self):
         p = self.p

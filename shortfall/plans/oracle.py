@@ -70,8 +70,10 @@ FEED_SEL = f"""feed_sel AS (SELECT *, CASE WHEN regexp_matches(coalesce(risk_lev
       AND coalesce(CAST(duration AS DOUBLE) >= {X.DURATION_THRESHOLD}, false)
       AND coalesce(CAST(forecast_qty AS DOUBLE) <> 0, true) THEN 'x' ELSE '' END AS risk_selected FROM feed_n)"""
 
-FEED = """feed AS (SELECT *, row_number() OVER (ORDER BY customer_material_number ASC NULLS FIRST) AS row_id
-  FROM feed_sel)"""
+FEED = ("feed AS (SELECT *, row_number() OVER (ORDER BY " + ", ".join(
+    f"{c} ASC NULLS FIRST" for c in ("customer_material_number",)
+    + tuple(c for c in FEED_COLUMNS if c != "customer_material_number") + ("risk_selected",))
+    + ") AS row_id FROM feed_sel)")
 
 LATEST = f"""latest AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY location, item ORDER BY report_stamp DESC NULLS LAST,

@@ -91,15 +91,28 @@ def _active(df: DataFrame, locations) -> DataFrame:
 
 # ── S4 / P2 / W1: latest active inventory snapshot ───────────────────
 
+# columns of the snapshot the coverage job reads downstream
+JOB_INVENTORY_COLUMNS = (
+    "location", "item", "vendor_item", "stock_uom", "default_buy_uom", "buy_uom_multiplier",
+    "available_qty", "on_order_qty", "report_stamp",
+)
+
+
 def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
-                     tie_break: Sequence[str] = ()) -> DataFrame:
+                     tie_break: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Newest *active* snapshot row per (location, item).
 
     Filters run before ranking. Ordering: ``report_stamp DESC NULLS LAST`` then
     ``tie_break`` columns descending; computed as a partial aggregate.
+    ``columns`` narrows the carried row first (the aggregate cannot prune
+    fields of its struct, so wide descriptive columns would otherwise be
+    sorted and shuffled for nothing).
     """
-    return latest_per_key(_active(inv, locations), ["location", "item"],
-                          ["report_stamp", *tie_break])
+    rows = _active(inv, locations)
+    if columns is not None:
+        keep = list(dict.fromkeys([*columns, "report_stamp", *tie_break]))
+        rows = rows.select(*keep)
+    return latest_per_key(rows, ["location", "item"], ["report_stamp", *tie_break])
 
 
 # ── S5 / P4 / A5: average daily issue ────────────────────────────────

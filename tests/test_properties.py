@@ -11,7 +11,7 @@ from shortfall import functions as X
 finite = st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False)
 special = st.sampled_from([0.0, -0.0, math.inf, -math.inf])
 num = st.one_of(st.none(), finite, special)
-SETTINGS = dict(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = dict(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def py_div(n, d):
