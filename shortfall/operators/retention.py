@@ -58,3 +58,22 @@ def archive_partitions(df: DataFrame, ts_col: str, as_of: date | datetime, day_r
         except Exception as exc:  # noqa: BLE001 - keep the other side going
             result[side] = f"failed: {exc}"
     return result
+
+
+def run_maintenance(audit: DataFrame, audit_ts: str, audit_out: str,
+                    outputs: DataFrame, outputs_ts: str, archive_path: str, active_path: str,
+                    as_of: date | datetime, day_range: tuple[int, int], fmt: str = "parquet") -> dict[str, str]:
+    """Monthly maintenance: purge old audit rows (K5) and archive old report
+    rows (K4). Runs only inside the day-of-month gate; each task reports its
+    own failure without stopping the other."""
+    if not gate_open(as_of, day_range):
+        return {"gate": "closed"}
+    result = {"gate": "open"}
+    try:
+        retention_purge(audit, audit_ts, as_of, day_range).write.mode("overwrite").format(fmt).save(audit_out)
+        result["purge"] = "ok"
+    except Exception as exc:  # noqa: BLE001 - maintenance keeps going
+        result["purge"] = f"failed: {exc}"
+    result.update({f"archive_{k}": v for k, v in
+                   archive_partitions(outputs, outputs_ts, as_of, day_range, archive_path, active_path, fmt).items()})
+    return result

@@ -293,3 +293,18 @@ def test_match_null_keys(spark):
     out = C.match_inventory(feed, enr)
     got = rows(out, "tag", "item", "_matched")
     assert got == [("x", "I9", True), ("y", "I1", True), ("z", None, None)]
+
+
+def test_run_maintenance(spark, tmp_path):
+    audit = spark.createDataFrame([(datetime(2026, 2, 1),), (datetime(2026, 3, 2),)], "last_run_time timestamp_ntz")
+    out = spark.createDataFrame([(1, datetime(2026, 1, 31)), (2, datetime(2026, 3, 1))], "k int, ts timestamp_ntz")
+    d = str(tmp_path)
+    closed = RT.run_maintenance(audit, "last_run_time", d + "/a", out, "ts", d + "/arch", d + "/act",
+                                datetime(2026, 3, 12), (3, 10))
+    assert closed == {"gate": "closed"}
+    res = RT.run_maintenance(audit, "last_run_time", d + "/a", out, "ts", d + "/arch", d + "/act",
+                             datetime(2026, 3, 5), (3, 10))
+    assert res == {"gate": "open", "purge": "ok", "archive_archive": "ok", "archive_active": "ok"}
+    assert spark.read.parquet(d + "/a").count() == 1
+    assert [r.k for r in spark.read.parquet(d + "/arch").collect()] == [1]
+    assert [r.k for r in spark.read.parquet(d + "/act").collect()] == [2]
