@@ -18,6 +18,27 @@ SESSION_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
+    """Shuffle and scan sizing for a large cluster.
+
+    Start every shuffle with enough partitions that none exceeds the target
+    size even before AQE (so map outputs never have to spill huge blocks),
+    then let AQE merge small ones to ``target_partition_bytes`` and split
+    skewed ones. Scans read ``target_partition_bytes`` splits.
+    """
+    slots = executors * cores_per_executor
+    initial = max(slots * 2, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str | None = None, app: str = "shortfall",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
