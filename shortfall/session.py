@@ -22,13 +22,15 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
                  executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
     """Shuffle and scan sizing for a large cluster.
 
-    Start every shuffle with enough partitions that none exceeds the target
-    size even before AQE (so map outputs never have to spill huge blocks),
-    then let AQE merge small ones to ``target_partition_bytes`` and split
-    skewed ones. Scans read ``target_partition_bytes`` splits.
+    The large inputs (snapshot history, usage transactions) are reduced by
+    partial aggregates before they shuffle, so shuffles carry far less than
+    the input. Initial shuffle partitions: at least 3 per core, about one per
+    GB of input, at most 50k (map-status tracking grows with mappers x
+    reducers). AQE then merges partitions to ``target_partition_bytes`` and
+    splits skewed ones; scans read ``target_partition_bytes`` splits.
     """
     slots = executors * cores_per_executor
-    initial = max(slots * 2, -(-input_bytes // target_partition_bytes))
+    initial = min(max(slots * 3, input_bytes // (1 << 30)), 50_000)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(initial),
