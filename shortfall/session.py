@@ -101,7 +101,7 @@ def pin(df, name: str, folder: str | None = None):
     spark = df.sparkSession
     path = f"{folder or pin_folder(spark)}/{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer inference
 
 
 def drop_folder(spark: SparkSession, path: str) -> bool:
