@@ -4,8 +4,9 @@
   aggregate. It is combined map-side (partial aggregate before the shuffle), so
   a key holding a third of all rows still ships one row per map partition.
 * ``sequence`` -- dense 1..n numbering in an explicit total order without a
-  single-partition window: range-partition on the order, checkpoint (fixes the
-  partition contents), count rows per partition, add the running offset.
+  single-partition window: range-partition on the order, store each row's
+  partition id and position with the rows, count rows per partition, add the
+  running offset.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shortfall.session import ensure_checkpoint_dir
+from shortfall.session import pin
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str | Column]) -> DataFrame:
@@ -34,31 +35,32 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str
 
 
 def sequence(df: DataFrame, order_by: Sequence[Column | str], name: str = "row_id",
-             start: int = 1, partitions: int | None = None) -> DataFrame:
+             start: int = 1, partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """Add ``name`` = 1..n (plus ``start - 1``) following ``order_by``.
 
     ``order_by`` must be a total order (ties would be numbered arbitrarily).
-    Work is spread over range partitions; only the per-partition row counts
-    (one row per partition) are broadcast back, nothing is collected.
+    Rows are range-partitioned on the order and sorted within partitions; the
+    pass that writes them as Parquet (under the checkpoint folder) also
+    stores each row's partition id and position. Those stored values fix the
+    numbering however the file is split when read back, and a retried task
+    recomputes the same partition (same range bounds, total order). Only the
+    per-partition counts (one row per partition) are broadcast back; nothing
+    is collected.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     # Without an explicit count AQE may merge adjacent range partitions to
     # fit the data; merged ranges stay contiguous, so the order holds.
     ranged = (df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)) \
         .sortWithinPartitions(*cols)
-    # Range boundaries come from sampling, and shuffle read order is not fixed:
-    # a reliable checkpoint pins partition contents so both passes below agree.
-    # (An eager checkpoint computes the rows once; no cache in front of it, as
-    # a cached plan would keep AQE from merging small range partitions.)
-    pinned = ranged.checkpoint(eager=True)
-    tagged = pinned.withColumn("_pid", F.spark_partition_id()).withColumn(
+    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    stored = pin(tagged, f"sequence-{name}", folder)
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    # one row per partition: the window and the broadcast are bounded by the
+    # partition count, not by the data
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    # one row per partition: a size bound that does not grow with the data
-    out = tagged.join(F.broadcast(offsets), "_pid")
+    out = stored.join(F.broadcast(offsets), "_pid")
     out = out.withColumn(name, (F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(start)).cast("bigint"))
     return out.drop("_pid", "_mid", "_first", "_off")
