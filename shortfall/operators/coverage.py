@@ -32,9 +32,10 @@ def risk_selection(feed: DataFrame, risk_levels: Sequence[str], duration_thresho
     return feed.withColumn("risk_selected", F.when(risk & duration & forecast, F.lit("x")).otherwise(F.lit("")))
 
 
-def assign_row_ids(feed: DataFrame, order_by: Sequence[str | Column], name: str = "row_id") -> DataFrame:
+def assign_row_ids(feed: DataFrame, order_by: Sequence[str | Column], name: str = "row_id",
+                   folder: str | None = None) -> DataFrame:
     """Dense 1..n row id in an explicit total order (no single-partition window)."""
-    return sequence(feed, order_by, name=name)
+    return sequence(feed, order_by, name=name, folder=folder)
 
 
 def match_inventory(feed: DataFrame, enriched: DataFrame, null_keys: str = "match") -> DataFrame:

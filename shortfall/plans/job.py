@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +51,7 @@ class Params:
     null_keys: str = "match"
 
 
-def prepare_feed(raw_feed: DataFrame, p: Params) -> DataFrame:
+def prepare_feed(raw_feed: DataFrame, p: Params, folder: str | None = None) -> DataFrame:
     """S1/D1 dedup, P1 selection, W2 row ids.
 
     Row ids follow ``row_order``, then every other column: the lines are
@@ -61,7 +60,7 @@ def prepare_feed(raw_feed: DataFrame, p: Params) -> DataFrame:
     feed = S.dedup_feed(raw_feed)
     feed = C.risk_selection(feed, p.risk_levels, p.duration_threshold)
     cols = list(p.row_order) + [c for c in feed.columns if c not in p.row_order]
-    return C.assign_row_ids(feed, [F.col(c).asc_nulls_first() for c in cols])
+    return C.assign_row_ids(feed, [F.col(c).asc_nulls_first() for c in cols], folder=folder)
 
 
 class Stages:
@@ -84,12 +83,16 @@ class Stages:
         if name not in self._cache:
             df = getattr(self, f"_build_{name}")()
             if self.p.pin_stages and name in self.PINNED:
-                if self._pins is None:
-                    self._pins = pin_folder(df.sparkSession)
-                df = pin(df, name, self._pins)
+                df = pin(df, name, self.pin_folder())
             self._cache[name] = df
         return self._cache[name]
 
+    def pin_folder(self) -> str:
+        """This run's folder for pinned stages (created on first use)."""
+        if self._pins is None:
+            self._pins = pin_folder(next(iter(self.inputs.values())).sparkSession)
+        return self._pins
+
     def release(self) -> None:
         """Delete this run's pinned stages (call after the last action)."""
         if self._pins is not None:
@@ -104,7 +107,7 @@ class Stages:
         return self._rec
 
     def _build_feed(self):
-        return prepare_feed(self.inputs["feed"], self.p)
+        return prepare_feed(self.inputs["feed"], self.p, folder=self.pin_folder())
 
     def _build_latest_inventory(self):
         return S.latest_inventory(self.inputs["inventory"], self.p.locations, self.p.inventory_tie_break,
@@ -212,11 +215,10 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
     """Materialise report, side output and audit row under ``out_dir``."""
     start = datetime.now()
     t0 = time.monotonic()
-    feed = None
     st = None
     try:
-        feed = prepare_feed(inputs["feed"], p).persist(StorageLevel.MEMORY_AND_DISK)
-        st = build_stages(inputs, p, feed=feed)
+        st = build_stages(inputs, p)
+        feed = st["feed"]
         report = RP.sort_report(st["report"].withColumn("snapshot_date", F.lit(p.coverage_as_of.date())),
                                 leading=("snapshot_date",))
         RP.write_report(report, f"{out_dir}/report", partition_by="snapshot_date")
@@ -241,7 +243,5 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
         A.append_audit(row, f"{out_dir}/run_audit")
         raise
     finally:
-        if feed is not None:
-            feed.unpersist()
         if st is not None:
             st.release()
