@@ -34,11 +34,9 @@ NA_TOKENS = (
     "nan", "null",
 )
 
-# Date layouts accepted by the strict and lenient date casts.
+# Date layouts accepted by the date casts besides ISO 8601
+# (yyyy-MM-dd[ HH:mm:ss] / [THH:mm:ss], handled by the native cast).
 DATE_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
     "MM/dd/yyyy",
     "MM/dd/yyyy HH:mm:ss",
 )
@@ -124,7 +122,10 @@ def ts_lit(value) -> Column:
 
 
 def _parse_ts(c: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS])
+    # ISO text goes through the native cast (no formatter, no failed parse
+    # attempts); the pattern parsers only run for the other layouts.
+    return F.coalesce(c.try_cast("timestamp_ntz"),
+                      *[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS])
 
 
 def strict_timestamp(c: str | Column, name: str = "value") -> Column:

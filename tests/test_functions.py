@@ -85,3 +85,11 @@ def test_strict_casts_raise_lenient_casts_null(spark):
 def test_na_tokens(spark):
     got = one(spark, X.na_normalise("a"), schema="a string", data=[("",), ("N/A",), ("NULL",), ("x",)])
     assert got == [None, None, None, "x"]
+
+
+def test_date_layouts(spark):
+    data = [("2026-03-22",), ("2026-03-22 10:11:12",), ("2026-03-22T10:11:12",), ("03/22/2026",),
+            ("03/22/2026 10:11:12",)]
+    got = [r[0] for r in spark.createDataFrame(data, "s string").select(X.strict_timestamp("s")).collect()]
+    assert got == [datetime(2026, 3, 22), datetime(2026, 3, 22, 10, 11, 12), datetime(2026, 3, 22, 10, 11, 12),
+                   datetime(2026, 3, 22), datetime(2026, 3, 22, 10, 11, 12)]
