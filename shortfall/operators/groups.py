@@ -16,17 +16,20 @@ from pyspark.sql import functions as F
 
 from shortfall.functions import ieee_div, review_flag, safe_sub
 
-GROUP_COLUMNS = ("available_qty_ig", "avg_daily_issue_ig", "dioh_ig")
-
 
 def group_quantities(msub: DataFrame, group_usage_total: DataFrame) -> DataFrame:
     """A7 + J11: per item group: summed quantity, group usage and DIOH."""
     has_ig = msub.filter(F.col("item_group").isNotNull())
-    items = has_ig.select("item", "item_group", "available_qty").distinct()
-    repl = has_ig.select(F.col("replace_item").alias("item"), "item_group",
-                         F.col("repl_available_qty").alias("available_qty")).distinct()
-    qty = items.unionByName(repl).groupBy("item_group").agg(
-        F.coalesce(F.sum("available_qty"), F.lit(0.0)).alias("available_qty_ig"))
+    # one pass: each row contributes its item side and its replacement side;
+    # the side tag keeps the two dedups separate (D2), so an item that is both
+    # an item and a replacement in the group counts twice
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("item").alias("member"), F.col("available_qty").alias("qty")),
+        F.struct(F.lit(1).alias("side"), F.col("replace_item").alias("member"),
+                 F.col("repl_available_qty").alias("qty")))
+    members = has_ig.select("item_group", F.explode(sides).alias("m")) \
+        .select("item_group", "m.side", "m.member", "m.qty").distinct()
+    qty = members.groupBy("item_group").agg(F.coalesce(F.sum("qty"), F.lit(0.0)).alias("available_qty_ig"))
     use = group_usage_total.select("item_group", F.col("rolling_daily_avg_7").alias("avg_daily_issue_ig"))
     return qty.join(use, "item_group", "left").withColumn(
         "dioh_ig", ieee_div("available_qty_ig", "avg_daily_issue_ig"))

@@ -81,10 +81,12 @@ def build_conversions(parsed: DataFrame | None = None, tuples: DataFrame | None
     )
     extended = uom_t.select("vendor_item", "conv_factor", "base_uom", "to_uom") \
         .unionByName(derived).distinct()
-    compact = extended.groupBy("vendor_item", "conv_factor", "to_uom").agg(
-        F.array_join(F.array_sort(F.collect_set("base_uom")), ",").alias("from_uom"))
-    return extended.join(compact, ["vendor_item", "conv_factor", "to_uom"]) \
-        .select("vendor_item", "conv_factor", "base_uom", "to_uom", "from_uom")
+    # A9 + J15 in one pass: the base list of each (item, factor, to_uom) is a
+    # window over that key (a handful of packaging levels, never data-sized)
+    key = Window.partitionBy("vendor_item", "conv_factor", "to_uom")
+    return extended.select(
+        "vendor_item", "conv_factor", "base_uom", "to_uom",
+        F.array_join(F.array_sort(F.collect_set("base_uom").over(key)), ",").alias("from_uom"))
 
 
 def unresolved_uom(review: DataFrame, conversions: DataFrame) -> DataFrame:
