@@ -1,14 +1,15 @@
 """K3 / A10 -- run audit row and run counters.
 
-The counters come from one aggregate over each frame; the audit row is a
-one-row DataFrame built by Spark (no collect), appended to the audit table.
+In the job the counters are observed during its own writes (``observe``:
+no extra pass over the data); as a lazy query they are one aggregate per
+frame. The audit row is a one-row DataFrame appended to the audit table.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shortfall.functions import ts_lit
@@ -29,6 +30,25 @@ def run_counters(feed: DataFrame, report: DataFrame) -> DataFrame:
     return f.crossJoin(r)
 
 
+def observe_feed(feed: DataFrame) -> tuple[DataFrame, Observation]:
+    """A10 without an extra job: the feed counters are collected while the
+    job's own writes read the feed."""
+    obs = Observation("feed_counters")
+    return feed.observe(obs, F.count(F.lit(1)).alias("feed_rows"),
+                        F.count(F.when(F.col("risk_selected") == "x", 1)).alias("selected_rows")), obs
+
+
+def observe_report(report: DataFrame) -> tuple[DataFrame, Observation]:
+    obs = Observation("report_counters")
+    return report.observe(obs, F.count(F.lit(1)).alias("output_rows")), obs
+
+
+def counters_frame(spark, values: dict) -> DataFrame:
+    """One-row counters DataFrame from observed values (three numbers)."""
+    return spark.range(1).select(*[F.lit(int(values.get(k, 0))).cast("bigint").alias(k)
+                                   for k in ("feed_rows", "selected_rows", "output_rows")])
+
+
 def audit_row(counters: DataFrame, *, process_name: str, process_id: str, source_file_path: str | None,
               last_run_time: datetime, task_status: str, duration_seconds: float,
               package_path: str, log_file_path: str | None, process_frequency: str,

@@ -56,6 +56,14 @@ def match_inventory(feed: DataFrame, enriched: DataFrame, null_keys: str = "matc
     return feed.join(right, cond, "left")
 
 
+def null_key_report(feed: DataFrame, enriched: DataFrame) -> DataFrame:
+    """One row: feed and inventory rows whose vendor_item is NULL, and the
+    rows their NULL-to-NULL matching adds (``null_keys="match"``)."""
+    f = feed.agg(F.count(F.when(F.col("vendor_item").isNull(), 1)).cast("bigint").alias("feed_null_keys"))
+    e = enriched.agg(F.count(F.when(F.col("vendor_item").isNull(), 1)).cast("bigint").alias("inventory_null_keys"))
+    return f.crossJoin(e).withColumn("null_key_pairs", F.col("feed_null_keys") * F.col("inventory_null_keys"))
+
+
 def coverage_metrics(matched: DataFrame, as_of: datetime, threshold: float) -> DataFrame:
     """C4: DIOH, days to recover, coverage gap, review flag, match status and
     the no-issue flag (P10-P15)."""

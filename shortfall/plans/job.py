@@ -87,6 +87,10 @@ class Stages:
             self._cache[name] = df
         return self._cache[name]
 
+    def set(self, name: str, df: DataFrame) -> None:
+        """Replace a stage before anything downstream is built from it."""
+        self._cache[name] = df
+
     def pin_folder(self) -> str:
         """This run's folder for pinned stages (created on first use)."""
         if self._pins is None:
@@ -218,14 +222,15 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
     st = None
     try:
         st = build_stages(inputs, p)
-        feed = st["feed"]
-        report = RP.sort_report(st["report"].withColumn("snapshot_date", F.lit(p.coverage_as_of.date())),
-                                leading=("snapshot_date",))
+        feed, feed_obs = A.observe_feed(st["feed"])
+        st.set("feed", feed)          # downstream stages read the observed feed
+        report, report_obs = A.observe_report(RP.sort_report(
+            st["report"].withColumn("snapshot_date", F.lit(p.coverage_as_of.date())),
+            leading=("snapshot_date",)))
         RP.write_report(report, f"{out_dir}/report", partition_by="snapshot_date")
         side = RP.write_inconsistency(RC.sort_inconsistency_rows(st["reconciled_uom_inconsistency"]),
                                       f"{out_dir}/uom_inconsistency")
-        written = feed.sparkSession.read.parquet(f"{out_dir}/report")
-        counters = A.run_counters(feed, written)
+        counters = A.counters_frame(feed.sparkSession, {**feed_obs.get, **report_obs.get})
         row = A.audit_row(counters, process_name=process_name, process_id=process_id,
                           source_file_path=source_file_path, last_run_time=start, task_status="SUCCESS",
                           duration_seconds=time.monotonic() - t0, package_path=package_path,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from shortfall.plans import catalogue as CAT
+from shortfall.plans import fixtures as X
 from shortfall.plans.job import run_job
 
 
@@ -47,3 +48,18 @@ def test_run_job_releases_pins(spark):
     before = set(glob.glob(base + "/*"))
     run_job(CAT.inputs(spark, SF_SMALL), CAT.PARAMS, tempfile.mkdtemp(prefix="shortfall-job-rel-"))
     assert set(glob.glob(base + "/*")) == before
+
+
+def test_null_key_report(spark):
+    from shortfall.operators.coverage import null_key_report
+    st = CAT.stages(spark, SF_SMALL)
+    r = null_key_report(st["feed"], st["enriched_inventory"]).collect()[0]
+    assert r.feed_null_keys == st["feed"].filter("vendor_item IS NULL").count()
+    assert r.null_key_pairs == r.feed_null_keys * r.inventory_null_keys
+
+
+def test_observed_counters_match_aggregates(spark):
+    out = tempfile.mkdtemp(prefix="shortfall-job-obs-")
+    run_job(CAT.inputs(spark, SF_SMALL), CAT.PARAMS, out)
+    audit = spark.read.parquet(os.path.join(out, "run_audit")).collect()[0]
+    assert audit.row_count == X.load(spark, SF_SMALL, "fx_feed").distinct().count()
