@@ -308,3 +308,19 @@ def test_run_maintenance(spark, tmp_path):
     assert spark.read.parquet(d + "/a").count() == 1
     assert [r.k for r in spark.read.parquet(d + "/arch").collect()] == [1]
     assert [r.k for r in spark.read.parquet(d + "/act").collect()] == [2]
+
+
+def test_read_feed_csv(spark, tmp_path):
+    from shortfall.sources import FEED_COLUMNS
+    header = ",".join(FEED_COLUMNS)
+    line = ["x"] * len(FEED_COLUMNS)
+    na_line = list(line)
+    na_line[FEED_COLUMNS.index("packaging_string")] = "N/A"
+    na_line[FEED_COLUMNS.index("vendor_item")] = ""
+    text = "\n".join([header, ",".join(line), ",".join(line), ",".join(na_line)]) + "\n"
+    (tmp_path / "feed.csv").write_text(text)
+    feed = S.read_feed(spark, str(tmp_path))
+    assert feed.count() == 2
+    r = feed.filter("packaging_string IS NULL").collect()
+    assert len(r) == 1 and r[0].vendor_item is None
+    S.validate_columns(feed, "report")
