@@ -220,9 +220,11 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
     start = datetime.now()
     t0 = time.monotonic()
     st = None
+    pinned_feed = None
     try:
         st = build_stages(inputs, p)
-        feed, feed_obs = A.observe_feed(st["feed"])
+        pinned_feed = st["feed"]
+        feed, feed_obs = A.observe_feed(pinned_feed)
         st.set("feed", feed)          # downstream stages read the observed feed
         report, report_obs = A.observe_report(RP.sort_report(
             st["report"].withColumn("snapshot_date", F.lit(p.coverage_as_of.date())),
@@ -239,7 +241,13 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
         return {"status": "SUCCESS", "side_output": side}
     except Exception as exc:
         spark = inputs["feed"].sparkSession
-        counters = spark.range(1).select(F.lit(0).cast("bigint").alias("feed_rows"))
+        rows = 0
+        if pinned_feed is not None:          # the feed was read: report its size
+            try:
+                rows = pinned_feed.count()
+            except Exception:  # noqa: BLE001 - the audit row must still be written
+                rows = 0
+        counters = spark.range(1).select(F.lit(rows).cast("bigint").alias("feed_rows"))
         row = A.audit_row(counters, process_name=process_name, process_id=process_id,
                           source_file_path=source_file_path, last_run_time=start, task_status="FAIL",
                           duration_seconds=time.monotonic() - t0, package_path=package_path,

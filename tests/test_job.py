@@ -39,6 +39,19 @@ def test_run_job_failure_is_audited(spark):
         run_job(data, CAT.PARAMS, out)
     audit = spark.read.parquet(os.path.join(out, "run_audit")).collect()
     assert len(audit) == 1 and audit[0].task_status == "FAIL" and "duration" in audit[0].error
+    assert audit[0].row_count == 0          # failed while reading the feed
+
+
+def test_late_failure_keeps_feed_row_count(spark):
+    out = tempfile.mkdtemp(prefix="shortfall-job-fail2-")
+    data = CAT.inputs(spark, SF_SMALL)
+    data["feed"] = data["feed"].withColumn(
+        "est_delivery_date", F.when(F.col("customer_material_number") == "3", F.lit("soon"))
+        .otherwise(F.col("est_delivery_date")))
+    with pytest.raises(Exception):
+        run_job(data, CAT.PARAMS, out)
+    audit = spark.read.parquet(os.path.join(out, "run_audit")).collect()
+    assert audit[0].task_status == "FAIL" and audit[0].row_count == X.load(spark, SF_SMALL, "fx_feed").count()
 
 
 def test_run_job_releases_pins(spark):
