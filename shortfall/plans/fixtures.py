@@ -158,7 +158,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Fixed parameters of the fixtures (never read the clock).
 COVERAGE_AS_OF = datetime(1998, 6, 15, 11, 30, 0)     # not midnight: floors partial days
-USAGE_AS_OF = datetime(2024, 1, 20, 0, 0, 0)
+USAGE_AS_OF = datetime(2024, 1, 31, 0, 0, 0)     # window covers every event
 USAGE_WINDOW_DAYS = 366
 USAGE_DIVISOR = 365
 FRESHNESS_AS_OF = datetime(2001, 11, 1, 0, 0, 0)

@@ -324,3 +324,13 @@ def test_read_feed_csv(spark, tmp_path):
     r = feed.filter("packaging_string IS NULL").collect()
     assert len(r) == 1 and r[0].vendor_item is None
     S.validate_columns(feed, "report")
+
+
+def test_usage_window_bounds(spark):
+    as_of = datetime(2024, 1, 20)
+    data = [("A", "I1", 365.0, datetime(2023, 1, 19)), ("A", "I1", 730.0, datetime(2024, 1, 20)),
+            ("A", "I1", 1000.0, datetime(2023, 1, 18, 23, 59)), ("A", "I1", 1000.0, datetime(2024, 1, 20, 0, 0, 1)),
+            ("A", "I2", None, datetime(2024, 1, 1)), ("C", "I1", 5.0, datetime(2024, 1, 1))]
+    usage = spark.createDataFrame(data, "location string, item string, qty double, trx_date timestamp_ntz")
+    got = dict(rows(S.avg_daily_issue(usage, ["A", "B"], as_of), "item", "avg_daily_issue"))
+    assert got == {"I1": 3.0, "I2": None}     # both bounds inclusive, 366-day window, divisor 365
