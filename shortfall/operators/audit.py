@@ -43,6 +43,17 @@ def observe_report(report: DataFrame) -> tuple[DataFrame, Observation]:
     return report.observe(obs, F.count(F.lit(1)).alias("output_rows")), obs
 
 
+def observed(obs: Observation, fallback) -> dict:
+    """Values of a fired observation; ``fallback()`` (a small aggregate) when
+    the observed plan produced no metrics row, e.g. an empty input pruned by
+    the optimizer."""
+    try:
+        values = obs.get
+    except Exception:  # noqa: BLE001 - empty metrics row
+        values = None
+    return dict(values) if values else fallback()
+
+
 def counters_frame(spark, values: dict) -> DataFrame:
     """One-row counters DataFrame from observed values (three numbers)."""
     return spark.range(1).select(*[F.lit(int(values.get(k, 0))).cast("bigint").alias(k)

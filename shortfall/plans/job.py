@@ -232,7 +232,11 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
         RP.write_report(report, f"{out_dir}/report", partition_by="snapshot_date")
         side = RP.write_inconsistency(RC.sort_inconsistency_rows(st["reconciled_uom_inconsistency"]),
                                       f"{out_dir}/uom_inconsistency")
-        counters = A.counters_frame(feed.sparkSession, {**feed_obs.get, **report_obs.get})
+        feed_counts = A.observed(feed_obs, lambda: A.run_counters(pinned_feed, pinned_feed.limit(0))
+                                 .select("feed_rows", "selected_rows").first().asDict())
+        report_counts = A.observed(report_obs, lambda: {
+            "output_rows": feed.sparkSession.read.parquet(f"{out_dir}/report").count()})
+        counters = A.counters_frame(feed.sparkSession, {**feed_counts, **report_counts})
         row = A.audit_row(counters, process_name=process_name, process_id=process_id,
                           source_file_path=source_file_path, last_run_time=start, task_status="SUCCESS",
                           duration_seconds=time.monotonic() - t0, package_path=package_path,

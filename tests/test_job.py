@@ -76,3 +76,23 @@ def test_observed_counters_match_aggregates(spark):
     run_job(CAT.inputs(spark, SF_SMALL), CAT.PARAMS, out)
     audit = spark.read.parquet(os.path.join(out, "run_audit")).collect()[0]
     assert audit.row_count == X.load(spark, SF_SMALL, "fx_feed").distinct().count()
+
+
+def test_empty_feed_runs(spark):
+    out = tempfile.mkdtemp(prefix="shortfall-job-empty-")
+    data = CAT.inputs(spark, SF_SMALL)
+    data["feed"] = data["feed"].limit(0)
+    res = run_job(data, CAT.PARAMS, out)
+    assert res["status"] == "SUCCESS"
+    audit = spark.read.parquet(os.path.join(out, "run_audit")).collect()[0]
+    assert audit.row_count == 0
+
+
+def test_feed_without_packaging_runs(spark):
+    data = CAT.inputs(spark, SF_SMALL)
+    data["feed"] = data["feed"].withColumn("packaging_string", F.lit(None).cast("string"))
+    st = CAT.build_stages(data, CAT.PARAMS)
+    assert st["conversions"].count() == 0
+    rep = st["report"]
+    assert rep.count() == st["full"].count()
+    assert rep.filter("alt_uom_group IS NOT NULL").count() == 0
