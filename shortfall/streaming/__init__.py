@@ -43,11 +43,17 @@ def newest_file_rows(batch: DataFrame) -> DataFrame:
 
 def run_on_arrivals(spark: SparkSession, landing_dir: str, inputs: Callable[[SparkSession], dict],
                     params: Params, out_dir: str, checkpoint_location: str | None = None,
-                    fmt: str = "csv", only_newest: bool = True, **job_kwargs) -> list[dict]:
-    """Process the feed files that arrived since the last run, then stop.
+                    fmt: str = "csv", only_newest: bool = True, every: str | None = None,
+                    max_files_per_trigger: int | None = None, timeout_s: float | None = None,
+                    **job_kwargs) -> list[dict]:
+    """Process the feed files that arrived since the last run.
 
     ``inputs(spark)`` returns the inventory-side DataFrames (the ``feed`` key
     is filled from the stream). One job output folder per micro-batch.
+    Default: ``availableNow`` (take what has landed, then stop -- one
+    scheduled run). ``every="1 hour"`` keeps polling the landing folder until
+    ``timeout_s``. With ``only_newest`` a batch holding several files runs the
+    job on the newest one, as the scheduled pick does; otherwise on all of them.
     """
     if checkpoint_location is None:
         checkpoint_location = ensure_checkpoint_dir(spark).rstrip("/") + "/feed-arrivals"
@@ -63,10 +69,14 @@ def run_on_arrivals(spark: SparkSession, landing_dir: str, inputs: Callable[[Spa
         res = run_job(data, params, f"{out_dir}/batch_{batch_id}", source_file_path=source, **job_kwargs)
         results.append({"batch_id": batch_id, "source_file": source, **res})
 
-    query = (feed_stream(spark, landing_dir, fmt).writeStream
-             .foreachBatch(process)
-             .option("checkpointLocation", checkpoint_location)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+    writer = (feed_stream(spark, landing_dir, fmt, max_files_per_trigger).writeStream
+              .foreachBatch(process)
+              .option("checkpointLocation", checkpoint_location))
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    query = writer.start()
+    if every:
+        query.awaitTermination(timeout_s)
+        query.stop()
+    else:
+        query.awaitTermination()
     return results

@@ -39,3 +39,15 @@ def test_arrivals_processed_once(spark):
     assert audit[0].task_status == "SUCCESS" and audit[0].row_count == feed.count()
     again = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"), ckpt)
     assert again == []
+
+
+def test_each_file_in_its_own_batch(spark):
+    root = tempfile.mkdtemp(prefix="shortfall-stream2-")
+    landing = os.path.join(root, "landing")
+    feed = X.load(spark, SF_SMALL, "fx_feed").select(*FEED_COLUMNS)
+    feed.filter(F.col("branch") == "F").coalesce(1).write.option("header", True).csv(os.path.join(landing, "a"))
+    feed.filter(F.col("branch") == "O").coalesce(1).write.option("header", True).csv(os.path.join(landing, "b"))
+    res = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"),
+                          os.path.join(root, "ckpt"), max_files_per_trigger=1, only_newest=False)
+    assert len(res) == 2 and all(r["status"] == "SUCCESS" for r in res)
+    assert {os.path.basename(os.path.dirname(r["source_file"])) for r in res} == {"a", "b"}
