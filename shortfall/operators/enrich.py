@@ -37,11 +37,22 @@ def dioh(qty: str, use: str):
     return F.when(F.col(qty) == 0, F.lit(0.0)).otherwise(ieee_div(qty, use))
 
 
-def enrich_inventory(inv: DataFrame, usage: DataFrame, desc: DataFrame) -> DataFrame:
-    """Reconciled inventory + summed usage + descriptions."""
+def enrich_inventory(inv: DataFrame, usage: DataFrame, desc: DataFrame,
+                     secondary_items: DataFrame | None = None) -> DataFrame:
+    """Reconciled inventory + summed usage + descriptions.
+
+    With ``secondary_items`` the per-item ``in_secondary_location`` flag (J21,
+    P23) is set here, on the small per-item table, so it reaches the feed
+    rows through the existing feed-to-inventory join instead of a join on the
+    largest table."""
     base = inv.select(*ENRICHED_COLUMNS)
     out = left_join_ns(base, usage.select("item", "avg_daily_issue"), [("item", "item")])
-    return left_join_ns(out, desc.select("item", "description3"), [("item", "item")])
+    out = left_join_ns(out, desc.select("item", "description3"), [("item", "item")])
+    if secondary_items is not None:
+        s = secondary_items.select(F.col("item").alias("_si"), F.lit("Yes").alias("in_secondary_location"))
+        out = out.join(s, out["item"] == s["_si"], "left").drop("_si").fillna(
+            "No", subset=["in_secondary_location"])
+    return out
 
 
 def build_substitutes(links: DataFrame, inv: DataFrame, usage: DataFrame,

@@ -144,7 +144,8 @@ class Stages:
         return S.item_descriptions(self.inputs["descriptions"])
 
     def _build_enriched_inventory(self):
-        return E.enrich_inventory(self["reconciled_inventory"], self["reconciled_usage"], self["descriptions"])
+        return E.enrich_inventory(self["reconciled_inventory"], self["reconciled_usage"], self["descriptions"],
+                                  self["reconciled_secondary_items"])
 
     def _build_active_links(self):
         return S.active_links(self.inputs["links"], self.p.excluded_stages)
@@ -207,7 +208,8 @@ def assemble_report(st: Stages, p: Params) -> DataFrame:
     full = R.with_recommendations(st["full"], p.review_threshold)
     alts = U.alternative_table(st["review"], st["conversions"])
     out = U.attach_alternatives(full, alts, condition=full["review_flag"] == "Review")
-    out = RP.flag_secondary(out, st["reconciled_secondary_items"])
+    # set per item on the inventory side; unmatched feed rows have no item -> 'No'
+    out = out.withColumn("in_secondary_location", F.coalesce(F.col("in_secondary_location"), F.lit("No")))
     out = RP.attach_stamp(out, st["freshness"])
     out = RP.coerce_report_types(RP.reorder_columns(out))
     return RP.display_columns(out, p.review_threshold)

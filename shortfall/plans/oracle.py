@@ -107,8 +107,10 @@ REC_USE = f"""rec_use AS (SELECT item, coalesce(sum(avg_daily_issue), 0.0) AS av
 GU_TOTAL = f"""gu_total AS (SELECT item_group, coalesce(sum(rolling_daily_avg_7), 0.0) AS rolling_daily_avg_7
   FROM fx_group_usage WHERE location IN {LOCS} GROUP BY item_group)"""
 
-ENRICHED = """enriched AS (SELECT i.vendor_item, i.item, i.available_qty, i.on_order_qty, i.default_buy_uom,
-    i.buy_uom_multiplier, i.stock_uom, i.report_stamp, u.avg_daily_issue, d.description3
+ENRICHED = f"""sec_items AS (SELECT DISTINCT item FROM latest WHERE location = {SEC} AND item IS NOT NULL),
+enriched AS (SELECT i.vendor_item, i.item, i.available_qty, i.on_order_qty, i.default_buy_uom,
+    i.buy_uom_multiplier, i.stock_uom, i.report_stamp, u.avg_daily_issue, d.description3,
+    CASE WHEN EXISTS (SELECT 1 FROM sec_items s WHERE s.item = i.item) THEN 'Yes' ELSE 'No' END AS in_secondary_location
   FROM rec_inv i LEFT JOIN rec_use u ON i.item IS NOT DISTINCT FROM u.item
   LEFT JOIN fx_description d ON i.item IS NOT DISTINCT FROM d.item)"""
 
@@ -130,7 +132,7 @@ _DAYS = (f"floor((epoch_us(CAST(f.est_delivery_date AS TIMESTAMP)) - epoch_us({t
          " / 86400000000.0)")
 COV = f"""cov0 AS (SELECT f.*, e.vendor_item AS inv_vendor_item, e.item, e.available_qty, e.on_order_qty,
     e.default_buy_uom, e.buy_uom_multiplier, e.stock_uom, e.report_stamp, e.avg_daily_issue, e.description3,
-    coalesce(e._m, false) AS matched,
+    e.in_secondary_location, coalesce(e._m, false) AS matched,
     CASE WHEN e.available_qty = 0 THEN 0.0 ELSE {div('e.available_qty', 'e.avg_daily_issue')} END AS dioh,
     CAST({_DAYS} AS DOUBLE) AS days_to_recover
   FROM feed f LEFT JOIN (SELECT *, true AS _m FROM enriched) e ON f.vendor_item IS NOT DISTINCT FROM e.vendor_item),
@@ -242,7 +244,6 @@ alt_tab AS (SELECT *, 'Group ' || CAST(row_number() OVER (PARTITION BY {_K}
     ORDER BY to_uom ASC NULLS FIRST, conv_factor ASC NULLS FIRST, from_uom ASC NULLS FIRST) AS VARCHAR) AS alt_uom_group
   FROM alt_j)"""
 
-SEC_ITEMS = f"sec_items AS (SELECT DISTINCT item FROM latest WHERE location = {SEC} AND item IS NOT NULL)"
 STAMP = f"""stamp AS (SELECT strftime(max(report_stamp), '%Y-%m-%dT%H:%M:%S') AS stamp_text, max(report_stamp) AS stamp
   FROM fx_inventory WHERE location IN {LOCS} AND active = 'Yes' AND discontinued = 'No'
     AND report_stamp >= {ts(FRESH_LO)})"""
@@ -264,14 +265,14 @@ def _report_sql() -> str:
     rec = _rec_cols("f.")
     rec_sel = ", ".join(f"CASE WHEN f.review_flag = 'Review' THEN {e} END AS {k}" for k, e in rec.items())
     body = f"""r0 AS (SELECT f.*, {rec_sel} FROM full_ds f),
-r1 AS (SELECT r.*, a.alt_uom_group, a.to_uom, a.from_uom, a.conv_factor,
+r1 AS (SELECT r.* REPLACE (coalesce(r.in_secondary_location, 'No') AS in_secondary_location),
+    a.alt_uom_group, a.to_uom, a.from_uom, a.conv_factor,
     {ceil_d(div('r.rec_qty_ea', 'a.conv_factor'))} AS rec_qty_alt_uom,
-    CASE WHEN EXISTS (SELECT 1 FROM sec_items s WHERE s.item = r.item) THEN 'Yes' ELSE 'No' END AS in_secondary_location,
     (SELECT stamp_text FROM stamp) AS inventory_as_of
   FROM r0 r LEFT JOIN alt_tab a ON {_ns('r', 'a')} AND r.review_flag = 'Review')"""
     cols = ", ".join(REPORT_COLUMNS)
     gap_c = lambda c: f"CASE WHEN {c} IS NULL THEN NULL WHEN {c} >= {T} THEN 'red' ELSE 'green' END"
-    return (_with(*PIPE_TO_ALT, SEC_ITEMS, STAMP, body) +
+    return (_with(*PIPE_TO_ALT, STAMP, body) +
             f"SELECT {cols}, match_status = 'Matched' AS visible, {gap_c('coverage_gap')} AS gap_colour, "
             f"{gap_c('coverage_gap_ig')} AS gap_ig_colour FROM r1")
 
@@ -348,7 +349,7 @@ SELECT feed, tier, message_id, file_name, received_at FROM (
       attachment_pos ASC) AS rn FROM cand WHERE tier IS NOT NULL) WHERE rn = 1"""
     from shortfall.plans.catalogue import AUDIT_DURATION_SECONDS, AUDIT_RUN_TIME
     out["run_audit"] = _with(
-        *PIPE_TO_ALT, SEC_ITEMS, STAMP) + f"""SELECT 'shortfall' AS process_name, '1' AS process_id,
+        *PIPE_TO_ALT, STAMP) + f"""SELECT 'shortfall' AS process_name, '1' AS process_id,
   '' AS source_file_path, {ts(AUDIT_RUN_TIME)} AS last_run_time, 'Not Applicable' AS target_table_name,
   'SUCCESS' AS task_status, (SELECT count(*) FROM feed) AS row_count, CAST({AUDIT_DURATION_SECONDS} AS INTEGER) AS duration,
   'jobs/shortfall' AS package_path, '' AS log_file_path, 'Not Applicable' AS stg_table_name,
