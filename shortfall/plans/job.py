@@ -189,8 +189,9 @@ class Stages:
         return U.uom_alternatives(self["review"], self["conversions"])
 
     def _build_freshness(self):
-        p = self.p
-        return S.inventory_freshness(self.inputs["inventory"], p.locations, p.freshness_as_of, p.freshness_days)
+        # same value as S.inventory_freshness on the raw history (see
+        # freshness_from_latest), read from the small pinned snapshot
+        return S.freshness_from_latest(self["latest_inventory"], self.p.freshness_as_of, self.p.freshness_days)
 
     def _build_report(self):
         return assemble_report(self, self.p)

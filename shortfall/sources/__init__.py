@@ -161,6 +161,15 @@ def inventory_freshness(inv: DataFrame, locations: str | Sequence[str], as_of: d
         "stamp", stamp_text("stamp").alias("stamp_text"))
 
 
+def freshness_from_latest(latest: DataFrame, as_of: datetime, days: int = 10) -> DataFrame:
+    """S9 from the latest-snapshot table instead of the full history: each
+    key's latest active row holds that key's newest active stamp, so the
+    overall newest stamp is the same -- without a second scan of the history."""
+    fresh = latest.filter(F.col("report_stamp") >= ts_lit(as_of - timedelta(days=days)))
+    return fresh.agg(F.max("report_stamp").alias("stamp")).select(
+        "stamp", stamp_text("stamp").alias("stamp_text"))
+
+
 # ── S10 / W4 / W5: newest feed file per feed ─────────────────────────
 
 def latest_arrival(arrivals: DataFrame, as_of: datetime, keyword: str, prefix: str,

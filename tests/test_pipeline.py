@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from shortfall.plans import catalogue as CAT
 from shortfall.plans import fixtures as X
 from shortfall.plans.job import build_stages
@@ -145,3 +145,13 @@ def test_sorted_report_order(spark):
     finite = [g for g in matched if g is not None]
     assert finite == sorted(finite, reverse=True)
     assert all(g is None for g in matched[len(finite):])
+
+
+def test_freshness_from_latest_equals_history_scan(spark):
+    from shortfall import sources as S
+    st = CAT.stages(spark, SF_MID)
+    for days in (10, 400, 4000):
+        a = S.freshness_from_latest(st["latest_inventory"], CAT.PARAMS.freshness_as_of, days).collect()
+        b = S.inventory_freshness(X.load(spark, SF_MID, "fx_inventory"), CAT.PARAMS.locations,
+                                  CAT.PARAMS.freshness_as_of, days).collect()
+        assert a == b
