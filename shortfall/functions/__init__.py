@@ -61,7 +61,7 @@ def ieee_div(n: str | Column, d: str | Column) -> Column:
     n = col_(n).cast("double")
     d = col_(d).cast("double")
     return (
-        F.when(d.isNull() | n.isNull(), F.lit(None).cast("double"))
+        F.when(d.isNull() | n.isNull() | F.isnan(n) | F.isnan(d), F.lit(None).cast("double"))
         .when(d == 0, F.when(n > 0, _pos_inf()).when(n < 0, _neg_inf()))
         .otherwise(nan_to_null(n / d))
     )
@@ -90,8 +90,8 @@ def ceil_double(c: str | Column) -> Column:
 
 
 def clamp_min0(c: str | Column) -> Column:
-    """max(x, 0) that keeps NULL (``greatest`` alone would skip the NULL)."""
-    c = col_(c).cast("double")
+    """max(x, 0) that keeps NULL (``greatest`` alone would skip the NULL); NaN -> NULL."""
+    c = nan_to_null(col_(c).cast("double"))
     return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(
         F.greatest(c, F.lit(0.0))
     )

@@ -9,13 +9,13 @@ from hypothesis import strategies as st
 from shortfall import functions as X
 
 finite = st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False)
-special = st.sampled_from([0.0, -0.0, math.inf, -math.inf])
+special = st.sampled_from([0.0, -0.0, math.inf, -math.inf, math.nan])
 num = st.one_of(st.none(), finite, special)
 SETTINGS = dict(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def py_div(n, d):
-    if n is None or d is None:
+    if n is None or d is None or math.isnan(n) or math.isnan(d):
         return None
     if d == 0:
         return math.inf if n > 0 else -math.inf if n < 0 else None
@@ -30,7 +30,7 @@ def py_ceil(x):
 
 
 def py_clamp(x):
-    return None if x is None else max(x, 0.0)
+    return None if x is None or math.isnan(x) else max(x, 0.0)
 
 
 def same(a, b):
