@@ -64,12 +64,18 @@ def apply_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory of the session.
+    """Return the shared folder for pinned stages: the session checkpoint dir.
 
     On a cluster this must come from ``spark.checkpoint.dir`` (a shared
     folder). Only a local-mode session without one gets a scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, read the setting
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set") from None
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -80,7 +86,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(lineage is cut with reliable checkpoints)")
+            "(pinned intermediate stages are written there)")
     path = tempfile.mkdtemp(prefix="shortfall-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
@@ -105,8 +111,13 @@ def pin(df, name: str, folder: str | None = None):
 
 
 def drop_folder(spark: SparkSession, path: str) -> bool:
-    """Delete a folder through the cluster file system (Hadoop FileSystem API)."""
-    jvm = spark.sparkContext._jvm
+    """Delete a folder through the cluster file system (Hadoop FileSystem API).
+    Without a JVM handle (Spark Connect) the folder is left to the cluster's
+    scratch-space cleanup."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # noqa: BLE001
+        return False
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(p, True))
