@@ -334,3 +334,16 @@ def test_usage_window_bounds(spark):
     usage = spark.createDataFrame(data, "location string, item string, qty double, trx_date timestamp_ntz")
     got = dict(rows(S.avg_daily_issue(usage, ["A", "B"], as_of), "item", "avg_daily_issue"))
     assert got == {"I1": 3.0, "I2": None}     # both bounds inclusive, 366-day window, divisor 365
+
+
+def test_report_partition_overwrite(spark, tmp_path):
+    from datetime import date
+    path = str(tmp_path / "report")
+    day1 = spark.createDataFrame([(1, date(2026, 3, 17)), (2, date(2026, 3, 17))], "k int, snapshot_date date")
+    day2 = spark.createDataFrame([(3, date(2026, 3, 18))], "k int, snapshot_date date")
+    RP.write_report(day1, path)
+    RP.write_report(day2, path)
+    assert spark.read.parquet(path).count() == 3          # other dates are kept
+    RP.write_report(day2.union(day2), path)
+    got = sorted((r.k, r.snapshot_date.isoformat()) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "2026-03-17"), (2, "2026-03-17"), (3, "2026-03-18"), (3, "2026-03-18")]
