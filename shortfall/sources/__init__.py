@@ -79,9 +79,13 @@ def validate_columns(df: DataFrame, required: Sequence[str] | str = REQUIRED_COL
 
 # ── S3: location-scoped scans ────────────────────────────────────────
 
-def scan_locations(df: DataFrame, locations: str | Sequence[str]) -> DataFrame:
-    """Filter to the given locations (pushed to the scan as an IN filter)."""
-    return df.filter(F.col("location").isin(_locations(locations)))
+def scan_locations(df: DataFrame, locations: str | Sequence[str], collation: str | None = None) -> DataFrame:
+    """Filter to the given locations (pushed to the scan as an IN filter).
+
+    ``collation="UTF8_LCASE"`` matches case-insensitively, for sources whose
+    database compares text that way (such a filter is not pushed down)."""
+    loc = F.col("location") if collation is None else F.collate(F.col("location"), collation)
+    return df.filter(loc.isin(_locations(locations)))
 
 
 def _active(df: DataFrame, locations) -> DataFrame:

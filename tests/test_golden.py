@@ -347,3 +347,9 @@ def test_report_partition_overwrite(spark, tmp_path):
     RP.write_report(day2.union(day2), path)
     got = sorted((r.k, r.snapshot_date.isoformat()) for r in spark.read.parquet(path).collect())
     assert got == [(1, "2026-03-17"), (2, "2026-03-17"), (3, "2026-03-18"), (3, "2026-03-18")]
+
+
+def test_location_collation(spark):
+    df = spark.createDataFrame([("a",), ("A",), ("b",)], "location string")
+    assert S.scan_locations(df, "A").count() == 1
+    assert S.scan_locations(df, ["A"], collation="UTF8_LCASE").count() == 2
