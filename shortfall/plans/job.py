@@ -49,6 +49,8 @@ class Params:
     pin_stages: bool = True
     # NULL feed keys match NULL inventory keys ("match") or nothing ("drop")
     null_keys: str = "match"
+    # e.g. "UTF8_LCASE" when the source database compares locations case-insensitively
+    location_collation: str | None = None
 
 
 def prepare_feed(raw_feed: DataFrame, p: Params, folder: str | None = None) -> DataFrame:
@@ -115,15 +117,15 @@ class Stages:
 
     def _build_latest_inventory(self):
         return S.latest_inventory(self.inputs["inventory"], self.p.locations, self.p.inventory_tie_break,
-                                  columns=S.JOB_INVENTORY_COLUMNS)
+                                  columns=S.JOB_INVENTORY_COLUMNS, collation=self.p.location_collation)
 
     def _build_avg_daily_issue(self):
         p = self.p
         return S.avg_daily_issue(self.inputs["usage"], p.locations, p.usage_as_of,
-                                 p.usage_window_days, p.usage_divisor)
+                                 p.usage_window_days, p.usage_divisor, p.location_collation)
 
     def _build_group_usage(self):
-        return S.group_usage(self.inputs["group_usage"], self.p.locations)
+        return S.group_usage(self.inputs["group_usage"], self.p.locations, self.p.location_collation)
 
     def _build_reconciled_inventory(self):
         return self._reconciled()["inventory"]

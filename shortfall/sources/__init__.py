@@ -88,8 +88,8 @@ def scan_locations(df: DataFrame, locations: str | Sequence[str], collation: str
     return df.filter(loc.isin(_locations(locations)))
 
 
-def _active(df: DataFrame, locations) -> DataFrame:
-    return scan_locations(df, locations).filter(
+def _active(df: DataFrame, locations, collation: str | None = None) -> DataFrame:
+    return scan_locations(df, locations, collation).filter(
         (F.col("active") == "Yes") & (F.col("discontinued") == "No"))
 
 
@@ -103,7 +103,8 @@ JOB_INVENTORY_COLUMNS = (
 
 
 def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
-                     tie_break: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+                     tie_break: Sequence[str] = (), columns: Sequence[str] | None = None,
+                     collation: str | None = None) -> DataFrame:
     """Newest *active* snapshot row per (location, item).
 
     Filters run before ranking. Ordering: ``report_stamp DESC NULLS LAST`` then
@@ -112,7 +113,7 @@ def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
     fields of its struct, so wide descriptive columns would otherwise be
     sorted and shuffled for nothing).
     """
-    rows = _active(inv, locations)
+    rows = _active(inv, locations, collation)
     if columns is not None:
         keep = list(dict.fromkeys([*columns, "report_stamp", *tie_break]))
         rows = rows.select(*keep)
@@ -122,14 +123,14 @@ def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
 # ── S5 / P4 / A5: average daily issue ────────────────────────────────
 
 def avg_daily_issue(usage: DataFrame, locations: str | Sequence[str], as_of: datetime,
-                    window_days: int = 366, divisor: int = 365) -> DataFrame:
+                    window_days: int = 366, divisor: int = 365, collation: str | None = None) -> DataFrame:
     """sum(qty) / divisor per (location, item) over ``[as_of - window, as_of]``.
 
     The window (366 days) and the divisor (365) differ on purpose. A group whose
     quantities are all NULL yields NULL (SQL sum).
     """
     lo = as_of - timedelta(days=window_days)
-    rows = scan_locations(usage, locations).filter(
+    rows = scan_locations(usage, locations, collation).filter(
         F.col("trx_date").between(ts_lit(lo), ts_lit(as_of)))
     return rows.groupBy("location", "item").agg(
         (F.sum("qty") / F.lit(float(divisor))).alias("avg_daily_issue"))
@@ -149,17 +150,17 @@ def active_links(links: DataFrame, excluded_stages: Sequence[str]) -> DataFrame:
         ~F.col("stage").isin(list(excluded_stages)))
 
 
-def group_usage(gu: DataFrame, locations: str | Sequence[str]) -> DataFrame:
-    return scan_locations(gu, locations).select("item_group", "rolling_daily_avg_7")
+def group_usage(gu: DataFrame, locations: str | Sequence[str], collation: str | None = None) -> DataFrame:
+    return scan_locations(gu, locations, collation).select("item_group", "rolling_daily_avg_7")
 
 
 # ── S9 / A6 / P22: inventory freshness scalar ────────────────────────
 
 def inventory_freshness(inv: DataFrame, locations: str | Sequence[str], as_of: datetime,
-                        days: int = 10) -> DataFrame:
+                        days: int = 10, collation: str | None = None) -> DataFrame:
     """One row: newest active report stamp no older than ``days``; NULL when
     nothing is fresh. ``stamp_text`` is the 19-character ISO form."""
-    fresh = _active(inv, locations).filter(
+    fresh = _active(inv, locations, collation).filter(
         F.col("report_stamp") >= ts_lit(as_of - timedelta(days=days)))
     return fresh.agg(F.max("report_stamp").alias("stamp")).select(
         "stamp", stamp_text("stamp").alias("stamp_text"))
