@@ -353,3 +353,13 @@ def test_location_collation(spark):
     df = spark.createDataFrame([("a",), ("A",), ("b",)], "location string")
     assert S.scan_locations(df, "A").count() == 1
     assert S.scan_locations(df, ["A"], collation="UTF8_LCASE").count() == 2
+
+
+def test_coerce_report_types(spark):
+    df = spark.createDataFrame([("2026-03-22", "12.5", "x"), ("not a date", "abc", "y")],
+                               "est_delivery_date string, dioh string, item string")
+    out = RP.coerce_report_types(df)
+    assert dict(out.dtypes) == {"est_delivery_date": "timestamp_ntz", "dioh": "double", "item": "string"}
+    got = out.collect()
+    assert got[0].est_delivery_date == datetime(2026, 3, 22) and got[0].dioh == 12.5
+    assert got[1].est_delivery_date is None and got[1].dioh is None
