@@ -183,6 +183,10 @@ def latest_arrival(arrivals: DataFrame, as_of: datetime, keyword: str, prefix: s
                    extension: str = ".xlsx") -> DataFrame:
     """Pick the feed file to process, per ``feed``, with a two-tier rule.
 
+    ``feed`` identifies the mailbox (source) being searched: the newest-N
+    rank covers all messages of that mailbox folder, before any filter, as
+    the mail API lists a folder's newest messages.
+
     Tier 1 (inbox): among the newest ``max_messages`` inbox messages (ranked
     before any filter), subject contains ``keyword`` (case-insensitive) and
     received within ``lookback_hours``. Tier 2 (fallback folder): newest
