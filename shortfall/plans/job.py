@@ -77,9 +77,11 @@ class Stages:
         if feed is not None:
             self._cache["feed"] = feed
 
-    # stages read by several branches downstream
-    PINNED = ("latest_inventory", "reconciled_inventory", "reconciled_usage", "feed_with_substitutes", "full",
-              "conversion_tuples", "conversions")
+    # Stages written once (``pin``): read by several plans, or expensive to
+    # recompute (the snapshot history and usage scans behind them). Small
+    # stages read once per plan (reconciled inventory, conversion map) stay
+    # lazy; Spark reuses their exchanges within a plan.
+    PINNED = ("latest_inventory", "reconciled_usage", "feed_with_substitutes", "full", "conversion_tuples")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
