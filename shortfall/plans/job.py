@@ -8,7 +8,9 @@ still appends a FAIL audit row, then re-raises.
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -222,12 +224,35 @@ def assemble_report(st: Stages, p: Params) -> DataFrame:
 
 def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_name: str = "shortfall",
             process_id: str = "1", source_file_path: str = "", package_path: str = "",
-            log_file_path: str = "", process_frequency: str = "Tue, Thu") -> dict:
-    """Materialise report, side output and audit row under ``out_dir``."""
+            log_file_path: str = "", process_frequency: str = "Tue, Thu",
+            timeout_s: float | None = None) -> dict:
+    """Materialise report, side output and audit row under ``out_dir``.
+
+    With ``timeout_s`` the run's Spark jobs form one job group that is
+    cancelled when the time is up; the audit row then says TIMEOUT.
+    """
     start = datetime.now()
     t0 = time.monotonic()
     st = None
     pinned_feed = None
+    spark = inputs["feed"].sparkSession
+    timer, timed_out, finished = None, threading.Event(), threading.Event()
+    if timeout_s is not None:
+        group = f"shortfall-{uuid.uuid4().hex}"
+        spark.sparkContext.setJobGroup(group, f"{process_name} run", interruptOnCancel=True)
+
+        def _watch():
+            if finished.wait(timeout_s):
+                return
+            timed_out.set()
+            # cancelling only stops running jobs: keep cancelling the group
+            # so that jobs the driver starts later fail too
+            while not finished.is_set():
+                spark.sparkContext.cancelJobGroup(group)
+                finished.wait(0.1)
+
+        timer = threading.Thread(target=_watch, daemon=True)
+        timer.start()
     try:
         st = build_stages(inputs, p)
         pinned_feed = st["feed"]
@@ -251,7 +276,11 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
         A.append_audit(row, f"{out_dir}/run_audit")
         return {"status": "SUCCESS", "side_output": side}
     except Exception as exc:
-        spark = inputs["feed"].sparkSession
+        if timer is not None:
+            finished.set()
+            timer.join()
+            spark.sparkContext.setJobGroup("shortfall-audit", "audit", interruptOnCancel=False)
+        status = "TIMEOUT" if timed_out.is_set() else "FAIL"
         rows = 0
         if pinned_feed is not None:          # the feed was read: report its size
             try:
@@ -260,12 +289,17 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
                 rows = 0
         counters = spark.range(1).select(F.lit(rows).cast("bigint").alias("feed_rows"))
         row = A.audit_row(counters, process_name=process_name, process_id=process_id,
-                          source_file_path=source_file_path, last_run_time=start, task_status="FAIL",
+                          source_file_path=source_file_path, last_run_time=start, task_status=status,
                           duration_seconds=time.monotonic() - t0, package_path=package_path,
                           log_file_path=log_file_path, process_frequency=process_frequency,
                           error=str(exc)[:4000])
         A.append_audit(row, f"{out_dir}/run_audit")
         raise
     finally:
+        if timer is not None:
+            finished.set()
+            timer.join()
+            for key in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+                spark.sparkContext.setLocalProperty(key, None)   # leave the thread as it was
         if st is not None:
             st.release()

@@ -96,3 +96,13 @@ def test_feed_without_packaging_runs(spark):
     rep = st["report"]
     assert rep.count() == st["full"].count()
     assert rep.filter("alt_uom_group IS NOT NULL").count() == 0
+
+
+def test_timeout_is_audited(spark):
+    out = tempfile.mkdtemp(prefix="shortfall-job-timeout-")
+    with pytest.raises(Exception):
+        run_job(CAT.inputs(spark, SF_SMALL), CAT.PARAMS, out, timeout_s=0.5)
+    audit = spark.read.parquet(os.path.join(out, "run_audit")).collect()
+    assert len(audit) == 1 and audit[0].task_status == "TIMEOUT"
+    # the session is usable afterwards
+    assert CAT.QUERIES["item_description"](spark, SF_SMALL).count() > 0
