@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -87,7 +86,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(pinned intermediate stages are written there)")
-    path = tempfile.mkdtemp(prefix="shortfall-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    path = tempfile.mkdtemp(prefix="shortfall-ckpt-")
     sc.setCheckpointDir(path)
     return path
 
