@@ -35,6 +35,22 @@ REQUIRED_COLUMNS = (
 FEED_SCHEMA = StructType([StructField(c, StringType(), True) for c in FEED_COLUMNS])
 
 
+# Types the joins rely on (the source database's own types are unknown):
+# keys and unit codes as text, quantities and multipliers as DOUBLE.
+TEXT_COLUMNS = ("location", "item", "vendor_item", "stock_uom", "default_buy_uom", "item_group",
+                "replace_item", "stage", "description3")
+NUMBER_COLUMNS = ("buy_uom_multiplier", "available_qty", "on_order_qty", "qty", "rolling_daily_avg_7")
+
+
+def normalise_types(df: DataFrame) -> DataFrame:
+    """Cast the known key / unit columns to STRING and quantities to DOUBLE
+    (no-op when they already have those types)."""
+    types = dict(df.dtypes)
+    casts = {c: F.col(c).cast("string") for c in TEXT_COLUMNS if c in types and types[c] != "string"}
+    casts.update({c: F.col(c).cast("double") for c in NUMBER_COLUMNS if c in types and types[c] != "double"})
+    return df.withColumns(casts) if casts else df
+
+
 def _locations(locations: str | Sequence[str]) -> list[str]:
     return [locations] if isinstance(locations, str) else list(locations)
 
@@ -113,7 +129,7 @@ def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
     fields of its struct, so wide descriptive columns would otherwise be
     sorted and shuffled for nothing).
     """
-    rows = _active(inv, locations, collation)
+    rows = normalise_types(_active(inv, locations, collation))
     if columns is not None:
         keep = list(dict.fromkeys([*columns, "report_stamp", *tie_break]))
         rows = rows.select(*keep)
@@ -130,8 +146,8 @@ def avg_daily_issue(usage: DataFrame, locations: str | Sequence[str], as_of: dat
     quantities are all NULL yields NULL (SQL sum).
     """
     lo = as_of - timedelta(days=window_days)
-    rows = scan_locations(usage, locations, collation).filter(
-        F.col("trx_date").between(ts_lit(lo), ts_lit(as_of)))
+    rows = normalise_types(scan_locations(usage, locations, collation).filter(
+        F.col("trx_date").between(ts_lit(lo), ts_lit(as_of))))
     return rows.groupBy("location", "item").agg(
         (F.sum("qty") / F.lit(float(divisor))).alias("avg_daily_issue"))
 
@@ -140,18 +156,18 @@ def avg_daily_issue(usage: DataFrame, locations: str | Sequence[str], as_of: dat
 
 def item_descriptions(desc: DataFrame) -> DataFrame:
     """(item, description3); not unique per item -- duplicates fan out joins."""
-    return desc.select("item", "description3")
+    return normalise_types(desc.select("item", "description3"))
 
 
 def active_links(links: DataFrame, excluded_stages: Sequence[str]) -> DataFrame:
     """Substitute links whose stage is not excluded; a NULL stage is dropped
     too (three-valued NOT IN)."""
-    return links.select("item_group", "item", "replace_item", "stage").filter(
+    return normalise_types(links.select("item_group", "item", "replace_item", "stage")).filter(
         ~F.col("stage").isin(list(excluded_stages)))
 
 
 def group_usage(gu: DataFrame, locations: str | Sequence[str], collation: str | None = None) -> DataFrame:
-    return scan_locations(gu, locations, collation).select("item_group", "rolling_daily_avg_7")
+    return normalise_types(scan_locations(gu, locations, collation).select("item_group", "rolling_daily_avg_7"))
 
 
 # ── S9 / A6 / P22: inventory freshness scalar ────────────────────────

@@ -363,3 +363,16 @@ def test_coerce_report_types(spark):
     got = out.collect()
     assert got[0].est_delivery_date == datetime(2026, 3, 22) and got[0].dioh == 12.5
     assert got[1].est_delivery_date is None and got[1].dioh is None
+
+
+def test_key_and_quantity_types_are_normalised(spark):
+    from decimal import Decimal
+    inv = spark.createDataFrame(
+        [("A", 7, 7, "Yes", "No", "EA", "BX", Decimal("5"), 3, 1, datetime(2026, 1, 1))],
+        "location string, item int, vendor_item int, active string, discontinued string, stock_uom string, "
+        "default_buy_uom string, buy_uom_multiplier decimal(10,2), available_qty int, on_order_qty int, "
+        "report_stamp timestamp_ntz")
+    out = S.latest_inventory(inv, ["A"])
+    t = dict(out.dtypes)
+    assert t["item"] == t["vendor_item"] == "string"
+    assert t["buy_uom_multiplier"] == t["available_qty"] == "double"
