@@ -155,3 +155,22 @@ def test_freshness_from_latest_equals_history_scan(spark):
         b = S.inventory_freshness(X.load(spark, SF_MID, "fx_inventory"), CAT.PARAMS.locations,
                                   CAT.PARAMS.freshness_as_of, days).collect()
         assert a == b
+
+
+def test_unpinned_graph_gives_the_same_report(spark, duck):
+    import dataclasses
+    p = dataclasses.replace(CAT.PARAMS, pin_stages=False)
+    df = build_stages(CAT.inputs(spark, SF_SMALL), p)["report"]
+    cur = duck.execute(oracle_sql()["final_report"])
+    assert _digest(df.columns, [tuple(r) for r in df.collect()]) == _digest(
+        [d[0] for d in cur.description], cur.fetchall())
+
+
+def test_null_keys_drop(spark):
+    import dataclasses
+    p = dataclasses.replace(CAT.PARAMS, null_keys="drop")
+    cov = build_stages(CAT.inputs(spark, SF_SMALL), p)["coverage"]
+    nulls = cov.filter("vendor_item IS NULL").select("match_status").distinct().collect()
+    assert [r.match_status for r in nulls] == ["Not Matched"]
+    matched = CAT.stages(spark, SF_SMALL)["coverage"].filter("vendor_item IS NULL AND match_status = 'Matched'")
+    assert matched.count() > 0          # the default pairs NULL keys
