@@ -93,3 +93,12 @@ def test_date_layouts(spark):
     got = [r[0] for r in spark.createDataFrame(data, "s string").select(X.strict_timestamp("s")).collect()]
     assert got == [datetime(2026, 3, 22), datetime(2026, 3, 22, 10, 11, 12), datetime(2026, 3, 22, 10, 11, 12),
                    datetime(2026, 3, 22), datetime(2026, 3, 22, 10, 11, 12)]
+
+
+def test_cluster_conf_bounds():
+    from shortfall.session import cluster_conf
+    small = cluster_conf(10 * 2**30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120          # 3 per core
+    big = cluster_conf(100 * 2**40)
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000          # capped
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)

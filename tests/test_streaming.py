@@ -51,3 +51,15 @@ def test_each_file_in_its_own_batch(spark):
                           os.path.join(root, "ckpt"), max_files_per_trigger=1, only_newest=False)
     assert len(res) == 2 and all(r["status"] == "SUCCESS" for r in res)
     assert {os.path.basename(os.path.dirname(r["source_file"])) for r in res} == {"a", "b"}
+
+
+def test_processing_time_trigger_stops_at_timeout(spark):
+    root = tempfile.mkdtemp(prefix="shortfall-stream3-")
+    landing = os.path.join(root, "landing")
+    feed = X.load(spark, SF_SMALL, "fx_feed").select(*FEED_COLUMNS)
+    feed.coalesce(1).write.option("header", True).csv(os.path.join(landing, "a"))
+    t0 = time.time()
+    res = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"),
+                          os.path.join(root, "ckpt"), every="1 second", timeout_s=25)
+    assert len(res) == 1 and res[0]["status"] == "SUCCESS"
+    assert time.time() - t0 < 120
