@@ -1,9 +1,11 @@
-"""C10 -- the end-to-end coverage job as one lazy DataFrame graph.
-
-``build_stages`` wires every operator and returns the named intermediate
-DataFrames (nothing runs). ``run_job`` materialises the sinks: the report
-(K1), the UOM-inconsistency side output (K2) and the audit row (K3). A failure
-still appends a FAIL audit row, then re-raises.
+"""C10 -- the end-to-end coverage job as a DataFrame graph.
+
+``build_stages`` returns a ``Stages`` object that builds each named stage on
+first use; stages read by several plans (or costly to recompute) are written
+once as Parquet when first requested, the rest stay lazy. ``run_job``
+materialises the sinks: the report (K1), the UOM-inconsistency side output
+(K2) and the audit row (K3). A failure still appends a FAIL (or TIMEOUT)
+audit row, then re-raises.
 """
 
 from __future__ import annotations
