@@ -186,3 +186,15 @@ def test_shuffled_inputs_give_the_same_report(spark, duck):
     cur = duck.execute(oracle_sql()["final_report"])
     assert _digest(df.columns, [tuple(r) for r in df.collect()]) == _digest(
         [d[0] for d in cur.description], cur.fetchall())
+
+
+def test_shuffled_arrivals_give_the_same_pick(spark, duck):
+    from pyspark.sql import functions as F
+    from shortfall import sources as S
+    arr = X.load(spark, SF_SMALL, "fx_arrivals").repartition(5, F.rand(3))
+    df = S.latest_arrival(arr, X.ARRIVALS_AS_OF, X.ARRIVALS_KEYWORD, X.ARRIVALS_PREFIX,
+                          max_messages=X.ARRIVALS_MAX_MESSAGES, lookback_hours=X.ARRIVALS_LOOKBACK_HOURS,
+                          fallback_folder=X.ARRIVALS_FALLBACK_FOLDER)
+    cur = duck.execute(oracle_sql()["latest_arrival"])
+    assert _digest(df.columns, [tuple(r) for r in df.collect()]) == _digest(
+        [d[0] for d in cur.description], cur.fetchall())
