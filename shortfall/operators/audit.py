@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shortfall.functions import ts_lit
 
+# The audit table's columns and run statuses.
 AUDIT_COLUMNS = (
     "process_name", "process_id", "source_file_path", "last_run_time", "target_table_name",
     "task_status", "row_count", "duration", "package_path", "log_file_path", "stg_table_name",

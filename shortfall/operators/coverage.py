@@ -16,6 +16,7 @@ from shortfall.functions import (
 from shortfall.operators.enrich import dioh, left_join_ns
 from shortfall.operators.ordinal import sequence
 
+# Feed text columns typed after the substitute merge.
 DATE_COLUMNS = ("est_depletion_date", "est_available_date", "est_delivery_date")
 NUMBER_COLUMNS = ("mioh", "forecast_qty", "duration")
 

@@ -42,6 +42,7 @@ HIDDEN_COLUMNS = (
     "review_flag_ig",
 ) + DEBUG_BLOCK + STAMP_BLOCK
 
+# Report columns coerced to dates / numbers.
 DATE_COLUMNS = ("est_depletion_date", "est_available_date", "est_delivery_date")
 NUMERIC_COLUMNS = (
     "avg_daily_issue", "avg_daily_issue_ig", "available_qty", "on_order_qty", "buy_uom_multiplier",
