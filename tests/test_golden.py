@@ -376,3 +376,13 @@ def test_key_and_quantity_types_are_normalised(spark):
     t = dict(out.dtypes)
     assert t["item"] == t["vendor_item"] == "string"
     assert t["buy_uom_multiplier"] == t["available_qty"] == "double"
+
+
+def test_read_feed_parquet(spark, tmp_path):
+    from shortfall.plans import fixtures as X
+    from conftest import SF_SMALL
+    feed = X.load(spark, SF_SMALL, "fx_feed")
+    feed.unionByName(feed).write.parquet(str(tmp_path / "landed"))
+    got = S.read_feed(spark, str(tmp_path / "landed"), fmt="parquet")
+    assert got.count() == feed.count()
+    assert all(t == "string" for _, t in got.dtypes)
