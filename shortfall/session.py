@@ -120,3 +120,16 @@ def drop_folder(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(p, True))
+
+
+def list_pin_folders(spark: SparkSession) -> set[str]:
+    """Run folders currently under ``<checkpoint dir>/pins`` (empty set without a JVM handle)."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # noqa: BLE001
+        return set()
+    base = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/pins")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return set()
+    return {st.getPath().toString() for st in fs.listStatus(base)}
