@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shortfall.llm import idfiles, packing, quality, sharding
+from shortfall.llm import decontam, idfiles, ngramjoin, packing, quality, sharding
 from shortfall.session import pin_folder
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -35,14 +35,22 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), END_BYTE_BPE)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{pin_folder(spark)}/id_files"
     idfiles.write(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"), END_WORD_BPE, lower=True)
     return idfiles.read(spark, path)
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_sharding, op2_quality_classifier, op3_best_fit_packing, op9_token_id_files)}
+    op1_sharding, op2_quality_classifier, op3_best_fit_packing, op7_decontamination, op9_token_id_files, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
