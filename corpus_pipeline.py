@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shortfall.llm import packing, quality, queries
+from shortfall.llm import decontam, linededup, ngramjoin, packing, quality, queries
 from shortfall.session import pin, pin_folder
 
 
@@ -14,6 +14,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.select(docs, queries.table(spark, sf_dir, "labels"))
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat or nearly repeat an earlier line."""
+    return linededup.remove_lines(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are the first of their component of near copies; rows without doc_id stay."""
+    others = ngramjoin.join(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.remove_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids with their sequence and offset."""
     return packing.pack(docs, queries.tokenizer("byte_bpe_50k.json"), queries.END_BYTE_BPE)
@@ -21,6 +37,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality classifier", keep_good),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", drop_leaks),
     ("best-fit packing", pack_sequences),
 ]
 

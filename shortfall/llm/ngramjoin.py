@@ -124,30 +124,35 @@ def _may_reach(n: str, m: str, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
 
 
-def _verify(pairs: DataFrame, signed: DataFrame, docs: DataFrame, percent: int, n: int, name: str, folder: str) -> DataFrame:
-    """The linked ones of the distinct pairs (a, b)."""
+def _bounded(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """(a, b, equal): the pairs that may be linked by size band and signature; equal sets need no look."""
     narrow = signed.select("doc_id", "n", "h1", "h2", "bits")
     side = lambda x: narrow.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "h1", "h2", "bits")])
     differing = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     bound = F.floor((F.col("a_n") + F.col("b_n") - differing) / 2)
     # overlap >= percent / (100 + percent) of the sizes' sum is the same as Jaccard >= percent
-    kept = (pairs.join(side("a"), "a").join(side("b"), "b").where(_may_reach("a_n", "b_n", percent))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").where(_may_reach("a_n", "b_n", percent))
             .where(bound * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent)
             .select("a", "b", (F.struct("a_n", "a_h1", "a_h2") == F.struct("b_n", "b_h1", "b_h2")).alias("equal")).distinct())
-    kept = pin(kept, f"{name}_bounded", folder)
-    open_pairs = kept.where(~F.col("equal")).select("a", "b")
-    wanted = open_pairs.select(F.col("a").alias("doc_id")).union(open_pairs.select("b")).distinct()
+
+
+def _sorted_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, set): sorted shingle hashes of the documents of ``pairs``."""
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sets = zip(*_sets(batch, n)) if batch.num_rows else ((), ())
-            if rows:
+            sets = [h for _, h in _sets(batch, n)]
+            if sets:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))], ["doc_id", "set"])
 
-    sets = pin(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .join(wanted, "doc_id", "left_semi").mapInArrow(collect, "doc_id long, set array<long>"), f"{name}_sets", folder)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return base.join(wanted, "doc_id", "left_semi").mapInArrow(collect, "doc_id long, set array<long>")
+
 
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of the pairs (a, b), by intersecting sorted arrays."""
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column("a_set"), batch.column("b_set")
@@ -159,10 +164,16 @@ def _verify(pairs: DataFrame, signed: DataFrame, docs: DataFrame, percent: int,
                 linked[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked))
 
-    checked = (open_pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("b_set")), "b")
-               .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("a_set")), "a")
-               .select("a", "b", "a_set", "b_set").mapInArrow(intersect, "a long, b long"))
-    return pin(kept.where("equal").select("a", "b").union(checked), f"{name}_links", folder)
+    return (pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("b_set")), "b")
+            .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("a_set")), "a")
+            .select("a", "b", "a_set", "b_set").mapInArrow(intersect, "a long, b long"))
+
+
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose documents are not in one component yet."""
+    of = lambda x: known.select(F.col("node").alias(x), F.col("component").alias(f"{x}_c"))
+    return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .where(F.coalesce("a_c", "a") != F.coalesce("b_c", "b")).select("a", "b"))
 
 
 def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame:
@@ -174,18 +185,30 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     least = heads.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z")
     copies = copies.union(heads.join(least.drop("z"), ["h1", "h2", "n"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b")))
     tiles = pin(_tiles(signed.where("n > 0")), "tiles", folder)
-    near = tiles.where("doc <> least").groupBy(F.col("least").alias("a"), F.col("doc").alias("b")).agg(F.lit(1).alias("one")).select("a", "b")
-    links = copies.union(_verify(near, signed, docs, percent, n, "near", folder))
+
+    # with the smallest document of a tile: first one comparison for each document, then those still apart
+    stars = tiles.where("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
+    stars = pin(_bounded(stars, signed, percent), "stars", folder)
+    sets = pin(_sorted_sets(docs, stars.where(~F.col("equal")), n), "sets", folder)
+    links = copies.union(stars.where("equal").select("a", "b"))
+    known = pin(components(links), "equal", folder)
+    first = _apart(stars.groupBy("b").agg(F.min("a").alias("a")), known)
+    links = links.union(pin(_linked(first, sets, percent), "first", folder))
     known = pin(components(links), "known", folder)
+    links = links.union(pin(_linked(_apart(stars, known), sets, percent), "second", folder))
+    known = pin(components(links), "most", folder)
 
+    # then the documents of a tile outside its first document's component with the others
     placed = tiles.join(known, tiles["doc"] == known["node"], "left").select("token", "doc", "n", "least", F.coalesce("component", "doc").alias("c"))
     head = placed.where("doc = least").groupBy("token").agg(F.min("c").alias("head_c"))
-    tagged = pin(placed.join(head, "token"), "tagged", folder)
+    tagged = placed.join(head, "token")
     outside = tagged.where("c <> head_c").select("token", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("c").alias("a_c"))
-    inside = tagged.select("token", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
+    inside = tagged.where("doc <> least").select("token", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
     rest = (outside.join(inside, "token").where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & _may_reach("a_n", "b_n", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = links.union(_verify(rest, signed, docs, percent, n, "rest", folder))
-    found = components(links)
-    return (signed.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("node"), "left")
+    rest = pin(_bounded(rest, signed, percent), "rest", folder).select("a", "b")
+    if not rest.isEmpty():
+        links = links.union(_linked(rest, _sorted_sets(docs, rest, n), percent))
+        known = components(links)
+    return (signed.select("doc_id", F.col("n").alias("n_shingles")).join(known, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shortfall.llm import decontam, idfiles, ngramjoin, packing, quality, sharding
+from shortfall.llm import decontam, fingerprint, idfiles, licenses, linededup, ngramjoin, packing, quality, sharding, suffixes
 from shortfall.session import pin_folder
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -35,10 +36,31 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), END_BYTE_BPE)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents lie in folders ``source/lang/thousand``."""
+    docs = table(spark, sf_dir, "documents")
+    folder = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"))
+    files = docs.select(F.concat(folder, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), "text")
+    found = licenses.scan(files, licenses.template_table(spark))
+    return found.select(F.regexp_extract("path", "([0-9]+)[.]txt$", 1).cast("long").alias("doc_id"), "license_id", "score", "origin", "from_dir")
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{pin_folder(spark)}/id_files"
     idfiles.write(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"), END_WORD_BPE, lower=True)
@@ -50,7 +72,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_sharding, op2_quality_classifier, op3_best_fit_packing, op7_decontamination, op9_token_id_files, op10_ngram_jaccard_join)}
+    op1_sharding, op2_quality_classifier, op3_best_fit_packing, op4_license_scan, op5_fingerprints, op6_line_dedup,
+    op7_decontamination, op8_suffix_dedup, op9_token_id_files, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
