@@ -35,7 +35,7 @@ CONTAINMENT = 0.75
 HASHES = 64
 BLOCK_SHINGLES = 1 << 20
 LEAST_WINDOW = 8
-_FILTER_BITS = 20
+_FILTER_BITS = 22
 
 _MULTIPLY = (T.mix(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _ADD = (T.mix(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -53,6 +53,10 @@ def _short(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
+def _slot(values: np.ndarray, k: int) -> np.ndarray:
+    return (values ^ _ADD[k]) >> np.uint32(32 - _FILTER_BITS)
+
+
 class ItemBlock:
     """Shingles and min-hash keys of a bounded block of items, by size class."""
 
@@ -66,7 +70,7 @@ class ItemBlock:
             if enough[i]:
                 self.ids.append(item)
                 self.sets.append(np.unique(hashes[at[i]:at[i + 1]]))
-        self.classes = {}                       # s -> (for each hash: filter, sorted values, item of each value)
+        self.classes = {}                       # s -> for each hash: sorted least values, item of each
         sizes = np.array([max(LEAST_WINDOW, 1 << (len(s) - 1).bit_length()) for s in self.sets], np.int64)
         for s in np.unique(sizes).tolist():
             members = np.flatnonzero(sizes == s)
@@ -74,10 +78,20 @@ class ItemBlock:
             for k in range(HASHES):
                 values = np.array([_min_hash(_short(self.sets[i]), k).min() for i in members], np.uint32)
                 order = np.argsort(values, kind="stable")
-                seen = np.zeros(1 << _FILTER_BITS, bool)
-                seen[values >> np.uint32(32 - _FILTER_BITS)] = True
-                tables.append((seen, values[order], members[order]))
+                tables.append((values[order], members[order]))
             self.classes[s] = tables
+        self.filters: dict[int, np.ndarray] = {}
+
+    def __getstate__(self):
+        return {**self.__dict__, "filters": {}}                # made anew on the executors
+
+    def filter(self, s: int) -> np.ndarray:
+        """Hashed set of all least values of a size class, to pass over most windows at once."""
+        if s not in self.filters:
+            seen = self.filters[s] = np.zeros(1 << _FILTER_BITS, bool)
+            for k, (values, _) in enumerate(self.classes[s]):
+                seen[_slot(values, k)] = True
+        return self.filters[s]
 
     def candidates(self, hashes: np.ndarray, at: np.ndarray) -> set[tuple[int, int]]:
         """(document, item) pairs that share a min-hash in some window."""
@@ -112,8 +126,8 @@ class ItemBlock:
                     heads, size = np.cumsum(sizes) - sizes, size * 2
                 same = np.append(owner[1:] == owner[:-1], False)
                 window = np.where(same, np.minimum(level, np.append(level[1:], _NONE)), level)
-                seen, values, members = self.classes[s][k]
-                hit = np.flatnonzero(seen[window >> np.uint32(32 - _FILTER_BITS)])
+                values, members = self.classes[s][k]
+                hit = np.flatnonzero(self.filter(s)[_slot(window, k)])
                 if len(hit):
                     low, high = np.searchsorted(values, window[hit], "left"), np.searchsorted(values, window[hit], "right")
                     for j in np.flatnonzero(high > low):

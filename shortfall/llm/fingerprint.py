@@ -38,13 +38,13 @@ def _unit(bits: Column) -> Column:
 
 def _sample(i: int) -> Column:
     """Draw ``i`` of a word as one sortable number: the value above, the sample's 32 bits below."""
-    g, h = F.xxhash64("word", F.lit(2 * i)), F.xxhash64("word", F.lit(2 * i + 1))
+    g, h = F.xxhash64("_word", F.lit(2 * i)), F.xxhash64("_word", F.lit(2 * i + 1))
     r = -F.log(_unit(g.bitwiseAND(_LOW)) * _unit(F.shiftrightunsigned(g, 32)))
     c = -F.log(_unit(h.bitwiseAND(_LOW)) * _unit(F.shiftrightunsigned(h, 32)))
     b = _unit(g.bitwiseXOR(F.shiftrightunsigned(h, 17)).bitwiseAND(_LOW))
-    t = F.floor(F.col("ln_s") / r + b)
+    t = F.floor(F.col("_ln_s") / r + b)
     value = F.log(c) - r * (t - b + 1)
-    name = F.xxhash64("word", t).bitwiseAND(_LOW)
+    name = F.xxhash64("_word", t).bitwiseAND(_LOW)
     return F.shiftleft(F.floor((value + 100.0) * _STEP), 32).bitwiseOR(name)
 
 
@@ -57,8 +57,8 @@ def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> D
 
     If the rows are dealt by one of the keys already, nothing is moved.
     """
-    terms = (texts.select(*keys, F.explode(words(F.col("text"))).alias("w")).select(*keys, F.xxhash64("w").alias("word"))
-             .groupBy(*keys, "word").agg(F.count("*").alias("s")).withColumn("ln_s", F.log(F.col("s").cast("double"))))
+    terms = (texts.select(*keys, F.explode(words(F.col("text"))).alias("_w")).select(*keys, F.xxhash64("_w").alias("_word"))
+             .groupBy(*keys, "_word").agg(F.log(F.count("*").cast("double")).alias("_ln_s")))
     drawn = terms.groupBy(*keys).agg(*[F.min(_sample(i)).alias(f"m{i}") for i in range(samples)])
     hexed = [F.substring(F.hex(F.col(f"m{i}").bitwiseAND(_LOW).bitwiseOR(F.lit(1 << 32))), 2, 8) for i in range(samples)]
     return drawn.select(*keys, F.concat(*hexed).alias("fingerprint"))

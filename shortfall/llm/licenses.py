@@ -99,7 +99,7 @@ def scan(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -
     texts = base.where("path IS NOT NULL").select(F.col("path").alias("file"), "text")
     own = pin(own_licenses(texts, templates, threshold, folder), "own", folder)
     mine = own.groupBy("file").agg(F.max_by("license_id", F.struct("whole", "score")).alias("license_id"), F.max_by("score", F.struct("whole", "score")).alias("score"), F.max("whole").alias("whole"))
-    parent = lambda c: F.when(F.instr(c, "/") > 0, F.regexp_replace(c, "/[^/]*$", "")).otherwise(F.lit(""))
+    parent = lambda c: F.when(c.isNull(), F.lit(None).cast("string")).when(F.instr(c, "/") > 0, F.regexp_replace(c, "/[^/]*$", "")).otherwise(F.lit(""))
     declared = (own.where("whole").withColumn("dir", parent(F.col("file")))
                 .withColumn("at", F.row_number().over(Window.partitionBy("dir").orderBy(F.desc("score"), "file"))).where("at = 1")
                 .select(F.col("dir").alias("from_dir"), F.col("license_id").alias("dir_license"), F.col("score").alias("dir_score")))

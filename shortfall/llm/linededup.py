@@ -82,17 +82,17 @@ def within_edits(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     """
     if not 0 <= edits <= 28:
         raise ValueError("edits must fit the band of one machine word")
+    # each step is the output of a generator, so that the filter is not pushed below and computes it again and again
+    step = lambda df, name, value: df.select("*", F.explode(F.array(value)).alias(name))
     rows = pairs.where(F.abs(F.length(a) - F.length(b)) <= edits)
-    rows = rows.withColumn("_p", _common_start(F.col(a), F.col(b)))
-    rest = lambda c: F.col(c).substr(F.col("_p") + 1, F.length(c))
-    rows = rows.withColumn("_x", rest(a)).withColumn("_y", rest(b))
-    rows = rows.withColumn("_s", _common_start(F.reverse("_x"), F.reverse("_y")))
-    cut = lambda c: F.col(c).substr(F.lit(1), F.length(c) - F.col("_s"))
-    rows = rows.withColumn("_x", cut("_x")).withColumn("_y", cut("_y"))
-    swap = F.length("_x") < F.length("_y")
-    rows = (rows.withColumn("_long", F.split(F.when(swap, F.col("_y")).otherwise(F.col("_x")), ""))
-            .withColumn("_short", F.split(F.when(swap, F.col("_x")).otherwise(F.col("_y")), ""))
-            .withColumn("_m", F.greatest(F.length("_x"), F.length("_y"))).withColumn("_n", F.least(F.length("_x"), F.length("_y"))))
+    rows = step(rows, "_p", _common_start(F.col(a), F.col(b)))
+    rest = lambda c: F.reverse(F.col(c).substr(F.col("_p") + 1, F.length(c)))
+    rows = step(rows, "_r", F.struct(rest(a).alias("x"), rest(b).alias("y")))
+    rows = step(rows, "_s", _common_start(F.col("_r.x"), F.col("_r.y")))
+    x, y = (F.col(c).substr(F.col("_s") + 1, F.length(c)) for c in ("_r.x", "_r.y"))        # reversed: the distance is the same
+    swap = F.length("_r.x") < F.length("_r.y")
+    rows = step(rows, "_t", F.struct(F.split(F.when(swap, y).otherwise(x), "").alias("long"), F.split(F.when(swap, x).otherwise(y), "").alias("short"),
+                                     (F.greatest(F.length("_r.x"), F.length("_r.y")) - F.col("_s")).alias("m"), (F.least(F.length("_r.x"), F.length("_r.y")) - F.col("_s")).alias("n")))
 
     width = 2 * edits + 2
     mask, one = (1 << width) - 1, F.lit(1).cast("bigint")
@@ -102,20 +102,20 @@ def within_edits(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
         equal = word(0)
         for k in range(width):                      # bit k is row j + edits - (width - 1 - k)
             at = j + (edits - (width - 1 - k))
-            equal = equal + F.when((at >= 0) & (F.get("_long", at) == F.get("_short", j)), word(1 << k)).otherwise(word(0))
+            equal = equal + F.when((at >= 0) & (F.get("_t.long", at) == F.get("_t.short", j)), word(1 << k)).otherwise(word(0))
         lets = lambda value, f: F.transform(F.array(value), f)[0]  # noqa: E731  a name for a value
         return lets(equal, lambda x: lets(
             ((x.bitwiseAND(s["vp"]) + s["vp"]).bitwiseXOR(s["vp"])).bitwiseOR(x).bitwiseOR(s["vn"]).bitwiseAND(mask), lambda d0: lets(
                 F.struct(s["vn"].bitwiseOR(F.bitwise_not(d0.bitwiseOR(s["vp"])).bitwiseAND(mask)).alias("hp"), d0.bitwiseAND(s["vp"]).alias("hn")), lambda h: F.struct(
                     h["hn"].bitwiseOR(F.bitwise_not(F.shiftright(d0, 1).bitwiseOR(h["hp"])).bitwiseAND(mask)).alias("vp"),
                     F.shiftright(d0, 1).bitwiseAND(h["hp"]).alias("vn"),
-                    F.when(j < F.col("_m") - edits, s["dist"] + F.when(d0.bitwiseAND(1 << (width - 1)) == 0, 1).otherwise(0))
+                    F.when(j < F.col("_t.m") - edits, s["dist"] + F.when(d0.bitwiseAND(1 << (width - 1)) == 0, 1).otherwise(0))
                     .otherwise(s["dist"] + F.when(h["hp"].bitwiseAND(s["row"]) != 0, 1).otherwise(0) - F.when(h["hn"].bitwiseAND(s["row"]) != 0, 1).otherwise(0)).alias("dist"),
-                    F.when(j < F.col("_m") - edits, s["row"]).otherwise(F.shiftright(s["row"], 1)).alias("row")))))
+                    F.when(j < F.col("_t.m") - edits, s["row"]).otherwise(F.shiftright(s["row"], 1)).alias("row")))))
 
     start = F.struct(word(((1 << (edits + 1)) - 1) << (width - edits - 1)).alias("vp"), word(0).alias("vn"), F.lit(edits).alias("dist"), (one * (1 << (width - 2))).alias("row"))
-    distance = F.aggregate(F.sequence(F.lit(0), F.col("_n") - 1), start, column, lambda s: s["dist"])
-    return rows.where(F.when(F.col("_m") <= edits, True).when(F.col("_n") == 0, False).otherwise(distance <= edits)).select(*pairs.columns)
+    distance = F.aggregate(F.sequence(F.lit(0), F.col("_t.n") - 1), start, column, lambda s: s["dist"])
+    return rows.where(F.when(F.col("_t.m") <= edits, True).when(F.col("_t.n") == 0, False).otherwise(distance <= edits)).select(*pairs.columns)
 
 
 def _fetch(docs: DataFrame, ids: DataFrame, owners: DataFrame) -> DataFrame:

@@ -18,6 +18,16 @@ def distance(a, b):
     return row[-1]
 
 
+def within(a, b, k):
+    n = 0
+    while n < len(a) and n < len(b) and a[n] == b[n]:
+        n += 1
+    a, b = a[n:], b[n:]
+    if not a or not b or not k:
+        return max(len(a), len(b)) <= k
+    return within(a[1:], b[1:], k - 1) or within(a[1:], b, k - 1) or within(a, b[1:], k - 1)
+
+
 def brute(docs, edits=2, min_chars=10, min_edit=30):
     """{(doc_id, line_no): (class_doc, class_line)} of lines in classes of two occurrences or more."""
     at = {}
@@ -36,9 +46,8 @@ def brute(docs, edits=2, min_chars=10, min_edit=30):
             for a in some:
                 for b in by_length[other]:
                     if a < b or n != other:
-                        if a[:4] == b[:4] or a[-4:] == b[-4:] or a[len(a) // 3:len(a) // 3 + 4] in b:
-                            if distance(a, b) <= edits:
-                                union.join(a, b)
+                        if within(a, b, edits):
+                            union.join(a, b)
     groups = {}
     for line, places in at.items():
         groups.setdefault(union.find(line), set()).update(places)
