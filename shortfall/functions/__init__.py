@@ -13,7 +13,6 @@ ANSI-mode Spark session):
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -173,12 +172,3 @@ def remove_token(list_col: str | Column, token: str | Column) -> Column:
     parts = F.transform(F.split(lst, ","), lambda u: F.trim(u))
     kept = F.filter(parts, lambda u: (u != F.lit("")) & (u != tok))
     return F.when(lst.isNull() | col_(token).isNull(), lst).otherwise(F.array_join(kept, ","))
-
-
-def null_safe_on(left, right, keys: Iterable[tuple[str, str]]) -> Column:
-    """Join condition where NULL matches NULL on every key pair (pandas merge)."""
-    cond = None
-    for lk, rk in keys:
-        c = left[lk].eqNullSafe(right[rk])
-        cond = c if cond is None else cond & c
-    return cond

@@ -1,7 +1,7 @@
 """K3 / A10 -- run audit row and run counters.
 
-In the job the counters are observed during its own writes (``observe``:
-no extra pass over the data); as a lazy query they are one aggregate per
+In the job the counters come from what has been written (the stored feed and the
+report partition), so they are exact; as a lazy query they are one aggregate per
 frame. The audit row is a one-row DataFrame appended to the audit table.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.functions import ts_lit
@@ -31,32 +31,14 @@ def run_counters(feed: DataFrame, report: DataFrame) -> DataFrame:
     return f.crossJoin(r)
 
 
-def observe_feed(feed: DataFrame) -> tuple[DataFrame, Observation]:
-    """A10 without an extra job: the feed counters are collected while the
-    job's own writes read the feed."""
-    obs = Observation("feed_counters")
-    return feed.observe(obs, F.count(F.lit(1)).alias("feed_rows"),
-                        F.count(F.when(F.col("risk_selected") == "x", 1)).alias("selected_rows")), obs
-
-
-def observe_report(report: DataFrame) -> tuple[DataFrame, Observation]:
-    obs = Observation("report_counters")
-    return report.observe(obs, F.count(F.lit(1)).alias("output_rows")), obs
-
-
-def observed(obs: Observation, fallback) -> dict:
-    """Values of a fired observation; ``fallback()`` (a small aggregate) when
-    the observed plan produced no metrics row, e.g. an empty input pruned by
-    the optimizer."""
-    try:
-        values = obs.get
-    except Exception:  # noqa: BLE001 - empty metrics row
-        values = None
-    return dict(values) if values else fallback()
+def feed_counters(feed: DataFrame) -> dict:
+    """A10 of the feed as stored (once, exact: re-run tasks cannot count twice)."""
+    return feed.agg(F.count(F.lit(1)).alias("feed_rows"),
+                    F.count(F.when(F.col("risk_selected") == "x", 1)).alias("selected_rows")).first().asDict()
 
 
 def counters_frame(spark, values: dict) -> DataFrame:
-    """One-row counters DataFrame from observed values (three numbers)."""
+    """One-row counters DataFrame from three numbers."""
     return spark.range(1).select(*[F.lit(int(values.get(k, 0))).cast("bigint").alias(k)
                                    for k in ("feed_rows", "selected_rows", "output_rows")])
 

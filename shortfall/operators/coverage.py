@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shortfall.functions import (
     floor_days, review_flag, safe_sub, strict_double, strict_timestamp, ts_lit,
 )
-from shortfall.operators.enrich import dioh, left_join_ns
+from shortfall.operators.enrich import dioh, keys_equal, left_join_on
 from shortfall.operators.ordinal import sequence
 
 # Feed text columns typed after the substitute merge.
@@ -39,22 +39,16 @@ def assign_row_ids(feed: DataFrame, order_by: Sequence[str | Column], name: str
     return sequence(feed, order_by, name=name, folder=folder)
 
 
-def match_inventory(feed: DataFrame, enriched: DataFrame, null_keys: str = "match") -> DataFrame:
+def match_inventory(feed: DataFrame, enriched: DataFrame, null_keys: str = "drop") -> DataFrame:
     """Feed LEFT JOIN enriched inventory on vendor_item, with a match
     marker taken from the right side.
 
-    ``null_keys="match"`` (default) lets a NULL feed key match NULL inventory
-    keys, as the spreadsheet merge does; ``"drop"`` uses SQL equality, for
-    data where NULL keys are common and their pairing is not wanted.
+    A line with a NULL key stays, unmatched (``null_key_report`` counts them);
+    ``null_keys="match"`` pairs every such line with every inventory row
+    without a key, as the spreadsheet merge does.
     """
     right = enriched.withColumnRenamed("vendor_item", "inv_vendor_item").withColumn("_matched", F.lit(True))
-    if null_keys == "match":
-        cond = feed["vendor_item"].eqNullSafe(right["inv_vendor_item"])
-    elif null_keys == "drop":
-        cond = feed["vendor_item"] == right["inv_vendor_item"]
-    else:
-        raise ValueError(f"null_keys must be 'match' or 'drop', not {null_keys!r}")
-    return feed.join(right, cond, "left")
+    return feed.join(right, keys_equal(feed["vendor_item"], right["inv_vendor_item"], null_keys), "left")
 
 
 def null_key_report(feed: DataFrame, enriched: DataFrame) -> DataFrame:
@@ -81,11 +75,11 @@ def coverage_metrics(matched: DataFrame, as_of: datetime, threshold: float) -> D
             .drop("_matched"))
 
 
-def merge_substitutes(df: DataFrame, subs: DataFrame) -> DataFrame:
-    """J10 + P26: LEFT JOIN substitutes on item (NULL-safe); then strict casts
-    of the feed's date and number text columns."""
+def merge_substitutes(df: DataFrame, subs: DataFrame, null_keys: str = "drop") -> DataFrame:
+    """J10 + P26: LEFT JOIN substitutes on item (unmatched lines have no item and
+    stay); then strict casts of the feed's date and number text columns."""
     right = subs.withColumnRenamed("item", "_sub_item")
-    out = left_join_ns(df, right, [("item", "_sub_item")])
+    out = left_join_on(df, right, [("item", "_sub_item")], null_keys)
     for c in DATE_COLUMNS:
         out = out.withColumn(c, strict_timestamp(c, c))
     for c in NUMBER_COLUMNS:

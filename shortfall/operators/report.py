@@ -3,10 +3,13 @@ report sinks (K1, K2)."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.functions import lenient_double, lenient_timestamp, nan_to_null
+from shortfall.session import drop_folder
 
 # Report column order, by block.
 BASE_REPORT = (
@@ -35,13 +38,6 @@ DEBUG_BLOCK = ("target_qty_ea", "target_qty_ea_ig", "target_coverage", "target_c
 STAMP_BLOCK = ("inventory_as_of",)
 REPORT_COLUMNS = BASE_REPORT + ITEM_BLOCK + GROUP_BLOCK + RECOMMEND_BLOCK + DEBUG_BLOCK + STAMP_BLOCK
 
-# Columns hidden in the rendered report.
-HIDDEN_COLUMNS = (
-    "sold_to", "sold_to_name", "branch", "doc_appointment_date", "parent_item", "row_id",
-    "no_issue_flag", "report_stamp", "inv_vendor_item", "review_flag", "repl_vendor_item",
-    "review_flag_ig",
-) + DEBUG_BLOCK + STAMP_BLOCK
-
 # Report columns coerced to dates / numbers.
 DATE_COLUMNS = ("est_depletion_date", "est_available_date", "est_delivery_date")
 NUMERIC_COLUMNS = (
@@ -52,16 +48,6 @@ NUMERIC_COLUMNS = (
 )
 
 
-def flag_secondary(df: DataFrame, secondary_items: DataFrame) -> DataFrame:
-    """``in_secondary_location`` Yes/No by item membership (an
-    existence join); a NULL item is 'No'."""
-    s = secondary_items.select(F.col("item").alias("_si"), F.lit(True).alias("_in_sec"))
-    out = df.join(s, df["item"] == s["_si"], "left")
-    return out.withColumn("in_secondary_location",
-                          F.when(F.col("_in_sec"), F.lit("Yes")).otherwise(F.lit("No"))) \
-        .drop("_si", "_in_sec")
-
-
 def attach_stamp(df: DataFrame, freshness: DataFrame) -> DataFrame:
     """Attach the one-row freshness stamp as text (broadcast, one row)."""
     one = freshness.select(F.col("stamp_text").alias("inventory_as_of"))
@@ -135,19 +121,23 @@ def batch_label(file_name_col: str, token: str, prefix: str = "processed"):
         F.raise_error(F.concat(F.lit("split token not in file name: "), name)).cast("string"))
 
 
-def write_report(report: DataFrame, path: str, partition_by: str | None = "snapshot_date",
-                 fmt: str = "parquet") -> None:
-    """K1: overwrite the report; with ``partition_by`` only the batch's
-    partitions are replaced (dynamic partition overwrite)."""
-    w = report.write.mode("overwrite").format(fmt)
-    if partition_by and partition_by in report.columns:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
-    w.save(path)
+def _snapshot_folder(path: str, snapshot: date) -> str:
+    return f"{path.rstrip('/')}/snapshot_date={snapshot.isoformat()}"
+
+
+def write_report(report: DataFrame, path: str, snapshot: date, fmt: str = "parquet") -> int:
+    """K1: replace the snapshot's partition of the report, also by an empty one, and
+    return its rows. Other snapshots stay."""
+    folder = _snapshot_folder(path, snapshot)
+    out = report.drop("snapshot_date")
+    out.write.mode("overwrite").format(fmt).save(folder)
+    return report.sparkSession.read.schema(out.schema).format(fmt).load(folder).count()
 
 
-def write_inconsistency(rows: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """K2: write the UOM-inconsistency side output only when it has rows."""
-    if rows.isEmpty():
-        return False
-    rows.write.mode("overwrite").format(fmt).save(path)
-    return True
+def write_inconsistency(rows: DataFrame, path: str, snapshot: date, fmt: str = "parquet") -> int:
+    """K2: replace the snapshot's UOM-inconsistency side output and return its rows;
+    without rows there is no partition. The rows are computed once."""
+    n = write_report(rows, path, snapshot, fmt)
+    if not n:
+        drop_folder(rows.sparkSession, _snapshot_folder(path, snapshot))
+    return n

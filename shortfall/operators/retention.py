@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.functions import ts_lit
+from shortfall.session import reads_from, replace_folder
 
 
 def gate_open(as_of: date | datetime, day_range: tuple[int, int]) -> bool:
@@ -44,36 +45,57 @@ def retention_purge(df: DataFrame, ts_col: str, as_of: date | datetime,
     return df.filter((F.col(ts_col) >= ts_lit(month_start(as_of))) | F.col(ts_col).isNull())
 
 
-def archive_partitions(df: DataFrame, ts_col: str, as_of: date | datetime, day_range: tuple[int, int],
-                       archive_path: str, active_path: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write both sides of the split; each write is independent, failures are
-    reported per side rather than stopping the other."""
+def archive_rows(df: DataFrame, ts_col: str, as_of: date | datetime, day_range: tuple[int, int],
+                 archive_path: str, active_path: str, fmt: str = "parquet",
+                 partition_by: str | None = None) -> dict[str, int]:
+    """K4 on tables: move the old rows to the growing archive, then replace the active table.
+
+    The archive gets one partition ``archive_batch`` per distinct set of moved rows (named by month,
+    row count and checksum). A repeated run writes the same partition again, any other
+    run adds one, so earlier batches are never touched. The active table is replaced only after the
+    archived rows have been counted; ``active_path`` may be the folder that ``df`` reads.
+    Returns the rows archived and kept.
+    """
+    if reads_from(df, archive_path):
+        raise ValueError(f"the table is read from its archive {archive_path!r}")
     tagged = retention_split(df, ts_col, as_of, day_range)
-    result = {}
-    for side, path in (("archive", archive_path), ("active", active_path)):
-        try:
-            tagged.filter(F.col("retention") == side).drop("retention") \
-                .write.mode("overwrite").format(fmt).save(path)
-            result[side] = "ok"
-        except Exception as exc:  # noqa: BLE001 - keep the other side going
-            result[side] = f"failed: {exc}"
-    return result
+    old = tagged.filter(F.col("retention") == "archive").drop("retention")
+    moved, mark = old.agg(F.count("*"), F.sum(F.xxhash64(*old.columns).cast("decimal(38,0)"))).first()
+    if moved:
+        batch = f"{archive_path.rstrip('/')}/archive_batch={month_start(as_of):%Y%m}-{moved}-{int(mark) % (1 << 64):016x}"
+        old.write.mode("overwrite").format(fmt).save(batch)
+        written = df.sparkSession.read.schema(old.schema).format(fmt).load(batch).count()
+        if written != moved:
+            raise RuntimeError(f"archived {written} rows of {moved}; the active table is left as it was")
+    kept = replace_folder(tagged.filter(F.col("retention") == "active").drop("retention"), active_path, fmt, partition_by)
+    return {"archived": moved, "active": kept}
+
+
+def purge_rows(df: DataFrame, ts_col: str, as_of: date | datetime, day_range: tuple[int, int],
+               path: str, fmt: str = "parquet") -> dict[str, int]:
+    """K5 on tables: replace the table in ``path`` by the rows that stay; counts both."""
+    before = df.count()
+    kept = replace_folder(retention_purge(df, ts_col, as_of, day_range), path, fmt)
+    return {"removed": before - kept, "kept": kept}
 
 
 def run_maintenance(audit: DataFrame, audit_ts: str, audit_out: str,
                     outputs: DataFrame, outputs_ts: str, archive_path: str, active_path: str,
-                    as_of: date | datetime, day_range: tuple[int, int], fmt: str = "parquet") -> dict[str, str]:
+                    as_of: date | datetime, day_range: tuple[int, int], fmt: str = "parquet",
+                    partition_by: str | None = None) -> dict:
     """Monthly maintenance: purge old audit rows (K5) and archive old report
     rows (K4). Runs only inside the day-of-month gate; each task reports its
-    own failure without stopping the other."""
+    counts, or its own failure without stopping the other."""
     if not gate_open(as_of, day_range):
         return {"gate": "closed"}
-    result = {"gate": "open"}
-    try:
-        retention_purge(audit, audit_ts, as_of, day_range).write.mode("overwrite").format(fmt).save(audit_out)
-        result["purge"] = "ok"
-    except Exception as exc:  # noqa: BLE001 - maintenance keeps going
-        result["purge"] = f"failed: {exc}"
-    result.update({f"archive_{k}": v for k, v in
-                   archive_partitions(outputs, outputs_ts, as_of, day_range, archive_path, active_path, fmt).items()})
+    result: dict = {"gate": "open"}
+    tasks = {
+        "purge": lambda: purge_rows(audit, audit_ts, as_of, day_range, audit_out, fmt),
+        "archive": lambda: archive_rows(outputs, outputs_ts, as_of, day_range, archive_path, active_path, fmt, partition_by),
+    }
+    for name, task in tasks.items():
+        try:
+            result[name] = task()
+        except Exception as exc:  # noqa: BLE001 - maintenance keeps going
+            result[name] = f"failed: {exc}"
     return result

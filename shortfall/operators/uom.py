@@ -138,17 +138,24 @@ def attach_alternatives(rows: DataFrame, alt_table: DataFrame, condition=None) -
     compute the order quantity in the alternative UOM (P21)."""
     r = alt_table.select(*[F.col(k).alias(f"_a_{k}") for k in UOM_KEY],
                          "alt_uom_group", "to_uom", "from_uom", "conv_factor")
+    rest = None
+    if condition is not None:
+        # rows that cannot match do not travel to the join (most share one NULL key)
+        wanted = F.coalesce(condition, F.lit(False))
+        rows, rest = rows.filter(wanted), rows.filter(~wanted)
     cond = None
     for k in UOM_KEY:
         c = rows[k].eqNullSafe(r[f"_a_{k}"])
         cond = c if cond is None else cond & c
-    if condition is not None:
-        cond = cond & condition
     out = rows.join(r, cond, "left").drop(*[f"_a_{k}" for k in UOM_KEY])
+    if rest is not None:
+        types = {f.name: f.dataType for f in out.schema}
+        out = out.unionByName(rest.withColumns({c: F.lit(None).cast(types[c]) for c in ("alt_uom_group", "to_uom", "from_uom", "conv_factor")}))
     out = out.withColumn("_per_alt", ieee_div("rec_qty_ea", "conv_factor"))
     return out.withColumn("rec_qty_alt_uom", ceil_double("_per_alt")).drop("_per_alt")
 
 
+# The alternative table's columns.
 REVIEW_ALT_COLUMNS = (
     "vendor_item", "item", "replace_item", "alt_uom_group", "conv_factor",
     "rec_qty_buy_uom", "rec_qty_buy_uom_repl", "rec_qty_ea", "rec_qty_alt_uom",

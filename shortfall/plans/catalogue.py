@@ -218,7 +218,7 @@ def q_run_audit(spark, d):
     row = A.audit_row(counters, process_name="shortfall", process_id="1", source_file_path=None,
                       last_run_time=AUDIT_RUN_TIME, task_status="SUCCESS",
                       duration_seconds=AUDIT_DURATION_SECONDS, package_path="jobs/shortfall",
-                      log_file_path=None, process_frequency="Tue, Thu")
+                      log_file_path=None, process_frequency="weekly")
     return row.crossJoin(counters.select("selected_rows", "output_rows"))
 
 

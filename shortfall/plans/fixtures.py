@@ -37,6 +37,7 @@ class View:
 
 _PKG = (
     "CASE WHEN o_custkey % 11 = 0 THEN NULL WHEN o_custkey % 12 = 0 THEN '' "
+    "WHEN o_orderkey % 7 = 3 THEN concat(CAST(o_custkey % 6 + 2 AS STRING), ' EA/PK') "
     "WHEN o_custkey % 14 = 0 THEN 'EACH' "
     "WHEN o_custkey % 3 = 0 THEN concat(CAST(o_custkey % 5 + 1 AS STRING), ' EA/BX') "
     "ELSE concat(CAST(o_custkey % 5 + 1 AS STRING), ' EA/BX ', CAST(o_custkey % 4 + 2 AS STRING), "
@@ -48,7 +49,7 @@ _DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
 FEED = View("orders", (
     ("CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderpriority END", "risk_level"),
     ("CAST(o_orderkey AS STRING)", "customer_material_number"),
-    ("CASE WHEN o_orderkey % 5000 = 0 AND o_orderkey < 15000 THEN NULL "
+    ("CASE WHEN o_orderkey % 50 = 0 THEN NULL "
      "WHEN o_orderkey % 340 = 20 THEN concat('X', CAST(o_custkey AS STRING)) "
      "ELSE concat('V', CAST(o_custkey AS STRING)) END", "vendor_item"),
     ("CAST(o_custkey % 9 AS STRING)", "mioh"),
@@ -76,7 +77,7 @@ INVENTORY = View("lineitem", (
     ("concat('part ', CAST(l_partkey AS STRING))", "item_description"),
     ("CASE WHEN l_linestatus = 'O' THEN 'Yes' ELSE 'No' END", "active"),
     ("CASE WHEN l_linenumber = 7 THEN 'Yes' ELSE 'No' END", "discontinued"),
-    ("CASE WHEN l_partkey % 997 = 0 AND l_partkey < 3000 THEN NULL "
+    ("CASE WHEN l_partkey % 53 = 0 THEN NULL "
      "ELSE concat('V', CAST(l_partkey AS STRING)) END", "vendor_item"),
     ("concat('S', CAST(l_suppkey AS STRING))", "vendor"),
     ("'EA'", "stock_uom"),
@@ -109,7 +110,7 @@ DESCRIPTION = View("part", (
 # Substitute links.
 ITEM_LINK = View("part", (
     ("concat('G', CAST(p_partkey - p_partkey % 20 AS STRING))", "item_group"),
-    ("concat('I', CAST(p_partkey - p_partkey % 2 AS STRING))", "item"),
+    ("CASE WHEN p_partkey % 47 = 0 THEN NULL ELSE concat('I', CAST(p_partkey - p_partkey % 2 AS STRING)) END", "item"),
     ("concat('I', CAST(p_partkey + 2 AS STRING))", "replace_item"),
     ("CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE p_type END", "stage"),
 ))
@@ -158,14 +159,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Fixed parameters of the fixtures (never read the clock).
 COVERAGE_AS_OF = datetime(1998, 6, 15, 11, 30, 0)     # not midnight: floors partial days
-USAGE_AS_OF = datetime(2024, 1, 31, 0, 0, 0)     # window covers every event
-USAGE_WINDOW_DAYS = 366
+USAGE_AS_OF = datetime(2024, 1, 25, 0, 0, 0)     # events before and after the window
+USAGE_WINDOW_DAYS = 14
 USAGE_DIVISOR = 365
 FRESHNESS_AS_OF = datetime(2001, 11, 1, 0, 0, 0)
 FRESHNESS_DAYS = 10
 ARRIVALS_AS_OF = datetime(2024, 1, 31, 0, 0, 0)
 ARRIVALS_LOOKBACK_HOURS = 48
-ARRIVALS_MAX_MESSAGES = 25
+ARRIVALS_MAX_MESSAGES = 100
 ARRIVALS_KEYWORD = "view"
 ARRIVALS_PREFIX = "shortage"
 ARRIVALS_FALLBACK_FOLDER = "archive"

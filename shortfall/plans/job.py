@@ -13,11 +13,11 @@ from __future__ import annotations
 import threading
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shortfall import sources as S
@@ -28,6 +28,7 @@ from shortfall.operators import groups as G
 from shortfall.operators import recommend as R
 from shortfall.operators import reconcile as RC
 from shortfall.operators import report as RP
+from shortfall.operators import retention as RT
 from shortfall.operators import uom as U
 from shortfall.session import drop_folder, pin, pin_folder
 
@@ -51,8 +52,8 @@ class Params:
     row_order: Sequence[str] = ("customer_material_number",)
     # write multi-use intermediates once (see ``shortfall.session.pin``)
     pin_stages: bool = True
-    # NULL feed keys match NULL inventory keys ("match") or nothing ("drop")
-    null_keys: str = "match"
+    # NULL join keys (J4-J10) match nothing ("drop") or each other ("match")
+    null_keys: str = "drop"
     # e.g. "UTF8_LCASE" when the source database compares locations case-insensitively
     location_collation: str | None = None
 
@@ -60,13 +61,15 @@ class Params:
 def prepare_feed(raw_feed: DataFrame, p: Params, folder: str | None = None) -> DataFrame:
     """S1/D1 dedup, P1 selection, W2 row ids.
 
-    Row ids follow ``row_order``, then every other column: the lines are
-    distinct after the dedup, so the order is total (stable ids) and a hot or
-    NULL order key still spreads over the range partitions."""
+    Row ids follow ``row_order``, then a digest of the whole line: the lines are
+    distinct after the dedup, so the order is total (stable ids), a hot or
+    NULL order key still spreads over the range partitions, and the range
+    keys that Spark samples stay narrow."""
     feed = S.dedup_feed(raw_feed)
     feed = C.risk_selection(feed, p.risk_levels, p.duration_threshold)
-    cols = list(p.row_order) + [c for c in feed.columns if c not in p.row_order]
-    return C.assign_row_ids(feed, [F.col(c).asc_nulls_first() for c in cols], folder=folder)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in feed.columns]
+    feed = feed.withColumn("_line", F.md5(F.concat_ws("\u0002", *parts)))
+    return C.assign_row_ids(feed, [*[F.col(c).asc_nulls_first() for c in p.row_order], F.col("_line").asc()], folder=folder).drop("_line")
 
 
 class Stages:
@@ -153,21 +156,21 @@ class Stages:
 
     def _build_enriched_inventory(self):
         return E.enrich_inventory(self["reconciled_inventory"], self["reconciled_usage"], self["descriptions"],
-                                  self["reconciled_secondary_items"])
+                                  self["reconciled_secondary_items"], self.p.null_keys)
 
     def _build_active_links(self):
         return S.active_links(self.inputs["links"], self.p.excluded_stages)
 
     def _build_substitutes(self):
         return E.build_substitutes(self["active_links"], self["reconciled_inventory"],
-                                   self["reconciled_usage"], self["descriptions"])
+                                   self["reconciled_usage"], self["descriptions"], self.p.null_keys)
 
     def _build_coverage(self):
         matched = C.match_inventory(self["feed"], self["enriched_inventory"], self.p.null_keys)
         return C.coverage_metrics(matched, self.p.coverage_as_of, self.p.review_threshold)
 
     def _build_feed_with_substitutes(self):
-        return C.merge_substitutes(self["coverage"], self["substitutes"])
+        return C.merge_substitutes(self["coverage"], self["substitutes"], self.p.null_keys)
 
     def _build_group_quantities(self):
         return G.group_quantities(self["feed_with_substitutes"], self["reconciled_group_usage"])
@@ -216,7 +219,7 @@ def assemble_report(st: Stages, p: Params) -> DataFrame:
     flag, freshness stamp, fixed column order and display columns."""
     full = R.with_recommendations(st["full"], p.review_threshold)
     alts = U.alternative_table(st["review"], st["conversions"])
-    out = U.attach_alternatives(full, alts, condition=full["review_flag"] == "Review")
+    out = U.attach_alternatives(full, alts, condition=F.col("review_flag") == "Review")
     # set per item on the inventory side; unmatched feed rows have no item -> 'No'
     out = out.withColumn("in_secondary_location", F.coalesce(F.col("in_secondary_location"), F.lit("No")))
     out = RP.attach_stamp(out, st["freshness"])
@@ -226,10 +229,13 @@ def assemble_report(st: Stages, p: Params) -> DataFrame:
 
 def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_name: str = "shortfall",
             process_id: str = "1", source_file_path: str = "", package_path: str = "",
-            log_file_path: str = "", process_frequency: str = "Tue, Thu",
-            timeout_s: float | None = None) -> dict:
+            log_file_path: str = "", process_frequency: str,
+            timeout_s: float | None = None, maintenance: Callable[[], dict] | None = None) -> dict:
     """Materialise report, side output and audit row under ``out_dir``.
 
+    The feed must have every raw report column. ``maintenance`` (see
+    :func:`monthly_maintenance`) runs last, after success and failure alike.
+
     With ``timeout_s`` the run's Spark jobs form one job group that is
     cancelled when the time is up; the audit row then says TIMEOUT.
     """
@@ -256,27 +262,21 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
         timer = threading.Thread(target=_watch, daemon=True)
         timer.start()
     try:
+        S.validate_columns(inputs["feed"], "report")
         st = build_stages(inputs, p)
         pinned_feed = st["feed"]
-        feed, feed_obs = A.observe_feed(pinned_feed)
-        st.set("feed", feed)          # downstream stages read the observed feed
-        report, report_obs = A.observe_report(RP.sort_report(
-            st["report"].withColumn("snapshot_date", F.lit(p.coverage_as_of.date())),
-            leading=("snapshot_date",)))
-        RP.write_report(report, f"{out_dir}/report", partition_by="snapshot_date")
-        side = RP.write_inconsistency(RC.sort_inconsistency_rows(st["reconciled_uom_inconsistency"]),
-                                      f"{out_dir}/uom_inconsistency")
-        feed_counts = A.observed(feed_obs, lambda: A.run_counters(pinned_feed, pinned_feed.limit(0))
-                                 .select("feed_rows", "selected_rows").first().asDict())
-        report_counts = A.observed(report_obs, lambda: {
-            "output_rows": feed.sparkSession.read.parquet(f"{out_dir}/report").count()})
-        counters = A.counters_frame(feed.sparkSession, {**feed_counts, **report_counts})
+        snapshot = p.coverage_as_of.date()
+        output_rows = RP.write_report(RP.sort_report(st["report"]), f"{out_dir}/report", snapshot)
+        side_rows = RP.write_inconsistency(RC.sort_inconsistency_rows(st["reconciled_uom_inconsistency"]),
+                                           f"{out_dir}/uom_inconsistency", snapshot)
+        counts = {**A.feed_counters(pinned_feed), "output_rows": output_rows}
+        counters = A.counters_frame(spark, counts)
         row = A.audit_row(counters, process_name=process_name, process_id=process_id,
                           source_file_path=source_file_path, last_run_time=start, task_status="SUCCESS",
                           duration_seconds=time.monotonic() - t0, package_path=package_path,
                           log_file_path=log_file_path, process_frequency=process_frequency)
         A.append_audit(row, f"{out_dir}/run_audit")
-        return {"status": "SUCCESS", "side_output": side}
+        return {"status": "SUCCESS", "side_output": bool(side_rows), "side_rows": side_rows, **counts}
     except Exception as exc:
         if timer is not None:
             finished.set()
@@ -294,7 +294,7 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
                           source_file_path=source_file_path, last_run_time=start, task_status=status,
                           duration_seconds=time.monotonic() - t0, package_path=package_path,
                           log_file_path=log_file_path, process_frequency=process_frequency,
-                          error=str(exc)[:4000])
+                          error=str(exc))
         A.append_audit(row, f"{out_dir}/run_audit")
         raise
     finally:
@@ -305,3 +305,43 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
                 spark.sparkContext.setLocalProperty(key, None)   # leave the thread as it was
         if st is not None:
             st.release()
+        if maintenance is not None:
+            try:
+                maintenance()
+            except Exception:  # noqa: BLE001 - reported by the task itself; must not hide the run's outcome
+                pass
+
+
+def monthly_maintenance(spark: SparkSession, out_dir: str, as_of: datetime,
+                        day_range: tuple[int, int], results: list | None = None) -> Callable[[], dict]:
+    """The upkeep of a run's own outputs: purge ``run_audit`` and move old snapshots of ``report``
+    to ``report_archive``. Pass it as ``run_job(maintenance=...)``; ``results`` collects the outcome."""
+    def upkeep() -> dict:
+        if not RT.gate_open(as_of, day_range):
+            done: dict = {"gate": "closed"}
+        else:
+            done = {"gate": "open"}
+            tasks = {
+                "purge": lambda: RT.purge_rows(spark.read.parquet(f"{out_dir}/run_audit"), "last_run_time", as_of, day_range, f"{out_dir}/run_audit"),
+                "archive": lambda: RT.archive_rows(spark.read.parquet(f"{out_dir}/report"), "snapshot_date", as_of, day_range,
+                                                   f"{out_dir}/report_archive", f"{out_dir}/report", partition_by="snapshot_date"),
+            }
+            for name, task in tasks.items():
+                try:
+                    done[name] = task()
+                except Exception as exc:  # noqa: BLE001 - one task failing does not stop the other
+                    done[name] = f"failed: {exc}"
+        if results is not None:
+            results.append(done)
+        return done
+
+    return upkeep
+
+
+def run_latest_arrival(arrivals: DataFrame, feed: str, load: Callable[[str], DataFrame], inputs: dict[str, DataFrame],
+                       p: Params, out_dir: str, *, as_of: datetime, keyword: str, prefix: str,
+                       pick: dict | None = None, **job_kwargs) -> dict:
+    """The scheduled run: pick the newest feed file of ``feed`` among the arrivals (raise when there
+    is none), load it by name and run the job on it."""
+    chosen = S.require_arrival(S.latest_arrival(arrivals, as_of, keyword, prefix, **(pick or {})), feed).first()
+    return run_job({**inputs, "feed": load(chosen["file_name"])}, p, out_dir, source_file_path=chosen["file_name"], **job_kwargs)

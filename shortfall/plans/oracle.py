@@ -1,7 +1,7 @@
 """DuckDB oracle SQL for every catalogue query.
 
 Written independently of the Spark code: plain SQL with window functions,
-``IS NOT DISTINCT FROM`` for joins where NULL matches NULL, and explicit
+``IS NOT DISTINCT FROM`` for UOM keys, where NULL matches NULL, and explicit
 ``NULLS FIRST/LAST``. The fixture views are inlined as CTEs from
 ``fixtures.VIEWS`` so both engines read the same derived inputs.
 """
@@ -70,10 +70,9 @@ FEED_SEL = f"""feed_sel AS (SELECT *, CASE WHEN regexp_matches(coalesce(risk_lev
       AND coalesce(CAST(duration AS DOUBLE) >= {X.DURATION_THRESHOLD}, false)
       AND coalesce(CAST(forecast_qty AS DOUBLE) <> 0, true) THEN 'x' ELSE '' END AS risk_selected FROM feed_n)"""
 
-FEED = ("feed AS (SELECT *, row_number() OVER (ORDER BY " + ", ".join(
-    f"{c} ASC NULLS FIRST" for c in ("customer_material_number",)
-    + tuple(c for c in FEED_COLUMNS if c != "customer_material_number") + ("risk_selected",))
-    + ") AS row_id FROM feed_sel)")
+FEED = ("feed AS (SELECT *, row_number() OVER (ORDER BY customer_material_number ASC NULLS FIRST, "
+        "md5(concat_ws(chr(2), " + ", ".join(f"coalesce({c}, chr(1))" for c in FEED_COLUMNS + ("risk_selected",))
+        + "))) AS row_id FROM feed_sel)")
 
 LATEST = f"""latest AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY location, item ORDER BY report_stamp DESC NULLS LAST,
@@ -111,8 +110,8 @@ ENRICHED = f"""sec_items AS (SELECT DISTINCT item FROM latest WHERE location = {
 enriched AS (SELECT i.vendor_item, i.item, i.available_qty, i.on_order_qty, i.default_buy_uom,
     i.buy_uom_multiplier, i.stock_uom, i.report_stamp, u.avg_daily_issue, d.description3,
     CASE WHEN EXISTS (SELECT 1 FROM sec_items s WHERE s.item = i.item) THEN 'Yes' ELSE 'No' END AS in_secondary_location
-  FROM rec_inv i LEFT JOIN rec_use u ON i.item IS NOT DISTINCT FROM u.item
-  LEFT JOIN fx_description d ON i.item IS NOT DISTINCT FROM d.item)"""
+  FROM rec_inv i LEFT JOIN rec_use u ON i.item = u.item
+  LEFT JOIN fx_description d ON i.item = d.item)"""
 
 LINKS = f"""links AS (SELECT item_group, item, replace_item, stage FROM fx_item_link
   WHERE stage NOT IN {in_list(X.EXCLUDED_STAGES)})"""
@@ -124,9 +123,9 @@ SUBS = f"""subs AS (SELECT l.item_group, l.item, l.replace_item, l.stage, i.vend
     d.description3 AS repl_description3,
     CASE WHEN i.available_qty = 0 THEN 0.0 ELSE {div('i.available_qty', 'u.avg_daily_issue')} END AS repl_dioh,
     'With Sub' AS with_sub
-  FROM links l LEFT JOIN rec_inv i ON l.replace_item IS NOT DISTINCT FROM i.item
-  LEFT JOIN rec_use u ON l.replace_item IS NOT DISTINCT FROM u.item
-  LEFT JOIN fx_description d ON l.replace_item IS NOT DISTINCT FROM d.item)"""
+  FROM links l LEFT JOIN rec_inv i ON l.replace_item = i.item
+  LEFT JOIN rec_use u ON l.replace_item = u.item
+  LEFT JOIN fx_description d ON l.replace_item = d.item)"""
 
 _DAYS = (f"floor((epoch_us(CAST(f.est_delivery_date AS TIMESTAMP)) - epoch_us({ts(X.COVERAGE_AS_OF)}))"
          " / 86400000000.0)")
@@ -135,7 +134,7 @@ COV = f"""cov0 AS (SELECT f.*, e.vendor_item AS inv_vendor_item, e.item, e.avail
     e.in_secondary_location, coalesce(e._m, false) AS matched,
     CASE WHEN e.available_qty = 0 THEN 0.0 ELSE {div('e.available_qty', 'e.avg_daily_issue')} END AS dioh,
     CAST({_DAYS} AS DOUBLE) AS days_to_recover
-  FROM feed f LEFT JOIN (SELECT *, true AS _m FROM enriched) e ON f.vendor_item IS NOT DISTINCT FROM e.vendor_item),
+  FROM feed f LEFT JOIN (SELECT *, true AS _m FROM enriched) e ON f.vendor_item = e.vendor_item),
 cov AS (SELECT * EXCLUDE (matched, gap0), gap0 AS coverage_gap, {flag('gap0')} AS review_flag,
     CASE WHEN matched THEN 'Matched' ELSE 'Not Matched' END AS match_status,
     CASE WHEN matched AND avg_daily_issue IS NULL THEN 'No Issue Out' ELSE '' END AS no_issue_flag
@@ -150,7 +149,7 @@ MSUB = """msub AS (SELECT c.* REPLACE (
     s.item_group, s.replace_item, s.stage, s.repl_vendor_item, s.repl_available_qty, s.repl_on_order_qty,
     s.repl_default_buy_uom, s.repl_buy_uom_multiplier, s.repl_stock_uom, s.repl_avg_daily_issue,
     s.repl_description3, s.repl_dioh, s.with_sub
-  FROM cov c LEFT JOIN subs s ON c.item IS NOT DISTINCT FROM s.item)"""
+  FROM cov c LEFT JOIN subs s ON c.item = s.item)"""
 
 IG_QTY = f"""has_ig AS (SELECT * FROM msub WHERE item_group IS NOT NULL),
 ig_qty AS (SELECT g.item_group, g.available_qty_ig, u.rolling_daily_avg_7 AS avg_daily_issue_ig,
@@ -353,7 +352,7 @@ SELECT feed, tier, message_id, file_name, received_at FROM (
   '' AS source_file_path, {ts(AUDIT_RUN_TIME)} AS last_run_time, 'Not Applicable' AS target_table_name,
   'SUCCESS' AS task_status, (SELECT count(*) FROM feed) AS row_count, CAST({AUDIT_DURATION_SECONDS} AS INTEGER) AS duration,
   'jobs/shortfall' AS package_path, '' AS log_file_path, 'Not Applicable' AS stg_table_name,
-  'Tue, Thu' AS process_frequency, '' AS error,
+  'weekly' AS process_frequency, '' AS error,
   (SELECT count(*) FROM feed WHERE risk_selected = 'x') AS selected_rows,
   (SELECT count(*) FROM full_ds f LEFT JOIN alt_tab a ON {_ns('f', 'a')} AND f.review_flag = 'Review') AS output_rows"""
     return out

@@ -56,12 +56,6 @@ def build_session(master: str | None = None, app: str = "shortfall",
     return spark
 
 
-def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session."""
-    for k, v in SESSION_CONF.items():
-        spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder for pinned stages: the session checkpoint dir.
 
@@ -133,3 +127,44 @@ def list_pin_folders(spark: SparkSession) -> set[str]:
     if not fs.exists(base):
         return set()
     return {st.getPath().toString() for st in fs.listStatus(base)}
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return jvm, fs, fs.makeQualified(p)
+
+
+def reads_from(df, path: str) -> bool:
+    """Whether ``df`` reads files of the folder ``path`` (or ``path`` lies in a folder it reads)."""
+    spark = df.sparkSession
+    target = _file_system(spark, path)[2].toUri().getPath().rstrip("/") + "/"
+    for name in df.inputFiles():
+        file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name).toUri().getPath()
+        if file.startswith(target):
+            return True
+    return False
+
+
+def replace_folder(df, path: str, fmt: str = "parquet", partition_by: str | None = None) -> int:
+    """Replace the table in folder ``path`` by ``df``, which may read that folder, and return
+    its rows. The new table is written beside the old one and counted; then the folders change
+    names, and the old one is deleted last. A failure on the way leaves one whole table in place
+    (at worst under the name ``path`` + ``.old``, put back by the next call)."""
+    spark = df.sparkSession
+    jvm, fs, home = _file_system(spark, path)
+    beside = lambda suffix: jvm.org.apache.hadoop.fs.Path(home.toString() + suffix)
+    fresh, old = beside(".new"), beside(".old")
+    if not fs.exists(home) and fs.exists(old):
+        fs.rename(old, home)
+    writer = df.write.mode("overwrite").format(fmt)
+    (writer.partitionBy(partition_by) if partition_by else writer).save(fresh.toString())
+    rows = spark.read.schema(df.schema).format(fmt).load(fresh.toString()).count()
+    fs.delete(old, True)
+    if fs.exists(home) and not fs.rename(home, old):
+        raise OSError(f"cannot move {home}")
+    if not fs.rename(fresh, home):
+        raise OSError(f"cannot move {fresh}")
+    fs.delete(old, True)
+    return rows

@@ -58,12 +58,18 @@ def _locations(locations: str | Sequence[str]) -> list[str]:
 # ── S1 / D1: feed ────────────────────────────────────────────────────
 
 def read_feed(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read a landed feed as text columns and drop duplicate lines."""
+    """Read a landed feed as text columns and drop duplicate lines.
+
+    CSV columns are bound by header name, whatever their order; files whose headers differ from
+    each other fail instead of shifting columns. Names not in ``FEED_COLUMNS`` are left out,
+    missing ones stay missing for :func:`validate_columns` to report.
+    """
     if fmt == "csv":
-        raw = spark.read.schema(FEED_SCHEMA).option("header", True).csv(path)
+        raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+        raw = raw.toDF(*[c.strip() for c in raw.columns])
     else:
         raw = spark.read.format(fmt).load(path)
-    return dedup_feed(raw)
+    return dedup_feed(raw.select(*[c for c in FEED_COLUMNS if c in raw.columns]))
 
 
 def dedup_feed(feed: DataFrame) -> DataFrame:
@@ -89,7 +95,7 @@ def validate_columns(df: DataFrame, required: Sequence[str] | str = REQUIRED_COL
         required = FEED_COLUMNS
     missing = missing_columns(df, required)
     if missing:
-        raise ValueError(f"Validation failed. Missing columns: {missing}")
+        raise ValueError(f"the feed lacks required columns: {', '.join(missing)}")
     return True
 
 

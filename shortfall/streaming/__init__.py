@@ -1,11 +1,10 @@
 """Feed arrivals as an incremental file source.
 
-The job runs on a schedule and processes the newest feed file that arrived.
-Here the landing folder is a Structured Streaming file source: every
-scheduled run is an ``availableNow`` trigger, the checkpoint records which
-files were already processed (each file is handled once, also across
-restarts and executor loss), and ``foreachBatch`` runs the batch job on the
-newest file of the micro-batch.
+The landing folder is a Structured Streaming file source: every scheduled run
+is an ``availableNow`` trigger, the checkpoint records which files were already
+processed (each file is handled once, also across restarts and executor loss),
+and ``foreachBatch`` runs the batch job on every file of the micro-batch, oldest
+first. The stream carries file names only; the feed itself is read by header name.
 """
 
 from __future__ import annotations
@@ -13,63 +12,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shortfall.plans.job import Params, run_job
 from shortfall.session import ensure_checkpoint_dir
-from shortfall.sources import FEED_SCHEMA
+from shortfall.sources import read_feed
 
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-def feed_stream(spark: SparkSession, landing_dir: str, fmt: str = "csv",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of feed lines with the file each line came from."""
-    reader = spark.readStream.schema(FEED_SCHEMA).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+
+def arrival_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of landed files: (path, modificationTime)."""
+    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(landing_dir).select(
-        "*", F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("file_time"))
-
-
-def newest_file_rows(batch: DataFrame) -> DataFrame:
-    """Rows of the newest file in a batch (latest modification time, then
-    name). The choice is a one-row aggregate broadcast back to the rows."""
-    newest = batch.agg(F.max(F.struct("file_time", "source_file")).alias("_n")) \
-        .select(F.col("_n.source_file").alias("_newest"))
-    return batch.join(F.broadcast(newest), batch["source_file"] == F.col("_newest")).drop("_newest")
+    return reader.load(landing_dir).select("path", "modificationTime")
 
 
 def run_on_arrivals(spark: SparkSession, landing_dir: str, inputs: Callable[[SparkSession], dict],
                     params: Params, out_dir: str, checkpoint_location: str | None = None,
-                    fmt: str = "csv", only_newest: bool = True, every: str | None = None,
+                    fmt: str = "csv", every: str | None = None,
                     max_files_per_trigger: int | None = None, timeout_s: float | None = None,
                     **job_kwargs) -> list[dict]:
-    """Process the feed files that arrived since the last run.
+    """Process every feed file that arrived since the last run, one job run per file.
 
     ``inputs(spark)`` returns the inventory-side DataFrames (the ``feed`` key
-    is filled from the stream). One job output folder per micro-batch.
+    is filled from the file). Each file has an output folder
+    ``batch_<micro-batch>_<n>``, numbered by modification time, then name.
     Default: ``availableNow`` (take what has landed, then stop -- one
     scheduled run). ``every="1 hour"`` keeps polling the landing folder until
-    ``timeout_s``. With ``only_newest`` a batch holding several files runs the
-    job on the newest one, as the scheduled pick does; otherwise on all of them.
+    ``timeout_s``.
     """
     if checkpoint_location is None:
         checkpoint_location = ensure_checkpoint_dir(spark).rstrip("/") + "/feed-arrivals"
     results: list[dict] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = newest_file_rows(batch) if only_newest else batch
-        source = rows.select("source_file").limit(1).collect()[0][0]
-        data = dict(inputs(spark))
-        data["feed"] = rows.drop("source_file", "file_time")
-        res = run_job(data, params, f"{out_dir}/batch_{batch_id}", source_file_path=source, **job_kwargs)
-        results.append({"batch_id": batch_id, "source_file": source, **res})
+        files = batch.distinct().orderBy("modificationTime", "path").collect()      # names of one micro-batch's files
+        for n, file in enumerate(files):
+            data = dict(inputs(spark))
+            data["feed"] = read_feed(spark, file["path"], fmt)
+            out = f"{out_dir}/batch_{batch_id}_{n}"
+            res = run_job(data, params, out, source_file_path=file["path"], **job_kwargs)
+            results.append({"batch_id": batch_id, "source_file": file["path"], "out_dir": out, **res})
 
-    writer = (feed_stream(spark, landing_dir, fmt, max_files_per_trigger).writeStream
+    writer = (arrival_stream(spark, landing_dir, max_files_per_trigger).writeStream
               .foreachBatch(process)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -233,10 +233,10 @@ def test_latest_arrival(spark):
 
 # G14 -- batch label
 def test_batch_label(spark):
-    df = spark.createDataFrame([("Shortage Levels 03-18.xlsx",)], "name string")
-    assert df.select(RP.batch_label("name", "Levels", prefix="")).collect()[0][0] == " 03-18.xlsx"
+    df = spark.createDataFrame([("feed_03-18.xlsx",)], "name string")
+    assert df.select(RP.batch_label("name", "_", prefix="")).collect()[0][0] == "03-18.xlsx"
     with pytest.raises(Exception):
-        spark.createDataFrame([("no token.xlsx",)], "name string").select(RP.batch_label("name", "Levels")).collect()
+        spark.createDataFrame([("no token.xlsx",)], "name string").select(RP.batch_label("name", "_")).collect()
 
 
 # G15 -- retention
@@ -290,9 +290,12 @@ def test_freshness_null_when_stale(spark):
 def test_match_null_keys(spark):
     feed = spark.createDataFrame([(None, "x"), ("V1", "y"), ("V2", "z")], "vendor_item string, tag string")
     enr = spark.createDataFrame([(None, "I9", 1.0), ("V1", "I1", 2.0)], "vendor_item string, item string, q double")
-    out = C.match_inventory(feed, enr)
+    out = C.match_inventory(feed, enr, "match")
     got = rows(out, "tag", "item", "_matched")
     assert got == [("x", "I9", True), ("y", "I1", True), ("z", None, None)]
+    assert rows(C.match_inventory(feed, enr), "tag", "item") == [("x", None), ("y", "I1"), ("z", None)]
+    with pytest.raises(ValueError):
+        C.match_inventory(feed, enr, "other")
 
 
 def test_run_maintenance(spark, tmp_path):
@@ -304,12 +307,43 @@ def test_run_maintenance(spark, tmp_path):
     assert closed == {"gate": "closed"}
     res = RT.run_maintenance(audit, "last_run_time", d + "/a", out, "ts", d + "/arch", d + "/act",
                              datetime(2026, 3, 5), (3, 10))
-    assert res == {"gate": "open", "purge": "ok", "archive_archive": "ok", "archive_active": "ok"}
+    assert res == {"gate": "open", "purge": {"removed": 1, "kept": 1}, "archive": {"archived": 1, "active": 1}}
     assert spark.read.parquet(d + "/a").count() == 1
     assert [r.k for r in spark.read.parquet(d + "/arch").collect()] == [1]
     assert [r.k for r in spark.read.parquet(d + "/act").collect()] == [2]
 
 
+def test_archive_grows_and_the_active_table_may_be_read_in_place(spark, tmp_path):
+    d = str(tmp_path)
+    first = spark.createDataFrame([(k, datetime(2026, m, 5)) for k, m in ((1, 1), (2, 2), (3, 3), (4, 4))], "k int, ts timestamp_ntz")
+    first.write.parquet(d + "/act")
+    for as_of, total in ((datetime(2026, 2, 5), 1), (datetime(2026, 2, 6), 1), (datetime(2026, 4, 5), 3)):
+        RT.archive_rows(spark.read.parquet(d + "/act"), "ts", as_of, (3, 10), d + "/arch", d + "/act")
+        archived = spark.read.parquet(d + "/arch").select("k").collect()
+        active = spark.read.parquet(d + "/act").select("k").collect()
+        assert len(archived) == total and sorted(r.k for r in archived + active) == [1, 2, 3, 4]
+    with pytest.raises(ValueError):
+        RT.archive_rows(spark.read.parquet(d + "/arch"), "ts", datetime(2026, 5, 5), (3, 10), d + "/arch", d + "/act")
+    # late rows of an archived month add a batch, they replace nothing
+    first.limit(1).write.mode("append").parquet(d + "/act")
+    RT.archive_rows(spark.read.parquet(d + "/act"), "ts", datetime(2026, 4, 6), (3, 10), d + "/arch", d + "/act")
+    assert spark.read.parquet(d + "/arch").count() == 4
+
+
+def test_failed_archive_leaves_the_active_table(spark, tmp_path, monkeypatch):
+    d = str(tmp_path)
+    df = spark.createDataFrame([(1, datetime(2026, 1, 31)), (2, datetime(2026, 3, 1))], "k int, ts timestamp_ntz")
+    df.write.parquet(d + "/act")
+
+    def broken(*_args, **_kwargs):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(RT, "replace_folder", broken)
+    res = RT.run_maintenance(df, "ts", d + "/a", spark.read.parquet(d + "/act"), "ts", d + "/arch", d + "/act", datetime(2026, 3, 5), (3, 10))
+    assert res["archive"] == "failed: disk full" and res["purge"] == "failed: disk full"
+    assert spark.read.parquet(d + "/act").count() == 2
+
+
 def test_read_feed_csv(spark, tmp_path):
     from shortfall.sources import FEED_COLUMNS
     header = ",".join(FEED_COLUMNS)
@@ -326,6 +360,22 @@ def test_read_feed_csv(spark, tmp_path):
     S.validate_columns(feed, "report")
 
 
+def test_read_feed_csv_binds_columns_by_name(spark, tmp_path):
+    from shortfall.sources import FEED_COLUMNS
+    shuffled = list(reversed(FEED_COLUMNS)) + ["unknown"]
+    (tmp_path / "feed.csv").write_text(",".join(shuffled) + "\n" + ",".join(f"v_{c}" for c in shuffled) + "\n")
+    feed = S.read_feed(spark, str(tmp_path))
+    assert feed.columns == list(FEED_COLUMNS) and feed.first().asDict() == {c: f"v_{c}" for c in FEED_COLUMNS}
+    short = [c for c in FEED_COLUMNS if c != "duration"]
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "feed.csv").write_text(",".join(short) + "\n" + ",".join(f"v_{c}" for c in short) + "\n")
+    feed = S.read_feed(spark, str(tmp_path / "b"))
+    assert S.missing_columns(feed) == ["duration"] and feed.first()["est_delivery_date"] == "v_est_delivery_date"
+    (tmp_path / "b" / "other.csv").write_text(",".join(reversed(short)) + "\n" + ",".join(short) + "\n")
+    with pytest.raises(Exception):                  # headers of one folder must agree
+        S.read_feed(spark, str(tmp_path / "b")).collect()
+
+
 def test_usage_window_bounds(spark):
     as_of = datetime(2024, 1, 20)
     data = [("A", "I1", 365.0, datetime(2023, 1, 19)), ("A", "I1", 730.0, datetime(2024, 1, 20)),
@@ -341,12 +391,18 @@ def test_report_partition_overwrite(spark, tmp_path):
     path = str(tmp_path / "report")
     day1 = spark.createDataFrame([(1, date(2026, 3, 17)), (2, date(2026, 3, 17))], "k int, snapshot_date date")
     day2 = spark.createDataFrame([(3, date(2026, 3, 18))], "k int, snapshot_date date")
-    RP.write_report(day1, path)
-    RP.write_report(day2, path)
+    assert RP.write_report(day1, path, date(2026, 3, 17)) == 2
+    RP.write_report(day2, path, date(2026, 3, 18))
     assert spark.read.parquet(path).count() == 3          # other dates are kept
-    RP.write_report(day2.union(day2), path)
+    assert RP.write_report(day2.union(day2), path, date(2026, 3, 18)) == 2
     got = sorted((r.k, r.snapshot_date.isoformat()) for r in spark.read.parquet(path).collect())
     assert got == [(1, "2026-03-17"), (2, "2026-03-17"), (3, "2026-03-18"), (3, "2026-03-18")]
+    assert RP.write_report(day2.limit(0), path, date(2026, 3, 18)) == 0       # an empty rerun replaces the date
+    assert {r.snapshot_date.isoformat() for r in spark.read.parquet(path).collect()} == {"2026-03-17"}
+    side = str(tmp_path / "side")
+    assert RP.write_inconsistency(day1, side, date(2026, 3, 17)) == 2
+    assert RP.write_inconsistency(day1.limit(0), side, date(2026, 3, 17)) == 0
+    assert not (tmp_path / "side" / "snapshot_date=2026-03-17").exists()
 
 
 def test_location_collation(spark):

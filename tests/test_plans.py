@@ -50,3 +50,22 @@ def test_scans_read_only_needed_columns(spark):
     p = plan(CAT.QUERIES["retention_purge"](spark, SF_SMALL))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", p).group(1)
     assert set(f.split(":")[0] for f in schema.split(",")) == {"o_orderkey", "o_orderdate", "o_orderstatus"}
+
+
+def test_row_id_range_key_is_narrow(spark):
+    p = CAT.prepare_feed(CAT.X.load(spark, SF_SMALL, "fx_feed"), CAT.PARAMS)
+    assert p.columns[-1] == "row_id"
+    from shortfall.operators import ordinal
+    seen = []
+    keep, ordinal.pin = ordinal.pin, lambda df, name, folder=None: seen.append(plan(df)) or keep(df, name, folder)
+    try:
+        CAT.prepare_feed(CAT.X.load(spark, SF_SMALL, "fx_feed"), CAT.PARAMS)
+    finally:
+        ordinal.pin = keep
+    keys = re.search(r"Exchange rangepartitioning\((.*?), \d+\)", seen[0]).group(1)
+    assert keys.count(" ASC") == 2
+
+
+def test_rows_that_cannot_match_skip_the_alternative_join(spark):
+    p = plan(CAT.QUERIES["final_report"](spark, SF_SMALL))
+    assert "Union" in p

@@ -1,5 +1,5 @@
 """Feed arrivals through the incremental file source: each new file is
-processed once, the newest file of a batch wins, a rerun finds nothing new."""
+processed once, every file of a batch has its run, a rerun finds nothing new."""
 
 import os
 import tempfile
@@ -30,14 +30,15 @@ def test_arrivals_processed_once(spark):
     time.sleep(1.2)
     newer.coalesce(1).write.option("header", True).csv(os.path.join(landing, "b"))
     ckpt = os.path.join(root, "ckpt")
-    res = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"), ckpt)
-    assert len(res) == 1 and res[0]["status"] == "SUCCESS"
-    assert "/b/" in res[0]["source_file"]
-    report = spark.read.parquet(os.path.join(root, "out", f"batch_{res[0]['batch_id']}", "report"))
-    assert report.select("row_id").distinct().count() == feed.count()
-    audit = spark.read.parquet(os.path.join(root, "out", f"batch_{res[0]['batch_id']}", "run_audit")).collect()
-    assert audit[0].task_status == "SUCCESS" and audit[0].row_count == feed.count()
-    again = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"), ckpt)
+    res = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"), ckpt, process_frequency="weekly")
+    assert [r["status"] for r in res] == ["SUCCESS"] * 2 and {r["batch_id"] for r in res} == {0}
+    assert ["/a/" in res[0]["source_file"], "/b/" in res[1]["source_file"]] == [True, True]     # oldest first, none is lost
+    for r, lines in zip(res, (older, newer)):
+        report = spark.read.parquet(os.path.join(r["out_dir"], "report"))
+        assert report.select("row_id").distinct().count() == lines.count()
+        audit = spark.read.parquet(os.path.join(r["out_dir"], "run_audit")).collect()
+        assert audit[0].task_status == "SUCCESS" and audit[0].row_count == lines.count()
+    again = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"), ckpt, process_frequency="weekly")
     assert again == []
 
 
@@ -48,7 +49,7 @@ def test_each_file_in_its_own_batch(spark):
     feed.filter(F.col("branch") == "F").coalesce(1).write.option("header", True).csv(os.path.join(landing, "a"))
     feed.filter(F.col("branch") == "O").coalesce(1).write.option("header", True).csv(os.path.join(landing, "b"))
     res = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"),
-                          os.path.join(root, "ckpt"), max_files_per_trigger=1, only_newest=False)
+                          os.path.join(root, "ckpt"), max_files_per_trigger=1, process_frequency="weekly")
     assert len(res) == 2 and all(r["status"] == "SUCCESS" for r in res)
     assert {os.path.basename(os.path.dirname(r["source_file"])) for r in res} == {"a", "b"}
 
@@ -60,6 +61,6 @@ def test_processing_time_trigger_stops_at_timeout(spark):
     feed.coalesce(1).write.option("header", True).csv(os.path.join(landing, "a"))
     t0 = time.time()
     res = run_on_arrivals(spark, landing + "/*", _inputs, CAT.PARAMS, os.path.join(root, "out"),
-                          os.path.join(root, "ckpt"), every="1 second", timeout_s=25)
+                          os.path.join(root, "ckpt"), every="1 second", timeout_s=25, process_frequency="weekly")
     assert len(res) == 1 and res[0]["status"] == "SUCCESS"
     assert time.time() - t0 < 120
