@@ -116,3 +116,43 @@ def scan(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -
         "path", F.coalesce("license_id", "dir_license").alias("license_id"), F.when(has, F.col("score")).otherwise(F.col("dir_score")).alias("score"),
         F.when(has & F.col("whole"), "file").when(has, "header").when(F.col("dir_license").isNotNull(), "inherited").alias("origin"),
         F.when(~has, F.col("from_dir")).alias("from_dir"))
+
+
+def oracle_sql(files: str, threshold: float = THRESHOLD) -> str:
+    """DuckDB SQL for ``scan`` with the built-in templates; ``files`` is a query of (doc_id, path, text) with distinct paths."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    rows = ", ".join(f"({i}, {quoted(n)}, {quoted(t)})" for i, (n, t) in enumerate(TEMPLATES))
+    words = "string_split_regex(lower({}), '[^a-z0-9]+')"
+    return f"""
+WITH files AS ({files}), tpl(template, license_id, text) AS (VALUES {rows}),
+tt AS (SELECT template, license_id, term, count(*) AS tf FROM (
+  SELECT template, license_id, unnest({words.format('text')}) AS term FROM tpl) WHERE term <> '' GROUP BY ALL),
+total AS (SELECT count(*)::DOUBLE AS n FROM files),
+df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({words.format('text')})) AS term FROM files) GROUP BY term),
+idf AS (SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), total),
+w AS (SELECT template, license_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS w FROM tt JOIN idf USING (term)),
+units AS (
+  SELECT path, 0 AS kind, generate_subscripts(string_split(text, chr(10)), 1) AS unit, unnest(string_split(text, chr(10))) AS part FROM files
+  UNION ALL
+  SELECT path, 1, generate_subscripts(string_split_regex(text, '\\n[ \\t\\r]*\\n'), 1), unnest(string_split_regex(text, '\\n[ \\t\\r]*\\n')) FROM files
+  UNION ALL SELECT path, 2, 0, text FROM files),
+counted AS (SELECT path, kind, unit, term, count(*) AS tf FROM (
+  SELECT path, kind, unit, unnest({words.format('part')}) AS term FROM units) WHERE term <> '' GROUP BY ALL),
+weighed AS (SELECT c.*, tf * coalesce(idf, ln(1.0 + n) + 1.0) AS x FROM counted c LEFT JOIN idf USING (term), total),
+norms AS (SELECT path, kind, unit, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
+dots AS (SELECT path, kind, unit, template, license_id, sum(x * w) AS dot FROM weighed JOIN w USING (term) GROUP BY ALL),
+scored AS (SELECT path, kind = 2 AS whole, license_id, max(round(dot / norm, 6)) AS score FROM dots JOIN norms USING (path, kind, unit)
+  WHERE round(dot / norm, 6) >= {threshold} GROUP BY ALL),
+own AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY path, whole ORDER BY score DESC, license_id) = 1),
+mine AS (SELECT * FROM own QUALIFY row_number() OVER (PARTITION BY path ORDER BY whole DESC) = 1),
+placed AS (SELECT doc_id, path, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS dir FROM files),
+declared AS (SELECT dir, license_id, score FROM own JOIN placed USING (path) WHERE whole
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1),
+climbed AS (SELECT dir, depth, array_to_string(string_split(dir, '/')[1:depth], '/') AS from_dir FROM (
+  SELECT dir, unnest(range(0, CASE WHEN dir = '' THEN 1 ELSE len(string_split(dir, '/')) + 1 END)) AS depth FROM (SELECT DISTINCT dir FROM placed))),
+nearest AS (SELECT c.dir, c.from_dir, d.license_id, d.score FROM climbed c JOIN declared d ON d.dir = c.from_dir
+  QUALIFY row_number() OVER (PARTITION BY c.dir ORDER BY depth DESC) = 1)
+SELECT p.doc_id, coalesce(m.license_id, n.license_id) AS license_id, CASE WHEN m.license_id IS NULL THEN n.score ELSE m.score END AS score,
+  CASE WHEN m.whole THEN 'file' WHEN m.license_id IS NOT NULL THEN 'header' WHEN n.license_id IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN m.license_id IS NULL THEN n.from_dir END AS from_dir
+FROM placed p LEFT JOIN mine m USING (path) LEFT JOIN nearest n ON n.dir = p.dir"""

@@ -77,4 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": sharding.oracle_sql(SHARDS)}
+    files = ("SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id // 1000 AS VARCHAR)) || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, "
+             "text FROM documents")
+    return {"op1_sharding": sharding.oracle_sql(SHARDS), "op4_license_scan": licenses.oracle_sql(files)}

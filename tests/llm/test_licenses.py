@@ -1,4 +1,7 @@
+import duckdb
+from conftest import SF_MID
 from shortfall.llm import licenses as L
+from shortfall.llm import queries
 
 SCHEMA = "path string, text string, license_id string, score double"
 
@@ -36,3 +39,11 @@ def test_empty_tables_repeats_and_no_templates(spark):
     assert sorted((r["path"], r["license_id"], r["origin"]) for r in rows) == [("d/a", "MIT", "file")] * 2 + [("d/b", "MIT", "inherited")]
     none = L.scan(spark.createDataFrame([("d/a", "Released under the MIT License.", "", 0.0)], SCHEMA), L.template_table(spark).limit(0)).collect()
     assert [(r["license_id"], r["origin"]) for r in none] == [(None, None)]
+
+
+def test_oracle_on_documents(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF_MID}/documents.parquet'")
+    want = sorted(con.execute(queries.oracle_sql()["op4_license_scan"]).fetchall(), key=str)
+    got = sorted(map(tuple, queries.QUERIES["op4_license_scan"](spark, SF_MID).collect()), key=str)
+    assert got == want and {r[3] for r in got} >= {"header"}
