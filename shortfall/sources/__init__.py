@@ -130,10 +130,9 @@ def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
     """Newest *active* snapshot row per (location, item).
 
     Filters run before ranking. Ordering: ``report_stamp DESC NULLS LAST`` then
-    ``tie_break`` columns descending; computed as a partial aggregate.
-    ``columns`` narrows the carried row first (the aggregate cannot prune
-    fields of its struct, so wide descriptive columns would otherwise be
-    sorted and shuffled for nothing).
+    ``tie_break`` columns descending; every key is limited to one row per map
+    task before the shuffle. ``columns`` narrows the carried row first, so that wide
+    descriptive columns are not sorted for nothing.
     """
     rows = normalise_types(_active(inv, locations, collation))
     if columns is not None:
@@ -218,7 +217,7 @@ def latest_arrival(arrivals: DataFrame, as_of: datetime, keyword: str, prefix: s
 
     The top-N rank is a filtered ``dense_rank`` (Spark inserts a partial
     group limit before the shuffle, so a hot folder stays cheap); the final
-    choice is a partial ``max(struct)`` aggregate.
+    choice is a filtered ``row_number`` with the same limit.
     """
     msg_order = Window.partitionBy("feed", "folder").orderBy(
         F.col("received_at").desc(), F.col("message_id").desc())

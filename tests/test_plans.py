@@ -34,9 +34,10 @@ def test_top_n_is_limited_before_the_shuffle(spark):
     assert any(i > exchange for i in limits), "partial group limit must sit below (before) the exchange"
 
 
-def test_latest_snapshot_aggregates_before_the_shuffle(spark):
-    p = plan(CAT.QUERIES["latest_inventory"](spark, SF_SMALL))
-    assert "partial_max(struct" in p
+def test_latest_snapshot_is_limited_before_the_shuffle(spark):
+    lines = plan(CAT.QUERIES["latest_inventory"](spark, SF_SMALL)).splitlines()
+    exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(location" in l)
+    assert any("WindowGroupLimit" in l and "Partial" in l for l in lines[exchange:])
 
 
 def test_filters_reach_the_scan(spark):
