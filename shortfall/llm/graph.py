@@ -6,17 +6,29 @@ checkpoint folder; nothing but a row count and a checksum goes to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shortfall.session import pin, pin_folder
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of written stages: it acts when the driver
+    collects garbage, which a mostly idle driver does too seldom for a small disk."""
+    gc.collect()
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): the cluster cleans up by itself
+        pass
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).select(F.col("a").alias("u"), "m")
-    return both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ others), form a class; only its first occurrence (smallest doc_id, then line num
   therefore probes the segment indexes of its own and the ``EDITS`` shorter lengths by few substrings.
 * Lines meeting at a key are compared with the key's smallest line first; only pairs
   still in different components are compared after that, so a large group is not compared all with all.
-* A pair is verified by a banded bit-parallel edit distance (one machine word holds the
+* A pair whose counts of common letters differ by more than the edits allow is passed over, inside the
+  join already; the others are verified by a banded bit-parallel edit distance (one machine word holds the
   band) over what is left after its common ends.
 
 Everything is DataFrame operations. Defined results: NULL text has no lines; empty and short lines
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shortfall.llm.graph import components
+from shortfall.llm.graph import components, free_shuffles
 from shortfall.session import pin, pin_folder
 
 EDITS = 2
@@ -118,18 +119,48 @@ def within_edits(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     return rows.where(F.when(F.col("_t.m") <= edits, True).when(F.col("_t.n") == 0, False).otherwise(distance <= edits)).select(*pairs.columns)
 
 
+# Letters that are counted, by their frequency in Latin-script text.
+LETTERS = "etaoinsrhldcumpg"
+
+
+def _letters(line: str) -> list[Column]:
+    """Counts of ``LETTERS``, eight bits each, in two numbers; larger counts as 255."""
+    counts = [F.least(F.length(line) - F.length(F.replace(F.col(line), F.lit(c), F.lit(""))), F.lit(255)).cast("bigint") for c in LETTERS]
+    packed = []
+    for half in (counts[:8], counts[8:]):
+        total = half[0]
+        for k, n in enumerate(half[1:], 1):
+            total = total.bitwiseOR(F.shiftleft(n, 8 * k))
+        packed.append(total)
+    return packed
+
+
+def _letters_near(edits: int) -> Column:
+    """An edit changes at most two counts by one."""
+    total = F.lit(0).cast("bigint")
+    for x, y in (("a_s", "b_s"), ("a_t", "b_t")):
+        for k in range(8):
+            at = lambda c, k=k: F.shiftrightunsigned(F.col(c), 8 * k).bitwiseAND(255)
+            total = total + F.abs(at(x) - at(y))
+    return total <= 2 * edits
+
+
 def _fetch(docs: DataFrame, ids: DataFrame, owners: DataFrame) -> DataFrame:
-    """(h, line) of the lines ``ids (h)``, read again from the documents that own them."""
+    """(h, line, s, t) of the lines ``ids (h)``, read again from the documents that own them, with their letter counts."""
     wanted = owners.join(ids, "h").select("h", "check", F.col("owner").alias("doc_id"))
     where = wanted.select("doc_id").distinct()
     if where.count() <= BROADCAST_DOCS:
         where = F.broadcast(where)
     found = lines(docs.join(where, "doc_id", "left_semi").select("doc_id", "text")).select("doc_id", "line", _id("line").alias("h"), _check("line").alias("check"))
-    return found.join(wanted, ["doc_id", "h", "check"]).select("h", "line").distinct()
+    s, t = _letters("line")
+    return found.join(wanted, ["doc_id", "h", "check"]).select("h", "line").distinct().select("h", "line", s.alias("s"), t.alias("t"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    both = (pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("a_line")), "a")
+    # letter counts first: texts are fetched for what they leave
+    marks = lambda x: texts.select(F.col("h").alias(x), F.col("s").alias(f"{x}_s"), F.col("t").alias(f"{x}_t"))
+    close = pairs.join(marks("a"), "a").join(marks("b"), "b").where(_letters_near(edits)).select("a", "b")
+    both = (close.join(texts.select(F.col("h").alias("a"), F.col("line").alias("a_line")), "a")
             .join(texts.select(F.col("h").alias("b"), F.col("line").alias("b_line")), "b"))
     return within_edits(both, "a_line", "b_line", edits).select("a", "b")
 
@@ -149,6 +180,7 @@ def near_lines(docs: DataFrame, owners: DataFrame, edits: int, min_edit_chars: i
            .withColumn("low", F.min("h").over(by_key)).withColumn("high", F.max("h").over(by_key))
            .where("head IS NOT NULL AND low <> high").select("key", "probe", "h", "head"))
     met = pin(met, "keys", folder)
+    free_shuffles(docs.sparkSession)
     stars = pin(met.where("h <> head").select(F.least("head", "h").alias("a"), F.greatest("head", "h").alias("b")).distinct(), "stars", folder)
     text = pin(_fetch(docs, stars.select(F.col("a").alias("h")).union(stars.select("b")).distinct(), owners), "texts", folder)
     links = pin(_verified(stars, text, edits), "links", folder)
@@ -156,12 +188,13 @@ def near_lines(docs: DataFrame, owners: DataFrame, edits: int, min_edit_chars: i
     placed = met.join(known, met["h"] == known["node"], "left").select("key", "probe", "h", "head", F.coalesce("component", "h").alias("c"))
     head = known.select(F.col("node").alias("head"), F.col("component").alias("k"))
     tagged = placed.join(head, "head", "left").withColumn("k", F.coalesce("k", "head")).where("h <> head")
-    outside = tagged.where("c <> k").select("key", F.col("probe").alias("a_probe"), F.col("h").alias("a"), F.col("c").alias("a_c"))
-    inside = tagged.select("key", F.col("probe").alias("b_probe"), F.col("h").alias("b"), F.col("c").alias("b_c"), (F.col("c") == F.col("k")).alias("member"))
-    rest = (outside.join(inside, "key").where((F.col("a_probe") != F.col("b_probe")) & (F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") != F.col("b"))))
+    tagged = tagged.join(text.select("h", "s", "t"), "h")
+    outside = tagged.where("c <> k").select("key", F.col("probe").alias("a_probe"), F.col("h").alias("a"), F.col("c").alias("a_c"), F.col("s").alias("a_s"), F.col("t").alias("a_t"))
+    inside = tagged.select("key", F.col("probe").alias("b_probe"), F.col("h").alias("b"), F.col("c").alias("b_c"), F.col("s").alias("b_s"), F.col("t").alias("b_t"))
+    rest = (outside.join(inside, "key").where((F.col("a_probe") != F.col("b_probe")) & (F.col("a_c") != F.col("b_c")) & _letters_near(edits))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = pin(_verified(rest, text, edits), "more", folder)
-    return components(links.union(more))
+    return known if more.isEmpty() else components(links.union(more))
 
 
 def classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS) -> DataFrame:
