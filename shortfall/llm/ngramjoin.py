@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shortfall.llm import text as T
-from shortfall.llm.graph import components
+from shortfall.llm.graph import components, free_shuffles
 from shortfall.session import pin, pin_folder
 
 PERCENT = 75
@@ -37,6 +37,8 @@ SIGNATURE_WORDS = 8
 #: Shingles kept in the list of frequent ones, and documents of a batch from which a shingle is a candidate for it.
 FREQUENT = 1 << 16
 FREQUENT_IN_BATCH = 8
+#: Documents whose ids may be broadcast to read their texts again; beyond it texts are shuffled.
+BROADCAST_DOCS = 500_000
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -139,6 +141,8 @@ def _bounded(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
 def _sorted_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """(doc_id, set): sorted shingle hashes of the documents of ``pairs``."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    if wanted.count() <= BROADCAST_DOCS:
+        wanted = F.broadcast(wanted)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,18 +189,21 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     least = heads.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z")
     copies = copies.union(heads.join(least.drop("z"), ["h1", "h2", "n"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b")))
     tiles = pin(_tiles(signed.where("n > 0")), "tiles", folder)
+    free_shuffles(docs.sparkSession)
 
     # with the smallest document of a tile: first one comparison for each document, then those still apart
     stars = tiles.where("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
     stars = pin(_bounded(stars, signed, percent), "stars", folder)
-    sets = pin(_sorted_sets(docs, stars.where(~F.col("equal")), n), "sets", folder)
-    links = copies.union(stars.where("equal").select("a", "b"))
-    known = pin(components(links), "equal", folder)
-    first = _apart(stars.groupBy("b").agg(F.min("a").alias("a")), known)
-    links = links.union(pin(_linked(first, sets, percent), "first", folder))
+    open_ = stars.where(~F.col("equal"))
+    sets = pin(_sorted_sets(docs, open_, n), "sets", folder)
+    first = pin(_linked(open_.groupBy("b").agg(F.min("a").alias("a")), sets, percent), "first", folder)
+    links = copies.union(stars.where("equal").select("a", "b")).union(first)
     known = pin(components(links), "known", folder)
-    links = links.union(pin(_linked(_apart(stars, known), sets, percent), "second", folder))
-    known = pin(components(links), "most", folder)
+    free_shuffles(docs.sparkSession)
+    second = pin(_linked(_apart(open_, known), sets, percent), "second", folder)
+    if not second.isEmpty():
+        links = links.union(second)
+        known = pin(components(links), "most", folder)
 
     # then the documents of a tile outside its first document's component with the others
     placed = tiles.join(known, tiles["doc"] == known["node"], "left").select("token", "doc", "n", "least", F.coalesce("component", "doc").alias("c"))
@@ -207,6 +214,7 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     rest = (outside.join(inside, "token").where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & _may_reach("a_n", "b_n", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     rest = pin(_bounded(rest, signed, percent), "rest", folder).select("a", "b")
+    free_shuffles(docs.sparkSession)
     if not rest.isEmpty():
         links = links.union(_linked(rest, _sorted_sets(docs, rest, n), percent))
         known = components(links)
