@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shortfall.llm.graph import free_shuffles
 from shortfall.operators.ordinal import sequence
 from shortfall.session import pin, pin_folder
 
@@ -120,14 +121,15 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     versions = both.select("k", "mark", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))).alias("v"))
     prints = fingerprints(versions.select("k", "mark", "v.which", F.col("v.t").alias("text")), ["k", "mark", "which"], samples)
     prints = prints.groupBy("k", "mark").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("f"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("e"))
-    prints = pin(prints, "prints", folder)
     about = both.select("k", "mark", F.col("n").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     mine = prints.select(F.col("k").alias("fk"), F.col("mark").alias("fmark"), F.col("f"), F.col("e"))
+    # one plan for both, so that texts are moved once
+    prints = pin(about.join(mine, (F.col("k") == F.col("fk")) & _same("mark", "fmark"), "left").drop("fk", "fmark"), "prints", folder)
+    free_shuffles(docs.sparkSession)
     later = prints.select(F.col("k").alias("nk"), F.col("mark").alias("nmark"), F.col("f").alias("next_f"))
     steps = plan.select(F.col("k").alias("pk"), F.col("mark").alias("pmark"), "next_k", "next_mark")
     following = (steps.join(later, (F.col("next_k") == F.col("nk")) & _same("next_mark", "nmark"), "left").select("pk", "pmark", "next_f"))
-    out = (about.join(mine, (F.col("k") == F.col("fk")) & _same("mark", "fmark"), "left")
-           .join(following, (F.col("k") == F.col("pk")) & _same("mark", "pmark"), "left"))
+    out = prints.join(following, (F.col("k") == F.col("pk")) & _same("mark", "pmark"), "left")
     empty = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     return (out.select("k", "n_chars", "edited_sha256", empty("f"), empty("e"), empty("next_f"))
             .select(F.when(F.col("k") != _NO_ID, F.col("k")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", F.col("f").alias("fingerprint"),
