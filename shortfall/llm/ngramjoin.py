@@ -32,8 +32,9 @@ from shortfall.llm.graph import components, free_shuffles
 from shortfall.session import pin, pin_folder
 
 PERCENT = 75
-#: Bits of a signature, in 64-bit words.
-SIGNATURE_WORDS = 8
+#: Length of a signature in 64-bit words, for sets of up to so many shingles and for larger ones (a short signature of
+#: a large set is full and bounds nothing).
+SHORT_WORDS, SHORT_SET, LONG_WORDS = 8, 512, 64
 #: Shingles kept in the list of frequent ones, and documents of a batch from which a shingle is a candidate for it.
 FREQUENT = 1 << 16
 FREQUENT_IN_BATCH = 8
@@ -71,7 +72,6 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, n:
     spark = docs.sparkSession
     order = np.argsort(frequent)
     shared = spark.sparkContext.broadcast((frequent[order], order + 1))
-    bit_count = 64 * SIGNATURE_WORDS
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ranks = shared.value
@@ -81,6 +81,7 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, n:
             cols: list[list] = [[] for _ in range(8)]
             for row, h in _sets(batch, n):
                 h1, h2 = int(T.mix(h).sum(dtype=np.uint64)), int(T.mix(h ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
+                bit_count = 64 * (SHORT_WORDS if len(h) <= SHORT_SET else LONG_WORDS)
                 parity = np.bincount((h >> np.uint64(40)).astype(np.int64) % bit_count, minlength=bit_count) & 1
                 key = (len(h), h1, h2)
                 mine = first_of.setdefault(key, ids[row]) if ids[row] is not None else None
@@ -110,15 +111,17 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, n:
 
 
 def _tiles(signed: DataFrame) -> DataFrame:
-    """(token, doc, n, least): prefix shingles that at least two documents have, with the tile's
-    smallest document. Frequent shingles are aggregated first (a row each), so no tile is one task."""
+    """(token, doc, n, least, least_n, peers): prefix shingles that at least two documents have, with the tile's
+    smallest document, its set size and the tile's number of rows. Frequent shingles are aggregated first (a row each), so no tile is one task."""
     rare = signed.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("doc"), "n")
     hot = signed.select(F.explode("hot").alias("token"), F.col("doc_id").alias("doc"), "n")
     by_token = Window.partitionBy("token")
-    cold = rare.withColumn("least", F.min("doc").over(by_token)).withColumn("most", F.max("doc").over(by_token))
-    heads = hot.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    cold = (rare.withColumn("head", F.min(F.struct("doc", "n")).over(by_token)).withColumn("most", F.max("doc").over(by_token))
+            .withColumn("peers", F.count("*").over(by_token)))
+    heads = hot.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("head"), F.max("doc").alias("most"), F.count("*").alias("peers"))
     warm = hot.join(F.broadcast(heads), "token")                     # at most FREQUENT rows
-    return cold.unionByName(warm).where("least <> most").drop("most")
+    return (cold.unionByName(warm).where("head.doc <> most")
+            .select("token", "doc", "n", F.col("head.doc").alias("least"), F.col("head.n").alias("least_n"), "peers"))
 
 
 def _may_reach(n: str, m: str, percent: int) -> Column:
@@ -130,7 +133,8 @@ def _bounded(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """(a, b, equal): the pairs that may be linked by size band and signature; equal sets need no look."""
     narrow = signed.select("doc_id", "n", "h1", "h2", "bits")
     side = lambda x: narrow.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "h1", "h2", "bits")])
-    differing = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    differing = F.when(F.size("a_bits") == F.size("b_bits"), F.aggregate(
+        F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)).otherwise(0)
     bound = F.floor((F.col("a_n") + F.col("b_n") - differing) / 2)
     # overlap >= percent / (100 + percent) of the sizes' sum is the same as Jaccard >= percent
     return (pairs.join(side("a"), "a").join(side("b"), "b").where(_may_reach("a_n", "b_n", percent))
@@ -192,7 +196,7 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     free_shuffles(docs.sparkSession)
 
     # with the smallest document of a tile: first one comparison for each document, then those still apart
-    stars = tiles.where("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
+    stars = tiles.where((F.col("doc") != F.col("least")) & _may_reach("n", "least_n", percent)).select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
     stars = pin(_bounded(stars, signed, percent), "stars", folder)
     open_ = stars.where(~F.col("equal"))
     sets = pin(_sorted_sets(docs, open_, n), "sets", folder)
@@ -206,7 +210,8 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
         known = pin(components(links), "most", folder)
 
     # then the documents of a tile outside its first document's component with the others
-    placed = tiles.join(known, tiles["doc"] == known["node"], "left").select("token", "doc", "n", "least", F.coalesce("component", "doc").alias("c"))
+    larger = tiles.where("peers > 2")                # a tile of two has been compared
+    placed = larger.join(known, larger["doc"] == known["node"], "left").select("token", "doc", "n", "least", F.coalesce("component", "doc").alias("c"))
     head = placed.where("doc = least").groupBy("token").agg(F.min("c").alias("head_c"))
     tagged = placed.join(head, "token")
     outside = tagged.where("c <> head_c").select("token", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("c").alias("a_c"))
