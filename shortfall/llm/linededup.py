@@ -40,7 +40,8 @@ def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def _id(line: str) -> Column:
-    return F.xxhash64(line)
+    """A line's number: a hash whose lowest bit is free."""
+    return F.xxhash64(line).bitwiseAND(-2)
 
 
 def _check(line: str) -> Column:
@@ -49,8 +50,9 @@ def _check(line: str) -> Column:
 
 
 def segment_keys(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """(key, probe, h) of the distinct lines ``texts (line, h)``: one index row per segment, and a probe
-    row for each substring that a line within the distance and not longer could have as its segment."""
+    """(key, code) of the distinct lines ``texts (line, h)``: one index row per segment, and a probe
+    row for each substring that a line within the distance and not longer could have as its segment.
+    The code is ``h``, plus 1 in a probe row."""
     specs = [(False, i, 0, 0) for i in range(edits + 1)]
     for shorter in range(edits + 1):
         for i in range(edits + 1):                  # i counts from 0; the bounds are those of multi-match-aware selection
@@ -64,7 +66,7 @@ def segment_keys(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
     size = base + F.when(F.col("i") >= parts - longer, 1).otherwise(0)
     start = F.col("i") * base + F.greatest(F.lit(0), F.col("i") - (parts - longer)) + F.col("off") + 1
     return (rows.withColumn("start", start).withColumn("size", size).where("start >= 1 AND start + size - 1 <= n")
-            .select(F.xxhash64("i", "l", F.col("line").substr(F.col("start"), F.col("size"))).alias("key"), "probe", "h"))
+            .select(F.xxhash64("i", "l", F.col("line").substr(F.col("start"), F.col("size"))).alias("key"), F.col("h").bitwiseOR(F.col("probe").cast("bigint")).alias("code")))
 
 
 def _common_start(a: Column, b: Column) -> Column:
@@ -175,7 +177,9 @@ def near_lines(docs: DataFrame, owners: DataFrame, edits: int, min_edit_chars: i
     """(node, component) of lines (by hash) that have a near line."""
     texts = lines(docs, min_edit_chars).groupBy("line").agg(F.count("*").alias("n")).select("line", _id("line").alias("h"))
     by_key = Window.partitionBy("key")
-    met = (segment_keys(texts, edits, min_edit_chars)
+    # dealt by key before anything is added, so that only key and code travel
+    met = (segment_keys(texts, edits, min_edit_chars).repartition("key")
+           .select("key", (F.col("code").bitwiseAND(1) == 1).alias("probe"), F.col("code").bitwiseAND(-2).alias("h"))
            .withColumn("head", F.min(F.when(~F.col("probe"), F.col("h"))).over(by_key))
            .withColumn("low", F.min("h").over(by_key)).withColumn("high", F.max("h").over(by_key))
            .where("head IS NOT NULL AND low <> high").select("key", "probe", "h", "head"))
@@ -190,8 +194,8 @@ def near_lines(docs: DataFrame, owners: DataFrame, edits: int, min_edit_chars: i
     tagged = placed.join(head, "head", "left").withColumn("k", F.coalesce("k", "head")).where("h <> head")
     tagged = tagged.join(text.select("h", "s", "t"), "h")
     outside = tagged.where("c <> k").select("key", F.col("probe").alias("a_probe"), F.col("h").alias("a"), F.col("c").alias("a_c"), F.col("s").alias("a_s"), F.col("t").alias("a_t"))
-    inside = tagged.select("key", F.col("probe").alias("b_probe"), F.col("h").alias("b"), F.col("c").alias("b_c"), F.col("s").alias("b_s"), F.col("t").alias("b_t"))
-    rest = (outside.join(inside, "key").where((F.col("a_probe") != F.col("b_probe")) & (F.col("a_c") != F.col("b_c")) & _letters_near(edits))
+    inside = tagged.select("key", F.col("probe").alias("b_probe"), F.col("h").alias("b"), F.col("c").alias("b_c"), F.col("s").alias("b_s"), F.col("t").alias("b_t"), (F.col("c") == F.col("k")).alias("member"))
+    rest = (outside.join(inside, "key").where((F.col("a_probe") != F.col("b_probe")) & (F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & _letters_near(edits))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = pin(_verified(rest, text, edits), "more", folder)
     return known if more.isEmpty() else components(links.union(more))
