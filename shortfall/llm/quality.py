@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from shortfall.llm import text as T
 from shortfall.session import pin, pin_folder
@@ -263,7 +264,7 @@ def select(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, rows: int
             out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(_log_weight(m, x), mask=n == 0)], [*names, "_log_weight"])
             yield out.filter(pa.array(n > 0))
 
-    schema = docs.schema.add("_log_weight", "double")
+    schema = StructType([*docs.schema.fields, StructField("_log_weight", DoubleType())])
     scored = docs.mapInArrow(score, schema)
     docs_kept = scored if math.isinf(least) and least < 0 else scored.where(gumbel_key(F.col("_log_weight"), seed) >= least)
     return docs_kept.select(*[F.col(f"`{c}`") for c in names])
