@@ -16,7 +16,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat or nearly repeat an earlier line."""
-    return linededup.remove_lines(docs)
+    return linededup.remove_lines(docs, **linededup.ALL_LINES)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Near-duplicate line removal by a segment-partition edit join (operator 6, native).
 
-Lines of at least ``MIN_CHARS`` characters that repeat exactly, and lines of at least
-``MIN_EDIT_CHARS`` characters within edit distance ``EDITS`` of each other (directly or through
-others), form a class; only its first occurrence (smallest doc_id, then line number) stays.
+Lines of at least ``min_chars`` characters that repeat exactly, and lines of at least
+``min_edit_chars`` characters within edit distance ``EDITS`` of each other (directly or through
+others), form a class; only its first occurrence (smallest doc_id, then line number) stays. The query and
+the pipeline run with ``ALL_LINES``: every line that is not blank, and edits for every line that the method can split.
 
 * A line of length ``l`` is split into ``EDITS + 1`` segments. By the pigeonhole principle a line
   within the distance holds one of them unchanged, at a start that the two lengths bound; every line
@@ -13,8 +14,8 @@ others), form a class; only its first occurrence (smallest doc_id, then line num
   join already; the others are verified by a banded bit-parallel edit distance (one machine word holds the
   band) over what is left after its common ends.
 
-Everything is DataFrame operations. Defined results: NULL text has no lines; empty and short lines
-always stay; NULL doc_id is left alone; rows that repeat a doc_id count as one document;
+Everything is DataFrame operations. Defined results: NULL text has no lines; empty and blank lines (spaces, tabs,
+carriage returns) and lines under ``min_chars`` always stay; NULL doc_id is left alone; rows that repeat a doc_id count as one document;
 a document that loses all its lines goes (:func:`remove_lines`); an empty table gives no rows. Line ends are ``\\n``; characters are code points.
 """
 
@@ -29,6 +30,8 @@ from shortfall.session import pin, pin_folder
 EDITS = 2
 MIN_CHARS = 10
 MIN_EDIT_CHARS = 30
+#: No line is left out but blank ones; a line of up to ``EDITS`` characters has no segment that must stay unchanged.
+ALL_LINES = {"min_chars": 1, "min_edit_chars": EDITS + 1}
 #: Documents whose ids may be broadcast to fetch their lines.
 BROADCAST_DOCS = 500_000
 
@@ -36,7 +39,7 @@ BROADCAST_DOCS = 500_000
 def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, line_no, line) of the lines that take part."""
     return (docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
-            .where(F.length("line") >= min_chars))
+            .where((F.length("line") >= min_chars) & (F.btrim("line", F.lit(" \t\r")) != "")))
 
 
 def _id(line: str) -> Column:
@@ -147,13 +150,13 @@ def _letters_near(edits: int) -> Column:
     return total <= 2 * edits
 
 
-def _fetch(docs: DataFrame, ids: DataFrame, owners: DataFrame) -> DataFrame:
+def _fetch(docs: DataFrame, ids: DataFrame, owners: DataFrame, min_chars: int) -> DataFrame:
     """(h, line, s, t) of the lines ``ids (h)``, read again from the documents that own them, with their letter counts."""
     wanted = owners.join(ids, "h").select("h", "check", F.col("owner").alias("doc_id"))
     where = wanted.select("doc_id").distinct()
     if where.count() <= BROADCAST_DOCS:
         where = F.broadcast(where)
-    found = lines(docs.join(where, "doc_id", "left_semi").select("doc_id", "text")).select("doc_id", "line", _id("line").alias("h"), _check("line").alias("check"))
+    found = lines(docs.join(where, "doc_id", "left_semi").select("doc_id", "text"), min_chars).select("doc_id", "line", _id("line").alias("h"), _check("line").alias("check"))
     s, t = _letters("line")
     return found.join(wanted, ["doc_id", "h", "check"]).select("h", "line").distinct().select("h", "line", s.alias("s"), t.alias("t"))
 
@@ -186,7 +189,7 @@ def near_lines(docs: DataFrame, owners: DataFrame, edits: int, min_edit_chars: i
     met = pin(met, "keys", folder)
     free_shuffles(docs.sparkSession)
     stars = pin(met.where("h <> head").select(F.least("head", "h").alias("a"), F.greatest("head", "h").alias("b")).distinct(), "stars", folder)
-    text = pin(_fetch(docs, stars.select(F.col("a").alias("h")).union(stars.select("b")).distinct(), owners), "texts", folder)
+    text = pin(_fetch(docs, stars.select(F.col("a").alias("h")).union(stars.select("b")).distinct(), owners, min_edit_chars), "texts", folder)
     links = pin(_verified(stars, text, edits), "links", folder)
     known = pin(components(links), "known", folder)
     placed = met.join(known, met["h"] == known["node"], "left").select("key", "probe", "h", "head", F.coalesce("component", "h").alias("c"))

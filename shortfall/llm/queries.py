@@ -50,7 +50,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.classes(table(spark, sf_dir, "documents"))
+    return linededup.classes(table(spark, sf_dir, "documents"), **linededup.ALL_LINES)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
