@@ -1,7 +1,7 @@
 """Removal of repeated substrings by sparse suffix sorting (operator 8).
 
 A byte goes if a string of ``length`` bytes that covers it also starts earlier
-(smaller doc_id, or same document and earlier start). Documents are compared as UTF-8
+(smaller doc_id, for one doc_id smaller hash of the text, or same document and earlier start). Documents are compared as UTF-8
 bytes; matches never cross documents.
 
 1. Every window of ``length`` bytes has an anchor, the leftmost smallest hashed
@@ -16,8 +16,8 @@ bytes; matches never cross documents.
    Grams with very many different blocks are spread over tasks by window instead.
 
 Defined results: NULL and empty text have no bytes and nothing removed; rows that repeat a
-doc_id with the same text count as one document, each gets the same result;
-NULL doc_id counts as the smallest; an empty table gives no rows; texts shorter than ``length`` stay.
+doc_id with the same text count as one document, each gets the same result; rows of one doc_id with
+different texts are different documents, in the order of the texts' hashes; NULL doc_id counts as the smallest; an empty table gives no rows; texts shorter than ``length`` stay.
 """
 
 from __future__ import annotations
@@ -74,56 +74,57 @@ def blocks(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tupl
     return h[anchor], whole, doc, lo - offsets[doc], hi - offsets[doc]
 
 
-def _runs(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _runs(doc: np.ndarray, sub: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Windows lo..hi as byte spans, with spans of windows that follow each other joined; rows are in order."""
     if not len(doc):
-        return doc, lo, hi
-    turn = np.flatnonzero((doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1] + 1)) + 1
+        return doc, sub, lo, hi
+    turn = np.flatnonzero((doc[1:] != doc[:-1]) | (sub[1:] != sub[:-1]) | (lo[1:] > hi[:-1] + 1)) + 1
     first, last = np.concatenate([[0], turn]), np.concatenate([turn - 1, [len(doc) - 1]])
-    return doc[first], lo[first], hi[last] + length
+    return doc[first], sub[first], lo[first], hi[last] + length
 
 
 def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(kg, bh, doc, lo, hi, done): blocks; blocks that repeat in a batch are reported as spans
+    """(kg, bh, doc, sub, lo, hi, done): blocks; blocks that repeat in a batch are reported as spans
     that go (``done``, with the span in lo and hi) and leave only their first."""
     def anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, subs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             parts = []
-            for first, _, raw, offsets in T.blocks(*T.buffers(batch.column(1))):
+            for first, _, raw, offsets in T.blocks(*T.buffers(batch.column(2))):
                 kg, bh, doc, lo, hi = blocks(raw, offsets, length, gram)
-                parts.append((kg, bh, ids[first + doc], lo, hi))
+                parts.append((kg, bh, ids[first + doc], subs[first + doc], lo, hi))
             if not parts:
                 continue
-            kg, bh, doc, lo, hi = (np.concatenate(x) for x in zip(*parts))
-            if (np.diff(doc) < 0).any():
-                order = np.lexsort((lo, doc))
-                kg, bh, doc, lo, hi = kg[order], bh[order], doc[order], lo[order], hi[order]
+            kg, bh, doc, sub, lo, hi = (np.concatenate(x) for x in zip(*parts))
+            even = doc[1:] == doc[:-1]
+            if ((doc[1:] < doc[:-1]) | (even & (sub[1:] < sub[:-1])) | (even & (sub[1:] == sub[:-1]) & (lo[1:] <= lo[:-1]))).any():
+                order = np.lexsort((lo, sub, doc))
+                kg, bh, doc, sub, lo, hi = kg[order], bh[order], doc[order], sub[order], lo[order], hi[order]
             by = np.argsort(T.mix(kg + bh * np.uint64(T.BASE)), kind="stable")
             same = np.zeros(len(kg), bool)
-            k, b, d, at = kg[by], bh[by], doc[by], lo[by]
+            k, b, d, u, at = kg[by], bh[by], doc[by], sub[by], lo[by]
             equal = (k[1:] == k[:-1]) & (b[1:] == b[:-1])
             head = np.maximum.accumulate(np.where(np.concatenate([[True], ~equal]), np.arange(len(k)), 0)) if len(k) else np.zeros(0, np.int64)
-            same[by] = (d != d[head]) | (at != at[head])
-            gone, start, end = _runs(doc[same], lo[same], hi[same], length)
+            same[by] = (d != d[head]) | (u != u[head]) | (at != at[head])
+            gone, gone_sub, start, end = _runs(doc[same], sub[same], lo[same], hi[same], length)
             columns = [np.concatenate([kg[~same], T.mix(gone.astype(np.uint64) * np.uint64(T.BASE) + start.astype(np.uint64))]).view(np.int64),
                        np.concatenate([bh[~same], np.zeros(len(gone), np.uint64)]).view(np.int64),
-                       np.concatenate([doc[~same], gone]), np.concatenate([lo[~same], start]), np.concatenate([hi[~same], end]),
+                       np.concatenate([doc[~same], gone]), np.concatenate([sub[~same], gone_sub]), np.concatenate([lo[~same], start]), np.concatenate([hi[~same], end]),
                        np.concatenate([np.zeros(len(doc) - same.sum(), bool), np.ones(len(gone), bool)])]
-            yield pa.RecordBatch.from_arrays([pa.array(c) if i < 3 or i == 5 else pa.array(c.astype(np.int32)) for i, c in enumerate(columns)], ["kg", "bh", "doc", "lo", "hi", "done"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) if i < 4 or i == 6 else pa.array(c.astype(np.int32)) for i, c in enumerate(columns)], ["kg", "bh", "doc", "sub", "lo", "hi", "done"])
 
-    return docs.mapInArrow(anchor, "kg long, bh long, doc long, lo int, hi int, done boolean")
+    return docs.mapInArrow(anchor, "kg long, bh long, doc long, sub long, lo int, hi int, done boolean")
 
 
 def met(rows: DataFrame) -> DataFrame:
     """What is left to do of each block: ``done`` rows are spans that go, the others first blocks of a
     gram with several different ones (``peers`` of them, counted with repeats)."""
-    gram, block = Window.partitionBy("kg"), Window.partitionBy("kg", "bh").orderBy("doc", "lo")
-    seen = (rows.withColumn("first_doc", F.first("doc").over(block)).withColumn("first_lo", F.first("lo").over(block))
+    gram, block = Window.partitionBy("kg"), Window.partitionBy("kg", "bh").orderBy("doc", "sub", "lo")
+    seen = (rows.withColumn("first_doc", F.first("doc").over(block)).withColumn("first_sub", F.first("sub").over(block)).withColumn("first_lo", F.first("lo").over(block))
             .withColumn("least", F.min("bh").over(gram)).withColumn("most", F.max("bh").over(gram)).withColumn("peers", F.count("*").over(gram)))
-    later = (F.col("doc") != F.col("first_doc")) | (F.col("lo") != F.col("first_lo"))
+    later = (F.col("doc") != F.col("first_doc")) | (F.col("sub") != F.col("first_sub")) | (F.col("lo") != F.col("first_lo"))
     return (seen.where(F.col("done") | later | (F.col("least") != F.col("most")))
-            .select("kg", "doc", "lo", "hi", "peers", "done", (~F.col("done") & later).alias("later")))
+            .select("kg", "doc", "sub", "lo", "hi", "peers", "done", (~F.col("done") & later).alias("later")))
 
 
 class BlindTrie:
@@ -202,17 +203,18 @@ def equal_suffixes(raw: np.ndarray, at: np.ndarray, group: np.ndarray, length: i
 
 
 def _contents(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(key, doc, lo, bytes) of the blocks listed in each document's row; windows one by one for grams with many blocks."""
+    """(key, doc, sub, lo, bytes) of the blocks listed in each document's row; windows one by one for grams with many blocks."""
     for batch in batches:
         raw, offsets = T.buffers(batch.column("text"))
-        keys, docs, starts, parts = [], [], [], []
-        for base, end, doc, todo in zip(offsets.tolist(), offsets[1:].tolist(), batch.column("doc").to_pylist(), batch.column("todo").to_pylist()):
+        keys, docs, subs, starts, parts = [], [], [], [], []
+        for base, end, doc, sub, todo in zip(offsets.tolist(), offsets[1:].tolist(), batch.column("doc").to_pylist(), batch.column("sub").to_pylist(), batch.column("todo").to_pylist()):
             data = raw[base:end].tobytes()
             for b in todo:
                 lo, hi = b["lo"], b["hi"]
                 if b["peers"] <= MANY:
                     keys.append(b["kg"])
                     docs.append(doc)
+                    subs.append(sub)
                     starts.append(lo)
                     parts.append(data[lo:hi + length])
                 else:
@@ -220,18 +222,19 @@ def _contents(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
                         part = data[p:p + length]
                         keys.append(int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True))
                         docs.append(doc)
+                        subs.append(sub)
                         starts.append(p)
                         parts.append(part)
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(parts, pa.binary())], ["key", "doc", "lo", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(docs, pa.int64()), pa.array(subs, pa.int64()), pa.array(starts, pa.int32()), pa.array(parts, pa.binary())], ["key", "doc", "sub", "lo", "bytes"])
 
 
 def _later_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Spans of windows that have an earlier equal one; rows come sorted by key. The last key of a batch
     goes on with the next batch, with the first of each of its classes only."""
-    held: tuple[list, list, list, list] = ([], [], [], [])
+    held: tuple[list, list, list, list, list] = ([], [], [], [], [])
 
-    def settle(keys: np.ndarray, docs: np.ndarray, starts: np.ndarray, parts: list[bytes]) -> tuple[pa.RecordBatch | None, np.ndarray]:
+    def settle(keys: np.ndarray, docs: np.ndarray, subs: np.ndarray, starts: np.ndarray, parts: list[bytes]) -> tuple[pa.RecordBatch | None, np.ndarray]:
         """(spans that go, for each row whether all its windows go)."""
         raw = np.frombuffer(b"".join(parts), np.uint8)
         sizes = np.array([len(p) for p in parts], np.int64)
@@ -239,23 +242,23 @@ def _later_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
         counts = sizes - length + 1
         row = np.repeat(np.arange(len(parts)), counts)
         inside = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        at, doc, start = begin[row] + inside, docs[row], starts[row] + inside
+        at, doc, sub, start = begin[row] + inside, docs[row], subs[row], starts[row] + inside
         group = np.cumsum(np.concatenate([[True], keys[1:] != keys[:-1]]))[row]
         gone = np.zeros(len(row), bool)
         for names in equal_suffixes(raw, at, group, length):
-            d, s = doc[names], start[names]
-            first = np.lexsort((s, d))[0]
-            gone[names[(d != d[first]) | (s != s[first])]] = True
+            d, u, s = doc[names], sub[names], start[names]
+            first = np.lexsort((s, u, d))[0]
+            gone[names[(d != d[first]) | (u != u[first]) | (s != s[first])]] = True
         spent = np.bincount(row[gone], minlength=len(parts)) == counts
         if not gone.any():
             return None, spent
-        order = np.lexsort((start[gone], doc[gone]))
-        d, s = doc[gone][order], start[gone][order]
-        d, s, e = _runs(d, s, s, length)
-        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], ["doc", "start", "end"]), spent
+        order = np.lexsort((start[gone], sub[gone], doc[gone]))
+        d, u, s = doc[gone][order], sub[gone][order], start[gone][order]
+        d, u, s, e = _runs(d, u, s, s, length)
+        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(u), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], ["doc", "sub", "start", "end"]), spent
 
-    def rows(columns) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        return np.array(columns[0], np.int64), np.array(columns[1], np.int64), np.array(columns[2], np.int64), columns[3]
+    def rows(columns) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        return *(np.array(c, np.int64) for c in columns[:4]), columns[4]
 
     for batch in batches:
         if not batch.num_rows:
@@ -271,20 +274,22 @@ def _later_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
 
 
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc, start, end): byte spans that go, possibly overlapping; ``doc`` is doc_id with NULL as the smallest number."""
+    """(doc, sub, start, end): byte spans that go, possibly overlapping; ``doc`` is doc_id with NULL as the smallest number, ``sub`` the text's hash."""
     spark = docs.sparkSession
     left = pin(met(anchored(docs, length, gram)), "blocks", pin_folder(spark))
-    whole = left.where("done").select("doc", F.col("lo").alias("start"), F.col("hi").alias("end")).union(
-        left.where("later").select("doc", "lo", F.col("hi") + length))
-    todo = left.where("NOT done AND NOT later").groupBy("doc").agg(F.collect_list(F.struct("kg", "lo", "hi", "peers")).alias("todo"))   # blocks of one document
-    contents = docs.join(todo, "doc").mapInArrow(lambda b: _contents(b, length), "key long, doc long, lo int, bytes binary")
+    whole = left.where("done").select("doc", "sub", F.col("lo").alias("start"), F.col("hi").alias("end")).union(
+        left.where("later").select("doc", "sub", "lo", F.col("hi") + length))
+    todo = left.where("NOT done AND NOT later").groupBy("doc", "sub").agg(F.collect_list(F.struct("kg", "lo", "hi", "peers")).alias("todo"))   # blocks of one document
+    contents = docs.join(todo, ["doc", "sub"]).mapInArrow(lambda b: _contents(b, length), "key long, doc long, sub long, lo int, bytes binary")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_keys = contents.repartition(n, "key").sortWithinPartitions("key")
-    return whole.union(sorted_keys.mapInArrow(lambda b: _later_windows(b, length), "doc long, start int, end int"))
+    return whole.union(sorted_keys.mapInArrow(lambda b: _later_windows(b, length), "doc long, sub long, start int, end int"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """(doc, sub, text): doc_id alone does not tell rows with different texts apart, so the text's hash goes with it."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(text).alias("sub"), text.alias("text"))
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: bool = False) -> DataFrame:
@@ -292,7 +297,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
     if not 8 <= gram <= length:
         raise ValueError("gram must be at least 8 and at most length")
     base = keyed(docs)
-    gone = spans(base, length, gram).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("gone"))    # spans of one document
+    gone = spans(base, length, gram).groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "end")).alias("gone"))    # spans of one document
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,4 +321,4 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_bytes: b
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:5 + with_bytes])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
-    return base.join(gone, "doc", "left").mapInArrow(keep, schema)
+    return base.join(gone, ["doc", "sub"], "left").mapInArrow(keep, schema)
