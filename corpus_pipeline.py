@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shortfall.llm import decontam, linededup, ngramjoin, packing, quality, queries
+from shortfall.llm import decontam, linededup, ngramjoin, packing, quality, queries, rowkeys
 from shortfall.session import pin, pin_folder
 
 
@@ -20,14 +20,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are the first of their component of near copies; rows without doc_id stay."""
-    others = ngramjoin.join(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that are the first of their component of near copies, also among rows of one doc_id or without one."""
+    rows = rowkeys.keyed(docs)
+    others = ngramjoin.join(rows).where("component_id <> doc_id").select("doc_id").distinct()
+    return rowkeys.unkeyed(rows.join(others, "doc_id", "left_anti"), docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontam.remove_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
+    """Rows that hold no benchmark item."""
+    return rowkeys.unkeyed(decontam.remove_leaks(rowkeys.keyed(docs), queries.table(spark, sf_dir, "benchmark")), docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

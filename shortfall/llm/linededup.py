@@ -15,8 +15,9 @@ the pipeline run with ``ALL_LINES``: every line that is not blank, and edits for
   band) over what is left after its common ends.
 
 Everything is DataFrame operations. Defined results: NULL text has no lines; empty and blank lines (spaces, tabs,
-carriage returns) and lines under ``min_chars`` always stay; NULL doc_id is left alone; rows that repeat a doc_id count as one document;
-a document that loses all its lines goes (:func:`remove_lines`); an empty table gives no rows. Line ends are ``\\n``; characters are code points.
+carriage returns) and lines under ``min_chars`` always stay; in :func:`classes` NULL doc_id is left alone and rows that
+repeat a doc_id count as one document; :func:`remove_lines` takes every row as a document of its own, rows without doc_id
+last, and a document of which only blank lines are left goes; an empty table gives no rows. Line ends are ``\\n``; characters are code points.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shortfall.llm.graph import components, free_shuffles
+from shortfall.llm.rowkeys import keyed, unkeyed
 from shortfall.session import pin, pin_folder
 
 EDITS = 2
@@ -225,11 +227,12 @@ def classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, min
 
 def remove_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS) -> DataFrame:
     """``docs`` without the later lines of each class; ``n_chars`` (if there) follows the text."""
+    columns, docs = docs.columns, keyed(docs)
     gone = (classes(docs, edits, min_chars, min_edit_chars).where("removed").groupBy(F.col("doc_id").alias("_doc"))
             .agg(F.collect_set("line_no").alias("_gone")))                       # lines of one document
     joined = docs.join(gone, docs["doc_id"] == F.col("_doc"), "left")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).where("_gone IS NULL OR text <> ''")
+    out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).where(F.col("_gone").isNull() | (F.btrim("text", F.lit(" \t\r\n")) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unkeyed(out, columns)
