@@ -51,6 +51,11 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def forget() -> None:
+    """Free the kept powers (32 MB and more): a worker that goes on to other work has no use for them."""
+    _powers.clear()
+
+
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; NULL is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -6,6 +6,8 @@ punctuation other than the apostrophe. A batch is cut at these places, each
 distinct chunk is encoded once, and ids are gathered back in text order. This
 gives the ids of encoding the whole text (tested), without encoding the same
 word thousands of times. A text holding non-ASCII white space is one chunk.
+The library takes the strings of special tokens out of a text first; so texts are cut
+around them before anything else, unless they are to count as plain text.
 """
 
 from __future__ import annotations
@@ -17,12 +19,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from shortfall.llm.text import blocks, buffers
+from shortfall.llm.text import blocks, buffers, forget
 
-BLOCK_BYTES = 16 << 20
-#: Bound of a worker's memory of encoded chunks (about 100 MB).
-KEPT_CHUNKS = 500_000
-_kept: dict[str, dict[str, bytes]] = {}
+BLOCK_BYTES = 2 << 20
+#: Bound of a worker's memory of encoded chunks, in bytes with what Python adds to them.
+KEPT_BYTES = 32 << 20
+_KEPT_EACH = 200
+_kept: dict[str, tuple[dict[str, bytes], list[int]]] = {}
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -36,7 +39,7 @@ _LOWER[65:91] += 32
 
 @lru_cache(maxsize=4)
 def load(path: str):
-    """The tokenizer of a file; texts that look like special tokens are ordinary text."""
+    """The tokenizer of a file; chunks that look like special tokens are ordinary text to it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -45,6 +48,32 @@ def load(path: str):
     return tokenizer
 
 
+@lru_cache(maxsize=4)
+def literals(path: str) -> dict[bytes, int]:
+    """Strings of the special tokens with their ids."""
+    added = load(path).get_added_tokens_decoder()
+    if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+        raise ValueError("special tokens that take their surroundings are not supported")
+    return {t.content.encode(): i for i, t in added.items()}
+
+
+def _find_literals(data: bytes, offsets: np.ndarray, path: str) -> list[tuple[int, int]]:
+    """(start, end) of special tokens' strings that lie inside one text, in order and without overlap."""
+    found = []
+    for literal in literals(path):
+        at = data.find(literal)
+        while at >= 0:
+            found.append((at, at + len(literal)))
+            at = data.find(literal, at + 1)
+    out, last = [], 0
+    for start, end in sorted(found, key=lambda x: (x[0], -x[1])):
+        text = int(np.searchsorted(offsets, start, side="right")) - 1
+        if start >= last and end <= offsets[text + 1]:
+            out.append((start, end))
+            last = end
+    return out
+
+
 def _wide_space(raw: np.ndarray) -> np.ndarray:
     """Byte positions of non-ASCII white space."""
     at = np.flatnonzero((raw == 0xC2) | (raw == 0xE1) | (raw == 0xE2) | (raw == 0xE3))
@@ -57,7 +86,7 @@ def _wide_space(raw: np.ndarray) -> np.ndarray:
               | ((a == 0xE3) & (b == 0x80) & (c == 0x80))]
 
 
-def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of many ranges, one after another."""
     ends = np.cumsum(lengths)
     out = np.arange(ends[-1] if len(ends) else 0)
@@ -65,8 +94,8 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _encode_chunks(path: str, chunks: list[str]) -> list[bytes]:
-    """Ids of each chunk; a worker keeps those of its first ``KEPT_CHUNKS`` distinct ones."""
-    kept = _kept.setdefault(path, {})
+    """Ids of each chunk; a worker keeps those of its first distinct ones, up to ``KEPT_BYTES``."""
+    kept, size = _kept.setdefault(path, ({}, [0]))
     found = [kept.get(c) for c in chunks]
     missing = [i for i, ids in enumerate(found) if ids is None]
     if missing:
@@ -76,16 +105,19 @@ def _encode_chunks(path: str, chunks: list[str]) -> list[bytes]:
         data, at = ids.tobytes(), 0
         for i, end in zip(missing, ends.tolist()):
             found[i], at = data[at:end], end
-            if len(kept) < KEPT_CHUNKS:
+            if size[0] < KEPT_BYTES:
                 kept[chunks[i]] = found[i]
+                size[0] += _KEPT_EACH + len(chunks[i]) + len(found[i])
     return found
 
 
-def encode(column: pa.Array, path: str, lower: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, ids as uint32, offsets into them per row) for runs of rows of about 16 MB.
+def encode(column: pa.Array, path: str, lower: bool = False, special: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, ids as uint32, offsets into them per row) for runs of rows of about 2 MB.
 
     ``lower`` says that the tokenizer lower-cases, so that chunks may be lower-cased before they are compared.
+    ``special`` gives the strings of special tokens their ids, as the library does by default.
     """
+    forget()
     for first, end, raw, offsets in blocks(*buffers(column), BLOCK_BYTES):
         n = end - first
         if not len(raw):
@@ -93,19 +125,30 @@ def encode(column: pa.Array, path: str, lower: bool = False) -> Iterator[tuple[i
             continue
         space, cut = _SPACE[raw], np.zeros(len(raw) + 1, bool)
         cut[1:-1] = (space[1:] & ~space[:-1]) | (_LETTER[raw[:-1]] & _MARK[raw[1:]])
-        for at in _wide_space(raw):
-            doc = int(np.searchsorted(offsets, at, side="right")) - 1
-            cut[offsets[doc]:offsets[doc + 1]] = False
+        data = np.ascontiguousarray(_LOWER[raw] if lower else raw)
+        for doc in np.unique(np.searchsorted(offsets, _wide_space(raw), side="right") - 1).tolist():
+            whole = slice(offsets[doc], offsets[doc + 1])
+            cut[whole] = False
+            data[whole] = raw[whole]                           # nothing may look like a special token only now
+        apart = _find_literals(raw.tobytes(), offsets, path) if special else []
+        for a, b in apart:
+            cut[a:b] = False
+            cut[[a, b]] = True
         cut[offsets] = True
         bounds = np.flatnonzero(cut)
-        data = np.ascontiguousarray(_LOWER[raw] if lower else raw)
         chunks = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
         codes, distinct = chunks.indices.to_numpy(), chunks.dictionary.to_pylist()
         found = _encode_chunks(path, distinct)
+        if apart:
+            ids = literals(path)
+            codes = codes.copy()
+            at = np.searchsorted(bounds, [a for a, _ in apart])
+            codes[at] = len(found) + np.arange(len(apart))
+            found = found + [np.uint32(ids[raw[a:b].tobytes()]).tobytes() for a, b in apart]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids = np.frombuffer(b"".join(found), np.uint32)
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[codes]
         total = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(lengths, out=total[1:])
-        yield first, ids[_ragged(starts[codes], lengths)], total[np.searchsorted(bounds, offsets)]
+        yield first, ids[ragged(starts[codes], lengths)], total[np.searchsorted(bounds, offsets)]

@@ -50,7 +50,10 @@ def test_chunked_encoding_equals_whole_texts(spark):
     texts += [None, "", "a \n b  c", "x  \n\n y", "don't, it's.'s fine", " 's 12,3a.b  ", "\n\n", "n o,   p", "a \n b", "<|endoftext|> a", "é.É ́x Σ.", "a" * 3000]
     for name, lower in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
         path = public_tokenizers.path(name)
-        out = []
-        for _, ids, offsets in tokens.encode(pa.array(texts), path, lower):
-            out += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
-        assert out == [e.ids for e in tokens.load(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        for special in (True, False):
+            whole = Tokenizer.from_file(path)                   # the library as it comes: special tokens' strings get their ids
+            whole.encode_special_tokens = not special
+            out = []
+            for _, ids, offsets in tokens.encode(pa.array(texts), path, lower, special):
+                out += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+            assert out == [e.ids for e in whole.encode_batch([t or "" for t in texts], add_special_tokens=False)]
