@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shortfall.llm import decontam, dialogue, fingerprint, idfiles, licenses, linededup, ngramjoin, packing, pieces, quality, sharding, suffixes
+from shortfall.llm import align, decontam, dialogue, fingerprint, idfiles, licenses, linededup, ngramjoin, packing, pieces, quality, sharding, suffixes
 from shortfall.session import pin_folder
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -79,10 +79,14 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sharding, op2_quality_classifier, op3_best_fit_packing, op4_license_scan, op5_fingerprints, op6_line_dedup,
     op7_decontamination, op8_suffix_dedup, op9_token_id_files, op10_ngram_jaccard_join,
-    op11_conversation_repair, op12_sentencepiece)}
+    op11_conversation_repair, op12_sentencepiece, op13_tokenizer_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
