@@ -80,8 +80,13 @@ def merge_substitutes(df: DataFrame, subs: DataFrame, null_keys: str = "drop") -
     stay); then strict casts of the feed's date and number text columns."""
     right = subs.withColumnRenamed("item", "_sub_item")
     out = left_join_on(df, right, [("item", "_sub_item")], null_keys)
+    return type_feed_columns(out)
+
+
+def type_feed_columns(df: DataFrame) -> DataFrame:
+    """Strict casts of the feed's date and number text columns."""
     for c in DATE_COLUMNS:
-        out = out.withColumn(c, strict_timestamp(c, c))
+        df = df.withColumn(c, strict_timestamp(c, c))
     for c in NUMBER_COLUMNS:
-        out = out.withColumn(c, strict_double(c, c))
-    return out
+        df = df.withColumn(c, strict_double(c, c))
+    return df

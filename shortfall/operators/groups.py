@@ -50,7 +50,12 @@ def full_dataset(msub: DataFrame, ig_qty: DataFrame, threshold: float) -> DataFr
     without a group keep NULL group columns and a NULL group flag."""
     g = ig_qty.withColumnRenamed("item_group", "_ig")
     out = msub.join(g, msub["item_group"] == g["_ig"], "left").drop("_ig")
+    return group_gap(out, threshold)
+
+
+def group_gap(df: DataFrame, threshold: float) -> DataFrame:
+    """The row's own group gap and flag; NULL without a group."""
     gap = safe_sub("days_to_recover", "dioh_ig")
-    return out.withColumn("coverage_gap_ig", F.when(F.col("item_group").isNotNull(), gap)) \
+    return df.withColumn("coverage_gap_ig", F.when(F.col("item_group").isNotNull(), gap)) \
         .withColumn("review_flag_ig", F.when(F.col("item_group").isNotNull(),
                                              review_flag("coverage_gap_ig", threshold)))

@@ -40,7 +40,7 @@ def with_recommendations(df: DataFrame, threshold: float, only_review: bool = Tr
     return out.drop("_per_buy", "_per_buy_repl")
 
 
-def review_recommendations(full: DataFrame, threshold: float) -> DataFrame:
-    """Review rows (P6) with target coverage and order quantities."""
-    review = full.filter(F.col("review_flag") == "Review").select(*REVIEW_COLUMNS)
+def review_recommendations(full: DataFrame, threshold: float, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Review rows (P6) with target coverage and order quantities; ``carry`` names further columns to keep."""
+    review = full.filter(F.col("review_flag") == "Review").select(*REVIEW_COLUMNS, *carry)
     return with_recommendations(review, threshold, only_review=False)

@@ -20,6 +20,7 @@ from shortfall.functions import ceil_double, ieee_div, remove_token
 # Fixed value: "<number> <UOM>/<UOM>" inside a packaging string.
 PACKAGING_PATTERN = r"(\d+(?:\.\d+)?)\s+([A-Z]+)/([A-Z]+)"
 UOM_KEY = ("vendor_item", "default_buy_uom", "buy_uom_multiplier")
+ALTERNATIVE_COLUMNS = ("alt_uom_group", "to_uom", "from_uom", "conv_factor")
 
 
 def parse_packaging(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -151,7 +152,20 @@ def attach_alternatives(rows: DataFrame, alt_table: DataFrame, condition=None) -
     if rest is not None:
         types = {f.name: f.dataType for f in out.schema}
         out = out.unionByName(rest.withColumns({c: F.lit(None).cast(types[c]) for c in ("alt_uom_group", "to_uom", "from_uom", "conv_factor")}))
-    out = out.withColumn("_per_alt", ieee_div("rec_qty_ea", "conv_factor"))
+    return alternative_quantity(out)
+
+
+def unfold_alternatives(rows: DataFrame, condition=None) -> DataFrame:
+    """Rows with their alternatives taken from the array ``alts`` (of rows that meet ``condition``) and the order
+    quantity in the alternative UOM (P21); without alternatives a row stays with NULLs."""
+    alts = F.col("alts") if condition is None else F.when(condition, F.col("alts"))
+    out = rows.withColumn("_alt", F.explode_outer(alts)).drop("alts")
+    return alternative_quantity(out.withColumns({c: F.col(f"_alt.{c}") for c in ALTERNATIVE_COLUMNS}).drop("_alt"))
+
+
+def alternative_quantity(df: DataFrame) -> DataFrame:
+    """The order quantity in the alternative unit, rounded up."""
+    out = df.withColumn("_per_alt", ieee_div("rec_qty_ea", "conv_factor"))
     return out.withColumn("rec_qty_alt_uom", ceil_double("_per_alt")).drop("_per_alt")
 
 

@@ -25,6 +25,7 @@ from shortfall.operators import audit as A
 from shortfall.operators import coverage as C
 from shortfall.operators import enrich as E
 from shortfall.operators import groups as G
+from shortfall.operators import itemside as IS
 from shortfall.operators import recommend as R
 from shortfall.operators import reconcile as RC
 from shortfall.operators import report as RP
@@ -88,16 +89,24 @@ class Stages:
     # recompute (the snapshot history and usage scans behind them). Small
     # stages read once per plan (reconciled inventory, conversion map) stay
     # lazy; Spark reuses their exchanges within a plan.
-    PINNED = ("latest_inventory", "reconciled_usage", "feed_with_substitutes", "full", "conversion_tuples")
+    PINNED = ("latest_inventory", "reconciled_usage", "conversion_tuples")
+    # The stages of ``null_keys="match"``, where the feed is joined to one table after another.
+    PINNED_IF_MATCHING = ("feed_with_substitutes", "full")
+    # What the item side adds to a row beyond the substitutes.
+    GROUP_COLUMNS = (*IS.GROUP_METRICS, "coverage_gap_ig", "review_flag_ig")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             df = getattr(self, f"_build_{name}")()
-            if self.p.pin_stages and name in self.PINNED:
+            if self.p.pin_stages and (name in self.PINNED or self._matching and name in self.PINNED_IF_MATCHING):
                 df = pin(df, name, self.pin_folder())
             self._cache[name] = df
         return self._cache[name]
 
+    @property
+    def _matching(self) -> bool:
+        return self.p.null_keys == "match"
+
     def set(self, name: str, df: DataFrame) -> None:
         """Replace a stage before anything downstream is built from it."""
         self._cache[name] = df
@@ -169,17 +178,32 @@ class Stages:
         matched = C.match_inventory(self["feed"], self["enriched_inventory"], self.p.null_keys)
         return C.coverage_metrics(matched, self.p.coverage_as_of, self.p.review_threshold)
 
+    def _build_feed_items(self):
+        return IS.feed_items(self["feed"], self["enriched_inventory"])
+
+    def _build_item_side(self):
+        return IS.item_side(self["feed_items"], self["substitutes"], self["reconciled_group_usage"], self["conversions"])
+
+    def _build_covered(self):
+        """Feed lines joined once to the nested item side; alternatives as arrays."""
+        return IS.join_feed(self["feed"], self["item_side"], self.p.coverage_as_of, self.p.review_threshold)
+
     def _build_feed_with_substitutes(self):
-        return C.merge_substitutes(self["coverage"], self["substitutes"], self.p.null_keys)
+        if self._matching:
+            return C.merge_substitutes(self["coverage"], self["substitutes"], self.p.null_keys)
+        return self["covered"].drop("alts", *self.GROUP_COLUMNS)
 
     def _build_group_quantities(self):
-        return G.group_quantities(self["feed_with_substitutes"], self["reconciled_group_usage"])
+        members = self["feed_with_substitutes"] if self._matching else IS.linked_items(self["feed_items"], self["substitutes"])
+        return G.group_quantities(members, self["reconciled_group_usage"])
 
     def _build_group_coverage(self):
         return G.group_coverage(self["feed_with_substitutes"], self["group_quantities"], self.p.review_threshold)
 
     def _build_full(self):
-        return G.full_dataset(self["feed_with_substitutes"], self["group_quantities"], self.p.review_threshold)
+        if self._matching:
+            return G.full_dataset(self["feed_with_substitutes"], self["group_quantities"], self.p.review_threshold)
+        return self["covered"].drop("alts")
 
     def _build_review(self):
         return R.review_recommendations(self["full"], self.p.review_threshold)
@@ -197,7 +221,10 @@ class Stages:
         return U.unresolved_uom(self["review"], self["conversions"])
 
     def _build_uom_alternatives(self):
-        return U.uom_alternatives(self["review"], self["conversions"])
+        if self._matching:
+            return U.uom_alternatives(self["review"], self["conversions"])
+        review = R.review_recommendations(self["covered"], self.p.review_threshold, carry=("alts",))
+        return U.unfold_alternatives(review).select(*U.REVIEW_ALT_COLUMNS)
 
     def _build_freshness(self):
         # same value as S.inventory_freshness on the raw history (see
@@ -217,9 +244,12 @@ def build_stages(inputs: dict[str, DataFrame], p: Params, feed: DataFrame | None
 def assemble_report(st: Stages, p: Params) -> DataFrame:
     """Recommendations and alternatives on review rows, secondary-location
     flag, freshness stamp, fixed column order and display columns."""
-    full = R.with_recommendations(st["full"], p.review_threshold)
-    alts = U.alternative_table(st["review"], st["conversions"])
-    out = U.attach_alternatives(full, alts, condition=F.col("review_flag") == "Review")
+    review = F.col("review_flag") == "Review"
+    if p.null_keys == "match":
+        full = R.with_recommendations(st["full"], p.review_threshold)
+        out = U.attach_alternatives(full, U.alternative_table(st["review"], st["conversions"]), condition=review)
+    else:
+        out = U.unfold_alternatives(R.with_recommendations(st["covered"], p.review_threshold), condition=review)
     # set per item on the inventory side; unmatched feed rows have no item -> 'No'
     out = out.withColumn("in_secondary_location", F.coalesce(F.col("in_secondary_location"), F.lit("No")))
     out = RP.attach_stamp(out, st["freshness"])
@@ -245,7 +275,10 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
     pinned_feed = None
     spark = inputs["feed"].sparkSession
     timer, timed_out, finished = None, threading.Event(), threading.Event()
+    group_keys = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+    caller = {}
     if timeout_s is not None:
+        caller = {k: spark.sparkContext.getLocalProperty(k) for k in group_keys}
         group = f"shortfall-{uuid.uuid4().hex}"
         spark.sparkContext.setJobGroup(group, f"{process_name} run", interruptOnCancel=True)
 
@@ -296,13 +329,14 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
                           log_file_path=log_file_path, process_frequency=process_frequency,
                           error=str(exc))
         A.append_audit(row, f"{out_dir}/run_audit")
+        exc.timed_out = status == "TIMEOUT"
         raise
     finally:
         if timer is not None:
             finished.set()
             timer.join()
-            for key in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
-                spark.sparkContext.setLocalProperty(key, None)   # leave the thread as it was
+            for key, value in caller.items():
+                spark.sparkContext.setLocalProperty(key, value)   # leave the thread as it was
         if st is not None:
             st.release()
         if maintenance is not None:

@@ -103,6 +103,12 @@ def pin(df, name: str, folder: str | None = None):
     return spark.read.schema(df.schema).parquet(path)   # known schema: no footer inference
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists in the cluster file system."""
+    _, fs, home = _file_system(spark, path)
+    return bool(fs.exists(home))
+
+
 def drop_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder through the cluster file system (Hadoop FileSystem API).
     Without a JVM handle (Spark Connect) the folder is left to the cluster's
