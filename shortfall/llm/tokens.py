@@ -21,9 +21,9 @@ import pyarrow as pa
 
 from shortfall.llm.text import blocks, buffers, forget
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 #: Bound of a worker's memory of encoded chunks, in bytes with what Python adds to them.
-KEPT_BYTES = 32 << 20
+KEPT_BYTES = 80 << 20
 _KEPT_EACH = 200
 _kept: dict[str, tuple[dict[str, bytes], list[int]]] = {}
 
@@ -112,7 +112,7 @@ def _encode_chunks(path: str, chunks: list[str]) -> list[bytes]:
 
 
 def encode(column: pa.Array, path: str, lower: bool = False, special: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, ids as uint32, offsets into them per row) for runs of rows of about 2 MB.
+    """(first row, ids as uint32, offsets into them per row) for runs of rows of about 8 MB.
 
     ``lower`` says that the tokenizer lower-cases, so that chunks may be lower-cased before they are compared.
     ``special`` gives the strings of special tokens their ids, as the library does by default.
