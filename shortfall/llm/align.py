@@ -5,9 +5,8 @@ the space itself). Both give the same bytes, so a byte offset where tokens of bo
 
 * Anchors: shared ends before a token that begins with a space. They split a text into windows of token ids, in
   practice words.
-* The distinct windows of a block of texts, as (ids of A, ids of B), are looked up in a worker's memory of aligned
-  windows; those that are new are aligned together and remembered, up to ``KEPT_BYTES``. The alignment of a text is then
-  gathered from its windows.
+* The windows of a block of texts are remembered by their id tuples (ids of A, ids of B): each distinct one is aligned
+  once, all of them together, and the alignment of a text is gathered from its windows.
 * A link joins the two tokens that end at a shared offset, so the bytes of one end with those of the other. The id
   pairs that can ever be linked are thus bounded by the two vocabularies (:class:`Pairs`), whatever the corpus, and a link is stored as
   the number of its pair. Corpus-wide counts are one number a pair: summed per task, then over tasks.
@@ -33,10 +32,7 @@ from shortfall.llm.text import blocks, buffers
 from shortfall.llm.tokens import ragged
 from shortfall.session import pin, pin_folder
 
-BLOCK_BYTES = 2 << 20
-#: Bound of a worker's memory of aligned windows, in bytes with what Python adds to them.
-KEPT_BYTES = 32 << 20
-_KEPT_EACH = 400
+BLOCK_BYTES = 4 << 20
 
 
 class Vocabulary:
@@ -158,14 +154,11 @@ def _align(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, a_s
     return out, np.r_[0, np.cumsum(both)][groups_at], numbers, groups_at
 
 
-_kept: dict[tuple[str, str], tuple[dict[tuple[bytes, bytes], tuple[bytes, bytes]], list[int]]] = {}
-
-
-def _coded(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """(code per window, distinct id runs as bytes)."""
-    data = ids.astype(np.uint32)
-    windows = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at * 4), pa.py_buffer(data)]).dictionary_encode()
-    return windows.indices.to_numpy().astype(np.int64), windows.dictionary.to_pylist()
+def _coded(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, int]:
+    """(code per window, number of codes): windows of the same ids have the same code."""
+    data = ids.astype(np.uint16 if len(ids) and ids.max() < 1 << 16 else np.uint32)
+    windows = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * data.itemsize).astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+    return windows.indices.to_numpy().astype(np.int64), len(windows.dictionary)
 
 
 def align_block(column: pa.Array, a_path: str, b_path: str) -> tuple[np.ndarray, ...]:
@@ -199,34 +192,20 @@ def align_block(column: pa.Array, a_path: str, b_path: str) -> tuple[np.ndarray,
     a_win, b_win = np.r_[0, a_last + 1], np.r_[0, b_last + 1]
     window_end = np.r_[0, a_end[a_last]]
 
-    # windows by their ids: aligned once
-    a_code, a_runs = _coded(a, a_win)
-    b_code, b_runs = _coded(b, b_win)
-    distinct, at, code = np.unique(a_code * np.int64(len(b_runs)) + b_code, return_index=True, return_inverse=True)
-    kept, size = _kept.setdefault((a_path, b_path), ({}, [0]))
-    keys = [(a_runs[k // len(b_runs)], b_runs[k % len(b_runs)]) for k in distinct.tolist()]
-    found = [kept.get(k) for k in keys]
-    missing = [i for i, x in enumerate(found) if x is None]
-    if missing:
-        w = at[missing]
-        pick = lambda run, win: (ragged(win[w], win[w + 1] - win[w]), np.r_[0, np.cumsum(win[w + 1] - win[w])])
-        (ai, a_new), (bi, b_new) = pick(a, a_win), pick(b, b_win)
-        text_, text_at, numbers, numbers_at = _align(a[ai], a_new, b[bi], b_new, a_shared[ai], b_shared[bi], linkable(a_path, b_path), _digits(1 << 16))
-        text_, text_at, numbers, numbers_at = text_.tobytes(), text_at.tolist(), numbers.tobytes(), (numbers_at * 4).tolist()
-        for k, i in enumerate(missing):
-            found[i] = text_[text_at[k]:text_at[k + 1]], numbers[numbers_at[k]:numbers_at[k + 1]]
-            if size[0] < KEPT_BYTES:
-                kept[keys[i]] = found[i]
-                size[0] += _KEPT_EACH + sum(map(len, keys[i])) + sum(map(len, found[i]))
-
-    def gather(which: int, width: int, dtype: type) -> tuple[np.ndarray, np.ndarray]:
-        sizes = np.fromiter((len(x[which]) for x in found), np.int64, len(found)) // width
-        flat = np.frombuffer(b"".join([x[which] for x in found]), dtype)
-        each = sizes[code]
-        return flat[ragged((np.cumsum(sizes) - sizes)[code], each)], np.r_[0, np.cumsum(each)]
-
-    groups, groups_at = gather(0, 1, np.uint8)
-    links, links_at = gather(1, 4, np.int32)
+    # windows by their id tuples: each is aligned once
+    a_code, _ = _coded(a, a_win)
+    b_code, b_codes = _coded(b, b_win)
+    _, w, code = np.unique(a_code * np.int64(b_codes) + b_code, return_index=True, return_inverse=True)
+    pick = lambda win: (ragged(win[w], win[w + 1] - win[w]), np.r_[0, np.cumsum(win[w + 1] - win[w])])
+    (ai, a_new), (bi, b_new) = pick(a_win), pick(b_win)
+    known, known_at, numbers, numbers_at = _align(a[ai], a_new, b[bi], b_new, a_shared[ai], b_shared[bi], linkable(a_path, b_path), _digits(1 << 16))
+
+    def gather(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        each = np.diff(at)[code]
+        return flat[ragged(at[:-1][code], each)], np.r_[0, np.cumsum(each)]
+
+    groups, groups_at = gather(known, known_at)
+    links, links_at = gather(numbers, numbers_at)
     text_end = np.r_[0, np.cumsum(np.where(good, np.diff(offsets), 0))]
     window = np.searchsorted(window_end, text_end)                 # texts begin and end at anchors
     return n_a, n_b, np.diff(links_at[window]), groups, groups_at[window], links, links_at[window]

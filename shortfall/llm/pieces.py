@@ -36,9 +36,9 @@ from shortfall.llm.text import blocks, buffers
 from shortfall.llm.tokens import ragged
 
 SPACE = "▁"
-BLOCK_BYTES = 2 << 20
-#: Bound of a worker's memory of encoded words, in bytes of words and ids.
-KEPT_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
+#: Bound of a worker's memory of encoded words, in bytes with what Python adds to them.
+KEPT_BYTES = 48 << 20
 NONE = np.int64(1 << 40)
 MANY_ROUNDS = 48
 
@@ -111,23 +111,20 @@ def merge_words(model: Model, symbols: np.ndarray, first: np.ndarray) -> tuple[n
     word = np.repeat(np.arange(count), np.diff(first))
     place = np.arange(len(symbols))                                # where a symbol stood at first: it orders the result
     done_symbols, done_place, done_word = [], [], []
+    made = np.full(len(symbols), -1, np.int64)                     # piece that a symbol and its right neighbour make
+    inside = np.flatnonzero(word[1:] == word[:-1]) if len(symbols) else place
+    made[inside] = model.made_by(symbols[inside], symbols[inside + 1])
     rounds = 0
     while len(symbols):
+        heads = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         if rounds == MANY_ROUNDS:
-            heads = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             left = np.concatenate([_merge_in_turn(model, symbols[a:b].tolist()) + np.array([a, 0]) for a, b in zip(heads.tolist(), np.r_[heads[1:], len(symbols)].tolist())])
-            at, made = left[:, 0], left[:, 1]
-            done_symbols.append(made), done_place.append(place[at]), done_word.append(word[at])
+            at = left[:, 0]
+            done_symbols.append(left[:, 1]), done_place.append(place[at]), done_word.append(word[at])
             break
         rounds += 1
-        made = np.full(len(symbols), -1, np.int64)                 # of a symbol and its right neighbour
-        if len(symbols) > 1:
-            inside = np.flatnonzero(word[1:] == word[:-1])
-            made[inside] = model.made_by(symbols[inside], symbols[inside + 1])
         rank = model.ranks(made)
-        starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        sizes = np.diff(np.r_[starts, len(symbols)])
-        least = np.repeat(np.minimum.reduceat(rank, starts), sizes)
+        least = np.repeat(np.minimum.reduceat(rank, heads), np.diff(np.r_[heads, len(symbols)]))
         over = least == NONE                                       # words without a pair
         if over.any():
             done_symbols.append(symbols[over]), done_place.append(place[over]), done_word.append(word[over])
@@ -141,25 +138,28 @@ def merge_words(model: Model, symbols: np.ndarray, first: np.ndarray) -> tuple[n
         at = at[behind % 2 == 0]
         piece = made[at]
         # pairs that the merge makes with what stands left (merged already, if it was to be) and right of it
-        before = symbols[np.maximum(at - 1, 0)].copy()
+        left_at = np.maximum(at - 1, 0)
+        before = symbols[left_at]
         close = np.flatnonzero(np.diff(at) == 2) + 1
-        before[close] = piece[close - 1]
-        has_left = np.zeros(len(at), bool)
-        has_left[at > 0] = word[at[at > 0] - 1] == word[at[at > 0]]
+        before[close], left_at[close] = piece[close - 1], at[close - 1]
+        has_left = (at > 0) & (word[left_at] == word[at])
         after_at = np.minimum(at + 2, len(symbols) - 1)
         has_right = (at + 2 < len(symbols)) & (word[after_at] == word[at])
-        new_left = np.where(has_left, model.ranks(model.made_by(before, piece)), NONE)
-        new_right = np.where(has_right, model.ranks(model.made_by(piece, symbols[after_at])), NONE)
-        early = np.minimum(new_left, new_right) <= least[at]
+        made_left, made_right = np.full(len(at), -1, np.int64), np.full(len(at), -1, np.int64)
+        made_left[has_left] = model.made_by(before[has_left], piece[has_left])
+        made_right[has_right] = model.made_by(piece[has_right], symbols[after_at[has_right]])
+        early = np.minimum(model.ranks(made_left), model.ranks(made_right)) <= least[at]
         if early.any():                                            # merge up to the first such pair of a word
             of = word[at]
-            heads = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
             passed = np.cumsum(early) - early
-            at, piece = (x[passed - np.repeat(passed[heads], np.diff(np.r_[heads, len(at)])) == 0] for x in (at, piece))
-        symbols[at] = piece
+            stay = passed - np.repeat(passed[starts], np.diff(np.r_[starts, len(at)])) == 0
+            at, piece, left_at, has_left, made_left, made_right = (x[stay] for x in (at, piece, left_at, has_left, made_left, made_right))
+        symbols[at], made[at] = piece, made_right
+        made[left_at[has_left]] = made_left[has_left]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, place, word = symbols[keep], place[keep], word[keep]
+        symbols, place, word, made = symbols[keep], place[keep], word[keep], made[keep]
     if not done_symbols:
         return symbols, np.zeros(count + 1, np.int64)
     symbols, place, word = (np.concatenate(x) for x in (done_symbols, done_place, done_word))
@@ -256,7 +256,7 @@ def _cut(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def encode(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, ids as int32, offsets into them per row) for runs of rows of about 2 MB."""
+    """(first row, ids as int32, offsets into them per row) for runs of rows of about 4 MB."""
     for first, end, raw, offsets in blocks(*buffers(column), BLOCK_BYTES):
         n = end - first
         if not len(raw):

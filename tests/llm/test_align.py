@@ -4,7 +4,6 @@ import hashlib
 from collections import Counter
 
 import public_tokenizers
-import pytest
 import sentencepiece
 from conftest import SF_SMALL
 from shortfall.llm import align as A
@@ -106,14 +105,3 @@ def test_groups_and_empty_tables(spark):
 def test_pairs_are_bounded_by_the_vocabularies():
     va, vb = A.byte_level(A_PATH), A.piece_level(B_PATH)
     assert len(A.linkable(A_PATH, B_PATH)) <= 2 * int(va.lengths.sum() + vb.lengths.sum())
-
-
-@pytest.mark.parametrize("kept", [0, 1 << 20])
-def test_windows_remembered_or_not(kept, monkeypatch):
-    import pyarrow as pa
-
-    monkeypatch.setattr(A, "KEPT_BYTES", kept)
-    A._kept.clear()
-    first = A.align_block(pa.array(EDGES, pa.string()), A_PATH, B_PATH)
-    again = A.align_block(pa.array(EDGES, pa.string()), A_PATH, B_PATH)
-    assert all((x == y).all() for x, y in zip(first, again)) and bool(A._kept[A_PATH, B_PATH][0]) == bool(kept)
