@@ -1,13 +1,14 @@
 """Near-duplicate line removal by a segment-partition edit join (operator 6, native).
 
 Lines of at least ``min_chars`` characters that repeat exactly, and lines of at least
-``min_edit_chars`` characters within edit distance ``EDITS`` of each other (directly or through
-others), form a class; only its first occurrence (smallest doc_id, then line number) stays. The query and
-the pipeline run with ``ALL_LINES``: every line that is not blank, and edits for every line that the method can split.
+``min_edit_chars`` characters within the edit distance that the shorter one allows (directly or through
+others), form a class; only its first occurrence (smallest doc_id, then line number) stays. A line allows an edit for each
+``CHARS_PER_EDIT`` characters, ``EDITS`` at most: two edits rewrite a line of five characters, but are a slip in one of
+twenty. The query and the pipeline run with ``ALL_LINES``: every line that is not blank, and edits wherever a line allows one.
 
-* A line of length ``l`` is split into ``EDITS + 1`` segments. By the pigeonhole principle a line
+* A line of length ``l`` that allows ``k`` edits is split into ``k + 1`` segments. By the pigeonhole principle a line
   within the distance holds one of them unchanged, at a start that the two lengths bound; every line
-  therefore probes the segment indexes of its own and the ``EDITS`` shorter lengths by few substrings.
+  therefore probes the segment indexes of its own and the few shorter lengths by few substrings.
 * Lines meeting at a key are compared with the key's smallest line first; only pairs
   still in different components are compared after that, so a large group is not compared all with all.
 * A pair whose counts of common letters differ by more than the edits allow is passed over, inside the
@@ -22,6 +23,8 @@ last, and a document of which only blank lines are left goes; an empty table giv
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +35,11 @@ from shortfall.session import pin, pin_folder
 EDITS = 2
 MIN_CHARS = 10
 MIN_EDIT_CHARS = 30
-#: No line is left out but blank ones; a line of up to ``EDITS`` characters has no segment that must stay unchanged.
-ALL_LINES = {"min_chars": 1, "min_edit_chars": EDITS + 1}
+CHARS_PER_EDIT = 10
+#: No line is left out but blank ones; a line under ``CHARS_PER_EDIT`` characters allows no edit.
+ALL_LINES = {"min_chars": 1, "min_edit_chars": CHARS_PER_EDIT}
+#: Classes that may be broadcast: those with at least that part of all lines in classes.
+BROADCAST_CLASSES = 10_000
 #: Documents whose ids may be broadcast to fetch their lines.
 BROADCAST_DOCS = 500_000
 
@@ -54,19 +60,32 @@ def _check(line: str) -> Column:
     return F.xxhash64(F.lit("line"), line)
 
 
+def allowed(length: Column | str, edits: int = EDITS) -> Column:
+    """Edits that a line of this length allows."""
+    return F.least(F.lit(edits), F.floor((F.col(length) if isinstance(length, str) else length) / CHARS_PER_EDIT).cast("int"))
+
+
+def _specs(edits: int) -> list[tuple[int, bool, int, int, int]]:
+    """(edits, probe, segment, how much shorter the indexed line is, offset) for lines that allow ``edits``."""
+    specs = [(edits, False, i, 0, 0) for i in range(edits + 1)]
+    for shorter in range(edits + 1):
+        for i in range(edits + 1):                  # i counts from 0; the bounds are those of multi-match-aware selection
+            low, high = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
+            specs += [(edits, True, i, shorter, off) for off in range(low, high + 1)]
+    return specs
+
+
 def segment_keys(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """(key, code) of the distinct lines ``texts (line, h)``: one index row per segment, and a probe
     row for each substring that a line within the distance and not longer could have as its segment.
     The code is ``h``, plus 1 in a probe row."""
-    specs = [(False, i, 0, 0) for i in range(edits + 1)]
-    for shorter in range(edits + 1):
-        for i in range(edits + 1):                  # i counts from 0; the bounds are those of multi-match-aware selection
-            low, high = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
-            specs += [(True, i, shorter, off) for off in range(low, high + 1)]
-    spec = F.array(*[F.struct(F.lit(p).alias("probe"), F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(o).alias("off")) for p, i, d, o in specs])
-    parts = F.lit(edits + 1)
-    rows = (texts.select("line", "h", F.length("line").alias("n"), F.explode(spec).alias("s"))
-            .select("line", "h", "n", "s.probe", "s.i", "s.off", (F.col("n") - F.col("s.d")).alias("l")).where(F.col("l") >= min_chars))
+    listed = lambda specs: F.array(*[F.struct(F.lit(e).alias("e"), F.lit(p).alias("probe"), F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(o).alias("off")) for e, p, i, d, o in specs])
+    of = [_specs(e) for e in range(1, edits + 1)]
+    length = F.length("line")
+    spec = F.when(length >= (CHARS_PER_EDIT + 1) * edits, listed(of[-1])).otherwise(listed([x for some in of for x in some]))
+    rows = (texts.select("line", "h", length.alias("n"), F.explode(spec).alias("s"))
+            .select("line", "h", "n", "s.e", "s.probe", "s.i", "s.off", (F.col("n") - F.col("s.d")).alias("l")).where(F.col("l") >= min_chars).where(allowed("l", edits) == F.col("e")))
+    parts = F.col("e") + 1
     base, longer = F.floor(F.col("l") / parts).cast("int"), F.col("l") % parts          # the last `longer` segments have one more
     size = base + F.when(F.col("i") >= parts - longer, 1).otherwise(0)
     start = F.col("i") * base + F.greatest(F.lit(0), F.col("i") - (parts - longer)) + F.col("off") + 1
@@ -169,7 +188,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     close = pairs.join(marks("a"), "a").join(marks("b"), "b").where(_letters_near(edits)).select("a", "b")
     both = (close.join(texts.select(F.col("h").alias("a"), F.col("line").alias("a_line")), "a")
             .join(texts.select(F.col("h").alias("b"), F.col("line").alias("b_line")), "b"))
-    return within_edits(both, "a_line", "b_line", edits).select("a", "b")
+    limit = allowed(F.least(F.length("a_line"), F.length("b_line")), edits)
+    found = [within_edits(both.where(limit == k), "a_line", "b_line", k).select("a", "b") for k in range(1, edits + 1)]
+    return reduce(DataFrame.union, found)
 
 
 def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -209,20 +230,33 @@ def near_lines(docs: DataFrame, owners: DataFrame, edits: int, min_edit_chars: i
 def classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS) -> DataFrame:
     """(doc_id, line_no, class_doc, class_line, removed): every occurrence of a line in a class of at
     least two occurrences; the class is named by its first occurrence."""
-    if not min_edit_chars > edits:
-        raise ValueError("min_edit_chars must exceed edits")
+    if edits and min_edit_chars < CHARS_PER_EDIT:
+        raise ValueError(f"lines under {CHARS_PER_EDIT} characters allow no edit")
     folder = pin_folder(docs.sparkSession)
     seen = pin(lines(docs, min_chars).select("doc_id", "line_no", _id("line").alias("h"), _check("line").alias("check")), "lines", folder)
-    distinct = pin(seen.groupBy("h", "check").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("n")), "distinct", folder)
+    distinct = pin(seen.groupBy("h", "check").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
+                   .select("h", "check", F.col("first.doc_id").alias("owner"), F.col("first.line_no").alias("owner_line"), "n"), "distinct", folder)
     near = near_lines(docs, distinct, edits, min_edit_chars, folder) if edits else distinct.select(F.col("h").alias("node"), F.col("h").alias("component")).limit(0)
     grouped = pin(distinct.join(near, distinct["h"] == near["node"], "left")
                   .where("n > 1 OR component IS NOT NULL")
-                  .select("h", "check", "owner", F.coalesce("component", "h").alias("c"), F.when(F.col("component").isNull(), F.col("check")).otherwise(F.lit(0)).alias("c2")), "grouped", folder)
-    first = grouped.groupBy("c", "c2").agg(F.min("owner").alias("class_doc"))
-    tagged = seen.join(grouped.join(first, ["c", "c2"]).drop("owner"), ["h", "check"])
-    at = tagged.where("doc_id = class_doc").groupBy("c", "c2").agg(F.min("line_no").alias("class_line"))
-    return (tagged.join(at, ["c", "c2"])
-            .select("doc_id", "line_no", "class_doc", "class_line", ((F.col("doc_id") != F.col("class_doc")) | (F.col("line_no") != F.col("class_line"))).alias("removed")))
+                  .select("h", "check", F.struct("owner", "owner_line").alias("first"), F.coalesce("component", "h").alias("c"),
+                          F.when(F.col("component").isNull(), F.col("check")).otherwise(F.lit(0)).alias("c2")), "grouped", folder)
+    named = seen.join(_named(grouped, folder), ["h", "check"])
+    return named.select("doc_id", "line_no", "class_doc", "class_line", ((F.col("doc_id") != F.col("class_doc")) | (F.col("line_no") != F.col("class_line"))).alias("removed"))
+
+
+def _named(grouped: DataFrame, folder: str) -> DataFrame:
+    """(h, check, class_doc, class_line) of the lines in classes. The few classes that hold many of them are
+    broadcast, so that no class is one task's."""
+    first = pin(grouped.groupBy("c", "c2").agg(F.min("first").alias("first"), F.count("*").alias("n"))
+                .select("c", "c2", F.col("first.owner").alias("class_doc"), F.col("first.owner_line").alias("class_line"), "n"), "first", folder)
+    rows = grouped.select("h", "check", "c", "c2")
+    many = max(1000, grouped.count() // BROADCAST_CLASSES)                      # at most BROADCAST_CLASSES classes are as large
+    large = first.where(F.col("n") >= many).drop("n")
+    small = first.where(F.col("n") < many).drop("n")
+    of_large = rows.join(F.broadcast(large), ["c", "c2"])
+    of_small = rows.join(F.broadcast(large.select("c", "c2")), ["c", "c2"], "left_anti").join(small, ["c", "c2"])
+    return of_large.unionByName(of_small).select("h", "check", "class_doc", "class_line")
 
 
 def remove_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS) -> DataFrame:

@@ -45,8 +45,8 @@ def brute(docs, edits=2, min_chars=10, min_edit=30):
         for other in (m for m in range(n, n + edits + 1) if m in by_length):
             for a in some:
                 for b in by_length[other]:
-                    if a < b or n != other:
-                        if within(a, b, edits):
+                    if (a < b or n != other) and n >= 10:
+                        if within(a, b, min(edits, min(len(a), len(b)) // 10)):
                             union.join(a, b)
     groups = {}
     for line, places in at.items():
