@@ -18,6 +18,7 @@ groups); rows are independent, so NULL and repeated doc_ids come through; an emp
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -29,10 +30,12 @@ from pyspark.sql import functions as F
 
 from shortfall.llm import pieces, tokens
 from shortfall.llm.text import blocks, buffers
-from shortfall.llm.tokens import ragged
+from shortfall.llm.tokens import ragged, taken
 from shortfall.session import pin, pin_folder
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+#: Bound of what a worker keeps of each tokenizer's chunks: here it holds both.
+KEPT_BYTES = 28 << 20
 
 
 class Vocabulary:
@@ -43,9 +46,7 @@ class Vocabulary:
         self.lengths = np.array([len(x) for x in entries], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(entries), np.uint8)
-
-    def joined(self, ids: np.ndarray) -> np.ndarray:
-        return self.bytes[ragged(self.starts[ids], self.lengths[ids])]
+        self.array = pa.array(entries, pa.large_binary())
 
 
 @lru_cache(maxsize=2)
@@ -64,7 +65,7 @@ def byte_level(path: str) -> Vocabulary:
 @lru_cache(maxsize=2)
 def piece_level(path: str) -> Vocabulary:
     model = pieces.load(path)
-    return Vocabulary([model.bytes[s:s + k].tobytes() for s, k in zip(model.starts.tolist(), model.lengths.tolist())])
+    return Vocabulary(model.raw)
 
 
 class Pairs:
@@ -80,9 +81,9 @@ class Pairs:
             return out
 
         of_a, of_b = by_bytes(a), by_bytes(b)
-        found = {(i, j) for x, ids in of_a.items() for k in range(len(x)) for j in of_b.get(x[k:], ()) for i in ids}
-        found |= {(i, j) for x, ids in of_b.items() for k in range(len(x)) for i in of_a.get(x[k:], ()) for j in ids}
-        self.key = np.sort(np.array([i << 32 | j for i, j in found], np.int64))
+        found = array("q", (i << 32 | j for x, ids in of_a.items() for k in range(len(x)) for j in of_b.get(x[k:], ()) for i in ids))
+        found.extend(i << 32 | j for x, ids in of_b.items() for k in range(len(x)) for i in of_a.get(x[k:], ()) for j in ids)
+        self.key = np.unique(np.array(found, np.int64))
 
     def __len__(self) -> int:
         return len(self.key)
@@ -120,8 +121,8 @@ def _whole(parts: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndar
 
 def _given_back(raw: bytes, offsets: list[int], vocabulary: Vocabulary, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Per text: whether its tokens' bytes are its bytes."""
-    joined = vocabulary.joined(ids).tobytes()
-    ends = np.r_[0, np.cumsum(vocabulary.lengths[ids])][at].tolist()
+    joined, ends = taken(vocabulary.array, ids)
+    joined, ends = joined.tobytes(), ends[at].tolist()
     return np.array([joined[a:b] == raw[x:y] for a, b, x, y in zip(ends, ends[1:], offsets, offsets[1:])], bool)
 
 
@@ -166,8 +167,8 @@ def align_block(column: pa.Array, a_path: str, b_path: str) -> tuple[np.ndarray,
     n = len(column)
     text = pc.fill_null(column, "").cast(pa.large_string())
     spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), text, pa.scalar("", pa.large_string()))
-    a, a_at = _whole(tokens.encode(spaced, a_path, special=False))
-    b, b_at = _whole(pieces.encode(text, b_path))
+    a, a_at = _whole(tokens.encode(spaced, a_path, special=False, kept_bytes=KEPT_BYTES))
+    b, b_at = _whole(pieces.encode(text, b_path, KEPT_BYTES))
     raw, offsets = buffers(spaced)
     va, vb = byte_level(a_path), piece_level(b_path)
     data, ends = raw.tobytes(), offsets.tolist()
@@ -201,8 +202,9 @@ def align_block(column: pa.Array, a_path: str, b_path: str) -> tuple[np.ndarray,
     known, known_at, numbers, numbers_at = _align(a[ai], a_new, b[bi], b_new, a_shared[ai], b_shared[bi], linkable(a_path, b_path), _digits(1 << 16))
 
     def gather(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        each = np.diff(at)[code]
-        return flat[ragged(at[:-1][code], each)], np.r_[0, np.cumsum(each)]
+        windows = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at * flat.itemsize), pa.py_buffer(flat)])
+        data, ends = taken(windows, code)
+        return data.view(flat.dtype), ends // flat.itemsize
 
     groups, groups_at = gather(known, known_at)
     links, links_at = gather(numbers, numbers_at)
@@ -220,6 +222,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False)
         for batch in batches:
             _, offsets = buffers(batch.column(1))
             for first, end, _, _ in blocks(np.zeros(int(offsets[-1]), np.bool_), offsets, BLOCK_BYTES):
+                pa.default_memory_pool().release_unused()
                 n_a, n_b, n_groups, groups, at, links, links_at = align_block(batch.column(1).slice(first, end - first), a_path, b_path)
                 data, ends = groups.tobytes(), at.tolist()
                 each = [data[a:max(a, b - 1)] for a, b in zip(ends, ends[1:])]   # without the last ';'

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortfall.llm.text import blocks, buffers
-from shortfall.llm.tokens import ragged
+from shortfall.llm.tokens import taken
 
 SPACE = "▁"
 BLOCK_BYTES = 4 << 20
@@ -68,8 +69,12 @@ class Model:
             self.rank[i] = rank_of[lib.get_score(i)]
         self.id_of_char = {p: i for p, i in self.ids.items() if len(p) == 1}
         # symbols are piece ids, or n + code point for characters that are no pieces
-        pairs = [(self.ids[p[:k]], self.ids[p[k:]], i) for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids]
-        left, right, made = (np.array(x, np.int64) for x in zip(*pairs))
+        flat = array("q")
+        for p, i in self.ids.items():
+            for k in range(1, len(p)):
+                if p[:k] in self.ids and p[k:] in self.ids:
+                    flat.extend((self.ids[p[:k]], self.ids[p[k:]], i))
+        left, right, made = np.array(flat, np.int64).reshape(-1, 3).T
         order = np.argsort(left << np.int64(32) | right)
         self.pair_key, self.pair_made = (left << np.int64(32) | right)[order], made[order]
         self._pairs: dict[tuple[int, int], tuple[int, int]] = {}
@@ -78,9 +83,8 @@ class Model:
             self.first_char[ord(c)] = i
         self.n = n
         raw = [bytes([int(p[3:5], 16)]) if self.is_byte[i] else b"" if self.special[i] else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
-        self.lengths = np.array([len(x) for x in raw], np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw = raw
+        self.bytes = pa.array(raw, pa.large_binary())
 
     @property
     def pairs(self) -> dict[tuple[int, int], tuple[int, int]]:
@@ -223,8 +227,8 @@ def encode_words(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray
 _kept: dict[str, tuple[dict[str, bytes], list[int]]] = {}
 
 
-def _words_kept(path: str, words: list[str]) -> list[bytes]:
-    """Ids (int32) of each word; a worker keeps those of its first words, up to ``KEPT_BYTES``."""
+def _words_kept(path: str, words: list[str], most: int) -> list[bytes]:
+    """Ids (int32) of each word; a worker keeps those of its first words, up to ``most`` bytes."""
     kept, size = _kept.setdefault(path, ({}, [0]))
     found = [kept.get(w) for w in words]
     missing = [i for i, ids in enumerate(found) if ids is None]
@@ -233,7 +237,7 @@ def _words_kept(path: str, words: list[str]) -> list[bytes]:
         data, ends = ids.astype(np.int32).tobytes(), (at * 4).tolist()
         for k, i in enumerate(missing):
             found[i] = data[ends[k]:ends[k + 1]]
-            if size[0] < KEPT_BYTES:
+            if size[0] < most:
                 kept[words[i]] = found[i]
                 size[0] += 200 + len(words[i]) + len(found[i])
     return found
@@ -255,7 +259,7 @@ def _cut(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def encode(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def encode(column: pa.Array, path: str, kept_bytes: int = KEPT_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, ids as int32, offsets into them per row) for runs of rows of about 4 MB."""
     for first, end, raw, offsets in blocks(*buffers(column), BLOCK_BYTES):
         n = end - first
@@ -272,27 +276,24 @@ def encode(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray, np.nd
         codes, distinct = coded.indices.to_numpy().astype(np.int64), [w.replace(" ", SPACE) for w in coded.dictionary.to_pylist()]
         heads = np.unique(codes[opening])
         codes[opening] = len(distinct) + np.searchsorted(heads, codes[opening])
-        found = _words_kept(path, distinct + [SPACE + distinct[i] for i in heads])
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids = np.frombuffer(b"".join(found), np.int32)
-        lengths = sizes[codes]
-        total = np.r_[0, np.cumsum(lengths)]
-        yield first, ids[ragged((np.cumsum(sizes) - sizes)[codes], lengths)], total[np.searchsorted(bounds, offsets)]
+        found = _words_kept(path, distinct + [SPACE + distinct[i] for i in heads], kept_bytes)
+        ids, ends = taken(found, codes)
+        yield first, ids.view(np.int32), ends[np.searchsorted(bounds, offsets)] // 4
 
 
 def decode(ids: np.ndarray, offsets: np.ndarray, path: str) -> list[str]:
     """Texts of runs of ids: the first piece loses its dummy space, bytes that are no UTF-8 become U+FFFD each."""
     model = load(path)
-    lengths = model.lengths[ids]
-    raw = model.bytes[ragged(model.starts[ids], lengths)]
-    ends = np.r_[0, np.cumsum(lengths)][offsets]
-    plain = ~(model.special[ids] | model.is_byte[ids])
+    raw, ends = taken(model.bytes, ids)
+    ends = ends[offsets]
+    special = np.r_[0, np.cumsum(model.special[ids])][offsets]
+    plain = ~(model.special | model.is_byte)
     data, out = raw.tobytes(), []
     for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
         part = slice(offsets[i], offsets[i + 1])
-        drop = bool(b > a and data[a:a + 1] == b" " and plain[offsets[i]])
+        drop = bool(b > a and data[a:a + 1] == b" " and plain[ids[offsets[i]]])
         whole = data[a + drop:b]
-        if (ids[part] == model.unknown).any() or (model.special[ids[part]]).any():
+        if special[i + 1] > special[i]:
             out.append(_decode_slowly(model, ids[part].tolist()))
             continue
         try:

@@ -93,8 +93,17 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out + np.repeat(starts - (ends - lengths), lengths)
 
 
-def _encode_chunks(path: str, chunks: list[str]) -> list[bytes]:
-    """Ids of each chunk; a worker keeps those of its first distinct ones, up to ``KEPT_BYTES``."""
+def taken(entries: list[bytes] | pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the entries of ``codes``, one after another."""
+    entries = entries if isinstance(entries, pa.Array) else pa.array(entries, pa.large_binary())
+    out = entries.take(pa.array(codes))
+    offsets = np.frombuffer(out.buffers()[1], np.int64)[:len(codes) + 1]
+    data = out.buffers()[2]
+    return (np.frombuffer(data, np.uint8)[:offsets[-1]] if data is not None else np.zeros(0, np.uint8)), offsets
+
+
+def _encode_chunks(path: str, chunks: list[str], most: int) -> list[bytes]:
+    """Ids of each chunk; a worker keeps those of its first distinct ones, up to ``most`` bytes."""
     kept, size = _kept.setdefault(path, ({}, [0]))
     found = [kept.get(c) for c in chunks]
     missing = [i for i, ids in enumerate(found) if ids is None]
@@ -105,13 +114,13 @@ def _encode_chunks(path: str, chunks: list[str]) -> list[bytes]:
         data, at = ids.tobytes(), 0
         for i, end in zip(missing, ends.tolist()):
             found[i], at = data[at:end], end
-            if size[0] < KEPT_BYTES:
+            if size[0] < most:
                 kept[chunks[i]] = found[i]
                 size[0] += _KEPT_EACH + len(chunks[i]) + len(found[i])
     return found
 
 
-def encode(column: pa.Array, path: str, lower: bool = False, special: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def encode(column: pa.Array, path: str, lower: bool = False, special: bool = True, kept_bytes: int = KEPT_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, ids as uint32, offsets into them per row) for runs of rows of about 8 MB.
 
     ``lower`` says that the tokenizer lower-cases, so that chunks may be lower-cased before they are compared.
@@ -138,17 +147,12 @@ def encode(column: pa.Array, path: str, lower: bool = False, special: bool = Tru
         bounds = np.flatnonzero(cut)
         chunks = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
         codes, distinct = chunks.indices.to_numpy(), chunks.dictionary.to_pylist()
-        found = _encode_chunks(path, distinct)
+        found = _encode_chunks(path, distinct, kept_bytes)
         if apart:
             ids = literals(path)
             codes = codes.copy()
             at = np.searchsorted(bounds, [a for a, _ in apart])
             codes[at] = len(found) + np.arange(len(apart))
             found = found + [np.uint32(ids[raw[a:b].tobytes()]).tobytes() for a, b in apart]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids = np.frombuffer(b"".join(found), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        lengths = sizes[codes]
-        total = np.zeros(len(codes) + 1, np.int64)
-        np.cumsum(lengths, out=total[1:])
-        yield first, ids[ragged(starts[codes], lengths)], total[np.searchsorted(bounds, offsets)]
+        ids, ends = taken(found, codes)
+        yield first, ids.view(np.uint32), ends[np.searchsorted(bounds, offsets)] // 4
