@@ -1,15 +1,16 @@
 """N-gram Jaccard join (operator 10): every pair of documents whose sets of
 distinct 5-word shingles have a Jaccard similarity of at least 75 %.
 
-1. A document's shingles are put in one global order (frequent shingles last),
-   and its prefix is so long that two linked documents share a prefix shingle.
-   Frequent shingles are found by a pass that counts them per batch; the order
-   only steers the amount of work, any order gives the same links.
-2. Documents that share a prefix shingle form a tile. First every document of a
-   tile is compared with the tile's smallest document only; a large group of
-   copies thus needs as many comparisons as it has documents.
-3. Then only pairs of a tile that lie in different components are compared.
-   Components are all that is asked for, so no link is lost.
+1. A document's shingles are put in one global order (crowded shingles last, by hash otherwise),
+   and its prefix is so long that two linked documents share a prefix shingle. Crowded are the shingles that more than
+   ``CROWDED`` documents would have in or near their prefixes: all documents are counted, and the shingles are kept in a
+   Bloom filter of bounded size. A shingle that the filter holds by mistake comes last for every document; any order
+   that all documents share gives the same links, it only steers the amount of work.
+2. Documents that share a prefix shingle form a tile. First every document is compared with one document, the
+   smallest of its tiles' first documents; a large group of copies thus needs as many comparisons as it has documents.
+3. Tiles whose documents all lie in one component are done. In the others, documents outside the component of
+   the tile's first document are compared with that document, then with the rest of the tile: by tiles of shingle and size
+   band, across components only. Components are all that is asked for, so no link is lost.
 4. A comparison checks the size band, then bounds the overlap from above by bit
    counts of hashed bitmap signatures, then intersects the sorted shingle arrays.
 
@@ -35,9 +36,9 @@ PERCENT = 75
 #: Length of a signature in 64-bit words, for sets of up to so many shingles and for larger ones (a short signature of
 #: a large set is full and bounds nothing).
 SHORT_WORDS, SHORT_SET, LONG_WORDS = 8, 512, 64
-#: Shingles kept in the list of frequent ones, and documents of a batch from which a shingle is a candidate for it.
-FREQUENT = 1 << 16
-FREQUENT_IN_BATCH = 8
+#: Documents from which on a shingle is crowded; largest Bloom filter of crowded shingles, in bits (16 MB).
+CROWDED = 16
+FILTER_BITS = 1 << 27
 #: Documents whose ids may be broadcast to read their texts again; beyond it texts are shuffled.
 BROADCAST_DOCS = 500_000
 
@@ -50,31 +51,64 @@ def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield first + i, np.unique(hashes[at[i]:at[i + 1]])
 
 
-def frequent_shingles(docs: DataFrame, n: int = T.WORDS) -> np.ndarray:
-    """Hashes of frequent shingles, rarest first; at most ``FREQUENT``, so it may be broadcast."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prefix_size(n: int, percent: int) -> int:
+    return n - (percent * n + 99) // 100 + 1
+
+
+def _filter_places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64(bits - 1)
+    return (h & mask).astype(np.int64), (T.mix(h) & mask).astype(np.int64)
+
+
+def in_filter(h: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Which hashes the Bloom filter holds."""
+    if not len(words):
+        return np.zeros(len(h), bool)
+    hit = np.ones(len(h), bool)
+    for at in _filter_places(h, 64 * len(words)):
+        hit &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return hit
+
+
+def crowded_filter(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> np.ndarray:
+    """Bloom filter (64-bit words) of the shingles that more than ``CROWDED`` documents have in or near the prefix by hash."""
+    def near_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [h for _, h in _sets(batch, n)]
+            parts = []
+            for _, h in _sets(batch, n):
+                size = _prefix_size(len(h), percent)
+                parts.append(h[:size + size // 3 + 8])             # crowded ones make way for what comes next
             if parts:
-                values, counts = np.unique(np.concatenate(parts), return_counts=True)
-                often = counts >= FREQUENT_IN_BATCH
-                yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["h"])
+
+    spark = docs.sparkSession
+    counted = docs.select("doc_id", "text").mapInArrow(near_prefix, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("h")
+    counted = pin(counted, "crowded", pin_folder(spark))
+    count = counted.count()
+    if not count:
+        return np.zeros(0, np.uint64)
+    bits = min(FILTER_BITS, 1 << max(12, (16 * count).bit_length()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(_filter_places(batch.column(0).to_numpy().view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], ["word", "mask"])
 
-    counted = docs.select("doc_id", "text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
-    return np.array([r["h"] for r in reversed(rows)], np.int64).view(np.uint64)
+    found = counted.mapInArrow(places, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()     # at most bits / 64 rows
+    words = np.zeros(bits // 64, np.uint64)
+    words[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return words
 
 
-def signatures(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame:
+def signatures(docs: DataFrame, crowded: np.ndarray, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame:
     """(doc_id, n, h1, h2, bits, prefix, hot, copy_of): size, 128-bit hash of the set, parity
-    bitmap, prefix shingles (rare and frequent ones apart). Equal sets of a batch share one
+    bitmap, prefix shingles (crowded ones apart). Equal sets of a batch share one
     prefix: the others only name the document they equal."""
     spark = docs.sparkSession
-    order = np.argsort(frequent)
-    shared = spark.sparkContext.broadcast((frequent[order], order + 1))
+    shared = spark.sparkContext.broadcast(crowded)                 # at most FILTER_BITS
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ranks = shared.value
+        words = shared.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
             first_of: dict[tuple[int, int, int], int] = {}
@@ -87,17 +121,9 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, n:
                 mine = first_of.setdefault(key, ids[row]) if ids[row] is not None else None
                 prefix, hot = h[:0], h[:0]
                 if len(h) and ids[row] is not None and mine == ids[row]:
-                    size = len(h) - (percent * len(h) + 99) // 100 + 1
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                        rank = np.where(known[at] == h, ranks[at], 0)
-                        if rank.any():
-                            chosen = np.lexsort((h, rank))[:size]
-                            prefix, hot = h[chosen][rank[chosen] == 0], h[chosen][rank[chosen] > 0]
-                        else:
-                            prefix = h[:size]
-                    else:
-                        prefix = h[:size]
+                    size, last = _prefix_size(len(h), percent), in_filter(h, words)
+                    prefix = h[~last][:size]
+                    hot = h[last][:size - len(prefix)]
                 for c, v in zip(cols, (ids[row], len(h), h1, h2, np.packbits(parity.astype(np.uint8)).view(np.int64), prefix.view(np.int64), hot.view(np.int64), mine)):
                     c.append(v)
             lists = lambda xs: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in xs])]).astype(np.int32)), pa.array(np.concatenate(xs) if xs else np.zeros(0, np.int64)))
@@ -112,18 +138,26 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, n:
 
 def _tiles(signed: DataFrame) -> DataFrame:
     """(token, doc, n, least, least_n, peers): prefix shingles that at least two documents have, with the tile's
-    smallest document, its set size and the tile's number of rows. Frequent shingles are aggregated first (a row each), so no tile is one task."""
+    smallest document, its set size and the tile's number of rows. Crowded shingles are aggregated first (a row a task and shingle), so no tile is one task."""
     rare = signed.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("doc"), "n")
     hot = signed.select(F.explode("hot").alias("token"), F.col("doc_id").alias("doc"), "n")
     by_token = Window.partitionBy("token")
     cold = (rare.withColumn("head", F.min(F.struct("doc", "n")).over(by_token)).withColumn("most", F.max("doc").over(by_token))
             .withColumn("peers", F.count("*").over(by_token)))
     heads = hot.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("head"), F.max("doc").alias("most"), F.count("*").alias("peers"))
-    warm = hot.join(F.broadcast(heads), "token")                     # at most FREQUENT rows
+    warm = hot.join(heads, "token")
     return (cold.unionByName(warm).where("head.doc <> most")
             .select("token", "doc", "n", F.col("head.doc").alias("least"), F.col("head.n").alias("least_n"), "peers"))
 
 
+def _open(tiles: DataFrame, known: DataFrame) -> DataFrame:
+    """(token, doc, n, least, least_n, c, head_c) of tiles that span several components."""
+    placed = tiles.join(known, tiles["doc"] == known["node"], "left").withColumn("c", F.coalesce("component", "doc")).drop("node", "component")
+    spans = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("doc", "c")).alias("head"))
+    spans = spans.where("low <> high").select("token", F.col("head.c").alias("head_c"))
+    return placed.join(spans, "token")
+
+
 def _may_reach(n: str, m: str, percent: int) -> Column:
     """Size band: the smaller set is large enough for the larger one."""
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
@@ -177,17 +211,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "a_set", "b_set").mapInArrow(intersect, "a long, b long"))
 
 
-def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose documents are not in one component yet."""
-    of = lambda x: known.select(F.col("node").alias(x), F.col("component").alias(f"{x}_c"))
-    return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-            .where(F.coalesce("a_c", "a") != F.coalesce("b_c", "b")).select("a", "b"))
-
-
 def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     folder = pin_folder(docs.sparkSession)
-    signed = pin(signatures(docs, frequent_shingles(docs, n), percent, n), "signed", folder)
+    signed = pin(signatures(docs, crowded_filter(docs, percent, n), percent, n), "signed", folder)
     copies = signed.where("n > 0 AND copy_of <> doc_id").select(F.col("copy_of").alias("a"), F.col("doc_id").alias("b"))
     heads = signed.where("n > 0 AND copy_of = doc_id")
     least = heads.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z")
@@ -195,33 +222,38 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     tiles = pin(_tiles(signed.where("n > 0")), "tiles", folder)
     free_shuffles(docs.sparkSession)
 
-    # with the smallest document of a tile: first one comparison for each document, then those still apart
-    stars = tiles.where((F.col("doc") != F.col("least")) & _may_reach("n", "least_n", percent)).select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
-    stars = pin(_bounded(stars, signed, percent), "stars", folder)
-    open_ = stars.where(~F.col("equal"))
-    sets = pin(_sorted_sets(docs, open_, n), "sets", folder)
-    first = pin(_linked(open_.groupBy("b").agg(F.min("a").alias("a")), sets, percent), "first", folder)
-    links = copies.union(stars.where("equal").select("a", "b")).union(first)
+    def compare(pairs: DataFrame, name: str) -> DataFrame:
+        """The linked ones of ``pairs`` (a, b)."""
+        near = pin(_bounded(pairs, signed, percent), f"{name}-near", folder)
+        open_ = near.where(~F.col("equal")).select("a", "b")
+        sets = pin(_sorted_sets(docs, open_, n), f"{name}-sets", folder)
+        return pin(near.where("equal").select("a", "b").union(_linked(open_, sets, percent)), f"{name}-links", folder)
+
+    # one comparison for each document
+    reach = tiles.where((F.col("doc") != F.col("least")) & _may_reach("n", "least_n", percent))
+    one = pin(reach.groupBy(F.col("doc").alias("b")).agg(F.min("least").alias("a")).select("a", "b"), "one", folder)
+    links = copies.union(compare(one, "one"))
     known = pin(components(links), "known", folder)
     free_shuffles(docs.sparkSession)
-    second = pin(_linked(_apart(open_, known), sets, percent), "second", folder)
-    if not second.isEmpty():
-        links = links.union(second)
-        known = pin(components(links), "most", folder)
 
-    # then the documents of a tile outside its first document's component with the others
-    larger = tiles.where("peers > 2")                # a tile of two has been compared
-    placed = larger.join(known, larger["doc"] == known["node"], "left").select("token", "doc", "n", "least", F.coalesce("component", "doc").alias("c"))
-    head = placed.where("doc = least").groupBy("token").agg(F.min("c").alias("head_c"))
-    tagged = placed.join(head, "token")
-    outside = tagged.where("c <> head_c").select("token", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("c").alias("a_c"))
-    inside = tagged.where("doc <> least").select("token", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
-    rest = (outside.join(inside, "token").where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & _may_reach("a_n", "b_n", percent))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    rest = pin(_bounded(rest, signed, percent), "rest", folder).select("a", "b")
+    # tiles that still span components: with their first documents, then, by size bands, with the others
+    open_tiles = pin(_open(tiles, known), "open", folder)
+    stars = (open_tiles.where((F.col("doc") != F.col("least")) & (F.col("c") != F.col("head_c")) & _may_reach("n", "least_n", percent))
+             .select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct().join(one, ["a", "b"], "left_anti"))
+    found = compare(stars, "stars")
+    if not found.isEmpty():
+        links = links.union(found)
+        known = pin(components(links), "most", folder)
+        open_tiles = pin(_open(open_tiles.drop("c", "head_c"), known), "open2", folder)
     free_shuffles(docs.sparkSession)
-    if not rest.isEmpty():
-        links = links.union(_linked(rest, _sorted_sets(docs, rest, n), percent))
-        known = components(links)
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9))
+    banded = open_tiles.where("doc <> least AND peers > 2").withColumn("band", F.explode(F.array(band, band + 1)))    # sets that may be linked lie in one band or two next to each other
+    outside = banded.where("c <> head_c").select("token", "band", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("c").alias("a_c"))
+    inside = banded.select("token", "band", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
+    rest = (outside.join(inside, ["token", "band"]).where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & _may_reach("a_n", "b_n", percent))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    more = compare(rest, "rest")
+    if not more.isEmpty():
+        known = components(links.union(more))
     return (signed.select("doc_id", F.col("n").alias("n_shingles")).join(known, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from brute import jaccard_components
 from shortfall.llm import ngramjoin as N
@@ -21,10 +22,10 @@ def test_equals_brute_force_on_documents(spark):
     assert result(N.join(docs)) == jaccard_components([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
-@pytest.mark.parametrize("frequent", [0, 5])
-def test_near_copies_chains_and_edges(spark, frequent, monkeypatch):
-    monkeypatch.setattr(N, "FREQUENT_IN_BATCH", 3 if frequent else 10 ** 9)
-    rng = random.Random(frequent)
+@pytest.mark.parametrize("crowded", [2, 10 ** 9])
+def test_near_copies_chains_and_edges(spark, crowded, monkeypatch):
+    monkeypatch.setattr(N, "CROWDED", crowded)
+    rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
     docs = [(0, None), (1, ""), (2, " \n\t"), (3, "one two"), (4, "ONE two"), (5, "one two three four five"), (6, "É x"), (7, "é x")]
     for group in range(6):
@@ -59,3 +60,27 @@ def test_components_of_a_path_and_a_star(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 160)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_filter_holds_what_is_put_in():
+    h = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64)
+    words = np.zeros(1 << 10, np.uint64)
+    for at in N._filter_places(h[:1000], 64 << 10):
+        np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    held = N.in_filter(h, words)
+    assert held[:1000].all() and held[1000:].mean() < 0.01 and not N.in_filter(h, words[:0]).any()
+
+
+@pytest.mark.parametrize("crowded", [3, 10 ** 9])
+def test_shared_passages_and_half_copies(spark, crowded, monkeypatch):
+    monkeypatch.setattr(N, "CROWDED", crowded)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passages = [[word() for _ in range(30)] for _ in range(3)]
+    docs = []
+    for k in range(60):                                         # a passage makes up a half to nine tenths of a document
+        own = [word() for _ in range(rng.choice([3, 6, 10, 30]))]
+        docs.append((k, " ".join(own + passages[k % 3] + rng.choice([[], passages[(k + 1) % 3]]))))
+    docs += [(100 + k, docs[k % 7][1] + " tail " * (k % 3)) for k in range(20)]
+    df = spark.createDataFrame([("x", k, t, k) for k, t in docs], SCHEMA).repartition(4)
+    assert result(N.join(df)) == jaccard_components(docs)
