@@ -15,8 +15,8 @@ Candidates are verified by the share of the item's distinct 5-word shingles that
 occur in the whole document. The items are taken in blocks of at most
 ``BLOCK_SHINGLES`` shingles (one pass over the documents each), so what is broadcast is bounded.
 
-Defined results: NULL or empty texts and items of fewer than five words match
-nothing; repeated rows are reported once per row of the document and distinct item row; empty tables
+Defined results: NULL or empty texts and items match nothing; an item of fewer than five words is one shingle, its whole
+sequence, which only a text of just these words holds; repeated rows are reported once per row of the document and distinct item row; empty tables
 give no rows; ``item_id`` or ``doc_id`` may be NULL and is returned as it is.
 """
 
@@ -63,8 +63,8 @@ class ItemBlock:
     def __init__(self, items: list[tuple[int, str]], n: int):
         raw, offsets = T.buffers(pa.array([t for _, t in items], pa.string()))
         words, first = T.word_hashes(raw, offsets)
-        enough = np.diff(first) >= n
         hashes, at = T.shingle_hashes(words, first, n)
+        enough = np.diff(at) > 0                # fewer words than n: the whole sequence is one shingle
         self.ids, self.sets = [], []
         for i, (item, _) in enumerate(items):
             if enough[i]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shortfall.llm.graph import components, free_shuffles
-from shortfall.llm.rowkeys import keyed, unkeyed
+from shortfall.llm.rowkeys import fresh, keyed, unkeyed
 from shortfall.session import pin, pin_folder
 
 EDITS = 2
@@ -262,11 +262,12 @@ def _named(grouped: DataFrame, folder: str) -> DataFrame:
 def remove_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS) -> DataFrame:
     """``docs`` without the later lines of each class; ``n_chars`` (if there) follows the text."""
     columns, docs = docs.columns, keyed(docs)
-    gone = (classes(docs, edits, min_chars, min_edit_chars).where("removed").groupBy(F.col("doc_id").alias("_doc"))
-            .agg(F.collect_set("line_no").alias("_gone")))                       # lines of one document
-    joined = docs.join(gone, docs["doc_id"] == F.col("_doc"), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).where(F.col("_gone").isNull() | (F.btrim("text", F.lit(" \t\r\n")) != ""))
+    own, cut = fresh("_doc", docs.columns), fresh("_gone", docs.columns)
+    gone = (classes(docs, edits, min_chars, min_edit_chars).where("removed").groupBy(F.col("doc_id").alias(own))
+            .agg(F.collect_set("line_no").alias(cut)))                           # lines of one document
+    joined = docs.join(gone, docs["doc_id"] == F.col(own), "left")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col(cut), i)), "\n")
+    out = joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(kept)).where(F.col(cut).isNull() | (F.btrim("text", F.lit(" \t\r\n")) != ""))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(cut).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return unkeyed(out, columns)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from shortfall.llm import text as T
+from shortfall.llm.rowkeys import fresh
 from shortfall.session import pin, pin_folder
 
 BUCKETS = 1 << 20
@@ -256,15 +257,16 @@ def select(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, rows: int
     _, model, least = resample(docs, labels, buckets, rows, seed)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
+    weight = fresh("_log_weight", names)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             x, n = _features(batch.column(names.index("text")), m.ratio if m.ratio is not None else np.zeros(1, np.float32))
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(_log_weight(m, x), mask=n == 0)], [*names, "_log_weight"])
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(_log_weight(m, x), mask=n == 0)], [*names, weight])
             yield out.filter(pa.array(n > 0))
 
-    schema = StructType([*docs.schema.fields, StructField("_log_weight", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(weight, DoubleType())])
     scored = docs.mapInArrow(score, schema)
-    docs_kept = scored if math.isinf(least) and least < 0 else scored.where(gumbel_key(F.col("_log_weight"), seed) >= least)
+    docs_kept = scored if math.isinf(least) and least < 0 else scored.where(gumbel_key(F.col(weight), seed) >= least)
     return docs_kept.select(*[F.col(f"`{c}`") for c in names])

@@ -40,3 +40,21 @@ def test_leaks_of_null_and_repeated_ids(spark):
     clean, leak = words(40), f"{words(20)} {item} {words(20)}"
     rows = [(None, leak), (None, clean), (7, leak), (7, clean + " x"), (9, clean + " y"), (None, None)]
     assert run(spark, C.drop_leaks, rows) == Counter([rows[1], rows[3], rows[4], rows[5]])
+
+
+def test_columns_with_private_names_come_through(spark):
+    names = ["_doc_id_of_row", "_row", "_gone", "_doc", "_log_weight", "_Doc_Id_Of_Row_"]
+    df = spark.createDataFrame([(1, "one line of the text\nanother line", "a", *range(6)), (None, "one line of the text", "b", *range(6)), (1, "third line of it all", "c", *range(6))],
+                               "doc_id long, text string, source string, " + ", ".join(f"{n} long" for n in names))
+    for stage in (C.drop_repeated_lines, C.one_of_each_group, C.drop_leaks):
+        out = stage(spark, df, SF_SMALL)
+        assert out.columns == df.columns
+        assert all(tuple(r[n] for n in names) == tuple(range(6)) for r in out.collect())
+
+
+def test_short_benchmark_items_are_held_by_equal_texts_only(spark):
+    from shortfall.llm import decontam
+
+    docs = spark.createDataFrame([(1, "Blue  whales SING"), (2, "blue whales sing loudly"), (3, "x blue whales sing")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "blue whales sing"), (8, " "), (9, None)], "item_id long, text string")
+    assert [tuple(r) for r in decontam.leaks(docs, items).collect()] == [(1, 7, 1.0)]
