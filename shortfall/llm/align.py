@@ -33,9 +33,9 @@ from shortfall.llm.text import blocks, buffers
 from shortfall.llm.tokens import ragged, taken
 from shortfall.session import pin, pin_folder
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Bound of what a worker keeps of each tokenizer's chunks: here it holds both.
-KEPT_BYTES = 28 << 20
+KEPT_BYTES = 20 << 20
 
 
 class Vocabulary:
@@ -237,12 +237,18 @@ def align(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
+def _sliced(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of a few texts, so that arrays with a number a link stay small."""
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 def pair_counts(aligned: DataFrame, size: int) -> DataFrame:
     """(pair, n): how many links of all texts join each id pair; a task sums its links before they travel."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+            for part in _sliced(batch):
+                total += np.bincount(part.column(0).flatten().to_numpy(), minlength=size)
         some = np.flatnonzero(total)
         for part in np.array_split(some, max(1, len(some) // 50_000)):
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["pair", "n"])
@@ -263,7 +269,7 @@ def score(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, best = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in _sliced(whole)):
             links = batch.column("links")
             at = links.offsets.to_numpy().astype(np.int64)
             of = links.flatten().to_numpy()
