@@ -8,10 +8,12 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shortfall import sources as S
 from shortfall.operators import audit as A
 from shortfall.operators import coverage as C
+from shortfall.operators import incremental as INC
 from shortfall.operators import reconcile as RC
 from shortfall.operators import report as RP
 from shortfall.operators import retention as RT
@@ -63,6 +65,19 @@ def _avg_issue(spark, d):
                              PARAMS.usage_window_days, PARAMS.usage_divisor)
 
 
+def q_latest_inventory_merged(spark, d):
+    """The latest rows of the older orders' snapshots, merged with all snapshots that came after them (late stamps included)."""
+    rows = S.active_inventory(X.load(spark, d, "fx_inventory"), PARAMS.locations)
+    newer = F.col("l_orderkey") % 2 == 1
+    how = (["location", "item"], "report_stamp", ("l_orderkey", "l_linenumber", "l_extendedprice"))
+    return INC.merge_latest(INC.merge_latest(None, rows.where(~newer), *how), rows.where(newer), *how)
+
+
+def q_avg_daily_issue_by_day(spark, d):
+    usage = S.located_usage(X.load(spark, d, "fx_usage"), PARAMS.locations)
+    return INC.usage_from_days(INC.daily_usage(usage), usage, PARAMS.usage_as_of, PARAMS.usage_window_days, PARAMS.usage_divisor)
+
+
 def q_latest_inventory(spark, d):
     return _latest(spark, d)
 
@@ -225,6 +240,8 @@ def q_run_audit(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_inventory": q_latest_inventory,
     "avg_daily_issue": q_avg_daily_issue,
+    "latest_inventory_merged": q_latest_inventory_merged,
+    "avg_daily_issue_by_day": q_avg_daily_issue_by_day,
     "item_description": q_item_description,
     "active_links": q_active_links,
     "group_usage_total": q_group_usage_total,

@@ -295,6 +295,8 @@ def _catalogue() -> dict[str, str]:
     out = {
         "latest_inventory": X.with_clause(*inv_only) + ", " + LATEST + " SELECT * FROM latest",
         "avg_daily_issue": X.with_clause("fx_usage") + ", " + AVG_ISSUE + " SELECT * FROM avg_issue",
+        "latest_inventory_merged": X.with_clause(*inv_only) + ", " + LATEST + " SELECT * FROM latest",
+        "avg_daily_issue_by_day": X.with_clause("fx_usage") + ", " + AVG_ISSUE + " SELECT * FROM avg_issue",
         "item_description": X.with_clause("fx_description") + " SELECT item, description3 FROM fx_description",
         "active_links": X.with_clause("fx_item_link") + ", " + LINKS + " SELECT * FROM links",
         "group_usage_total": X.with_clause("fx_group_usage") + ", " + GU_TOTAL + " SELECT * FROM gu_total",

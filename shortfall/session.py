@@ -109,6 +109,14 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(home))
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right under a path; none if it does not exist."""
+    _, fs, home = _file_system(spark, path)
+    if not fs.exists(home):
+        return []
+    return [st.getPath().toString() for st in fs.listStatus(home) if st.isDirectory()]
+
+
 def drop_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder through the cluster file system (Hadoop FileSystem API).
     Without a JVM handle (Spark Connect) the folder is left to the cluster's

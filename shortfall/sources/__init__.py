@@ -124,6 +124,16 @@ JOB_INVENTORY_COLUMNS = (
 )
 
 
+def active_inventory(inv: DataFrame, locations: str | Sequence[str], collation: str | None = None) -> DataFrame:
+    """Active, not discontinued snapshot rows of the locations, typed."""
+    return normalise_types(_active(inv, locations, collation))
+
+
+def located_usage(usage: DataFrame, locations: str | Sequence[str], collation: str | None = None) -> DataFrame:
+    """Usage transactions of the locations, typed."""
+    return normalise_types(scan_locations(usage, locations, collation))
+
+
 def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
                      tie_break: Sequence[str] = (), columns: Sequence[str] | None = None,
                      collation: str | None = None) -> DataFrame:
@@ -134,7 +144,7 @@ def latest_inventory(inv: DataFrame, locations: str | Sequence[str],
     task before the shuffle. ``columns`` narrows the carried row first, so that wide
     descriptive columns are not sorted for nothing.
     """
-    rows = normalise_types(_active(inv, locations, collation))
+    rows = active_inventory(inv, locations, collation)
     if columns is not None:
         keep = list(dict.fromkeys([*columns, "report_stamp", *tie_break]))
         rows = rows.select(*keep)
