@@ -3,17 +3,23 @@
 Rows stamped strictly before the first day of the ``as_of`` month are archived
 (K4) or purged (K5). Both run only when the day of month lies in an inclusive
 range; a closed gate moves nothing. One task failing does not stop the other.
+
+A table partitioned by its date is archived by whole partitions (:func:`move_partitions`): the folders before the
+month change their place, everything else keeps its files. Other tables are rewritten, and only if a row goes.
 """
 
 from __future__ import annotations
 
+import logging
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shortfall.functions import ts_lit
-from shortfall.session import reads_from, replace_folder
+from shortfall.session import child_folders, has_data_files, move_folder, move_mark, reads_from, replace_folder
+
+log = logging.getLogger("shortfall.retention")
 
 
 def gate_open(as_of: date | datetime, day_range: tuple[int, int]) -> bool:
@@ -67,14 +73,54 @@ def archive_rows(df: DataFrame, ts_col: str, as_of: date | datetime, day_range:
         written = df.sparkSession.read.schema(old.schema).format(fmt).load(batch).count()
         if written != moved:
             raise RuntimeError(f"archived {written} rows of {moved}; the active table is left as it was")
+    if not moved and reads_from(df, active_path):
+        return {"archived": 0, "active": df.count()}                            # nothing goes, nothing is written
     kept = replace_folder(tagged.filter(F.col("retention") == "active").drop("retention"), active_path, fmt, partition_by)
     return {"archived": moved, "active": kept}
 
 
+def move_partitions(spark: SparkSession, active_path: str, archive_path: str, partition_by: str, as_of: date | datetime,
+                    day_range: tuple[int, int]) -> dict[str, int]:
+    """K4 on a table partitioned by a date column: move the partitions before the month to the archive, which has the same
+    layout. Rows without a date stay. Returns the rows archived and kept (both from file footers).
+
+    A mark beside the archive says that a move is under way and which month it is for. A run that stopped on the way is
+    finished by the next one, whatever its own month and gate: each partition is in one of the two
+    places, and a partition that the archive has already gets the late files added to it.
+    """
+    mark = f"{archive_path.rstrip('/')}/_moving"
+    pending = move_mark(spark, mark)
+    if pending is None and not gate_open(as_of, day_range):
+        return {"archived": 0, "active": _rows(spark, active_path)}
+    limits = [x for x in (pending, f"{month_start(as_of):%Y-%m-%d}" if gate_open(as_of, day_range) else None) if x]
+    old = []
+    for folder in child_folders(spark, active_path):
+        name = folder.rstrip("/").rsplit("/", 1)[1]
+        if name.startswith(f"{partition_by}=") and name.split("=", 1)[1][:10] < max(limits) and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
+            old.append(name)
+    if old:
+        move_mark(spark, mark, max(limits))
+        moved = sum(_rows(spark, f"{active_path}/{name}") for name in old)
+        for name in old:
+            move_folder(spark, f"{active_path}/{name}", f"{archive_path}/{name}")
+    else:
+        moved = 0
+    if old or pending:
+        move_mark(spark, mark, "")
+    return {"archived": moved, "active": _rows(spark, active_path)}
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows of a table folder, 0 if it has no files."""
+    return spark.read.parquet(path).count() if has_data_files(spark, path) else 0
+
+
 def purge_rows(df: DataFrame, ts_col: str, as_of: date | datetime, day_range: tuple[int, int],
                path: str, fmt: str = "parquet") -> dict[str, int]:
     """K5 on tables: replace the table in ``path`` by the rows that stay; counts both."""
     before = df.count()
+    if reads_from(df, path) and retention_purge(df, ts_col, as_of, day_range).count() == before:
+        return {"removed": 0, "kept": before}                                   # nothing goes, nothing is written
     kept = replace_folder(retention_purge(df, ts_col, as_of, day_range), path, fmt)
     return {"removed": before - kept, "kept": kept}
 
@@ -97,5 +143,6 @@ def run_maintenance(audit: DataFrame, audit_ts: str, audit_out: str,
         try:
             result[name] = task()
         except Exception as exc:  # noqa: BLE001 - maintenance keeps going
+            log.exception("maintenance task %s failed", name)
             result[name] = f"failed: {exc}"
     return result

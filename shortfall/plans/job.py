@@ -10,6 +10,7 @@ audit row, then re-raises.
 
 from __future__ import annotations
 
+import logging
 import threading
 import time
 import uuid
@@ -33,6 +34,8 @@ from shortfall.operators import retention as RT
 from shortfall.operators import uom as U
 from shortfall.session import drop_folder, pin, pin_folder
 
+log = logging.getLogger("shortfall.job")
+
 
 @dataclass(frozen=True)
 class Params:
@@ -342,8 +345,8 @@ def run_job(inputs: dict[str, DataFrame], p: Params, out_dir: str, *, process_na
         if maintenance is not None:
             try:
                 maintenance()
-            except Exception:  # noqa: BLE001 - reported by the task itself; must not hide the run's outcome
-                pass
+            except Exception:  # noqa: BLE001 - must not hide the run's outcome
+                log.exception("maintenance failed")
 
 
 def monthly_maintenance(spark: SparkSession, out_dir: str, as_of: datetime,
@@ -357,13 +360,13 @@ def monthly_maintenance(spark: SparkSession, out_dir: str, as_of: datetime,
             done = {"gate": "open"}
             tasks = {
                 "purge": lambda: RT.purge_rows(spark.read.parquet(f"{out_dir}/run_audit"), "last_run_time", as_of, day_range, f"{out_dir}/run_audit"),
-                "archive": lambda: RT.archive_rows(spark.read.parquet(f"{out_dir}/report"), "snapshot_date", as_of, day_range,
-                                                   f"{out_dir}/report_archive", f"{out_dir}/report", partition_by="snapshot_date"),
+                "archive": lambda: RT.move_partitions(spark, f"{out_dir}/report", f"{out_dir}/report_archive", "snapshot_date", as_of, day_range),
             }
             for name, task in tasks.items():
                 try:
                     done[name] = task()
                 except Exception as exc:  # noqa: BLE001 - one task failing does not stop the other
+                    log.exception("maintenance task %s failed", name)
                     done[name] = f"failed: {exc}"
         if results is not None:
             results.append(done)

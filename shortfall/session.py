@@ -150,6 +150,56 @@ def _file_system(spark: SparkSession, path: str):
     return jvm, fs, fs.makeQualified(p)
 
 
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds a data file (at any depth; names with ``_`` or ``.`` first do not count)."""
+    jvm, fs, home = _file_system(spark, path)
+    if not fs.exists(home):
+        return False
+    for st in fs.listStatus(home):
+        name = st.getPath().getName()
+        if not name.startswith(("_", ".")) and (has_data_files(spark, st.getPath().toString()) if st.isDirectory() else True):
+            return True
+    return False
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a partition folder by renaming; into a target that exists, file by file."""
+    jvm, fs, home = _file_system(spark, source)
+    goal = _file_system(spark, target)[2]
+    fs.mkdirs(goal.getParent())
+    if not fs.exists(goal):
+        if not fs.rename(home, goal):
+            raise OSError(f"cannot move {home}")
+        return
+    for st in fs.listStatus(home):
+        file = jvm.org.apache.hadoop.fs.Path(goal, st.getPath().getName())
+        if not st.getPath().getName().startswith(("_", ".")) and not fs.rename(st.getPath(), file):
+            raise OSError(f"cannot move {st.getPath()}")
+    fs.delete(home, True)
+
+
+def move_mark(spark: SparkSession, path: str, text: str | None = None) -> str | None:
+    """Read the text of a small mark file (None without one); with ``text`` write it, with "" delete it."""
+    jvm, fs, home = _file_system(spark, path)
+    if text is None:
+        if not fs.exists(home):
+            return None
+        stream = fs.open(home)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+    if not text:
+        fs.delete(home, False)
+        return None
+    stream = fs.create(home, True)
+    try:
+        stream.writeUTF(text)
+    finally:
+        stream.close()
+    return text
+
+
 def reads_from(df, path: str) -> bool:
     """Whether ``df`` reads files of the folder ``path`` (or ``path`` lies in a folder it reads)."""
     spark = df.sparkSession
