@@ -70,3 +70,29 @@ def test_row_id_range_key_is_narrow(spark):
 def test_rows_that_cannot_match_skip_the_alternative_join(spark):
     p = plan(CAT.QUERIES["final_report"](spark, SF_SMALL))
     assert "Union" in p
+
+
+def feed_wide_exchanges(df) -> int:
+    """Exchanges that carry feed rows, by the columns they take in."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    blocks = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+    return sum("row_id#" in b for b in blocks)
+
+
+@pytest.mark.parametrize("stage,count", [("full", 1), ("feed_with_substitutes", 1), ("report", 1)])
+def test_the_feed_moves_once(spark, stage, count):
+    st = CAT.stages(spark, SF_SMALL)
+    assert feed_wide_exchanges(st[stage]) == count
+    from shortfall.operators import report as RP
+    if stage == "report":
+        assert feed_wide_exchanges(RP.sort_report(st[stage])) == 2                # and once to be sorted
+    assert not {"full", "feed_with_substitutes"} & set(st.PINNED)
+
+
+def test_item_side_rows_stay_bounded_and_complete(spark):
+    from pyspark.sql import functions as F
+    from shortfall.operators import itemside as IS
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, "V1").otherwise(F.concat(F.lit("V"), F.col("id"))).alias("vendor_item"), F.col("id").alias("item"))
+    nested = IS.nest(rows, entries=50)
+    assert nested.where("vendor_item = 'V1'").count() > 10 and nested.agg(F.max(F.size("entries"))).first()[0] < 100
+    assert nested.select("vendor_item", F.explode("entries.item").alias("item")).exceptAll(rows).isEmpty() and nested.agg(F.sum(F.size("entries"))).first()[0] == 1000
