@@ -2,8 +2,9 @@
 licence templates, then inheritance from the nearest ancestor directory.
 
 * A file's units are its lines, its paragraphs (split at blank lines) and its whole text. A unit is
-  a sparse vector of term counts times inverse document frequencies, counted over
-  all files; terms that no template has weigh as unseen ones.
+  a sparse vector of term counts times inverse document frequencies, counted over all files. The terms of templates are
+  counted first. A unit's other terms weigh 1 at least; units that reach the threshold with that weight are few, and their other terms are
+  then counted over all files, too.
 * A unit that lacks the heaviest terms of every template cannot reach the threshold: per template
   the lightest terms whose common norm stays below the threshold are left out, the
   others are anchors, and only files with an anchor are looked at. This loses no match.
@@ -18,8 +19,6 @@ rows of one path are one file and give a row each; empty tables give no rows; wi
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +38,14 @@ TEMPLATES = [
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+# Licence ids that stand in SPDX lines.
+SPDX = ["0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense"]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in SPDX]
 
 
 def template_table(spark: SparkSession) -> DataFrame:
@@ -51,23 +56,27 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def _vectors(templates: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame, float]:
-    """(term, idf) of the templates' terms, (template, license_id, term, w) with unit norms, idf of other terms."""
+def _idf(total: int) -> Column:
+    return F.log((1.0 + total) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
+
+
+def _vectors(templates: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(term, idf) of the templates' terms, (template, license_id, term, w) with unit norms, number of files."""
     counted = templates.select("template", "license_id", F.explode(terms(F.col("text"))).alias("term")).groupBy("template", "license_id", "term").agg(F.count("*").alias("tf"))
     vocabulary = [r["term"] for r in counted.select("term").distinct().orderBy("term").collect()]
     known = F.array(*[F.lit(t) for t in vocabulary]).cast("array<string>")
     total = files.count()
     seen = files.select(F.explode(F.array_intersect(terms(F.col("text")), known)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = (counted.select("term").distinct().join(seen, "term", "left")
-           .select("term", (F.log((1.0 + total) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0).alias("idf")))
+           .select("term", _idf(total).alias("idf")))
     weights = counted.join(idf, "term").withColumn("x", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("template")))
-    return idf, weights.select("template", "license_id", "term", (F.col("x") / norm).alias("w")), math.log(1.0 + total) + 1.0
+    return idf, weights.select("template", "license_id", "term", (F.col("x") / norm).alias("w")), total
 
 
 def own_licenses(files: DataFrame, templates: DataFrame, threshold: float, folder: str) -> DataFrame:
     """(file, license_id, score, whole): best match of each file with one, for its lines and paragraphs and for its whole text."""
-    idf, weights, unseen = _vectors(templates, files)
+    idf, weights, total = _vectors(templates, files)
     weights, idf = pin(weights, "weights", folder), pin(idf, "idf", folder)
     lighter = Window.partitionBy("template").orderBy("w", "term")
     anchors = [r["term"] for r in weights.withColumn("below", F.sum(F.col("w") * F.col("w")).over(lighter))
@@ -81,11 +90,19 @@ def own_licenses(files: DataFrame, templates: DataFrame, threshold: float, folde
     units = units.select("file", "kind", "unit", terms(F.col("part")).alias("words")).where(F.arrays_overlap("words", listed))
     keys = ["file", "kind", "unit"]
     counted = units.select(*keys, F.explode("words").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
-    # the right sides have a row per term, or per term and template
-    weighed = counted.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    # the right sides have a row per term, or per term and template; other terms weigh 1 at least
+    least = counted.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(1.0)))
+    dots = (least.join(F.broadcast(weights), "term").groupBy(*keys, "template", "license_id").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+            .join(least.groupBy(*keys).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm")), keys))
+    possible = pin(dots.where(F.round(F.col("dot") / F.col("norm"), 6) >= threshold).select(*keys, "license_id", "dot"), "possible", folder)
+    within = counted.join(possible.select(*keys).distinct(), keys, "left_semi").join(F.broadcast(idf), "term", "left")
+    within = pin(within, "within", folder)
+    other = pin(within.where("idf IS NULL").select("term").distinct(), "other", folder)
+    seen = (files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).join(other, "term", "left_semi")
+            .groupBy("term").agg(F.count("*").alias("df")).select("term", _idf(total).alias("own_idf")))
+    weighed = within.join(seen, "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", "own_idf"))
     norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = weighed.join(F.broadcast(weights), "term").groupBy(*keys, "template", "license_id").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-    scored = dots.join(norms, keys).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
+    scored = possible.join(norms, keys).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
     first = Window.partitionBy("file", "whole").orderBy(F.desc("score"), "license_id")
     return (scored.select("file", "license_id", "score", (F.col("kind") == 2).alias("whole")).groupBy("file", "whole", "license_id").agg(F.max("score").alias("score"))
             .withColumn("at", F.row_number().over(first)).where("at = 1").select("file", "license_id", "score", "whole"))
@@ -138,7 +155,7 @@ units AS (
   UNION ALL SELECT path, 2, 0, text FROM files),
 counted AS (SELECT path, kind, unit, term, count(*) AS tf FROM (
   SELECT path, kind, unit, unnest({words.format('part')}) AS term FROM units) WHERE term <> '' GROUP BY ALL),
-weighed AS (SELECT c.*, tf * coalesce(idf, ln(1.0 + n) + 1.0) AS x FROM counted c LEFT JOIN idf USING (term), total),
+weighed AS (SELECT c.*, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS x FROM counted c JOIN df USING (term), total),
 norms AS (SELECT path, kind, unit, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
 dots AS (SELECT path, kind, unit, template, license_id, sum(x * w) AS dot FROM weighed JOIN w USING (term) GROUP BY ALL),
 scored AS (SELECT path, kind = 2 AS whole, license_id, max(round(dot / norm, 6)) AS score FROM dots JOIN norms USING (path, kind, unit)

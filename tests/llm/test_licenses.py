@@ -26,6 +26,24 @@ def test_headers_files_and_nearest_ancestor(spark):
     assert {r["score"] for r in rows if r["origin"] == "file"} == {1.0}
 
 
+def test_whole_licence_file_spdx_lines_and_rights_reserved(spark):
+    full = next(t for n, t in L.TEMPLATES if n == "MIT" and "WARRANTY" in t)
+    file = "MIT License\n\nCopyright (c) 2024 Somebody\n\n" + full.replace(". ", ".\n")
+    code = "\n".join(" ".join(f"word{i}{j}" for j in "abcdefgh") for i in range(12)) + "\n"
+    got, _ = scan(spark, [("LICENSE", file), ("src/a.py", code), ("src/deep/b.py", code * 2), ("src/c.py", "# SPDX-License-Identifier: GPL-2.0\n" + code),
+                          ("src/d.py", "All rights reserved.\n" + code * 3), ("src/e.py", "# SPDX-License-Identifier: BSD-2-Clause\n" + code)])
+    assert got["LICENSE"] == ("MIT", "file", None)
+    assert got["src/a.py"] == got["src/deep/b.py"] == ("MIT", "inherited", "")
+    assert got["src/c.py"][:2] == ("GPL-2.0", "header") and got["src/e.py"][:2] == ("BSD-2-Clause", "header")
+    assert got["src/d.py"] == ("LicenseRef-All-Rights-Reserved", "header", None)
+
+
+def test_common_words_beside_a_notice_weigh_little(spark):
+    common = [(f"x/{i}", "zuv wot bak lim neb ort " + " ".join(f"w{i}k{j}" for j in range(6))) for i in range(200)]
+    got, _ = scan(spark, [*common, ("y/a", "zuv wot bak lim neb ort released under the mit license"), ("z/b", "qqq rrr sss ttt uuu vvv released under the mit license")])
+    assert got["y/a"][:2] == ("MIT", "file") and got["z/b"][0] is None
+
+
 def test_multi_line_header_is_a_paragraph(spark):
     text = L.TEMPLATES[7][1].replace(" of ", " of\n").replace("; ", ";\n")
     got, _ = scan(spark, [("p/a.c", "int main\n\n" + text + "\n \nreturn here and there\n" * 5)])
