@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from shortfall import sources as S
 from shortfall.operators import audit as A
 from shortfall.operators import coverage as C
+from shortfall.operators import demand as D
 from shortfall.operators import enrich as E
 from shortfall.operators import groups as G
 from shortfall.operators import itemside as IS
@@ -58,6 +59,8 @@ class Params:
     pin_stages: bool = True
     # NULL join keys (J4-J10) match nothing ("drop") or each other ("match")
     null_keys: str = "drop"
+    # leave out what the feed cannot reach ahead of the report's aggregates (see ``operators.demand``)
+    reduce_to_feed: bool = True
     # e.g. "UTF8_LCASE" when the source database compares locations case-insensitively
     location_collation: str | None = None
 
@@ -85,6 +88,7 @@ class Stages:
         self.p = p
         self._cache: dict[str, DataFrame] = {}
         self._pins: str | None = None
+        self._replaced: set[str] = set()
         if feed is not None:
             self._cache["feed"] = feed
 
@@ -92,7 +96,9 @@ class Stages:
     # recompute (the snapshot history and usage scans behind them). Small
     # stages read once per plan (reconciled inventory, conversion map) stay
     # lazy; Spark reuses their exchanges within a plan.
-    PINNED = ("latest_inventory", "reconciled_usage", "conversion_tuples")
+    PINNED = ("latest_inventory", "reconciled_usage", "feed_filter", "demand_latest", "demand_usage", "conversion_tuples")
+    # Replaced by a caller, these are taken as they are: nothing is reduced beside them.
+    UNREDUCED = ("avg_daily_issue", "reconciled_inventory", "reconciled_usage", "reconciled_secondary_items", "enriched_inventory", "substitutes")
     # The stages of ``null_keys="match"``, where the feed is joined to one table after another.
     PINNED_IF_MATCHING = ("feed_with_substitutes", "full")
     # What the item side adds to a row beyond the substitutes.
@@ -113,6 +119,12 @@ class Stages:
     def set(self, name: str, df: DataFrame) -> None:
         """Replace a stage before anything downstream is built from it."""
         self._cache[name] = df
+        self._replaced.add(name)
+
+    @property
+    def _reducing(self) -> bool:
+        """The filter is read by two pinned stages only, so that no later plan carries it."""
+        return self.p.reduce_to_feed and self.p.pin_stages and not self._matching and not self._replaced & set(self.UNREDUCED)
 
     def pin_folder(self) -> str:
         """This run's folder for pinned stages (created on first use)."""
@@ -181,11 +193,41 @@ class Stages:
         matched = C.match_inventory(self["feed"], self["enriched_inventory"], self.p.null_keys)
         return C.coverage_metrics(matched, self.p.coverage_as_of, self.p.review_threshold)
 
+    def _build_feed_filter(self):
+        return D.bloom_filter(D.needed_items(self["feed"], self["latest_inventory"], self["active_links"]))
+
+    def _build_demand_latest(self):
+        return D.keep_needed(self["latest_inventory"], self["feed_filter"])
+
+    def _demand(self) -> dict[str, DataFrame]:
+        """C1 over the items that the feed can reach (the side output K2 takes the whole tables)."""
+        if "_dem" not in self.__dict__:
+            p = self.p
+            usage = S.avg_daily_issue(D.keep_needed(self.inputs["usage"], self["feed_filter"]), p.locations, p.usage_as_of,
+                                      p.usage_window_days, p.usage_divisor, p.location_collation)
+            self._dem = RC.reconcile_locations(self["demand_latest"], usage, self["group_usage"], p.secondary_location)
+        return self._dem
+
+    def _build_demand_usage(self):
+        return self._demand()["usage"]
+
+    def _build_demand_inventory(self):
+        dem = self._demand()
+        return E.enrich_inventory(dem["inventory"], self["demand_usage"], self["descriptions"], dem["secondary_items"], self.p.null_keys)
+
+    def _build_demand_substitutes(self):
+        return E.build_substitutes(self["active_links"], self._demand()["inventory"], self["demand_usage"], self["descriptions"], self.p.null_keys)
+
     def _build_feed_items(self):
-        return IS.feed_items(self["feed"], self["enriched_inventory"])
+        return IS.feed_items(self["feed"], self["demand_inventory" if self._reducing else "enriched_inventory"])
+
+    @property
+    def _links(self) -> DataFrame:
+        """Substitutes for the item side: links of items that the feed cannot reach may lack their replacement's values."""
+        return self["demand_substitutes" if self._reducing else "substitutes"]
 
     def _build_item_side(self):
-        return IS.item_side(self["feed_items"], self["substitutes"], self["reconciled_group_usage"], self["conversions"])
+        return IS.item_side(self["feed_items"], self._links, self["reconciled_group_usage"], self["conversions"])
 
     def _build_covered(self):
         """Feed lines joined once to the nested item side; alternatives as arrays."""
@@ -197,7 +239,7 @@ class Stages:
         return self["covered"].drop("alts", *self.GROUP_COLUMNS)
 
     def _build_group_quantities(self):
-        members = self["feed_with_substitutes"] if self._matching else IS.linked_items(self["feed_items"], self["substitutes"])
+        members = self["feed_with_substitutes"] if self._matching else IS.linked_items(self["feed_items"], self._links)
         return G.group_quantities(members, self["reconciled_group_usage"])
 
     def _build_group_coverage(self):
