@@ -3,14 +3,16 @@ distinct 5-word shingles have a Jaccard similarity of at least 75 %.
 
 1. A document's shingles are put in one global order (crowded shingles last, by hash otherwise),
    and its prefix is so long that two linked documents share a prefix shingle. Crowded are the shingles that more than
-   ``CROWDED`` documents would have in or near their prefixes: all documents are counted, and the shingles are kept in a
+   ``CROWDED`` documents would have in or near their prefixes: all documents are counted, those whose crowded shingles
+   use up what is near the prefix are counted again with all their shingles, and the shingles are kept in a
    Bloom filter of bounded size. A shingle that the filter holds by mistake comes last for every document; any order
    that all documents share gives the same links, it only steers the amount of work.
 2. Documents that share a prefix shingle form a tile. First every document is compared with one document, the
    smallest of its tiles' first documents; a large group of copies thus needs as many comparisons as it has documents.
 3. Tiles whose documents all lie in one component are done. In the others, documents outside the component of
    the tile's first document are compared with that document, then with the rest of the tile: by tiles of shingle and size
-   band, across components only. Components are all that is asked for, so no link is lost.
+   band, across components only. Components are all that is asked for, so no link is lost. A pair is taken up at a shingle
+   only if what both sets have from there on in the order is enough for a link; two linked documents pass at the first shingle they share.
 4. A comparison checks the size band, then bounds the overlap from above by bit
    counts of hashed bitmap signatures, then intersects the sorted shingle arrays.
 
@@ -21,7 +23,7 @@ shingle; repeated rows are linked (equal sets); NULL doc_id links with nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,19 +74,40 @@ def in_filter(h: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 def crowded_filter(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> np.ndarray:
     """Bloom filter (64-bit words) of the shingles that more than ``CROWDED`` documents have in or near the prefix by hash."""
-    def near_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for _, h in _sets(batch, n):
-                size = _prefix_size(len(h), percent)
-                parts.append(h[:size + size // 3 + 8])             # crowded ones make way for what comes next
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["h"])
+    spark, folder = docs.sparkSession, pin_folder(docs.sparkSession)
+    texts = docs.select("doc_id", "text")
+
+    def counted(wanted: Callable[[np.ndarray, int], np.ndarray], name: str) -> DataFrame:
+        """(h): shingles that more than ``CROWDED`` documents have among the ``wanted`` ones of (set, size near the prefix)."""
+        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                parts = []
+                for _, h in _sets(batch, n):
+                    size = _prefix_size(len(h), percent)
+                    parts.append(wanted(h, size + size // 3 + 8))      # crowded ones make way for what comes next
+                if parts:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], ["h"])
+
+        return pin(texts.mapInArrow(emit, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("h"), name, folder)
+
+    first = counted(lambda h, near: h[:near], "crowded")
+    words = _filled(first)
+    if not len(words):
+        return words
+    shared = spark.sparkContext.broadcast(words)                   # at most FILTER_BITS
 
-    spark = docs.sparkSession
-    counted = docs.select("doc_id", "text").mapInArrow(near_prefix, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("h")
-    counted = pin(counted, "crowded", pin_folder(spark))
-    count = counted.count()
+    def beyond(h: np.ndarray, near: int) -> np.ndarray:
+        """What comes next where too few uncrowded shingles are left: copies of one text share that, too."""
+        left = len(h[:near]) - int(in_filter(h[:near], shared.value).sum())
+        return h[near:] if left < _prefix_size(len(h), percent) else h[:0]
+
+    second = counted(beyond, "crowded2")
+    return words if second.isEmpty() else _filled(first.union(second))
+
+
+def _filled(hashes: DataFrame) -> np.ndarray:
+    """Bloom filter (64-bit words) of the column ``h``; empty without rows."""
+    count = hashes.count()
     if not count:
         return np.zeros(0, np.uint64)
     bits = min(FILTER_BITS, 1 << max(12, (16 * count).bit_length()))
@@ -94,7 +117,7 @@ def crowded_filter(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) ->
             at = np.concatenate(_filter_places(batch.column(0).to_numpy().view(np.uint64), bits))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], ["word", "mask"])
 
-    found = counted.mapInArrow(places, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()     # at most bits / 64 rows
+    found = hashes.mapInArrow(places, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()     # at most bits / 64 rows
     words = np.zeros(bits // 64, np.uint64)
     words[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
     return words
@@ -137,21 +160,23 @@ def signatures(docs: DataFrame, crowded: np.ndarray, percent: int = PERCENT, n:
 
 
 def _tiles(signed: DataFrame) -> DataFrame:
-    """(token, doc, n, least, least_n, peers): prefix shingles that at least two documents have, with the tile's
-    smallest document, its set size and the tile's number of rows. Crowded shingles are aggregated first (a row a task and shingle), so no tile is one task."""
-    rare = signed.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("doc"), "n")
-    hot = signed.select(F.explode("hot").alias("token"), F.col("doc_id").alias("doc"), "n")
+    """(token, doc, n, rest, least, least_n, peers): prefix shingles that at least two documents have, with the number of the
+    document's shingles from this one on, the tile's smallest document, its set size and the tile's number of rows. Crowded shingles are aggregated first (a row a task and shingle), so no tile is one task."""
+    rare = signed.select(F.col("doc_id").alias("doc"), "n", F.posexplode("prefix").alias("at", "token"))
+    hot = signed.select(F.col("doc_id").alias("doc"), "n", F.size("prefix").alias("before"), F.posexplode("hot").alias("at", "token"))
+    rare = rare.select("token", "doc", "n", (F.col("n") - F.col("at")).alias("rest"))
+    hot = hot.select("token", "doc", "n", (F.col("n") - F.col("before") - F.col("at")).alias("rest"))     # behind all the others
     by_token = Window.partitionBy("token")
     cold = (rare.withColumn("head", F.min(F.struct("doc", "n")).over(by_token)).withColumn("most", F.max("doc").over(by_token))
             .withColumn("peers", F.count("*").over(by_token)))
     heads = hot.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("head"), F.max("doc").alias("most"), F.count("*").alias("peers"))
     warm = hot.join(heads, "token")
     return (cold.unionByName(warm).where("head.doc <> most")
-            .select("token", "doc", "n", F.col("head.doc").alias("least"), F.col("head.n").alias("least_n"), "peers"))
+            .select("token", "doc", "n", "rest", F.col("head.doc").alias("least"), F.col("head.n").alias("least_n"), "peers"))
 
 
 def _open(tiles: DataFrame, known: DataFrame) -> DataFrame:
-    """(token, doc, n, least, least_n, c, head_c) of tiles that span several components."""
+    """(token, doc, n, rest, least, least_n, c, head_c) of tiles that span several components."""
     placed = tiles.join(known, tiles["doc"] == known["node"], "left").withColumn("c", F.coalesce("component", "doc")).drop("node", "component")
     spans = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("doc", "c")).alias("head"))
     spans = spans.where("low <> high").select("token", F.col("head.c").alias("head_c"))
@@ -248,9 +273,11 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     free_shuffles(docs.sparkSession)
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9))
     banded = open_tiles.where("doc <> least AND peers > 2").withColumn("band", F.explode(F.array(band, band + 1)))    # sets that may be linked lie in one band or two next to each other
-    outside = banded.where("c <> head_c").select("token", "band", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("c").alias("a_c"))
-    inside = banded.select("token", "band", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
-    rest = (outside.join(inside, ["token", "band"]).where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & _may_reach("a_n", "b_n", percent))
+    outside = banded.where("c <> head_c").select("token", "band", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("rest").alias("a_rest"), F.col("c").alias("a_c"))
+    inside = banded.select("token", "band", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("rest").alias("b_rest"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
+    # of two linked sets' first common shingle on, both have at least the overlap they need
+    enough = F.least("a_rest", "b_rest") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    rest = (outside.join(inside, ["token", "band"]).where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & enough & _may_reach("a_n", "b_n", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = compare(rest, "rest")
     if not more.isEmpty():

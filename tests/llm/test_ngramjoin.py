@@ -84,3 +84,22 @@ def test_shared_passages_and_half_copies(spark, crowded, monkeypatch):
     docs += [(100 + k, docs[k % 7][1] + " tail " * (k % 3)) for k in range(20)]
     df = spark.createDataFrame([("x", k, t, k) for k, t in docs], SCHEMA).repartition(4)
     assert result(N.join(df)) == jaccard_components(docs)
+
+
+def test_unlinked_copies_of_one_text_are_not_paired(spark, monkeypatch):
+    """Each copy has six words of its own: it shares most shingles with all the others, and is linked with none."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for k in range(120):
+        words = list(base)
+        for i in rng.sample(range(5, 145), 6):
+            words[i] = f"own{k}x{i}"
+        docs.append((k, " ".join(words)))
+    docs += [(200 + k, docs[k][1] + " end") for k in range(0, 120, 7)]
+    seen = []
+    bounded = N._bounded
+    monkeypatch.setattr(N, "_bounded", lambda pairs, *more: seen.append(pairs.count()) or bounded(pairs, *more))
+    df = spark.createDataFrame([("x", k, t, k) for k, t in docs], SCHEMA).repartition(3)
+    assert result(N.join(df)) == jaccard_components(docs)
+    assert max(seen) <= 4 * len(docs)
