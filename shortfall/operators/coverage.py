@@ -59,10 +59,15 @@ def null_key_report(feed: DataFrame, enriched: DataFrame) -> DataFrame:
     return f.crossJoin(e).withColumn("null_key_pairs", F.col("feed_null_keys") * F.col("inventory_null_keys"))
 
 
-def coverage_metrics(matched: DataFrame, as_of: datetime, threshold: float) -> DataFrame:
-    """C4: DIOH, days to recover, coverage gap, review flag, match status and
+def days_to_recover(as_of: datetime) -> Column:
+    """Days from the as-of time to a feed line's delivery date."""
+    return floor_days(strict_timestamp("est_delivery_date", "est_delivery_date"), ts_lit(as_of))
+
+
+def coverage_metrics(matched: DataFrame, as_of: datetime, threshold: float, days: Column | None = None) -> DataFrame:
+    """C4: DIOH, days to recover (``days`` if the rows have them), coverage gap, review flag, match status and
     the no-issue flag (P10-P15)."""
-    days = floor_days(strict_timestamp("est_delivery_date", "est_delivery_date"), ts_lit(as_of))
+    days = days_to_recover(as_of) if days is None else days
     m = F.coalesce(F.col("_matched"), F.lit(False))
     return (matched
             .withColumn("dioh", dioh("available_qty", "avg_daily_issue"))

@@ -16,7 +16,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shortfall.operators.coverage import coverage_metrics, type_feed_columns
+from shortfall.operators.coverage import coverage_metrics, days_to_recover, type_feed_columns
 from shortfall.operators.enrich import left_join_on
 from shortfall.operators.groups import group_gap, group_quantities
 from shortfall.operators.uom import ALTERNATIVE_COLUMNS, UOM_KEY, alternative_table
@@ -73,9 +73,8 @@ def nest(rows: DataFrame, entries: int = ENTRIES) -> DataFrame:
     return split.groupBy("vendor_item", "_part").agg(F.collect_list(entry).alias("entries")).drop("_part")
 
 
-def item_side(items: DataFrame, subs: DataFrame, group_usage_total: DataFrame, conversions: DataFrame) -> DataFrame:
-    """The nested item side of the vendor items of a feed."""
-    linked = linked_items(items, subs)
+def item_side(linked: DataFrame, group_usage_total: DataFrame, conversions: DataFrame) -> DataFrame:
+    """The nested item side of the vendor items of a feed, from their :func:`linked_items`."""
     whole = with_group_metrics(linked, group_quantities(linked, group_usage_total))
     return nest(with_alternatives(whole, conversions))
 
@@ -83,10 +82,11 @@ def item_side(items: DataFrame, subs: DataFrame, group_usage_total: DataFrame, c
 def join_feed(feed: DataFrame, nested: DataFrame, as_of: datetime, threshold: float) -> DataFrame:
     """Feed lines with all that their vendor item gives (J9, C4, J10, P26, J13): one row per line and entry, or
     one unmatched row. ``alts`` stays an array."""
-    left = feed.withColumn("_key", spread_nulls("vendor_item", "row_id"))
+    # the days are read from text once for a line, ahead of the join, not in the expressions of every entry behind it
+    left = feed.withColumn("_key", spread_nulls("vendor_item", "row_id")).withColumn("_days", days_to_recover(as_of))
     right = nested.select(F.col("vendor_item").alias("_item_key"), F.col("vendor_item").cast("string").alias("_text_key"), "entries")
     met = left.join(right, (left["_key"] == right["_text_key"]) & (left["vendor_item"] == right["_item_key"]), "left")
-    rows = met.select(*feed.columns, F.explode_outer("entries").alias("_e"))
+    rows = met.select(*feed.columns, "_days", F.explode_outer("entries").alias("_e"))
     fields = nested.schema["entries"].dataType.elementType.names
-    rows = rows.select(*feed.columns, *[F.col(f"_e.{c}").alias(c) for c in fields], F.col("_e").isNotNull().alias("_matched"))
-    return group_gap(type_feed_columns(coverage_metrics(rows, as_of, threshold)), threshold)
+    rows = rows.select(*feed.columns, "_days", *[F.col(f"_e.{c}").alias(c) for c in fields], F.col("_e").isNotNull().alias("_matched"))
+    return group_gap(type_feed_columns(coverage_metrics(rows, as_of, threshold, F.col("_days")).drop("_days")), threshold)

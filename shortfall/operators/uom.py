@@ -33,13 +33,13 @@ def parse_packaging(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     amounts = F.regexp_extract_all(s, F.lit(PACKAGING_PATTERN), 1)
     uoms = F.regexp_extract_all(s, F.lit(PACKAGING_PATTERN), 2)
     tos = F.regexp_extract_all(s, F.lit(PACKAGING_PATTERN), 3)
+    # zipped, so that the string is searched once for each part, not once for each match
     matches = F.transform(
-        F.sequence(F.lit(0), F.size(amounts) - 1),
-        lambda i: F.struct(tos[i].alias("convert_to_uom"), uoms[i].alias("uom"),
-                           amounts[i].cast("double").alias("conv_factor")))
+        F.arrays_zip(tos.alias("to"), uoms.alias("of"), amounts.alias("n")),
+        lambda m: F.struct(m["to"].alias("convert_to_uom"), m["of"].alias("uom"), m["n"].cast("double").alias("conv_factor")))
     blank = F.array(F.struct(F.lit("").alias("convert_to_uom"), F.lit("").alias("uom"),
                              F.lit(None).cast("double").alias("conv_factor")))
-    arr = F.when(s.isNull() | (s == ""), blank).when(F.size(amounts) == 0, F.array()).otherwise(matches)
+    arr = F.when(s.isNull() | (s == ""), blank).otherwise(matches)
     out = df.select(*carry, "vendor_item", F.posexplode(arr).alias("pos", "m"))
     return out.select(*carry, "vendor_item", "pos", "m.convert_to_uom", "m.uom", "m.conv_factor")
 

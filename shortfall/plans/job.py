@@ -96,7 +96,8 @@ class Stages:
     # recompute (the snapshot history and usage scans behind them). Small
     # stages read once per plan (reconciled inventory, conversion map) stay
     # lazy; Spark reuses their exchanges within a plan.
-    PINNED = ("latest_inventory", "reconciled_usage", "feed_filter", "demand_latest", "demand_usage", "conversion_tuples")
+    PINNED = ("latest_inventory", "reconciled_usage", "feed_filter", "demand_latest", "demand_usage", "demand_reconciled",
+              "linked", "conversion_tuples")
     # Replaced by a caller, these are taken as they are: nothing is reduced beside them.
     UNREDUCED = ("avg_daily_issue", "reconciled_inventory", "reconciled_usage", "reconciled_secondary_items", "enriched_inventory", "substitutes")
     # The stages of ``null_keys="match"``, where the feed is joined to one table after another.
@@ -211,12 +212,14 @@ class Stages:
     def _build_demand_usage(self):
         return self._demand()["usage"]
 
+    def _build_demand_reconciled(self):
+        return self._demand()["inventory"]
+
     def _build_demand_inventory(self):
-        dem = self._demand()
-        return E.enrich_inventory(dem["inventory"], self["demand_usage"], self["descriptions"], dem["secondary_items"], self.p.null_keys)
+        return E.enrich_inventory(self["demand_reconciled"], self["demand_usage"], self["descriptions"], self._demand()["secondary_items"], self.p.null_keys)
 
     def _build_demand_substitutes(self):
-        return E.build_substitutes(self["active_links"], self._demand()["inventory"], self["demand_usage"], self["descriptions"], self.p.null_keys)
+        return E.build_substitutes(self["active_links"], self["demand_reconciled"], self["demand_usage"], self["descriptions"], self.p.null_keys)
 
     def _build_feed_items(self):
         return IS.feed_items(self["feed"], self["demand_inventory" if self._reducing else "enriched_inventory"])
@@ -226,8 +229,12 @@ class Stages:
         """Substitutes for the item side: links of items that the feed cannot reach may lack their replacement's values."""
         return self["demand_substitutes" if self._reducing else "substitutes"]
 
+    def _build_linked(self):
+        """The feed's items with their substitutes, read by the group quantities, the metrics and the alternatives."""
+        return IS.linked_items(self["feed_items"], self._links)
+
     def _build_item_side(self):
-        return IS.item_side(self["feed_items"], self._links, self["reconciled_group_usage"], self["conversions"])
+        return IS.item_side(self["linked"], self["reconciled_group_usage"], self["conversions"])
 
     def _build_covered(self):
         """Feed lines joined once to the nested item side; alternatives as arrays."""
@@ -239,7 +246,7 @@ class Stages:
         return self["covered"].drop("alts", *self.GROUP_COLUMNS)
 
     def _build_group_quantities(self):
-        members = self["feed_with_substitutes"] if self._matching else IS.linked_items(self["feed_items"], self._links)
+        members = self["feed_with_substitutes"] if self._matching else self["linked"]
         return G.group_quantities(members, self["reconciled_group_usage"])
 
     def _build_group_coverage(self):
@@ -257,7 +264,8 @@ class Stages:
         return U.parse_packaging(self["feed"], carry=["row_id"])
 
     def _build_conversion_tuples(self):
-        return U.conversion_tuples(self["packaging"])
+        # many lines of an item have one packaging: each is parsed once
+        return U.conversion_tuples(U.parse_packaging(self["feed"].select("vendor_item", "packaging_string").distinct()))
 
     def _build_conversions(self):
         return U.build_conversions(tuples=self["conversion_tuples"])

@@ -96,3 +96,17 @@ def test_item_side_rows_stay_bounded_and_complete(spark):
     nested = IS.nest(rows, entries=50)
     assert nested.where("vendor_item = 'V1'").count() > 10 and nested.agg(F.max(F.size("entries"))).first()[0] < 100
     assert nested.select("vendor_item", F.explode("entries.item").alias("item")).exceptAll(rows).isEmpty() and nested.agg(F.sum(F.size("entries"))).first()[0] == 1000
+
+
+def test_packaging_is_searched_once_for_each_part(spark):
+    from shortfall.operators import uom as U
+    df = spark.createDataFrame([("V1", "2 EA/BX 3 BX/CS")], "vendor_item string, packaging_string string")
+    optimized = U.parse_packaging(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= optimized.count("regexp_extract_all(") <= 3
+
+
+def test_days_are_read_from_text_ahead_of_the_join(spark):
+    st = CAT.stages(spark, SF_SMALL)
+    assert "linked" in st.PINNED and "demand_reconciled" in st.PINNED
+    p = plan(st["uom_alternatives"])
+    assert "timestampdiff" in p and p.index("timestampdiff") > p.index("Join")          # below the join
