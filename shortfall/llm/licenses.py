@@ -85,11 +85,13 @@ def own_licenses(files: DataFrame, templates: DataFrame, threshold: float, folde
         return files.select("file", F.lit("").alias("license_id"), F.lit(0.0).alias("score"), F.lit(True).alias("whole")).limit(0)
     listed = F.array(*[F.lit(t) for t in sorted(anchors)])
     near = files.where(F.arrays_overlap(terms(F.col("text")), listed)).select("file", "text")
-    part = lambda kind, pattern: near.select("file", F.lit(kind).alias("kind"), F.posexplode(F.split("text", pattern)).alias("unit", "part"))
-    units = part(0, "\n").union(part(1, "\n[ \\t\\r]*\n")).union(near.select("file", F.lit(2), F.lit(0), "text"))
+    part = lambda kind, pattern: F.transform(F.split("text", pattern), lambda part, i: F.struct(F.lit(kind).alias("kind"), i.alias("unit"), part.alias("part")))
+    whole = F.array(F.struct(F.lit(2).alias("kind"), F.lit(0).alias("unit"), F.col("text").alias("part")))
+    units = near.select("file", F.inline(F.concat(part(0, "\n"), part(1, "\n[ \\t\\r]*\n"), whole)))
     units = units.select("file", "kind", "unit", terms(F.col("part")).alias("words")).where(F.arrays_overlap("words", listed))
     keys = ["file", "kind", "unit"]
     counted = units.select(*keys, F.explode("words").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    counted = pin(counted, "counted", folder)                     # read three times; the texts are split once
     # the right sides have a row per term, or per term and template; other terms weigh 1 at least
     least = counted.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(1.0)))
     dots = (least.join(F.broadcast(weights), "term").groupBy(*keys, "template", "license_id").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))

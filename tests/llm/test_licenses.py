@@ -65,3 +65,10 @@ def test_oracle_on_documents(spark):
     want = sorted(con.execute(queries.oracle_sql()["op4_license_scan"]).fetchall(), key=str)
     got = sorted(map(tuple, queries.QUERIES["op4_license_scan"](spark, SF_MID).collect()), key=str)
     assert got == want and {r[3] for r in got} >= {"header"}
+
+
+def test_texts_are_split_once(spark, monkeypatch):
+    names, pin = [], L.pin
+    monkeypatch.setattr(L, "pin", lambda df, name, folder=None: names.append(name) or pin(df, name, folder))
+    got, _ = scan(spark, [("a/x", "code\n# Released under the MIT License.\nmore code\n\nnothing"), ("a/y", "plain")])
+    assert got["a/x"][:2] == ("MIT", "header") and got["a/y"][0] is None and "counted" in names
