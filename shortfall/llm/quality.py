@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from shortfall.llm import text as T
+from shortfall.llm import tokens
 from shortfall.llm.rowkeys import fresh
 from shortfall.session import pin, pin_folder
 
@@ -43,6 +44,8 @@ SMOOTHING = 1.0
 #: A log ratio below this is evidence against a document by itself.
 DOUBT = -0.5
 _SLICE = 4096
+#: Bytes of text taken at a time; the arrays made of them are a hundred times as large.
+BLOCK_BYTES = 1 << 20
 
 
 @dataclass
@@ -81,10 +84,11 @@ def _count(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     width = buckets // slices
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget_all()                                       # the worker may come from encoding texts
         raw_n, target_n, seen = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64), False
         for batch in batches:
             target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for first, end, raw, offsets in T.blocks(*T.buffers(batch.column(0))):
+            for first, end, raw, offsets in T.blocks(*T.buffers(batch.column(0)), BLOCK_BYTES):
                 uni, bi, starts, at = _grams(raw, offsets, buckets)
                 wanted = np.repeat(target[first:end], np.diff(at))
                 for grams, keep in ((uni, None), (bi, starts)):
@@ -126,7 +130,7 @@ def _signed_log(x: np.ndarray) -> np.ndarray:
 def _features(column: pa.Array, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(a row of features for each document, its number of words)."""
     rows, words = [], []
-    for _, _, raw, offsets in T.blocks(*T.buffers(column)):
+    for _, _, raw, offsets in T.blocks(*T.buffers(column), BLOCK_BYTES):
         uni, bi, starts, at = _grams(raw, offsets, len(ratio))
         n = np.diff(at)
         doc = np.repeat(np.arange(len(n)), n)
@@ -182,6 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, rows: int =
     ratio = spark.sparkContext.broadcast(model.ratio)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget_all()                                       # the worker may come from encoding texts
         for batch in batches:
             x, n = _features(batch.column(0), ratio.value)
             rows_ = pa.ListArray.from_arrays(pa.array(np.arange(0, 6 * len(x) + 1, 6, dtype=np.int32)), pa.array(x.ravel()))
@@ -208,6 +213,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget_all()                                       # the worker may come from encoding texts
         m = shared.value
         for batch in batches:
             x, n = _features(batch.column(1), m.ratio if m.ratio is not None else np.zeros(1, np.float32))
@@ -260,6 +266,7 @@ def select(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, rows: int
     weight = fresh("_log_weight", names)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget_all()                                       # the worker may come from encoding texts
         m = shared.value
         for batch in batches:
             x, n = _features(batch.column(names.index("text")), m.ratio if m.ratio is not None else np.zeros(1, np.float32))

@@ -37,6 +37,13 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def forget_all() -> None:
+    """Free the kept chunks and tokenizers: for other work that goes on in a worker that has encoded texts."""
+    _kept.clear()
+    literals.cache_clear()
+    load.cache_clear()
+
+
 @lru_cache(maxsize=4)
 def load(path: str):
     """The tokenizer of a file; chunks that look like special tokens are ordinary text to it."""
