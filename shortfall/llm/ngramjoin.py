@@ -7,10 +7,11 @@ distinct 5-word shingles have a Jaccard similarity of at least 75 %.
    use up what is near the prefix are counted again with all their shingles, and the shingles are kept in a
    Bloom filter of bounded size. A shingle that the filter holds by mistake comes last for every document; any order
    that all documents share gives the same links, it only steers the amount of work.
-2. Documents that share a prefix shingle form a tile. First every document is compared with one document, the
-   smallest of its tiles' first documents; a large group of copies thus needs as many comparisons as it has documents.
+2. Documents that share a prefix shingle form a tile. Near copies share many of them; shingles of the same documents make
+   one tile, so what follows grows with the pairs that meet, not with the shingles they share. First every document is compared
+   with one document, the smallest of its tiles' first documents; a large group of copies thus needs as many comparisons as it has documents.
 3. Tiles whose documents all lie in one component are done. In the others, documents outside the component of
-   the tile's first document are compared with that document, then with the rest of the tile: by tiles of shingle and size
+   the tile's first document are compared with that document, then with the rest of the tile: by tile and size
    band, across components only. Components are all that is asked for, so no link is lost. A pair is taken up at a shingle
    only if what both sets have from there on in the order is enough for a link; two linked documents pass at the first shingle they share.
 4. A comparison checks the size band, then bounds the overlap from above by bit
@@ -160,27 +161,36 @@ def signatures(docs: DataFrame, crowded: np.ndarray, percent: int = PERCENT, n:
 
 
 def _tiles(signed: DataFrame) -> DataFrame:
-    """(token, doc, n, rest, least, least_n, peers): prefix shingles that at least two documents have, with the number of the
-    document's shingles from this one on, the tile's smallest document, its set size and the tile's number of rows. Crowded shingles are aggregated first (a row a task and shingle), so no tile is one task."""
+    """(members, doc, n, rest, least, least_n, peers): a row for each document and prefix shingle that at least two documents have,
+    with a hash of the shingle's documents, the number of the document's shingles from this one on, the smallest document, its set size
+    and the number of rows. Crowded shingles are aggregated first (a row a task and shingle), so no tile is one task."""
     rare = signed.select(F.col("doc_id").alias("doc"), "n", F.posexplode("prefix").alias("at", "token"))
     hot = signed.select(F.col("doc_id").alias("doc"), "n", F.size("prefix").alias("before"), F.posexplode("hot").alias("at", "token"))
     rare = rare.select("token", "doc", "n", (F.col("n") - F.col("at")).alias("rest"))
     hot = hot.select("token", "doc", "n", (F.col("n") - F.col("before") - F.col("at")).alias("rest"))     # behind all the others
     by_token = Window.partitionBy("token")
     cold = (rare.withColumn("head", F.min(F.struct("doc", "n")).over(by_token)).withColumn("most", F.max("doc").over(by_token))
-            .withColumn("peers", F.count("*").over(by_token)))
-    heads = hot.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("head"), F.max("doc").alias("most"), F.count("*").alias("peers"))
+            .withColumn("peers", F.count("*").over(by_token)).withColumn("members", F.bit_xor(F.xxhash64("doc")).over(by_token)))
+    heads = hot.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("head"), F.max("doc").alias("most"), F.count("*").alias("peers"),
+                                     F.bit_xor(F.xxhash64("doc")).alias("members"))
     warm = hot.join(heads, "token")
     return (cold.unionByName(warm).where("head.doc <> most")
-            .select("token", "doc", "n", "rest", F.col("head.doc").alias("least"), F.col("head.n").alias("least_n"), "peers"))
+            .select("members", "doc", "n", "rest", F.col("head.doc").alias("least"), F.col("head.n").alias("least_n"), "peers"))
+
+
+def _merged(tiles: DataFrame) -> DataFrame:
+    """The rows of :func:`_tiles` with one tile for all shingles of the same documents, seen from the first of them on: there every
+    document has most shingles left, so two documents that are compared at any of them are compared at the first. A tile is
+    (members, least); should two sets of documents have one hash, their tile holds both, and no pair is lost."""
+    return tiles.groupBy("members", "least", "least_n", "doc", "n").agg(F.max("rest").alias("rest"), F.max("peers").alias("peers"))
 
 
 def _open(tiles: DataFrame, known: DataFrame) -> DataFrame:
-    """(token, doc, n, rest, least, least_n, c, head_c) of tiles that span several components."""
+    """The rows of tiles that span several components, with the components ``c`` of the document and ``head_c`` of the smallest one."""
     placed = tiles.join(known, tiles["doc"] == known["node"], "left").withColumn("c", F.coalesce("component", "doc")).drop("node", "component")
-    spans = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("doc", "c")).alias("head"))
-    spans = spans.where("low <> high").select("token", F.col("head.c").alias("head_c"))
-    return placed.join(spans, "token")
+    spans = placed.groupBy("members", "least").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("doc", "c")).alias("head"))
+    spans = spans.where("low <> high").select("members", "least", F.col("head.c").alias("head_c"))
+    return placed.join(spans, ["members", "least"])
 
 
 def _may_reach(n: str, m: str, percent: int) -> Column:
@@ -244,7 +254,9 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     heads = signed.where("n > 0 AND copy_of = doc_id")
     least = heads.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z")
     copies = copies.union(heads.join(least.drop("z"), ["h1", "h2", "n"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b")))
-    tiles = pin(_tiles(signed.where("n > 0")), "tiles", folder)
+    by_shingle = pin(_tiles(signed.where("n > 0")), "by_shingle", folder)
+    free_shuffles(docs.sparkSession)
+    tiles = pin(_merged(by_shingle), "tiles", folder)
     free_shuffles(docs.sparkSession)
 
     def compare(pairs: DataFrame, name: str) -> DataFrame:
@@ -273,11 +285,11 @@ def join(docs: DataFrame, percent: int = PERCENT, n: int = T.WORDS) -> DataFrame
     free_shuffles(docs.sparkSession)
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9))
     banded = open_tiles.where("doc <> least AND peers > 2").withColumn("band", F.explode(F.array(band, band + 1)))    # sets that may be linked lie in one band or two next to each other
-    outside = banded.where("c <> head_c").select("token", "band", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("rest").alias("a_rest"), F.col("c").alias("a_c"))
-    inside = banded.select("token", "band", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("rest").alias("b_rest"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
+    outside = banded.where("c <> head_c").select("members", "least", "band", F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("rest").alias("a_rest"), F.col("c").alias("a_c"))
+    inside = banded.select("members", "least", "band", F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("rest").alias("b_rest"), F.col("c").alias("b_c"), (F.col("c") == F.col("head_c")).alias("member"))
     # of two linked sets' first common shingle on, both have at least the overlap they need
     enough = F.least("a_rest", "b_rest") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
-    rest = (outside.join(inside, ["token", "band"]).where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & enough & _may_reach("a_n", "b_n", percent))
+    rest = (outside.join(inside, ["members", "least", "band"]).where((F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & enough & _may_reach("a_n", "b_n", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = compare(rest, "rest")
     if not more.isEmpty():

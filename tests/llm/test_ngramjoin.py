@@ -103,3 +103,28 @@ def test_unlinked_copies_of_one_text_are_not_paired(spark, monkeypatch):
     df = spark.createDataFrame([("x", k, t, k) for k, t in docs], SCHEMA).repartition(3)
     assert result(N.join(df)) == jaccard_components(docs)
     assert max(seen) <= 4 * len(docs)
+
+
+def test_shingles_of_the_same_documents_make_one_tile(spark, monkeypatch):
+    """Near copies share some hundred prefix shingles: their tiles are kept once, not once a shingle."""
+    rng = random.Random(11)
+    docs = []
+    for k in range(30):
+        words = [f"g{k}w{rng.randrange(10 ** 6)}" for _ in range(400)]
+        for _ in range(3):
+            words[rng.randrange(400)] = f"own{len(docs)}"
+            docs.append((len(docs), " ".join(words)))               # each differs from the one before by a word
+    rows = {}
+    pin = N.pin
+    monkeypatch.setattr(N, "pin", lambda df, name, folder=None: rows.setdefault(name, []).append(out := pin(df, name, folder)) or out)
+    df = spark.createDataFrame([("x", k, t, k) for k, t in docs], SCHEMA).repartition(3)
+    assert result(N.join(df)) == jaccard_components(docs)
+    assert rows["tiles"][0].count() <= 12 * len(docs)
+
+
+def test_a_tile_of_two_sets_of_rows_keeps_all_rows(spark):
+    """Rows of two sets of documents that have one hash, one with a repeated row: the tile holds the rows of both."""
+    tiles = spark.createDataFrame([(7, d, 9, r, 1, 9, 4) for d, r in [(1, 5), (1, 5), (2, 4), (3, 6)]] + [(7, d, 9, r, 1, 9, 2) for d, r in [(1, 8), (4, 8)]],
+                                  "members long, doc long, n long, rest long, least long, least_n long, peers long")
+    got = sorted((r["doc"], r["rest"], r["peers"]) for r in N._merged(tiles).collect())
+    assert got == [(1, 8, 4), (2, 4, 4), (3, 6, 4), (4, 8, 2)]
