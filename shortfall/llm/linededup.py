@@ -23,8 +23,6 @@ last, and a document of which only blank lines are left goes; an empty table giv
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,8 +98,9 @@ def _common_start(a: Column, b: Column) -> Column:
         (n + k <= F.least(F.length(a), F.length(b))) & (F.substring(a, n + 1, k) == F.substring(b, n + 1, k)), n + k).otherwise(n))
 
 
-def within_edits(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
-    """The rows whose strings ``a`` and ``b`` are within the edit distance.
+def within_edits(pairs: DataFrame, a: str, b: str, edits: int, limit: Column | None = None) -> DataFrame:
+    """The rows whose strings ``a`` and ``b`` are within the edit distance; with ``limit`` (a row's own limit,
+    ``edits`` at most) within that. All limits share one walk: it gives the distance wherever that is ``edits`` at most.
 
     After the common ends are cut off, the columns of the edit matrix are walked with a word that
     holds the vertical differences in a band of ``2 edits + 2`` diagonals: down the lowest diagonal first,
@@ -111,7 +110,7 @@ def within_edits(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
         raise ValueError("edits must fit the band of one machine word")
     # each step is the output of a generator, so that the filter is not pushed below and computes it again and again
     step = lambda df, name, value: df.select("*", F.explode(F.array(value)).alias(name))
-    rows = pairs.where(F.abs(F.length(a) - F.length(b)) <= edits)
+    rows = pairs.withColumn("_k", F.lit(edits) if limit is None else limit).where((F.abs(F.length(a) - F.length(b)) <= F.col("_k")) & (F.col("_k") <= edits))
     rows = step(rows, "_p", _common_start(F.col(a), F.col(b)))
     rest = lambda c: F.reverse(F.col(c).substr(F.col("_p") + 1, F.length(c)))
     rows = step(rows, "_r", F.struct(rest(a).alias("x"), rest(b).alias("y")))
@@ -142,7 +141,10 @@ def within_edits(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
 
     start = F.struct(word(((1 << (edits + 1)) - 1) << (width - edits - 1)).alias("vp"), word(0).alias("vn"), F.lit(edits).alias("dist"), (one * (1 << (width - 2))).alias("row"))
     distance = F.aggregate(F.sequence(F.lit(0), F.col("_t.n") - 1), start, column, lambda s: s["dist"])
-    return rows.where(F.when(F.col("_t.m") <= edits, True).when(F.col("_t.n") == 0, False).otherwise(distance <= edits)).select(*pairs.columns)
+    found = F.when(F.col("_t.m") <= F.col("_k"), True).when(F.col("_t.n") == 0, False)
+    if limit is not None:                           # strings that the band is too wide for
+        found = found.when(F.col("_t.m") < edits, F.levenshtein(F.array_join("_t.long", ""), F.array_join("_t.short", "")) <= F.col("_k"))
+    return rows.where(found.otherwise(distance <= F.col("_k"))).select(*pairs.columns)
 
 
 # Letters that are counted, by their frequency in Latin-script text.
@@ -189,8 +191,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     both = (close.join(texts.select(F.col("h").alias("a"), F.col("line").alias("a_line")), "a")
             .join(texts.select(F.col("h").alias("b"), F.col("line").alias("b_line")), "b"))
     limit = allowed(F.least(F.length("a_line"), F.length("b_line")), edits)
-    found = [within_edits(both.where(limit == k), "a_line", "b_line", k).select("a", "b") for k in range(1, edits + 1)]
-    return reduce(DataFrame.union, found)
+    return within_edits(both.where(limit > 0), "a_line", "b_line", edits, limit).select("a", "b")
 
 
 def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -214,17 +215,21 @@ def near_lines(docs: DataFrame, owners: DataFrame, edits: int, min_edit_chars: i
     stars = pin(met.where("h <> head").select(F.least("head", "h").alias("a"), F.greatest("head", "h").alias("b")).distinct(), "stars", folder)
     text = pin(_fetch(docs, stars.select(F.col("a").alias("h")).union(stars.select("b")).distinct(), owners, min_edit_chars), "texts", folder)
     links = pin(_verified(stars, text, edits), "links", folder)
+    free_shuffles(docs.sparkSession)
     known = pin(components(links), "known", folder)
+    free_shuffles(docs.sparkSession)
     placed = met.join(known, met["h"] == known["node"], "left").select("key", "probe", "h", "head", F.coalesce("component", "h").alias("c"))
     head = known.select(F.col("node").alias("head"), F.col("component").alias("k"))
     tagged = placed.join(head, "head", "left").withColumn("k", F.coalesce("k", "head")).where("h <> head")
-    tagged = tagged.join(text.select("h", "s", "t"), "h")
+    tagged = pin(tagged.join(text.select("h", "s", "t"), "h"), "tagged", folder)      # plans of their own: what the driver plans at once stays small
     outside = tagged.where("c <> k").select("key", F.col("probe").alias("a_probe"), F.col("h").alias("a"), F.col("c").alias("a_c"), F.col("s").alias("a_s"), F.col("t").alias("a_t"))
     inside = tagged.select("key", F.col("probe").alias("b_probe"), F.col("h").alias("b"), F.col("c").alias("b_c"), F.col("s").alias("b_s"), F.col("t").alias("b_t"), (F.col("c") == F.col("k")).alias("member"))
     rest = (outside.join(inside, "key").where((F.col("a_probe") != F.col("b_probe")) & (F.col("a_c") != F.col("b_c")) & (F.col("member") | (F.col("a") < F.col("b"))) & _letters_near(edits))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    rest = pin(rest, "rest", folder)
+    free_shuffles(docs.sparkSession)
     more = pin(_verified(rest, text, edits), "more", folder)
-    return known if more.isEmpty() else components(links.union(more))
+    return known if more.isEmpty() else components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
 def classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS) -> DataFrame:

@@ -119,6 +119,30 @@ def test_banded_distance_equals_the_matrix(spark):
         assert have == sorted(p for p in pairs if distance(*p) <= edits)
 
 
+def test_banded_distance_with_a_limit_for_each_row(spark):
+    rng = random.Random(11)
+    texts = lambda: "".join(rng.choice("ab") for _ in range(rng.randrange(9)))
+    for edits in (2, 3):
+        pairs = [(texts(), texts(), rng.randrange(edits + 1)) for _ in range(400)]
+        df = spark.createDataFrame(pairs, "a string, b string, most int")
+        have = sorted(map(tuple, L.within_edits(df, "a", "b", edits, F.col("most")).collect()))
+        assert have == sorted(p for p in pairs if distance(*p[:2]) <= p[2])
+
+
+def test_no_step_plans_the_others_again(spark, monkeypatch):
+    """What the driver plans and compiles at once stays small: no step joins more than four times."""
+    joins, pin = {}, L.pin
+
+    def seen(df, name, folder=None):
+        joins[name] = df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        return pin(df, name, folder)
+
+    monkeypatch.setattr(L, "pin", seen)
+    rows = [(k, "\n".join("abcdefghij" * 4 + "xyz"[(k + i) % 3] * i for i in range(3)), 0, "", 0) for k in range(6)]
+    L.classes(spark.createDataFrame(rows, SCHEMA), **L.ALL_LINES).count()
+    assert {"links", "rest", "more"} <= joins.keys() and max(joins.values()) <= 4, joins
+
+
 def test_native_plan_and_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert L.classes(df).count() == 0 and L.remove_lines(df).columns == df.columns
