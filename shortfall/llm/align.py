@@ -167,7 +167,7 @@ def align_block(column: pa.Array, a_path: str, b_path: str) -> tuple[np.ndarray,
     n = len(column)
     text = pc.fill_null(column, "").cast(pa.large_string())
     spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), text, pa.scalar("", pa.large_string()))
-    a, a_at = _whole(tokens.encode(spaced, a_path, special=False, kept_bytes=KEPT_BYTES))
+    a, a_at = _whole(tokens.encode(spaced, a_path, special=False, kept_bytes=KEPT_BYTES // 4))
     b, b_at = _whole(pieces.encode(text, b_path, KEPT_BYTES))
     raw, offsets = buffers(spaced)
     va, vb = byte_level(a_path), piece_level(b_path)

@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
                 start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
                 length = np.where(piece == 0, head[doc], capacity)
                 at = (offsets[doc] + start).tolist()
-                data = memoryview(ids.astype("<u4").tobytes())
+                data = memoryview(ids.astype("<u4", copy=False).view(np.uint8))
                 crc = [zlib.crc32(data[4 * a:4 * (a + k)]) for a, k in zip(at, length.tolist())]
                 columns = [doc_ids.slice(first, n).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
                 if with_ids:

@@ -18,14 +18,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from shortfall.llm.text import blocks, buffers, forget
+from shortfall.llm.text import blocks, buffers, forget, give_back
 
-BLOCK_BYTES = 8 << 20
-#: Bound of a worker's memory of encoded chunks, in bytes with what Python adds to them.
-KEPT_BYTES = 80 << 20
-_KEPT_EACH = 200
-_kept: dict[str, tuple[dict[str, bytes], list[int]]] = {}
+BLOCK_BYTES = 4 << 20
+#: Bound of a worker's memory of encoded chunks, in bytes with their offsets.
+KEPT_BYTES = 16 << 20
+_KEPT_EACH = 16
+#: Chunks given to the tokenizer at once; what it makes of them is many times as large.
+_AT_ONCE = 8192
+_kept: dict[str, tuple[pa.Array, pa.Array]] = {}
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -42,6 +45,7 @@ def forget_all() -> None:
     _kept.clear()
     literals.cache_clear()
     load.cache_clear()
+    give_back()
 
 
 @lru_cache(maxsize=4)
@@ -109,57 +113,77 @@ def taken(entries: list[bytes] | pa.Array, codes: np.ndarray) -> tuple[np.ndarra
     return (np.frombuffer(data, np.uint8)[:offsets[-1]] if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def _encode_chunks(path: str, chunks: list[str], most: int) -> list[bytes]:
-    """Ids of each chunk; a worker keeps those of its first distinct ones, up to ``most`` bytes."""
-    kept, size = _kept.setdefault(path, ({}, [0]))
-    found = [kept.get(c) for c in chunks]
-    missing = [i for i, ids in enumerate(found) if ids is None]
-    if missing:
-        encoded = load(path).encode([chunks[i] for i in missing], is_pretokenized=True, add_special_tokens=False)
+def _encode_new(path: str, chunks: pa.Array) -> pa.Array:
+    """Ids of each chunk, by the tokenizer."""
+    parts = [pa.array([], pa.large_binary())]
+    for i in range(0, len(chunks), _AT_ONCE):
+        words = chunks.slice(i, _AT_ONCE).to_pylist()
+        encoded = load(path).encode(words, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(encoded.ids, np.uint32)
-        ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(missing)), side="right") * 4
-        data, at = ids.tobytes(), 0
-        for i, end in zip(missing, ends.tolist()):
-            found[i], at = data[at:end], end
-            if size[0] < most:
-                kept[chunks[i]] = found[i]
-                size[0] += _KEPT_EACH + len(chunks[i]) + len(found[i])
-    return found
+        ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(words)), side="right") * 4
+        parts.append(pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.r_[0, ends]), pa.py_buffer(ids)]))
+    return pa.concat_arrays(parts)
+
+
+def _encode_chunks(path: str, chunks: pa.Array, most: int) -> tuple[pa.Array, np.ndarray]:
+    """(lists of ids, which of them each distinct chunk has); a worker keeps those of its first chunks, up to ``most`` bytes."""
+    kept, ids = _kept.get(path) or (chunks.slice(0, 0), pa.array([], pa.large_binary()))
+    found = pc.index_in(kept, chunks)                             # the side that is hashed is bounded by the block
+    at, there = np.full(len(chunks), -1), np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+    at[found.drop_null().to_numpy()] = there
+    new = np.flatnonzero(at < 0)
+    at[new] = len(kept) + np.arange(len(new))
+    fresh = chunks.take(pa.array(new))
+    entries = pa.concat_arrays([ids, _encode_new(path, fresh)])
+    if len(new) and (room := most - kept.nbytes - ids.nbytes) > 0:
+        sizes = pc.add(pc.binary_length(fresh), pc.binary_length(entries.slice(len(kept)))).to_numpy() + _KEPT_EACH
+        more = int(np.searchsorted(np.cumsum(sizes), room))
+        _kept[path] = pa.concat_arrays([kept, fresh.slice(0, more)]), pa.concat_arrays([entries.slice(0, len(kept) + more)])
+    return entries, at
+
+
+def _encode_block(raw: np.ndarray, offsets: np.ndarray, path: str, lower: bool, special: bool, kept_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets into them per text) of a block of texts."""
+    space, cut = _SPACE[raw], np.zeros(len(raw) + 1, bool)
+    cut[1:-1] = (space[1:] & ~space[:-1]) | (_LETTER[raw[:-1]] & _MARK[raw[1:]])
+    del space
+    data = np.ascontiguousarray(_LOWER[raw] if lower else raw)
+    for doc in np.unique(np.searchsorted(offsets, _wide_space(raw), side="right") - 1).tolist():
+        whole = slice(offsets[doc], offsets[doc + 1])
+        cut[whole] = False
+        if lower:
+            data[whole] = raw[whole]                           # nothing may look like a special token only now
+    apart = _find_literals(raw.tobytes(), offsets, path) if special else []
+    for a, b in apart:
+        cut[a:b] = False
+        cut[[a, b]] = True
+    cut[offsets] = True
+    bounds = np.flatnonzero(cut)
+    del cut
+    chunks = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+    entries, places = _encode_chunks(path, chunks.dictionary, kept_bytes)
+    codes = places[chunks.indices.to_numpy()]
+    del chunks, data
+    if apart:
+        ids = literals(path)
+        codes[np.searchsorted(bounds, [a for a, _ in apart])] = len(entries) + np.arange(len(apart))
+        entries = pa.concat_arrays([entries, pa.array([np.uint32(ids[raw[a:b].tobytes()]).tobytes() for a, b in apart], pa.large_binary())])
+    ids, ends = taken(entries, codes)
+    return ids.view(np.uint32), ends[np.searchsorted(bounds, offsets)] // 4
 
 
 def encode(column: pa.Array, path: str, lower: bool = False, special: bool = True, kept_bytes: int = KEPT_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, ids as uint32, offsets into them per row) for runs of rows of about 8 MB.
+    """(first row, ids as uint32, offsets into them per row) for runs of rows of about 4 MB.
 
     ``lower`` says that the tokenizer lower-cases, so that chunks may be lower-cased before they are compared.
     ``special`` gives the strings of special tokens their ids, as the library does by default.
     """
     forget()
+    give_back()
     for first, end, raw, offsets in blocks(*buffers(column), BLOCK_BYTES):
         n = end - first
         if not len(raw):
             yield first, np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
             continue
-        space, cut = _SPACE[raw], np.zeros(len(raw) + 1, bool)
-        cut[1:-1] = (space[1:] & ~space[:-1]) | (_LETTER[raw[:-1]] & _MARK[raw[1:]])
-        data = np.ascontiguousarray(_LOWER[raw] if lower else raw)
-        for doc in np.unique(np.searchsorted(offsets, _wide_space(raw), side="right") - 1).tolist():
-            whole = slice(offsets[doc], offsets[doc + 1])
-            cut[whole] = False
-            data[whole] = raw[whole]                           # nothing may look like a special token only now
-        apart = _find_literals(raw.tobytes(), offsets, path) if special else []
-        for a, b in apart:
-            cut[a:b] = False
-            cut[[a, b]] = True
-        cut[offsets] = True
-        bounds = np.flatnonzero(cut)
-        chunks = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
-        codes, distinct = chunks.indices.to_numpy(), chunks.dictionary.to_pylist()
-        found = _encode_chunks(path, distinct, kept_bytes)
-        if apart:
-            ids = literals(path)
-            codes = codes.copy()
-            at = np.searchsorted(bounds, [a for a, _ in apart])
-            codes[at] = len(found) + np.arange(len(apart))
-            found = found + [np.uint32(ids[raw[a:b].tobytes()]).tobytes() for a, b in apart]
-        ids, ends = taken(found, codes)
-        yield first, ids.view(np.uint32), ends[np.searchsorted(bounds, offsets)] // 4
+        yield first, *_encode_block(raw, offsets, path, lower, special, kept_bytes)
+        give_back()
